@@ -67,23 +67,33 @@ def edges(geometry: Column | str) -> Column:
     return F.flatten(F.flatten(F.transform(_col(geometry), lambda p: F.transform(p, ring_edges))))
 
 
-def _ring_moments(ring: Column, x0: Column, y0: Column) -> Column:
-    """Twice the signed area and six times the first moments, about ``(x0, y0)``."""
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` evaluated once.
+
+    A column used twice in an expression is computed twice; a lambda variable
+    is not.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _moments(ring: Column, origin: Column) -> Column:
+    """Twice the signed area and six times the first moments, about ``origin``."""
 
     def step(acc: Column, e: Column) -> Column:
-        ax, ay, bx, by = e["x1"] - x0, e["y1"] - y0, e["x2"] - x0, e["y2"] - y0
-        cross = ax * by - bx * ay
-        return F.struct(
-            (acc["a"] + cross).alias("a"),
-            (acc["mx"] + (ax + bx) * cross).alias("mx"),
-            (acc["my"] + (ay + by) * cross).alias("my"),
+        ax, ay = e["x1"] - origin["x"], e["y1"] - origin["y"]
+        bx, by = e["x2"] - origin["x"], e["y2"] - origin["y"]
+        return let(
+            ax * by - bx * ay,
+            lambda cross: _sums(
+                acc["a"] + cross, acc["mx"] + (ax + bx) * cross, acc["my"] + (ay + by) * cross
+            ),
         )
 
-    return F.aggregate(ring_edges(ring), _zero_moments(), step)
+    return F.aggregate(ring_edges(ring), _sums(F.lit(0.0), F.lit(0.0), F.lit(0.0)), step)
 
 
-def _zero_moments() -> Column:
-    return F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+def _sums(a: Column, mx: Column, my: Column) -> Column:
+    return F.struct(a.alias("a"), mx.alias("mx"), my.alias("my"))
 
 
 def area(geometry: Column | str) -> Column:
@@ -116,28 +126,38 @@ def area_sqmi(geometry: Column | str) -> Column:
 def centroid(geometry: Column | str) -> Column:
     """Area-weighted centre as ``(x, y)``; NULL for a geometry without area."""
     g = _col(geometry)
-    origin = F.get(F.flatten(F.flatten(g)), F.lit(0))
-    x0, y0 = origin["x"], origin["y"]
-
-    def signed(ring: Column, i: Column) -> Column:
-        m = _ring_moments(ring, x0, y0)
-        return F.struct(
-            m["a"].alias("a"), m["mx"].alias("mx"), m["my"].alias("my"),
-            F.when((m["a"] >= 0) == (i == 0), F.lit(1.0)).otherwise(F.lit(-1.0)).alias("s"),
+
+    def about(origin: Column) -> Column:
+        rings = F.flatten(
+            F.transform(
+                g,
+                lambda part: F.transform(
+                    F.transform(part, lambda ring: _moments(ring, origin)), oriented
+                ),
+            )
+        )
+        total = F.aggregate(
+            rings,
+            _sums(F.lit(0.0), F.lit(0.0), F.lit(0.0)),
+            lambda acc, m: _sums(acc["a"] + m["a"], acc["mx"] + m["mx"], acc["my"] + m["my"]),
+        )
+        return let(
+            total,
+            lambda t: F.when(
+                t["a"] != 0,
+                _vertex(
+                    origin["x"] + t["mx"] / F.nullif(3 * t["a"], F.lit(0.0)),
+                    origin["y"] + t["my"] / F.nullif(3 * t["a"], F.lit(0.0)),
+                ),
+            ),
         )
 
-    rings = F.flatten(F.transform(g, lambda part: F.transform(part, signed)))
-    total = F.aggregate(
-        rings,
-        _zero_moments(),
-        lambda acc, m: F.struct(
-            (acc["a"] + m["s"] * m["a"]).alias("a"),
-            (acc["mx"] + m["s"] * m["mx"]).alias("mx"),
-            (acc["my"] + m["s"] * m["my"]).alias("my"),
-        ),
-    )
-    weight = F.nullif(3 * total["a"], F.lit(0.0))
-    return F.when(weight.isNotNull(), _vertex(x0 + total["mx"] / weight, y0 + total["my"] / weight))
+    def oriented(m: Column, i: Column) -> Column:
+        # Shells count up and holes down, whichever way they are drawn.
+        keeps = (m["a"] >= 0) == (i == 0)
+        return F.when(keeps, m).otherwise(_sums(-m["a"], -m["mx"], -m["my"]))
+
+    return let(F.get(F.get(F.get(g, F.lit(0)), F.lit(0)), F.lit(0)), about)
 
 
 def crosses(e: Column, x: Column, y: Column) -> Column:
@@ -171,8 +191,14 @@ def contains(geometry: Column | str, lon: Column | str, lat: Column | str) -> Co
     One polygon against one point, edge by edge. For a join between many of
     both use :func:`hailscope.operators.spatial_join.points_in_areas`.
     """
-    x, y, e = _col(lon), _col(lat), edges(geometry)
-    return odd_crossings(e, x, y) & ~F.exists(e, lambda s: touches(s, x, y))
+    x, y = _col(lon), _col(lat)
+    return let(edges(geometry), lambda e: inside(e, x, y))
+
+
+def inside(edge_array: Column, x: Column, y: Column, start: Column | None = None) -> Column:
+    """Strictly inside by the edges given and ``start`` crossings not given."""
+    on_edge = F.exists(edge_array, lambda e: touches(e, x, y))
+    return odd_crossings(edge_array, x, y, start) & ~on_edge
 
 
 # -- shape equality ---------------------------------------------------------
@@ -181,69 +207,64 @@ def contains(geometry: Column | str, lon: Column | str, lat: Column | str) -> Co
 def _canonical_ring(ring: Column) -> Column:
     """Open ring without repeated or collinear vertices, counter-clockwise from
     its smallest vertex."""
+    # Adding 0.0 turns -0.0 into 0.0.
     clean = F.transform(ring, lambda v: _vertex(v["x"] + F.lit(0.0), v["y"] + F.lit(0.0)))
-    distinct = F.filter(
-        clean, lambda v, i: (i == 0) | (v != F.get(clean, F.greatest(i - 1, F.lit(0))))
-    )
-    opened = F.slice(distinct, F.lit(1), F.greatest(F.size(distinct) - 1, F.lit(0)))
-    corners = _named(opened, _drop_collinear)
-    rotated = _named(corners, _start_at_smallest)
-    return F.when(_twice_area(rotated) >= 0, rotated).otherwise(
-        _named(F.reverse(rotated), _start_at_smallest)
-    )
+    opened = let(let(clean, _drop_repeats), _open)
+    return let(let(let(opened, _drop_collinear), _counter_clockwise), _start_at_smallest)
 
 
-def _named(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn(value)`` with ``value`` evaluated once (a lambda variable as a let)."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
+def _drop_repeats(ring: Column) -> Column:
+    return F.filter(ring, lambda v, i: (i == 0) | (v != F.get(ring, i - 1)))
+
+
+def _open(ring: Column) -> Column:
+    return F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
 
 
 def _drop_collinear(ring: Column) -> Column:
     n = F.size(ring)
 
-    def bends(v: Column, i: Column) -> Column:
-        before = F.get(ring, (i - 1 + n) % n)
-        after = F.get(ring, (i + 1) % n)
+    def bends(v: Column, before: Column, after: Column) -> Column:
         return (v["x"] - before["x"]) * (after["y"] - v["y"]) != (v["y"] - before["y"]) * (
             after["x"] - v["x"]
         )
 
-    return F.filter(ring, bends)
+    return F.filter(ring, lambda v, i: bends(v, F.get(ring, (i - 1 + n) % n), F.get(ring, (i + 1) % n)))
 
 
-def _start_at_smallest(ring: Column) -> Column:
-    at = F.coalesce(F.array_position(ring, F.array_min(ring)), F.lit(0)).cast("int")
-    n = F.size(ring)
-    return F.when(at <= 1, ring).otherwise(
-        F.concat(F.slice(ring, at, n - at + 1), F.slice(ring, F.lit(1), at - 1))
-    )
-
-
-def _twice_area(opened: Column) -> Column:
+def _counter_clockwise(opened: Column) -> Column:
     n = F.size(opened)
-    terms = F.transform(
+    cross = F.transform(
         opened,
-        lambda v, i: v["x"] * F.get(opened, (i + 1) % n)["y"]
-        - F.get(opened, (i + 1) % n)["x"] * v["y"],
+        lambda v, i: let(F.get(opened, (i + 1) % n), lambda w: v["x"] * w["y"] - w["x"] * v["y"]),
     )
-    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+    twice_area = F.aggregate(cross, F.lit(0.0), lambda acc, c: acc + c)
+    return F.when(twice_area >= 0, opened).otherwise(F.reverse(opened))
+
+
+def _start_at_smallest(ring: Column) -> Column:
+    at = F.array_position(ring, F.array_min(ring)).cast("int")
+
+    def turned(at: Column) -> Column:
+        return F.concat(
+            F.slice(ring, at, F.size(ring) - at + 1), F.slice(ring, F.lit(1), at - 1)
+        )
+
+    return let(at, lambda at: F.when(at > 1, turned(at)).otherwise(ring))
 
 
 def canonical(geometry: Column | str) -> Column:
     """One value per shape: start vertex, direction, extra collinear vertices
     and the order of holes and parts do not matter."""
 
-    def part(rings: Column) -> Column:
-        norm = _named(rings, lambda r: F.transform(r, _canonical_ring))
-        return _named(
-            norm,
-            lambda r: F.concat(
-                F.slice(r, F.lit(1), F.lit(1)),
-                F.array_sort(F.slice(r, F.lit(2), F.greatest(F.size(r) - 1, F.lit(0)))),
-            ),
-        )
+    def sort_holes(rings: Column) -> Column:
+        holes = F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
+        return F.concat(F.slice(rings, F.lit(1), F.lit(1)), F.sort_array(holes))
 
-    return F.array_sort(F.transform(_col(geometry), part))
+    parts = F.transform(
+        _col(geometry), lambda part: let(F.transform(part, _canonical_ring), sort_holes)
+    )
+    return F.sort_array(parts)
 
 
 def geometry_digest(geometry: Column | str) -> Column:

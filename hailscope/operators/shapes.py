@@ -55,7 +55,8 @@ def match_equal_areas(
     """
 
     def keyed(df: DataFrame, geometry: str) -> DataFrame:
-        shaped = df.withColumn("__shape", canonical(geometry)).filter("__shape IS NOT NULL")
+        # A generator in between keeps the join's NULL check from repeating the work.
+        shaped = df.select("*", F.explode(F.array(canonical(geometry))).alias("__shape"))
         return shaped.withColumn("__hash", F.xxhash64("__shape"))
 
     pairs = keyed(left, left_geometry).join(keyed(right, right_geometry), ["__hash", "__shape"])

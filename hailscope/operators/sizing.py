@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hailscope.sources.staging import stage
+
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
@@ -25,13 +27,25 @@ def _width(c: Column, dtype: T.DataType) -> Column:
     return F.lit(16)
 
 
+def _total(df: DataFrame) -> Column:
+    width = sum((_width(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
+    return F.sum(width.cast("long")).alias("bytes")
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` in row format *(action: one pass over df)*."""
-    width = sum((_width(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
-    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return df.agg(_total(df)).first()[0] or 0
 
 
 def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if it measures at most ``limit`` bytes, else
     as it is, so that the join shuffles *(action on df alone)*."""
     return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def stage_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``df`` staged, and its size in row format taken while it is written
+    *(action)*."""
+    seen = Observation()
+    staged = stage(df.observe(seen, _total(df)), name)
+    return staged, seen.get["bytes"] or 0

@@ -21,8 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailscope.functions.geometry import edges, geometry_digest, odd_crossings, touches
-from hailscope.operators.sizing import BROADCAST_BYTES, measured_bytes
+from hailscope.functions.geometry import edges, geometry_digest, inside
+from hailscope.operators.sizing import BROADCAST_BYTES, stage_measured
 
 TILE = ["__band", "__column"]
 POINTS_PER_TASK = 4_000_000
@@ -83,17 +83,16 @@ def area_index(
         return near | (beyond(e) & ~spans(e))
 
     always = F.size(F.filter("__edges", lambda e: beyond(e) & spans(e)))
+    tile = F.struct(
+        (always % 2).alias("__parity"), F.filter("__edges", deciding).alias("__edges")
+    )
+    # Exploding a filtered one-element array drops empty tiles and evaluates the
+    # two filters once; a plain filter would be pushed down and repeat them.
+    used = F.filter(F.array(tile), lambda t: (t["__parity"] == 1) | (F.size(t["__edges"]) > 0))
     return (
-        tiles.select(
-            *keep,
-            *TILE,
-            "__copies",
-            (always % 2).alias("__parity"),
-            F.filter("__edges", deciding).alias("__edges"),
-        )
-        .filter((F.col("__parity") == 1) | (F.size("__edges") > 0))
-        .withColumn("__copies", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .drop("__copies")
+        tiles.select(*keep, *TILE, "__copies", F.explode(used).alias("__t"))
+        .select(*keep, *TILE, "__t.*", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        .drop("col")
     )
 
 
@@ -112,26 +111,27 @@ def points_in_areas(
     """Every (point, area) pair where the point is strictly inside.
 
     Returns the point's columns and the area's ``keep`` columns. The index is
-    measured first *(action on areas)*: up to ``broadcast_bytes`` it is sent to
-    every executor and points are not shuffled. Above that both sides shuffle on
-    the tile, and tiles with more than ``points_per_task`` points are split over
-    several tasks.
+    staged and measured first *(action on areas)*: up to ``broadcast_bytes`` it
+    is sent to every executor and points are not shuffled. Above that both sides
+    shuffle on the tile, and tiles with more than ``points_per_task`` points are
+    split over several tasks.
     """
-    index = area_index(areas, keep, geometry=geometry, cell=cell)
+    index, size = stage_measured(
+        area_index(areas, keep, geometry=geometry, cell=cell), "area-index"
+    )
     placed = points.filter(
         F.col(lon).isNotNull() & F.col(lat).isNotNull() & ~F.isnan(lon) & ~F.isnan(lat)
     ).withColumns({"__band": _tile(F.col(lat), cell), "__column": _tile(F.col(lon), cell)})
 
-    if measured_bytes(index) <= broadcast_bytes:
+    if size <= broadcast_bytes:
         pairs = placed.join(F.broadcast(index), TILE)
     else:
         pairs = _join_split_tiles(placed, index, points_per_task)
 
-    x, y, e = F.col(lon), F.col(lat), F.col("__edges")
-    inside = F.when(F.size(e) == 0, F.lit(True)).otherwise(
-        odd_crossings(e, x, y, F.col("__parity")) & ~F.exists(e, lambda s: touches(s, x, y))
-    )
-    return pairs.filter(inside).select(*points.columns, *keep)
+    edge_list = F.col("__edges")
+    tested = inside(edge_list, F.col(lon), F.col(lat), F.col("__parity"))
+    # Tiles without edges are kept in the index only if they lie inside.
+    return pairs.filter((F.size(edge_list) == 0) | tested).select(*points.columns, *keep)
 
 
 def _join_split_tiles(placed: DataFrame, index: DataFrame, points_per_task: int) -> DataFrame:

@@ -29,8 +29,8 @@ def worst_day_layer(
 ) -> DataFrame:
     """All hail of a postcode's state on the postcode's worst day, times as text.
 
-    Days and states are matched first without postcodes, so the reports move at
-    most once for each (state, day) that some postcode asks for.
+    ``worst`` and the areas should be stored tables: their sizes then decide
+    whether they are broadcast to the reports or the reports are shuffled.
     """
     asked = worst.select("postcode", "date").join(
         state_of(postcode_areas, states).select("postcode", "state_code").distinct(), "postcode"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hailscope.functions.geometry import let
 from hailscope.operators.shapes import polygon_vertices
 
 
@@ -52,23 +53,43 @@ def polygon_text(geometry: Column | str) -> Column:
     )
 
 
-def _tight(wkt: Column) -> Column:
+def _tight(wkt: Column | str) -> Column:
     """No blanks around brackets and commas."""
-    return F.regexp_replace(F.trim(wkt), r"\s*([(),])\s*", "$1")
+    c = F.col(wkt) if isinstance(wkt, str) else wkt
+    return F.regexp_replace(F.trim(c), r"\s*([(),])\s*", "$1")
 
 
 def _vertex(text: Column) -> Column:
-    xy = F.split(text, r"\s+")
-    x = F.get(xy, F.lit(0)).try_cast("double")
-    y = F.get(xy, F.lit(1)).try_cast("double")
-    good = (F.size(xy) == 2) & x.isNotNull() & y.isNotNull()
-    return F.when(good, F.struct(x.alias("x"), y.alias("y")))
+    def read(xy: Column) -> Column:
+        x = F.get(xy, F.lit(0)).try_cast("double")
+        y = F.get(xy, F.lit(1)).try_cast("double")
+        good = (F.size(xy) == 2) & x.isNotNull() & y.isNotNull()
+        return F.when(good, F.struct(x.alias("x"), y.alias("y")))
+
+    return let(F.split(text, r"\s+"), read)
 
 
 def parse_point(wkt: Column | str) -> Column:
     """The point of a POINT text, else NULL."""
-    t = _tight(F.col(wkt) if isinstance(wkt, str) else wkt)
-    return _vertex(F.nullif(F.regexp_extract(t, r"(?i)^POINT\(([^()]*)\)$", 1), F.lit("")))
+    inner = F.regexp_extract(_tight(wkt), r"(?i)^POINT\(([^()]*)\)$", 1)
+    return _vertex(F.nullif(inner, F.lit("")))
+
+
+def _parts_text(tight: Column) -> Column:
+    """The text between ``(((`` and ``)))`` of a multipolygon, a polygon being
+    one of one part; NULL for any other text."""
+    head = F.upper(F.substring_index(tight, "(", 1))
+    one = F.regexp_extract(tight, r"(?s)^[^(]*\(\((.*)\)\)$", 1)
+    many = F.regexp_extract(tight, r"(?s)^[^(]*\(\(\((.*)\)\)\)$", 1)
+    return F.nullif(F.when(head == "POLYGON", one).when(head == "MULTIPOLYGON", many), F.lit(""))
+
+
+def _sound(ring: Column) -> Column:
+    return (
+        (F.size(ring) >= 4)
+        & ~F.exists(ring, lambda v: v.isNull())
+        & (F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1))
+    )
 
 
 def parse_polygon(wkt: Column | str) -> Column:
@@ -76,27 +97,13 @@ def parse_polygon(wkt: Column | str) -> Column:
 
     Every ring must be closed and have four vertices or more.
     """
-    t = _tight(F.col(wkt) if isinstance(wkt, str) else wkt)
-    head = F.upper(F.substring_index(t, "(", 1))
-    body = F.when(head == "POLYGON", F.concat(F.lit("("), t.substr(F.lit(8), F.length(t)), F.lit(")")))
-    body = body.when(head == "MULTIPOLYGON", t.substr(F.lit(13), F.length(t)))
-    framed = F.when(body.startswith("(((") & body.endswith(")))"), body)
-    inner = framed.substr(F.lit(4), F.length(framed) - 6)
     geometry = F.transform(
-        F.split(inner, r"\)\),\(\("),
+        F.split(let(_tight(wkt), _parts_text), r"\)\),\(\("),
         lambda part: F.transform(
             F.split(part, r"\),\("), lambda ring: F.transform(F.split(ring, ","), _vertex)
         ),
     )
-
-    def sound(ring: Column) -> Column:
-        return (
-            (F.size(ring) >= 4)
-            & ~F.exists(ring, lambda v: v.isNull())
-            & (F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1))
-        )
-
-    return F.when(F.forall(F.flatten(geometry), sound), geometry)
+    return let(geometry, lambda g: F.when(F.forall(F.flatten(g), _sound), g))
 
 
 def ingest_wkt(df: DataFrame, id: str, wkt: str) -> tuple[DataFrame, DataFrame]:
@@ -104,11 +111,12 @@ def ingest_wkt(df: DataFrame, id: str, wkt: str) -> tuple[DataFrame, DataFrame]:
 
     A POINT becomes one vertex.
     """
-    read = df.withColumns({"__polygon": parse_polygon(wkt), "__point": parse_point(wkt)})
-    single = F.when(F.col("__point").isNotNull(), F.array(F.array(F.array("__point"))))
-    shaped = read.withColumn("__shape", F.coalesce("__polygon", single))
+    single = let(
+        parse_point(wkt), lambda p: F.when(p.isNotNull(), F.array(F.array(F.array(p))))
+    )
+    shaped = df.withColumn("__shape", F.coalesce(parse_polygon(wkt), single))
     rejects = shaped.filter("__shape IS NULL").select(*df.columns)
-    return polygon_vertices(shaped.filter("__shape IS NOT NULL"), [id], "__shape"), rejects
+    return polygon_vertices(shaped, [id], "__shape"), rejects
 
 
 def export_wkt(df: DataFrame, geometry: str = "geometry", name: str = "wkt") -> DataFrame:

@@ -259,6 +259,27 @@ def division_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return division_areas(spark, sf_dir).select(
-        F.col("division_id").alias("id"), "subtype", "country", "region", "names"
+    nation = table(spark, sf_dir, "nation")
+    row = F.floor(F.col("n_nationkey") / 5).cast("int")
+    county = nation.select(
+        F.concat(F.lit("d-c"), "n_nationkey").alias("id"),
+        F.lit("county").alias("subtype"),
+        F.concat(F.lit("US-S"), row).alias("region"),
+        F.col("n_name").alias("name"),
+    )
+    state = nation.select(row.alias("k")).distinct().select(
+        F.concat(F.lit("d-s"), "k"),
+        F.lit("region"),
+        F.concat(F.lit("US-S"), "k"),
+        F.concat(F.lit("State "), "k"),
+    )
+    locality = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("d-p"), "c_custkey"),
+        F.lit("locality"),
+        F.concat(F.lit("US-S"), F.col("c_custkey") % 5),
+        F.concat(F.lit("Parcel "), "c_custkey"),
+    )
+    return county.union(state).union(locality).select(
+        "id", "subtype", F.lit("US").alias("country"), "region",
+        F.struct(F.col("name").alias("primary")).alias("names"),
     )

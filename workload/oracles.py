@@ -325,7 +325,9 @@ FINAL = {
         "SELECT event_id, round(6378137.0*radians(LON), 3) AS x,"
         " round(6378137.0*ln(tan(pi()/4 + radians(LAT)/2)), 3) AS y FROM hail"
     ),
-    "point_centroid": "SELECT postcode, country, LON, LAT FROM centres",
+    "point_centroid": (
+        "SELECT postcode, country, round(LON, 9) AS LON, round(LAT, 9) AS LAT FROM centres"
+    ),
     "area_sqmi": (
         f"SELECT parcel_id, round(sqmi, 6) AS area_sqmi FROM ({_sqmi('parcel_vertices', 'parcel_id')})"
     ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from hailscope.operators.upsert import upsert
 from hailscope.plans import areas, layers, load, risk, subset
 from hailscope.schemas import HAIL_CSV_COLUMNS, MEASUREMENTS, MERGE_KEYS
 from hailscope.sources import geojson, wkt
+from hailscope.sources.staging import stage
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,8 @@ def queries() -> dict[str, Query]:
 
 
 # -- inputs shared by several queries ----------------------------------------
+# Tables that later steps read more than once are staged, as they are when the
+# steps run one after another over stored tables.
 
 
 def _states(spark, d):
@@ -45,22 +49,38 @@ def _postcode_areas(spark, d):
     return areas.build_postcode_areas(fx.addresses(spark, d), fx.division_areas(spark, d), "US")
 
 
-def _hail_state(spark, d):
-    return subset.subset_state(fx.hail(spark, d), _states(spark, d))
+class _Stored:
+    """The working tables, each staged when first read."""
 
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
 
-def _hail_county(spark, d):
-    return subset.subset_county(_hail_state(spark, d), _postcode_areas(spark, d))
+    @cached_property
+    def states(self) -> DataFrame:
+        return stage(_states(self.spark, self.d), "state_boundary")
 
+    @cached_property
+    def postcode_areas(self) -> DataFrame:
+        return stage(_postcode_areas(self.spark, self.d), "postcode_areas")
 
-def _risk(spark, d):
-    return risk.risk_comparison_bulk(
-        _hail_state(spark, d), _postcode_areas(spark, d), _states(spark, d), fx.AS_OF
-    )
+    @cached_property
+    def hail_state(self) -> DataFrame:
+        return stage(subset.subset_state(fx.hail(self.spark, self.d), self.states), "hail_state")
 
+    @property
+    def hail_county(self) -> DataFrame:
+        return subset.subset_county(self.hail_state, self.postcode_areas)
 
-def _comparison(spark, d):
-    return risk.fetch_comparison(_risk(spark, d), _postcode_areas(spark, d), _states(spark, d))
+    @cached_property
+    def risk(self) -> DataFrame:
+        rows = risk.risk_comparison_bulk(
+            self.hail_state, self.postcode_areas, self.states, fx.AS_OF
+        )
+        return stage(rows, "risk_comparison")
+
+    @property
+    def comparison(self) -> DataFrame:
+        return risk.fetch_comparison(self.risk, self.postcode_areas, self.states)
 
 
 def _text(df: DataFrame, geometry: str) -> DataFrame:
@@ -197,7 +217,10 @@ def web_mercator(spark, d):
 
 @query
 def point_centroid(spark, d):
-    return areas.point_centroid(fx.addresses(spark, d), ["postcode", "country"])
+    centres = areas.point_centroid(fx.addresses(spark, d), ["postcode", "country"])
+    return centres.select(
+        "postcode", "country", F.round("LON", 9).alias("LON"), F.round("LAT", 9).alias("LAT")
+    )
 
 
 @query
@@ -265,10 +288,9 @@ def export_wkt(spark, d):
 
 def _parcel_texts(spark, d):
     """Every fiftieth text is cut short."""
-    text = F.when(
-        F.col("parcel_id") % 50 == 0, F.expr("substr(wkt, 1, length(wkt) - 3)")
-    ).otherwise(F.col("wkt"))
-    return wkt.export_wkt(fx.parcels(spark, d)).withColumn("wkt", text)
+    cut = F.when(F.col("parcel_id") % 50 == 0, r"\)+$").otherwise("^$")
+    texts = wkt.export_wkt(fx.parcels(spark, d))
+    return texts.withColumn("wkt", F.regexp_replace("wkt", cut, F.lit("")))
 
 
 @query
@@ -312,22 +334,27 @@ def address_count(spark, d):
 
 @query
 def subset_state(spark, d):
-    return _hail_state(spark, d)
+    return subset.subset_state(fx.hail(spark, d), _states(spark, d))
 
 
 @query
 def subset_county(spark, d):
-    return _hail_county(spark, d)
+    stored = _Stored(spark, d)
+    unstored = subset.subset_state(fx.hail(spark, d), stored.states)
+    return subset.subset_county(unstored, stored.postcode_areas)
 
 
 @query
 def hail_counts_by_state(spark, d):
-    return subset.hail_counts_by_state(_hail_state(spark, d))
+    return subset.hail_counts_by_state(subset_state(spark, d))
 
 
 @query
 def hail_count_by_postcode(spark, d):
-    return subset.hail_count_by_postcode(_hail_county(spark, d), _postcode_areas(spark, d))
+    stored = _Stored(spark, d)
+    unstored = subset.subset_state(fx.hail(spark, d), stored.states)
+    hail_county = subset.subset_county(unstored, stored.postcode_areas)
+    return subset.hail_count_by_postcode(hail_county, stored.postcode_areas)
 
 
 # -- risk ------------------------------------------------------------------------
@@ -335,47 +362,46 @@ def hail_count_by_postcode(spark, d):
 
 @query
 def risk_comparison(spark, d):
+    stored = _Stored(spark, d)
     return risk.risk_comparison(
-        _hail_county(spark, d),
-        _hail_state(spark, d),
-        _postcode_areas(spark, d),
-        _states(spark, d),
-        fx.AS_OF,
+        stored.hail_county, stored.hail_state, stored.postcode_areas, stored.states, fx.AS_OF
     ).drop("updated_at")
 
 
 @query
 def risk_comparison_bulk(spark, d):
-    return _risk(spark, d).drop("updated_at")
+    stored = _Stored(spark, d)
+    return risk.risk_comparison_bulk(
+        stored.hail_state, stored.postcode_areas, stored.states, fx.AS_OF
+    ).drop("updated_at")
 
 
 @query
 def fetch_comparison(spark, d):
-    return _comparison(spark, d).drop("updated_at")
+    return _Stored(spark, d).comparison.drop("updated_at")
 
 
 @query
 def comparison_report(spark, d):
-    return risk.comparison_report(_comparison(spark, d))
+    return risk.comparison_report(_Stored(spark, d).comparison)
 
 
 @query
 def premium_adjustment(spark, d):
-    return risk.premium_adjustment(_comparison(spark, d))
+    return risk.premium_adjustment(_Stored(spark, d).comparison)
 
 
 @query
 def missing_rows(spark, d):
     """One state's rows withheld."""
-    partial = _comparison(spark, d).filter("area_type = 'county' OR area_id <> 'US-S2'")
-    return risk.missing_rows(partial, _postcode_areas(spark, d))
+    stored = _Stored(spark, d)
+    partial = stored.comparison.filter("area_type = 'county' OR area_id <> 'US-S2'")
+    return risk.missing_rows(partial, stored.postcode_areas)
 
 
 @query
 def apply_decisions(spark, d):
-    return risk.apply_decisions(
-        risk.premium_adjustment(_comparison(spark, d)), fx.decisions(spark, d)
-    )
+    return risk.apply_decisions(premium_adjustment(spark, d), fx.decisions(spark, d))
 
 
 # -- map layers --------------------------------------------------------------------
@@ -383,16 +409,15 @@ def apply_decisions(spark, d):
 
 @query
 def worst_day(spark, d):
-    return layers.worst_day(_hail_county(spark, d))
+    return layers.worst_day(subset_county(spark, d))
 
 
 @query
 def worst_day_layer(spark, d):
+    stored = _Stored(spark, d)
+    worst = stage(layers.worst_day(stored.hail_county), "worst_day")
     return layers.worst_day_layer(
-        _hail_state(spark, d),
-        layers.worst_day(_hail_county(spark, d)),
-        _postcode_areas(spark, d),
-        _states(spark, d),
+        stored.hail_state, worst, stored.postcode_areas, stored.states
     )
 
 
