@@ -175,16 +175,6 @@ def touches(e: Column, x: Column, y: Column) -> Column:
     )
 
 
-def odd_crossings(edge_array: Column, x: Column, y: Column, start: Column | None = None) -> Column:
-    """Is ``start`` plus the number of crossed edges odd?"""
-    crossed = F.aggregate(
-        edge_array,
-        F.lit(0) if start is None else start,
-        lambda acc, e: acc + F.when(crosses(e, x, y), F.lit(1)).otherwise(F.lit(0)),
-    )
-    return crossed % 2 == 1
-
-
 def contains(geometry: Column | str, lon: Column | str, lat: Column | str) -> Column:
     """Is the point strictly inside? Boundaries and holes do not count.
 
@@ -192,13 +182,12 @@ def contains(geometry: Column | str, lon: Column | str, lat: Column | str) -> Co
     both use :func:`hailscope.operators.spatial_join.points_in_areas`.
     """
     x, y = _col(lon), _col(lat)
-    return let(edges(geometry), lambda e: inside(e, x, y))
 
+    def inside(e: Column) -> Column:
+        odd = F.aggregate(e, F.lit(False), lambda odd, s: odd != crosses(s, x, y))
+        return odd & ~F.exists(e, lambda s: touches(s, x, y))
 
-def inside(edge_array: Column, x: Column, y: Column, start: Column | None = None) -> Column:
-    """Strictly inside by the edges given and ``start`` crossings not given."""
-    on_edge = F.exists(edge_array, lambda e: touches(e, x, y))
-    return odd_crossings(edge_array, x, y, start) & ~on_edge
+    return let(edges(geometry), inside)
 
 
 # -- shape equality ---------------------------------------------------------

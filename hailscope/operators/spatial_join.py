@@ -1,16 +1,21 @@
 """Points in polygons as an equi-join on grid tiles.
 
-The plane is cut in square tiles. Every polygon becomes index rows, one per
-tile it can contain points of:
-
-* a tile no edge touches lies wholly inside, and its points need no test;
-* a tile near the boundary carries the few edges that a ray from one of its
-  points towards +x may meet differently for different points, plus the parity
-  of the edges every such ray meets.
-
-Points find their tile by arithmetic and join on it. What is left per pair is a
-parity count over the tile's own edges, exact for holes and multipolygons. There
-is no shuffle after the join.
+The plane is cut in square tiles. Every polygon becomes one index row for each
+tile it can contain points of. The row holds the edges that touch the tile and
+one parity; a tile no edge touches lies wholly inside and its points need no
+test. Points find their tile by arithmetic and join on it, without a shuffle
+after the join.
+
+The test in a tile follows a bent path: from far below straight up the line
+through the tile's right side to the point's latitude, then left to the point.
+An odd number of crossings means inside. Edges that do not touch the tile meet
+this path equally often for all its points, which is the stored parity; so each
+point looks at the tile's own edges only. Along the upright leg an edge is
+crossed once for each of its ends that lies to the right of the line and not
+above the point: two edges share every vertex, so counting ends in this way
+cancels out over a closed ring, and no new coordinate is ever computed. The
+result equals the edge-by-edge test, also on vertices, for holes and for
+multipolygons.
 """
 
 from __future__ import annotations
@@ -21,10 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailscope.functions.geometry import edges, geometry_digest, inside
+from hailscope.functions.geometry import crosses, edges, geometry_digest, touches
 from hailscope.operators.sizing import BROADCAST_BYTES, stage_measured
 
 TILE = ["__band", "__column"]
+CELL = 0.0625
 POINTS_PER_TASK = 4_000_000
 
 
@@ -37,63 +43,102 @@ def _tile(c: Column, cell: float) -> Column:
     return F.floor(c / F.lit(cell))
 
 
+def _odd(edge_list: Column, x: Column, y: Column, start: Column) -> Column:
+    """Parity of the bent path's crossings; ``up1``/``up2`` are the latitudes of
+    edge ends right of the tile, infinite for other ends."""
+    return F.aggregate(
+        edge_list,
+        start,
+        lambda odd, e: (odd != crosses(e, x, y)) != ((y >= e["up1"]) != (y >= e["up2"])),
+    )
+
+
 def area_index(
-    areas: DataFrame, keep: Sequence[str], *, geometry: str = "geometry", cell: float = 0.25
+    areas: DataFrame, keep: Sequence[str], *, geometry: str = "geometry", cell: float = CELL
 ) -> DataFrame:
-    """Index rows ``(*keep, __band, __column, __parity, __edges)``.
+    """Index rows ``(*keep, __band, __column, __odd, __edges)``.
 
     Rows of ``areas`` that agree in ``keep`` and in geometry are indexed once
-    and repeated at the end, so a join still returns one pair for each.
+    and repeated at the end, so a join still returns one pair for each. No list
+    is longer than the edges of one polygon in one tile, or those that cross
+    one horizontal line.
     """
     _check_cell(cell)
+    pad = cell * 1e-6  # far more than rounding, so that no touching edge is missed
     whole = (
         areas.groupBy(*keep, geometry)
         .agg(F.count(F.lit(1)).cast("int").alias("__copies"))
         .withColumn("__shape", geometry_digest(geometry))
     )
-    edge = whole.select(
-        *keep, "__copies", "__shape", F.explode(edges(geometry)).alias("__e")
-    )
-    low, high = F.least("__e.y1", "__e.y2"), F.greatest("__e.y1", "__e.y2")
-    # A list holds the edges of one polygon in one band, a slice of one stored value.
-    bands = (
-        edge.select("*", F.explode(F.sequence(_tile(low, cell), _tile(high, cell))).alias("__band"))
-        .groupBy(*keep, "__copies", "__shape", "__band")
-        .agg(
-            F.collect_list("__e").alias("__edges"),
-            F.min(F.least("__e.x1", "__e.x2")).alias("__left"),
-            F.max(F.greatest("__e.x1", "__e.x2")).alias("__right"),
-        )
+    ids = [*keep, "__copies", "__shape"]
+    edge = whole.select(*ids, F.explode(edges(geometry)).alias("e")).select(
+        *ids, F.col("e.x1"), F.col("e.y1"), F.col("e.x2"), F.col("e.y2")
     )
-    tiles = bands.withColumn(
-        "__column", F.explode(F.sequence(_tile(F.col("__left"), cell), _tile(F.col("__right"), cell)))
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    left, right = F.least(x1, x2), F.greatest(x1, x2)
+    low, high = F.least(y1, y2), F.greatest(y1, y2)
+    band, column = F.col("__band"), F.col("__column")
+    slices = edge.withColumn(
+        "__band", F.explode(F.sequence(_tile(low - pad, cell), _tile(high + pad, cell)))
     )
 
-    bottom, top = F.col("__band") * cell, (F.col("__band") + 1) * cell
-    left, right = F.col("__column") * cell, (F.col("__column") + 1) * cell
-
-    def beyond(e: Column) -> Column:
-        return F.least(e["x1"], e["x2"]) >= right
-
-    def spans(e: Column) -> Column:
-        return (F.least(e["y1"], e["y2"]) <= bottom) & (F.greatest(e["y1"], e["y2"]) >= top)
-
-    def deciding(e: Column) -> Column:
-        near = ~beyond(e) & (F.greatest(e["x1"], e["x2"]) >= left)
-        return near | (beyond(e) & ~spans(e))
+    def x_at(y: Column) -> Column:
+        return (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
+
+    # Columns between the points where the edge enters and leaves the band; the
+    # whole width of a level edge.
+    enter = x_at(F.greatest(low, band * cell - pad))
+    leave = x_at(F.least(high, (band + 1) * cell + pad))
+    start = F.greatest(left, F.coalesce(F.least(enter, leave), left))
+    stop = F.least(right, F.coalesce(F.greatest(enter, leave), right))
+    limit = (column + 1) * cell
+    never = F.lit(float("inf"))
+    touching = slices.withColumn(
+        "__column", F.explode(F.sequence(_tile(start - pad, cell), _tile(stop + pad, cell)))
+    ).select(
+        *ids,
+        *TILE,
+        F.struct(
+            x1.alias("x1"),
+            y1.alias("y1"),
+            x2.alias("x2"),
+            y2.alias("y2"),
+            F.when(x1 >= limit, y1).otherwise(never).alias("up1"),
+            F.when(x2 >= limit, y2).otherwise(never).alias("up2"),
+        ).alias("e"),
+        F.lit(False).alias("middle"),
+    )
 
-    always = F.size(F.filter("__edges", lambda e: beyond(e) & spans(e)))
-    tile = F.struct(
-        (always % 2).alias("__parity"), F.filter("__edges", deciding).alias("__edges")
+    # Tiles whose middle is inside: runs between every other crossing of the
+    # band's middle line, each crossing given as the last column left of it.
+    line = (band + 0.5) * cell
+    runs = (
+        slices.filter((y1 > line) != (y2 > line))
+        .select(*ids, "__band", (F.ceil(x_at(line) / cell - 0.5) - 1).alias("at"))
+        .groupBy(*ids, "__band")
+        .agg(F.sort_array(F.collect_list("at")).alias("ats"))
+        .withColumn("k", F.explode(F.sequence(F.lit(1), F.size("ats") - 1, F.lit(2))))
+        .select(
+            *ids, "__band", (F.get("ats", F.col("k") - 1) + 1).alias("a"), F.get("ats", "k").alias("b")
+        )
+        .filter("a <= b")
+        .select(*ids, "__band", F.explode(F.sequence("a", "b")).alias("__column"))
+    )
+    filled = runs.select(
+        *ids, *TILE, F.lit(None).cast(touching.schema["e"].dataType).alias("e"),
+        F.lit(True).alias("middle"),
     )
-    # Exploding a filtered one-element array drops empty tiles and evaluates the
-    # two filters once; a plain filter would be pushed down and repeat them.
-    used = F.filter(F.array(tile), lambda t: (t["__parity"] == 1) | (F.size(t["__edges"]) > 0))
-    return (
-        tiles.select(*keep, *TILE, "__copies", F.explode(used).alias("__t"))
-        .select(*keep, *TILE, "__t.*", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .drop("col")
+    tiles = touching.unionByName(filled).groupBy(*ids, *TILE).agg(
+        F.collect_list("e").alias("__edges"), F.max("middle").alias("middle")
     )
+    centre = ((column + 0.5) * cell, (band + 0.5) * cell)
+    return tiles.select(
+        *keep,
+        *TILE,
+        _odd(F.col("__edges"), *centre, F.col("middle")).alias("__odd"),
+        "__edges",
+        F.explode(F.sequence(F.lit(1), F.col("__copies"))),
+    ).drop("col")
 
 
 def points_in_areas(
@@ -104,7 +149,7 @@ def points_in_areas(
     lon: str = "LON",
     lat: str = "LAT",
     geometry: str = "geometry",
-    cell: float = 0.25,
+    cell: float = CELL,
     broadcast_bytes: int = BROADCAST_BYTES,
     points_per_task: int = POINTS_PER_TASK,
 ) -> DataFrame:
@@ -115,6 +160,9 @@ def points_in_areas(
     is sent to every executor and points are not shuffled. Above that both sides
     shuffle on the tile, and tiles with more than ``points_per_task`` points are
     split over several tasks.
+
+    ``cell`` (degrees, a power of two) trades index rows against edges per tile:
+    smaller suits outlines with many vertices, larger suits very wide polygons.
     """
     index, size = stage_measured(
         area_index(areas, keep, geometry=geometry, cell=cell), "area-index"
@@ -128,10 +176,10 @@ def points_in_areas(
     else:
         pairs = _join_split_tiles(placed, index, points_per_task)
 
-    edge_list = F.col("__edges")
-    tested = inside(edge_list, F.col(lon), F.col(lat), F.col("__parity"))
-    # Tiles without edges are kept in the index only if they lie inside.
-    return pairs.filter((F.size(edge_list) == 0) | tested).select(*points.columns, *keep)
+    x, y, near = F.col(lon), F.col(lat), F.col("__edges")
+    # A tile without edges is in the index only because it lies inside.
+    tested = _odd(near, x, y, F.col("__odd")) & ~F.exists(near, lambda e: touches(e, x, y))
+    return pairs.filter((F.size(near) == 0) | tested).select(*points.columns, *keep)
 
 
 def _join_split_tiles(placed: DataFrame, index: DataFrame, points_per_task: int) -> DataFrame:
