@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_, or_
 
@@ -144,11 +145,23 @@ def merge_table(
     insert = insert if insert == "*" else [*insert, MONTH_COLUMN]
     merged = upsert(target.filter(touched), source, keys, update=update, insert=insert)
     result = stage(merged.select(*target.columns), table)
-    (
-        result.repartition(part, F.spark_partition_id() % 64)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(name, overwrite=True)
-    )
+    # Rebalancing gathers a month's rows in files of the advisory size and splits
+    # a month that is too much for one task.
+    with _dynamic_overwrite(spark):
+        result.hint("rebalance", MONTH_COLUMN).write.insertInto(name, overwrite=True)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions written. ``insertInto`` takes this from the
+    session, not from writer options."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def merge_into(
