@@ -35,7 +35,10 @@ def worst_day_layer(
     asked = worst.select("postcode", "date").join(
         state_of(postcode_areas, states).select("postcode", "state_code").distinct(), "postcode"
     )
-    hail = hail_state.withColumn("__day", F.to_date("ZTIME"))
+    hail = hail_state.select(
+        "state_code", "ZTIME", "LON", "LAT", "MAXSIZE", "SEVPROB", "PROB",
+        F.to_date("ZTIME").alias("__day"),
+    )
     return hail.join(
         asked.withColumnRenamed("date", "__day"), ["state_code", "__day"]
     ).select(
