@@ -43,21 +43,28 @@ def polygon_vertices(df: DataFrame, ids: Sequence[str], geometry: str = "geometr
     )
 
 
+def with_shape_key(df: DataFrame, geometry: str) -> DataFrame:
+    """``df`` with its canonical shape and a hash of it, to join or group on both.
+
+    The hash goes first, so that most comparisons look at eight bytes.
+    """
+    # A generator in between keeps a later NULL check from repeating the work.
+    shaped = df.select("*", F.explode(F.array(canonical(geometry))).alias("__shape"))
+    return shaped.withColumn("__hash", F.xxhash64("__shape"))
+
+
+SHAPE_KEY = ["__hash", "__shape"]
+
+
 def match_equal_areas(
     left: DataFrame, right: DataFrame, *, left_geometry: str, right_geometry: str
 ) -> DataFrame:
     """Pairs of rows whose polygons cover the same set of points.
 
-    Joins on the canonical shape itself; a hash of it goes first so that the
-    join compares and sorts on eight bytes. Shapes cut differently into parts,
-    or with overlapping parts, are not recognised as equal. Column names of the
-    two sides must differ.
+    Shapes cut differently into parts, or with overlapping parts, are not
+    recognised as equal. Column names of the two sides must differ.
     """
-
-    def keyed(df: DataFrame, geometry: str) -> DataFrame:
-        # A generator in between keeps the join's NULL check from repeating the work.
-        shaped = df.select("*", F.explode(F.array(canonical(geometry))).alias("__shape"))
-        return shaped.withColumn("__hash", F.xxhash64("__shape"))
-
-    pairs = keyed(left, left_geometry).join(keyed(right, right_geometry), ["__hash", "__shape"])
-    return pairs.drop("__hash", "__shape")
+    pairs = with_shape_key(left, left_geometry).join(
+        with_shape_key(right, right_geometry), SHAPE_KEY
+    )
+    return pairs.drop(*SHAPE_KEY)

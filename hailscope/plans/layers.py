@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hailscope.functions.geometry import centroid, geometry_digest
 from hailscope.functions.measurements import measured
-from hailscope.operators.shapes import match_equal_areas
+from hailscope.operators.shapes import SHAPE_KEY, with_shape_key
 from hailscope.plans.risk import state_of
 
 
@@ -72,12 +72,17 @@ def county_names(
     if country is not None:
         counties = counties.filter(F.col("country") == country)
     named = counties.select(F.col("names.primary").alias("county_name"), "geometry")
-    keyed = postcode_areas.select("postcode", "country", geometry_digest("area").alias("area_key"), "area")
+    name_of = with_shape_key(named, "geometry").groupBy(*SHAPE_KEY).agg(
+        F.min("county_name").alias("county_name")
+    )
+    keyed = postcode_areas.select(
+        "postcode", "country", geometry_digest("area").alias("area_key"), "area"
+    )
     shapes = keyed.select("area_key", "area").dropDuplicates(["area_key"])
-    matched = match_equal_areas(
-        named, shapes, left_geometry="geometry", right_geometry="area"
-    ).groupBy("area_key").agg(F.min("county_name").alias("county_name"))
-    return keyed.select("postcode", "country", "area_key").join(matched, "area_key").drop("area_key")
+    matched = with_shape_key(shapes, "area").join(name_of, SHAPE_KEY)
+    return keyed.select("postcode", "country", "area_key").join(
+        matched.select("area_key", "county_name"), "area_key"
+    ).drop("area_key")
 
 
 def county_label(

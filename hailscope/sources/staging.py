@@ -11,15 +11,17 @@ _fallback: str | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """Shared folder named by ``spark.checkpoint.dir`` or set on the context.
 
-    Where the session names none (tests, a laptop) one local folder per
-    process is used instead.
+    A local session that names none (tests, a laptop) gets one local folder per
+    process. On a cluster that would lose data, so there it is an error.
     """
     global _fallback
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _fallback is None:
         _fallback = tempfile.mkdtemp(prefix="hailscope-")
     return _fallback

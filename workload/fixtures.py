@@ -225,8 +225,8 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, DECISIONS)
 
 
-def division_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counties and states, and a locality per customer."""
+def division_areas(spark: SparkSession, sf_dir: str, localities: bool = True) -> DataFrame:
+    """Counties and states, and a locality per customer unless left out."""
 
     def named(df: DataFrame, prefix: str, key: str, subtype: str, region, name) -> DataFrame:
         return df.select(
@@ -241,19 +241,20 @@ def division_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("area_id"), "n_name")
     county = counties(spark, sf_dir).join(nation, "area_id")
-    return (
-        named(county, "c", "area_id", "county", F.floor(F.col("area_id") / 5), F.col("n_name"))
-        .unionByName(
-            named(
-                states(spark, sf_dir), "s", "state_no", "region", F.col("state_no"),
-                F.concat(F.lit("State "), "state_no"),
-            )
+    areas = named(
+        county, "c", "area_id", "county", F.floor(F.col("area_id") / 5), F.col("n_name")
+    ).unionByName(
+        named(
+            states(spark, sf_dir), "s", "state_no", "region", F.col("state_no"),
+            F.concat(F.lit("State "), "state_no"),
         )
-        .unionByName(
-            named(
-                parcels(spark, sf_dir), "p", "parcel_id", "locality", F.col("parcel_id") % 5,
-                F.concat(F.lit("Parcel "), "parcel_id"),
-            )
+    )
+    if not localities:
+        return areas
+    return areas.unionByName(
+        named(
+            parcels(spark, sf_dir), "p", "parcel_id", "locality", F.col("parcel_id") % 5,
+            F.concat(F.lit("Parcel "), "parcel_id"),
         )
     )
 

@@ -39,14 +39,19 @@ def queries() -> dict[str, Query]:
 # steps run one after another over stored tables.
 
 
-def _states(spark, d):
+def _states(spark, d, localities=True):
     return areas.build_state_boundaries(
-        fx.divisions(spark, d), fx.division_areas(spark, d), fx.addresses(spark, d), "US"
+        fx.divisions(spark, d),
+        fx.division_areas(spark, d, localities),
+        fx.addresses(spark, d),
+        "US",
     )
 
 
-def _postcode_areas(spark, d):
-    return areas.build_postcode_areas(fx.addresses(spark, d), fx.division_areas(spark, d), "US")
+def _postcode_areas(spark, d, localities=True):
+    return areas.build_postcode_areas(
+        fx.addresses(spark, d), fx.division_areas(spark, d, localities), "US"
+    )
 
 
 class _Stored:
@@ -57,11 +62,11 @@ class _Stored:
 
     @cached_property
     def states(self) -> DataFrame:
-        return stage(_states(self.spark, self.d), "state_boundary")
+        return stage(_states(self.spark, self.d, False), "state_boundary")
 
     @cached_property
     def postcode_areas(self) -> DataFrame:
-        return stage(_postcode_areas(self.spark, self.d), "postcode_areas")
+        return stage(_postcode_areas(self.spark, self.d, False), "postcode_areas")
 
     @cached_property
     def hail_state(self) -> DataFrame:
