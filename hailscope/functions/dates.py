@@ -7,6 +7,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hailscope.schemas import MONTH_COLUMN
+
 
 def _month_start(d: date, back: int) -> date:
     months = d.year * 12 + d.month - 1 - back
@@ -48,6 +50,27 @@ def window_bounds(day: Column | str, lookback: int = 3) -> tuple[Column, Column]
     return F.add_months(end, -lookback), end
 
 
+def month_number(t: Column) -> Column:
+    """``yyyymm`` of a date or timestamp, as hail tables are partitioned."""
+    return (F.year(t) * 100 + F.month(t)).cast("int")
+
+
+def within_months(df: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """``df`` without the months before ``start`` and after ``end``, where it is
+    stored by month; other frames come back unchanged.
+
+    Goes beside a filter on the time itself: only the month prunes partitions.
+    """
+    if MONTH_COLUMN not in df.columns:
+        return df
+    month = F.col(MONTH_COLUMN)
+    if start is not None:
+        df = df.filter(month >= month_number(start))
+    if end is not None:
+        df = df.filter(month <= month_number(end))
+    return df
+
+
 def days_between(start: Column | str, end: Column | str) -> Column:
     """Array of ``yyyyMMdd`` strings from ``start`` to ``end``, both included."""
     start = F.col(start) if isinstance(start, str) else start

@@ -10,6 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hailscope.functions.dates import within_months
 from hailscope.functions.measurements import measured, missing_count
 from hailscope.operators.dedup import first_per_key
 from hailscope.schemas import HAIL_TYPES, MERGE_KEYS
@@ -27,7 +28,8 @@ def filter_window(df: DataFrame, start: Instant, end: Instant, column: str = "ZT
 
     The end is an instant: a midnight lets only 00:00:00 of that day pass.
     """
-    return df.filter(F.col(column).between(instant(start), instant(end)))
+    stored = within_months(df, instant(start), instant(end)) if column == "ZTIME" else df
+    return stored.filter(F.col(column).between(instant(start), instant(end)))
 
 
 def filter_day(df: DataFrame, day: str, column: str = "ZTIME") -> DataFrame:
@@ -38,7 +40,8 @@ def filter_day(df: DataFrame, day: str, column: str = "ZTIME") -> DataFrame:
 def filter_date(df: DataFrame, day: str, column: str = "ZTIME") -> DataFrame:
     """Rows of one ISO day, as a half-open range that scans can use."""
     start = F.lit(day).cast("date")
-    return df.filter(
+    stored = within_months(df, start, start) if column == "ZTIME" else df
+    return stored.filter(
         (F.col(column) >= start.cast("timestamp"))
         & (F.col(column) < F.date_add(start, 1).cast("timestamp"))
     )

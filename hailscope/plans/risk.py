@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hailscope.functions.dates import within_months
 from hailscope.functions.geometry import area_sqmi
 from hailscope.functions.measurements import (
     DAMAGING_SIZE,
@@ -38,7 +39,8 @@ RATIO_METRICS = {
 def recent(hail: DataFrame, as_of: str | date | None = None, days: int = WINDOW_DAYS) -> DataFrame:
     """Reports of the last ``days`` days before ``as_of`` (default today) and later."""
     day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    return hail.filter(F.col("ZTIME") >= F.date_sub(day, days).cast("timestamp"))
+    first = F.date_sub(day, days)
+    return within_months(hail, first).filter(F.col("ZTIME") >= first.cast("timestamp"))
 
 
 def _partials(hail: DataFrame, by: str) -> DataFrame:

@@ -86,12 +86,35 @@ def refresh_tables(
     as_of: str | date | None = None,
     now: Column | None = None,
     country: str = "US",
+    only_window: bool = False,
 ) -> DataFrame:
     """The same chain over catalog tables: each step merges into its table and
-    the next reads it *(action)*. Returns the rejected raw rows."""
+    the next reads it *(action)*. Returns the rejected raw rows.
+
+    By default all stored reports are placed again, as new areas may hold old
+    reports. ``only_window`` places those of the load window alone; that is
+    enough as long as the areas have not changed.
+    """
     ensure_tables(spark, db)
     rows, rejects = load.load_hail(csv, start, end)
     merge_table(spark, f"{db}.hail_raw", rows)
+    merge_areas(spark, db, divisions, division_areas, addresses, now=now, country=country)
+    merge_subsets(spark, db, window=(start, end) if only_window else None)
+    merge_comparison(spark, db, as_of, now)
+    return rejects
+
+
+def merge_areas(
+    spark: SparkSession,
+    db: str,
+    divisions: DataFrame,
+    division_areas: DataFrame,
+    addresses: DataFrame,
+    *,
+    now: Column | None = None,
+    country: str = "US",
+) -> None:
+    """Bring ``state_boundary`` and ``postcode_areas`` up to date *(action)*."""
     merge_table(
         spark,
         f"{db}.state_boundary",
@@ -102,18 +125,30 @@ def refresh_tables(
         f"{db}.postcode_areas",
         areas.build_postcode_areas(addresses, division_areas, country, now),
     )
+
+
+def merge_subsets(
+    spark: SparkSession, db: str, window: tuple[load.Instant, load.Instant] | None = None
+) -> None:
+    """Bring ``hail_state`` and ``hail_county`` up to date *(action)*."""
+
+    def reports(table: str) -> DataFrame:
+        hail = spark.table(f"{db}.{table}")
+        return hail if window is None else load.filter_window(hail, *window)
+
     states = spark.table(f"{db}.state_boundary")
+    merge_table(spark, f"{db}.hail_state", subset.subset_state(reports("hail_raw"), states))
     postcodes = spark.table(f"{db}.postcode_areas")
-    merge_table(
-        spark, f"{db}.hail_state", subset.subset_state(spark.table(f"{db}.hail_raw"), states)
-    )
-    hail_state = spark.table(f"{db}.hail_state")
-    merge_table(spark, f"{db}.hail_county", subset.subset_county(hail_state, postcodes))
-    merge_table(
-        spark,
-        f"{db}.risk_comparison",
-        risk.risk_comparison(
-            spark.table(f"{db}.hail_county"), hail_state, postcodes, states, as_of, now
-        ),
+    merge_table(spark, f"{db}.hail_county", subset.subset_county(reports("hail_state"), postcodes))
+
+
+def merge_comparison(
+    spark: SparkSession, db: str, as_of: str | date | None = None, now: Column | None = None
+) -> None:
+    """Bring ``risk_comparison`` up to date *(action)*."""
+    compared = risk.risk_comparison(
+        *[spark.table(f"{db}.{t}") for t in ("hail_county", "hail_state", "postcode_areas", "state_boundary")],
+        as_of,
+        now,
     )
-    return rejects
+    merge_table(spark, f"{db}.risk_comparison", compared)

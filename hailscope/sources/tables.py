@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hailscope.functions.dates import month_number
 from hailscope.schemas import MONTH_COLUMN, MONTH_PARTITIONED, TABLES
 
 
@@ -27,8 +28,7 @@ def stored_schema(table: str) -> T.StructType:
 
 def with_month(df: DataFrame) -> DataFrame:
     """``df`` with the month (``yyyymm``) its rows are stored under."""
-    month = F.year("ZTIME") * 100 + F.month("ZTIME")
-    return df.withColumn(MONTH_COLUMN, month.cast("int"))
+    return df.withColumn(MONTH_COLUMN, month_number(F.col("ZTIME")))
 
 
 def ensure_tables(spark: SparkSession, db: str, tables: Iterable[str] = tuple(TABLES)) -> None:
