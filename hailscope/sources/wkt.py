@@ -71,17 +71,16 @@ def _vertex(text: Column) -> Column:
 
 def parse_point(wkt: Column | str) -> Column:
     """The point of a POINT text, else NULL."""
-    inner = F.regexp_extract(_tight(wkt), r"(?i)^POINT\(([^()]*)\)$", 1)
-    return _vertex(F.nullif(inner, F.lit("")))
+    return _vertex(F.regexp_extract(_tight(wkt), r"(?i)^POINT\(([^()]*)\)$", 1))
 
 
 def _parts_text(tight: Column) -> Column:
     """The text between ``(((`` and ``)))`` of a multipolygon, a polygon being
-    one of one part; NULL for any other text."""
+    one of one part; empty or NULL for any other text."""
     head = F.upper(F.substring_index(tight, "(", 1))
     one = F.regexp_extract(tight, r"(?s)^[^(]*\(\((.*)\)\)$", 1)
     many = F.regexp_extract(tight, r"(?s)^[^(]*\(\(\((.*)\)\)\)$", 1)
-    return F.nullif(F.when(head == "POLYGON", one).when(head == "MULTIPOLYGON", many), F.lit(""))
+    return F.when(head == "POLYGON", one).when(head == "MULTIPOLYGON", many)
 
 
 def _sound(ring: Column) -> Column:
@@ -114,7 +113,9 @@ def ingest_wkt(df: DataFrame, id: str, wkt: str) -> tuple[DataFrame, DataFrame]:
     single = let(
         parse_point(wkt), lambda p: F.when(p.isNotNull(), F.array(F.array(F.array(p))))
     )
-    shaped = df.withColumn("__shape", F.coalesce(parse_polygon(wkt), single))
+    # A generator in between keeps the filters below from parsing again.
+    shape = F.coalesce(parse_polygon(wkt), single)
+    shaped = df.select("*", F.explode(F.array(shape)).alias("__shape"))
     rejects = shaped.filter("__shape IS NULL").select(*df.columns)
     return polygon_vertices(shaped, [id], "__shape"), rejects
 
