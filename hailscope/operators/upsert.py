@@ -34,6 +34,16 @@ def _spread_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("__spread", F.when(_any_null(keys), F.spark_partition_id()).otherwise(-1))
 
 
+def _counted(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
+    """One row per key with its count ``__n`` and the ``__spread`` of whole keys.
+
+    The -1 is derived from the count: a literal would be folded into a filter and
+    vanish from the join keys.
+    """
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *values)
+    return grouped.withColumn("__spread", F.least(F.col("__n"), F.lit(0)).cast("int") - 1)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -59,14 +69,8 @@ def upsert(
     update = [c for c in columns if c not in keys] if update == "*" else list(update)
     insert = columns if insert == "*" else list(insert)
 
-    changes = (
-        source.filter(~_any_null(keys))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            *[F.first(c).alias(f"__new_{c}") for c in update],
-        )
-        .withColumn("__spread", F.lit(-1))
+    changes = _counted(
+        source.filter(~_any_null(keys)), keys, *[F.first(c).alias(f"__new_{c}") for c in update]
     )
     merged = _spread_nulls(target, keys).join(changes, [*keys, "__spread"], "left")
     clash = F.raise_error(
@@ -88,11 +92,8 @@ def upsert(
         ]
     )
 
-    known = (
-        target.select(*keys)
-        .join(source.select(*keys), keys, "left_semi")
-        .distinct()
-        .withColumn("__spread", F.lit(-1))
+    known = _counted(
+        target.select(*keys).join(source.select(*keys), keys, "left_semi"), keys
     )
     fresh = (
         _spread_nulls(source, keys)

@@ -88,6 +88,33 @@ def test_small_source_does_not_move_the_target(spark, tmp_path):
     assert "SortMergeJoin" not in final and "NestedLoop" not in final
 
 
+def test_null_and_hot_keys_are_spread(spark):
+    third = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id"))
+    target = spark.range(0, 3000, 1, 8).select(third.cast("long").alias("k"), F.col("id").alias("v"))
+    source = target.filter("k IS NULL OR k <> 7").withColumn("v", F.col("v") + 1)
+    source = source.unionByName(spark.createDataFrame([(7, 0)], "k long, v long"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        execution = upsert(target, source, ["k"])._jdf.queryExecution()
+        assert execution.toRdd().count() == 4000
+        text = execution.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    joins = [line for line in text.splitlines() if "LeftOuter" in line or "LeftAnti" in line]
+    assert joins and all("__spread" in line for line in joins)
+    assert "skew=true" in text
+
+
 @pytest.fixture
 def db(spark):
     name = "merge_db"
