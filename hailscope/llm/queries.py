@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, line_dedup, packing
+from hailscope.llm import exact_dedup, line_dedup, packing, simhash, substring
 from hailscope.llm.common import table
 
 
@@ -14,6 +14,11 @@ def _sha256(text: str):
     return F.lower(F.sha2(F.col(text), 256)).alias("kept_sha256")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", _sha256("text"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", _sha256("text"))
@@ -25,8 +30,20 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_packing, op9_exact_dedup)}
+_ALL = (
+    op3_substring_dedup,
+    op4_line_dedup,
+    op5_packing,
+    op8_simhash_dedup,
+    op9_exact_dedup,
+)
+QUERIES = {f.__name__: f for f in _ALL}
