@@ -6,14 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, line_dedup, packing, simhash, substring
-from hailscope.llm.common import table
+from hailscope.llm import exact_dedup, line_dedup, packing, quality, simhash, substring
+from hailscope.llm.common import crc_mod, table
 
 
 def _sha256(text: str):
     return F.lower(F.sha2(F.col(text), 256)).alias("kept_sha256")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", _sha256("text"))
@@ -40,6 +51,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (
+    op2_quality_classifier,
     op3_substring_dedup,
     op4_line_dedup,
     op5_packing,
