@@ -20,9 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_text(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` only (NULL text: empty), so no other column can clash."""
-    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+#: Columns carried through an operator have this in front of their names meanwhile.
+CARRIED = "carried_"
+
+
+def id_text(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and ``text`` (NULL text: empty), and the columns ``keep`` under names that cannot clash."""
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    return docs.select("doc_id", text, *(F.col(f"`{c}`").alias(CARRIED + c) for c in keep))
+
+
+def kept_columns(keep: tuple[str, ...]) -> list[Column]:
+    return [F.col(f"`{CARRIED}{c}`").alias(c) for c in keep]
 
 
 def lower_ascii(text: Column) -> Column:
@@ -51,4 +60,4 @@ def attach(big: DataFrame, small: DataFrame, on: list[str], weight: str, total:
     return by_broadcast.unionByName(others.hint("merge").join(cold, on))
 
 
-__all__ = ["HOT_ROWS", "LOWER", "UPPER", "WHITE", "attach", "crc_mod", "id_text", "lower_ascii", "stage", "table"]
+__all__ = ["HOT_ROWS", "LOWER", "UPPER", "WHITE", "attach", "crc_mod", "id_text", "kept_columns", "lower_ascii", "stage", "table"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailscope.llm.common import WHITE, attach, id_text, lower_ascii, stage
+from hailscope.llm.common import WHITE, attach, id_text, kept_columns, lower_ascii, stage
 
 MIN_CHARS, MIN_DOCS = 40, 5
 ROW = ["doc_id", "text_mark"]
@@ -15,8 +15,10 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped``: each document without its shared lines.
+def line_dedup(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, text, n_lines, n_dropped`` and the columns ``keep``: each document without its shared lines.
 
     Lines are keyed by their text, stripped at both ends and lower-cased (ASCII).
     A key of at least ``min_chars`` code points in at least ``min_docs`` documents
@@ -28,10 +30,10 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
 
     Documents with the same id count as one for the threshold; each row is cut on
     its own. A NULL id is one id and smaller than all others. NULL text is one empty line,
-    repeated rows each come back, an empty table gives no rows, and other columns
-    of ``docs`` are not read.
+    repeated rows each come back, an empty table gives no rows, and columns not
+    named in ``keep`` are not read.
     """
-    texts = id_text(docs).withColumn("text_mark", F.xxhash64("text"))
+    texts = id_text(docs, keep).withColumn("text_mark", F.xxhash64("text"))
     key = lower_ascii(F.btrim(F.col("line"), F.lit(WHITE)))
     seen = stage(
         texts.select(*ROW, F.posexplode(_lines(F.col("text"))).alias("at", "line"))
@@ -69,5 +71,6 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
             kept.alias("text"),
             F.size(lines).cast("long").alias("n_lines"),
             F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+            *kept_columns(keep),
         )
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hailscope.llm.common import crc_mod, id_text
+from hailscope.llm.common import crc_mod, id_text, kept_columns
 from hailscope.llm.tokens import small_groups
 from hailscope.llm.words import Words
 
@@ -216,9 +216,7 @@ def score_documents(docs: DataFrame, model: LineModel, keep: tuple[str, ...] = (
             column = pa.array(np.concatenate([np.zeros(0), *scores]))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names)
 
-    more = [f for f in docs.schema.fields if f.name in keep]
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    plain = docs.select("doc_id", text, *(F.col(f.name) for f in more))
+    plain = id_text(docs, keep)
     names = [*plain.columns, "score"]
     schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).select("doc_id", "text", "score", *kept_columns(keep))

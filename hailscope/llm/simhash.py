@@ -43,16 +43,17 @@ def fingerprints_of(texts: list[str], size: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long), one row per document."""
+    """``doc_id, mark, fp`` (a hash of the text; the 64 bits as a signed long), one row per document."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             got = [fingerprints_of(texts[i:j], size) for i, j in small_groups(texts)]
             fp = np.concatenate([np.zeros(0, np.uint64), *got]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp)], ["doc_id", "mark", "fp"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    texts = id_text(docs).withColumn("mark", F.xxhash64("text"))
+    return texts.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 def _flips(reach: int) -> list[np.ndarray]:
@@ -129,7 +130,9 @@ def _links(reach: int, most: int):
 
 
 def simhash_components(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id``: fingerprint and class of every document.
+    """``doc_id, mark, fp, root, component_id``: fingerprint and class of every document.
+
+    ``mark`` is a hash of the text, ``root`` the class's smallest fingerprint.
 
     The anchors are the words of a Hamming code over 63 bits, the 64th bit being
     free; its covering radius is 1. For two fingerprints at most ``max_bits`` (2)
@@ -172,5 +175,22 @@ def simhash_components(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX
     rooted = rooted.select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
     named = attach(rooted, groups, ["root"], "members", classes.count())
-    named = stage(named.select("fp", "component_id", "n"), "classes")
-    return attach(prints, named, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
+    named = stage(named.select("fp", "root", "component_id", "n"), "classes")
+    return attach(prints, named, ["fp"], "n", prints.count()).select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, with all columns, that stay when each class keeps one document.
+
+    The smallest id stays (a NULL id last, then the smallest text hash). Of rows
+    that repeat both id and text one stays.
+    """
+    found = simhash_components(docs, size, max_bits)
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("best")
+    best = found.groupBy("root").agg(order).select("best.*").withColumnsRenamed({"doc_id": "best_id", "mark": "best_mark"})
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    marked = docs.select(*columns, F.col("doc_id").alias("own_id"), F.xxhash64(text).alias("own_mark"))
+    same = F.col("own_id").eqNullSafe(F.col("best_id")) & (F.col("own_mark") == F.col("best_mark"))
+    left = marked.join(best, same, "left_semi").dropDuplicates(["own_id", "own_mark"])
+    return left.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -9,8 +9,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hailscope.llm.common import attach, id_text, stage
+from hailscope.llm.common import CARRIED, attach, id_text, kept_columns, stage
 from hailscope.llm.fm_index import FMIndex
 from hailscope.llm.tokens import small_groups
 from hailscope.llm.words import Words, sliding_argmin
@@ -125,21 +126,24 @@ def _search(window: int):
     return run
 
 
-def _remove(batches):
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        kept, totals, gone = [], [], []
-        for i, text in enumerate(texts):
-            words = text.encode().split()
-            spans = batch.column(2)[i].as_py() or []
-            keep = np.ones(len(words), bool)
-            for s in spans:
-                keep[s["from"] : s["to"]] = False
-            kept.append(b" ".join(words if not spans else [words[k] for k in np.flatnonzero(keep)]).decode())
-            totals.append(len(words))
-            gone.append(len(words) - int(keep.sum()))
-        columns = [batch.column(0), pa.array(kept, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "n_removed"])
+def _remove(names: list[str]):
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            kept, totals, gone = [], [], []
+            for text, spans in zip(texts, batch.column("spans").to_pylist(), strict=True):
+                words = text.encode().split()
+                keep = np.ones(len(words), bool)
+                for s in spans or []:
+                    keep[s["from"] : s["to"]] = False
+                kept.append(b" ".join([words[k] for k in np.flatnonzero(keep)] if spans else words).decode())
+                totals.append(len(words))
+                gone.append(len(words) - int(keep.sum()))
+            new = [pa.array(kept, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())]
+            same = [batch.column(c) for c in names if c in batch.schema.names and c != "text"]
+            yield pa.RecordBatch.from_arrays([same[0], *new, *same[1:]], names)
+
+    return run
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -196,8 +200,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     )
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, text, n_words, n_removed``: texts without words that a repeated window covers.
+def substring_dedup(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, text, n_words, n_removed`` and the columns ``keep``: texts without words that a repeated window covers.
 
     Words are runs without ASCII white space, compared as they are. A window is
     ``window`` words of one document; it is repeated if the same words start at
@@ -218,21 +224,25 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     4. Intervals go back to all owners of a segment with :func:`attach`.
 
     NULL and empty texts have no words and come back empty; a repeated row repeats
-    all its windows; NULL ids are allowed; an empty table gives no rows; other
-    columns are not read.
+    all its windows; NULL ids are allowed; an empty table gives no rows; columns
+    not named in ``keep`` are not read.
     """
     if not 0 < gram <= window:
         raise ValueError("a gram is a part of a window")
-    texts = id_text(docs).withColumn("mark", F.xxhash64("text")).select(*ROW, "text")
+    texts = id_text(docs, keep).withColumn("mark", F.xxhash64("text"))
     gone = (
-        repeated_spans(texts, window, gram)
+        repeated_spans(texts.select(*ROW, "text"), window, gram)
         .groupBy(*ROW)
         .agg(F.collect_list(F.struct("from", "to")).alias("spans"))
         .withColumnsRenamed({"doc_id": "gone_id", "mark": "gone_mark"})
     )
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark"))
+    new = [T.StructField("text", T.StringType()), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed"))]
+    carried = [texts.schema[CARRIED + c] for c in keep]
+    schema = T.StructType([texts.schema["doc_id"], *new, *carried])
     return (
         texts.join(gone, same, "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(_remove, "doc_id long, text string, n_words long, n_removed long")
+        .select("doc_id", "text", "spans", *(f.name for f in carried))
+        .mapInArrow(_remove(schema.names), schema)
+        .select("doc_id", "text", "n_words", "n_removed", *kept_columns(keep))
     )
