@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, line_dedup, packing, quality, simhash, substring
+from hailscope.llm import exact_dedup, html, line_dedup, packing, quality, simhash, substring, topk
 from hailscope.llm.common import crc_mod, table
 
 
@@ -41,6 +41,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -55,6 +64,8 @@ _ALL = (
     op3_substring_dedup,
     op4_line_dedup,
     op5_packing,
+    op6_top_k,
+    op7_html_extraction,
     op8_simhash_dedup,
     op9_exact_dedup,
 )
