@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, html, line_dedup, packing, quality, simhash, substring, topk
+from hailscope.llm import exact_dedup, html, line_dedup, lm, packing, quality, simhash, substring, topk
 from hailscope.llm.common import crc_mod, table
 
 
@@ -14,6 +14,12 @@ def _sha256(text: str):
     return F.lower(F.sha2(F.col(text), 256)).alias("kept_sha256")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts = lm.count_words(docs)
+    return lm.score_documents(docs, counts, lm.train(counts))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +66,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (
+    op1_lm_scoring,
     op2_quality_classifier,
     op3_substring_dedup,
     op4_line_dedup,
