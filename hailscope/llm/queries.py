@@ -17,7 +17,7 @@ def _sha256(text: str):
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = lm.count_words(docs)
-    return lm.score_documents(docs, counts, lm.train(counts))
+    return lm.score_documents(docs, counts, lm.train(docs, counts))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
