@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, html, line_dedup, lm, packing, quality, simhash, substring, topk
+from hailscope.llm import exact_dedup, html, lattice, line_dedup, lm, packing, quality, simhash, substring, topk
 from hailscope.llm.common import crc_mod, table
 
 
@@ -65,6 +65,18 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text, and whether decoding them gives the text back."""
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    out = lattice.decode(lattice.encode(docs, path), path)
+    return out.select(
+        "doc_id",
+        (F.octet_length("ids") / 2).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 _ALL = (
     op1_lm_scoring,
     op2_quality_classifier,
@@ -75,5 +87,6 @@ _ALL = (
     op7_html_extraction,
     op8_simhash_dedup,
     op9_exact_dedup,
+    op10_sentencepiece,
 )
 QUERIES = {f.__name__: f for f in _ALL}
