@@ -25,6 +25,11 @@ from hailscope.plans.workflow import merge_areas, merge_comparison, merge_subset
 from hailscope.sources import tables
 from hailscope.sources.geojson import write_layers
 from hailscope.sources.hail_csv import read_hail_csv
+from hailscope.sources.staging import release
+
+
+# The file system option of a read without credentials.
+ANONYMOUS = {"fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider"}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -43,9 +48,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--lookback-months", type=int, default=3)
     p.add_argument("--granularity", choices=("month", "year"), default="month")
     p.add_argument("--rejects", help="folder for rows that cannot be read")
+    p.add_argument("--anonymous", action="store_true", help="read a public bucket without credentials")
     p = job("areas", "--addresses", "--divisions", "--division-areas")
     p.add_argument("--country", default="US")
-    job("subset")
+    p = job("subset")
+    p.add_argument("--end-date", help="place only the reports of this window, not all of them")
+    p.add_argument("--lookback-months", type=int, default=3)
     job("compare").add_argument("--as-of")
     p = job("premium", "--output")
     p.add_argument("--postcode", action="append")
@@ -61,6 +69,14 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"hailscope {args.job}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        _run(spark, args)
+    finally:
+        release(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     db = args.database
 
     def table(name: str):
@@ -74,7 +90,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "load":
         files = hail_files(args.files, args.end_date, args.lookback_months, args.granularity)
         window = hail_window(args.end_date, args.lookback_months)
-        rows, rejects = load.load_hail(read_hail_csv(spark, files), *window)
+        rows, rejects = load.load_hail(read_hail_csv(spark, files, ANONYMOUS if args.anonymous else None), *window)
         merge_table(spark, f"{db}.hail_raw", rows)
         if args.rejects:
             rejects.write.mode("overwrite").parquet(args.rejects)
@@ -83,7 +99,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         inputs = [tables.load_table(spark, n) for n in (args.divisions, args.division_areas, args.addresses)]
         merge_areas(spark, db, *inputs, country=args.country)
     elif args.job == "subset":
-        merge_subsets(spark, db)
+        window = hail_window(args.end_date, args.lookback_months) if args.end_date else None
+        merge_subsets(spark, db, window)
     elif args.job == "compare":
         merge_comparison(spark, db, args.as_of)
     elif args.job == "premium":

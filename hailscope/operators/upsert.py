@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
@@ -17,7 +19,7 @@ from hailscope.schemas import (
     MONTH_COLUMN,
     MONTH_PARTITIONED,
 )
-from hailscope.sources.staging import stage
+from hailscope.sources.staging import delete_folder, stage
 from hailscope.sources.tables import with_month
 
 
@@ -120,18 +122,23 @@ def merge_table(
     """Merge ``source`` into the Parquet table ``db.table`` *(action)*.
 
     Keys and columns default to the table's own. Monthly tables are read and
-    rewritten only in the months present in the source. The result is staged
-    first and then swapped in, so the table is never read while it is written;
-    one writer at a time is assumed.
+    rewritten only in the months present in the source. The source is staged, as the
+    merge reads it more than once. A plain table is written once to a new folder and
+    then pointed there, so it is whole at any time; touched months are staged and then
+    overwritten, and if that fails the error names the staged copy. One writer at a
+    time is assumed, and the session's time zone has to be UTC, in which months are cut.
     """
     table = name.split(".")[-1]
     keys = keys or MERGE_KEYS[table]
     update = MERGE_UPDATES.get(table, "*") if update is None else update
     insert = MERGE_INSERTS.get(table, "*") if insert is None else insert
+    if (zone := spark.conf.get("spark.sql.session.timeZone")) not in ("UTC", "Etc/UTC"):
+        raise RuntimeError(f"merge_table: the session's time zone is {zone}, not UTC")
     target = spark.table(name)
     if table not in MONTH_PARTITIONED:
-        result = stage(upsert(target, source, keys, update=update, insert=insert), table)
-        result.select(*target.columns).write.insertInto(name, overwrite=True)
+        source = stage(source, f"{table}-source")
+        merged = upsert(target, source, keys, update=update, insert=insert)
+        _replace(spark, name, merged.select(*target.columns))
         return
 
     source = stage(with_month(source), f"{table}-source")
@@ -149,7 +156,21 @@ def merge_table(
     # Rebalancing gathers a month's rows in files of the advisory size and splits
     # a month that is too much for one task.
     with _dynamic_overwrite(spark):
-        result.hint("rebalance", MONTH_COLUMN).write.insertInto(name, overwrite=True)
+        try:
+            result.hint("rebalance", MONTH_COLUMN).write.insertInto(name, overwrite=True)
+        except Exception as e:
+            raise RuntimeError(f"{name} may lack months; the merged rows are in {result.inputFiles()[:1]}") from e
+
+
+def _replace(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """Write ``rows`` beside the table, then point the table there and drop the old files."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    old = found.first()["data_type"]
+    new = f"{re.sub('-v[0-9a-f]{32}$', '', old.rstrip('/'))}-v{uuid.uuid4().hex}"
+    rows.write.parquet(new)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(name)
+    delete_folder(spark, old)
 
 
 @contextmanager
@@ -179,6 +200,9 @@ def merge_into(
     keys = keys or MERGE_KEYS[table]
     update = MERGE_UPDATES.get(table, "*") if update is None else update
     insert = MERGE_INSERTS.get(table, "*") if insert is None else insert
+    if table in MONTH_PARTITIONED:
+        source = with_month(source)
+        insert = insert if insert == "*" else [*insert, MONTH_COLUMN]
     on = reduce(and_, [F.col(f"{name}.{k}") == F.col(f"s.{k}") for k in keys])
     merge = source.alias("s").mergeInto(name, on)
     matched, unmatched = merge.whenMatched(), merge.whenNotMatched()

@@ -4,52 +4,79 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailscope.functions.geometry import centroid, geometry_digest
 from hailscope.functions.measurements import measured
+from hailscope.operators.dedup import first_per_key
 from hailscope.operators.shapes import SHAPE_KEY, with_shape_key
-from hailscope.plans.risk import state_of
+from hailscope.operators.spatial_join import points_in_areas
+from hailscope.plans.risk import one_per_state, state_of
+from hailscope.plans.subset import distinct_areas
 
 
-def worst_day(hail_county: DataFrame) -> DataFrame:
-    """Per postcode the day with the largest hail, then most reports, then first."""
-    days = hail_county.groupBy("postcode", F.to_date("ZTIME").alias("date")).agg(
+POSTCODE = ["postcode", "country"]
+
+
+def _days(hail: DataFrame, *by: str) -> DataFrame:
+    return hail.groupBy(*by, F.to_date("ZTIME").alias("date")).agg(
         F.count(F.lit(1)).alias("event_count"), F.max(measured("MAXSIZE")).alias("max_size")
     )
-    order = Window.partitionBy("postcode").orderBy(
-        F.desc_nulls_last("max_size"), F.desc("event_count"), F.asc("date")
-    )
-    return days.withColumn("rank", F.row_number().over(order)).filter("rank = 1").drop("rank")
+
+
+def _worst(days: DataFrame, *by: str) -> DataFrame:
+    order = [F.desc_nulls_last("max_size"), F.desc("event_count"), F.asc("date")]
+    return first_per_key(days, by, order)
+
+
+def worst_day(hail_county: DataFrame) -> DataFrame:
+    """Per postcode the day with the largest hail, then most reports, then first."""
+    return _worst(_days(hail_county, *POSTCODE), *POSTCODE)
+
+
+def worst_day_bulk(hail_state: DataFrame, postcode_areas: DataFrame, **join) -> DataFrame:
+    """The same days straight from the state reports.
+
+    Days are ranked per different polygon; its one worst day is then handed to the
+    postcodes that use it. No row per report and postcode arises.
+    """
+    polygons, users = distinct_areas(postcode_areas)
+    reports = hail_state.select("LON", "LAT", "ZTIME", "MAXSIZE")
+    inside = points_in_areas(reports, polygons, ["area_key"], geometry="area", **join)
+    worst = _worst(_days(inside, "area_key"), "area_key")
+    handed = users.join(worst, "area_key").drop("area_key")
+    return _worst(handed, *POSTCODE)
+
+
+def worst_day_states(worst: DataFrame, postcode_areas: DataFrame, states: DataFrame) -> DataFrame:
+    """``(postcode, country, state_code, date)``: which rows of the worst-day layer a postcode shows."""
+    held = state_of(postcode_areas, states).select(*POSTCODE, "state_code").distinct()
+    return worst.select(*POSTCODE, "date").join(held, POSTCODE).select(*POSTCODE, "state_code", "date")
 
 
 def worst_day_layer(
     hail_state: DataFrame, worst: DataFrame, postcode_areas: DataFrame, states: DataFrame
 ) -> DataFrame:
-    """All hail of a postcode's state on the postcode's worst day, times as text.
+    """All hail of every (state, day) that is some postcode's worst day there, times as text.
 
-    ``worst`` and the areas should be stored tables: their sizes then decide
-    whether they are broadcast to the reports or the reports are shuffled.
+    Each report is one row however many postcodes share its state and day;
+    :func:`worst_day_states` says which rows belong to a postcode.
     """
-    asked = worst.select("postcode", "date").join(
-        state_of(postcode_areas, states).select("postcode", "state_code").distinct(), "postcode"
-    )
+    asked = worst_day_states(worst, postcode_areas, states).select("state_code", "date").distinct()
     hail = hail_state.select(
         "state_code", "ZTIME", "LON", "LAT", "MAXSIZE", "SEVPROB", "PROB",
-        F.to_date("ZTIME").alias("__day"),
+        F.to_date("ZTIME").alias("date"),
     )
-    return hail.join(
-        asked.withColumnRenamed("date", "__day"), ["state_code", "__day"]
-    ).select(
-        "postcode",
+    return hail.join(asked, ["state_code", "date"], "left_semi").select(
+        "state_code",
         F.col("ZTIME").cast("string").alias("ZTIME"),
         "LON",
         "LAT",
         "MAXSIZE",
         "SEVPROB",
         "PROB",
-        F.col("__day").cast("string").alias("date"),
+        F.col("date").cast("string").alias("date"),
     )
 
 
@@ -126,10 +153,19 @@ def map_layers(
     postcode_areas: DataFrame,
     states: DataFrame,
 ) -> Mapping[str, DataFrame]:
-    """The layers of the worst-day map, ready for ``write_layers``."""
+    """The layers of the worst-day map, ready for ``write_layers``.
+
+    Counties and centres are those of the states of ``postcode_areas`` only.
+    """
+    states = one_per_state(states)
+    shown = state_of(postcode_areas, states).select("state_code").distinct()
+    counties = division_areas.join(
+        shown.withColumnRenamed("state_code", "region"), "region", "left_semi"
+    )
     return {
         "selected_county": selected_county_layer(postcode_areas),
         "hail": worst_day_layer(hail_state, worst, postcode_areas, states),
-        "counties": counties_layer(division_areas),
-        "map_center": map_center(states),
+        "worst_day_states": worst_day_states(worst, postcode_areas, states),
+        "counties": counties_layer(counties),
+        "map_center": map_center(states.join(shown, "state_code", "left_semi")),
     }

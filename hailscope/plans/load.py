@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hailscope.functions.dates import within_months
 from hailscope.functions.measurements import measured, missing_count
 from hailscope.operators.dedup import first_per_key
-from hailscope.schemas import HAIL_TYPES, MERGE_KEYS
+from hailscope.schemas import BROKEN_LINE, HAIL_TYPES, MEASUREMENTS, MERGE_KEYS
 
 Instant = str | datetime
 
@@ -48,22 +48,43 @@ def filter_date(df: DataFrame, day: str, column: str = "ZTIME") -> DataFrame:
 
 
 def parse_hail(csv: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed rows, and the raw rows with a value that does not parse."""
-    typed = {
-        c: F.try_to_timestamp(c, F.lit("yyyyMMddHHmmss"))
-        if c == "ZTIME"
-        else F.col(c).try_cast(dtype)
-        for c, dtype in HAIL_TYPES.items()
-    }
-    broken = reduce(or_, [F.col(c).isNotNull() & t.isNull() for c, t in typed.items()])
-    rows = csv.filter(~broken).select(*[t.alias(c) for c, t in typed.items()])
-    return rows, csv.filter(broken)
+    """Typed rows, and the raw rows that are broken.
+
+    A row is broken if a value does not parse, a key column is NULL, or its line
+    had another number of fields. Values are parsed once, behind a generator.
+    """
+    typed = F.struct(
+        *[
+            (
+                F.try_to_timestamp(c, F.lit("yyyyMMddHHmmss"))
+                if c == "ZTIME"
+                else F.col(c).try_cast(dtype)
+            ).alias(c)
+            for c, dtype in HAIL_TYPES.items()
+        ]
+    )
+    raw = csv.columns
+    parsed = csv.select("*", F.explode(F.array(typed)).alias("__typed"))
+    tests = [F.col(c).isNotNull() & F.col(f"__typed.{c}").isNull() for c in HAIL_TYPES]
+    tests += [F.col(c).isNull() for c in MERGE_KEYS["hail_raw"]]
+    if BROKEN_LINE in raw:
+        tests.append(F.col(BROKEN_LINE).isNotNull())
+    broken = reduce(or_, tests)
+    return parsed.filter(~broken).select("__typed.*"), parsed.filter(broken).select(*raw)
+
+
+def best_measured() -> list[Column]:
+    """Order of copies of one report: fewest missing measurements, then the larger ones."""
+    missing = reduce(add, [F.coalesce(measured(c).isNull().cast("int"), F.lit(1)) for c in MEASUREMENTS])
+    others = [F.col(c).asc_nulls_last() for c in HAIL_TYPES if c not in (*MEASUREMENTS, *MERGE_KEYS["hail_raw"])]
+    return [missing.asc(), *(measured(c).desc_nulls_last() for c in MEASUREMENTS), *others]
 
 
 def load_hail(csv: DataFrame, start: Instant, end: Instant) -> tuple[DataFrame, DataFrame]:
     """Typed reports of the window, one per key, and the rejected raw rows."""
     rows, rejects = parse_hail(csv)
-    return first_per_key(filter_window(rows, start, end), MERGE_KEYS["hail_raw"]), rejects
+    chosen = first_per_key(filter_window(rows, start, end), MERGE_KEYS["hail_raw"], best_measured())
+    return chosen, rejects
 
 
 def verify_hail(hail: DataFrame) -> DataFrame:

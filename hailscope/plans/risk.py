@@ -24,7 +24,7 @@ from hailscope.schemas import RISK_COMPARISON
 
 WINDOW_DAYS = 180
 
-METRICS = [c for c in RISK_COMPARISON.names if c not in ("area_type", "area_id", "updated_at")]
+METRICS = [c for c in RISK_COMPARISON.names if c not in ("area_type", "area_id", "country", "updated_at")]
 
 # Equal weights of the four ratios.
 WEIGHTS = {"frequency": 0.25, "size": 0.25, "severity": 0.25, "damaging": 0.25}
@@ -43,10 +43,10 @@ def recent(hail: DataFrame, as_of: str | date | None = None, days: int = WINDOW_
     return within_months(hail, first).filter(F.col("ZTIME") >= first.cast("timestamp"))
 
 
-def _partials(hail: DataFrame, by: str) -> DataFrame:
+def _partials(hail: DataFrame, *by: str) -> DataFrame:
     """Sums and counts that can be added up again."""
     size, severe, prob = measured("MAXSIZE"), measured("SEVPROB"), measured("PROB")
-    return hail.groupBy(by).agg(
+    return hail.groupBy(*by).agg(
         F.count(F.lit(1)).alias("events"),
         F.sum(size).alias("size_sum"),
         F.count(size).alias("size_n"),
@@ -60,20 +60,20 @@ def _partials(hail: DataFrame, by: str) -> DataFrame:
     )
 
 
-def _add_up(partials: DataFrame, by: str) -> DataFrame:
+def _add_up(partials: DataFrame, *by: str) -> DataFrame:
     parts = [c for c in partials.columns if c.endswith(("_sum", "_n"))]
-    return partials.groupBy(by).agg(
+    return partials.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in ("events", "damaging", "high_risk", *parts)],
         F.max("size_max").alias("size_max"),
     )
 
 
-def _figures(partials: DataFrame, by: str) -> DataFrame:
+def _figures(partials: DataFrame, *by: str) -> DataFrame:
     def mean(c: str) -> Column:
         return F.col(f"{c}_sum") / F.nullif(F.col(f"{c}_n"), F.lit(0))
 
     return partials.select(
-        by,
+        *by,
         F.col("events").alias("event_count"),
         mean("size").alias("avg_hail_size"),
         F.col("size_max").alias("max_hail_size"),
@@ -84,9 +84,14 @@ def _figures(partials: DataFrame, by: str) -> DataFrame:
     )
 
 
-def event_stats(hail: DataFrame, by: str) -> DataFrame:
+def event_stats(hail: DataFrame, *by: str) -> DataFrame:
     """Counts, means and maxima per ``by``, missing measurements left out."""
-    return _figures(_partials(hail, by), by)
+    return _figures(_partials(hail, *by), *by)
+
+
+def country_of(state_code: str) -> Column:
+    """A state's code begins with its country."""
+    return F.substring_index(state_code, "-", 1)
 
 
 def _risk_rows(stats: DataFrame, area_type: str, area_id: str, now: Column) -> DataFrame:
@@ -96,6 +101,7 @@ def _risk_rows(stats: DataFrame, area_type: str, area_id: str, now: Column) -> D
     values = {
         "area_type": F.lit(area_type),
         "area_id": F.col(area_id),
+        "country": F.col("country"),
         "event_count": zero("event_count"),
         "events_per_sqmi": density(zero("event_count"), "sqmi"),
         "avg_hail_size": F.round("avg_hail_size", 4),
@@ -120,11 +126,14 @@ def _compare(
     now: Column | None,
 ) -> DataFrame:
     now = F.current_timestamp() if now is None else now
-    state_sqmi = states.select("state_code", area_sqmi("geometry").alias("sqmi"))
-    in_state = postcode_areas.select("postcode", "state_code", area_sqmi("area").alias("sqmi"))
+    states = one_per_state(states)
+    state_sqmi = states.select(
+        "state_code", country_of("state_code").alias("country"), area_sqmi("geometry").alias("sqmi")
+    )
+    in_state = postcode_areas.select("postcode", "country", "state_code", area_sqmi("area").alias("sqmi"))
     # A postcode without a stored state has no rows; one without hail has a county row.
     counties = in_state.join(states.select("state_code"), "state_code").join(
-        county_stats, "postcode", "left"
+        county_stats, ["postcode", "country"], "left"
     )
     with_postcode = state_sqmi.join(postcode_areas.select("state_code"), "state_code", "left_semi")
     return _risk_rows(counties, "county", "postcode", now).unionByName(
@@ -142,7 +151,7 @@ def risk_comparison(
 ) -> DataFrame:
     """A county row per postcode and a state row per state, from stored subsets."""
     return _compare(
-        event_stats(recent(hail_county, as_of), "postcode"),
+        event_stats(recent(hail_county, as_of), "postcode", "country"),
         event_stats(recent(hail_state, as_of), "state_code"),
         postcode_areas,
         states,
@@ -166,9 +175,10 @@ def risk_comparison_bulk(
     polygons, users = distinct_areas(postcode_areas)
     window = recent(hail_state, as_of).select("LON", "LAT", "MAXSIZE", "SEVPROB", "PROB")
     inside = points_in_areas(window, polygons, ["area_key"], geometry="area", **join)
-    per_postcode = _add_up(users.join(_partials(inside, "area_key"), "area_key"), "postcode")
+    handed = users.join(_partials(inside, "area_key"), "area_key")
+    per_postcode = _add_up(handed, "postcode", "country")
     return _compare(
-        _figures(per_postcode, "postcode"),
+        _figures(per_postcode, "postcode", "country"),
         event_stats(recent(hail_state, as_of), "state_code"),
         postcode_areas,
         states,
@@ -176,6 +186,13 @@ def risk_comparison_bulk(
     )
 
 
+def one_per_state(states: DataFrame) -> DataFrame:
+    """One polygon per state code, that of the smallest id, where a new release gave a state another id."""
+    if "id" not in states.columns:
+        return states
+    return first_per_key(states, ["state_code"], [F.col("id").asc_nulls_last()])
+
+
 def state_of(postcode_areas: DataFrame, states: DataFrame) -> DataFrame:
     """``(postcode, country, state_code)``; the smallest stored state where a
     postcode has none of its own."""
@@ -196,26 +213,38 @@ def fetch_comparison(
     if postcodes is not None:
         wanted = wanted.filter(F.col("postcode").isin(postcodes))
     keys = state_of(wanted, states).distinct()
-    county = F.struct(F.lit("county").alias("area_type"), F.col("postcode").alias("area_id"))
-    state = F.struct(F.lit("state").alias("area_type"), F.col("state_code").alias("area_id"))
+    county = F.struct(
+        F.lit("county").alias("area_type"), F.col("postcode").alias("area_id"), F.col("country").alias("of")
+    )
+    state = F.struct(
+        F.lit("state").alias("area_type"), F.col("state_code").alias("area_id"), country_of("state_code").alias("of")
+    )
     lookups = keys.select("postcode", "country", F.inline(F.array(county, state)))
-    return lookups.join(risk, ["area_type", "area_id"]).select(
-        "postcode", "country", *risk.columns
+    rows = risk.withColumnRenamed("country", "of")
+    return lookups.join(rows, ["area_type", "area_id", "of"]).select(
+        "postcode", "country", *[c for c in risk.columns if c != "country"]
     )
 
 
 def _side_by_side(comparison: DataFrame) -> DataFrame:
-    """One row per postcode: ``county_<metric>`` and ``state_<metric>``."""
+    """One row per postcode and country: ``county_<metric>`` and ``state_<metric>``.
+
+    Two rows of one kind for a postcode fail the query: their figures cannot be told apart.
+    """
 
     def of(area_type: str, c: str) -> Column:
         return F.max(F.when(F.col("area_type") == area_type, F.col(c)))
 
-    return comparison.groupBy("postcode", "country").agg(
+    sides = comparison.groupBy("postcode", "country").agg(
         of("state", "area_id").alias("state_id"),
         F.count_if(F.col("area_type") == "county").alias("county_rows"),
         F.count_if(F.col("area_type") == "state").alias("state_rows"),
         *[of(t, c).alias(f"{t}_{c}") for t in ("county", "state") for c in METRICS],
     )
+    double = F.raise_error(
+        F.format_string("several rows of one kind for postcode %s in %s", "postcode", "country")
+    ).cast("boolean")
+    return sides.filter(((F.col("county_rows") <= 1) & (F.col("state_rows") <= 1)) | double)
 
 
 def premium_adjustment(
@@ -290,15 +319,15 @@ def apply_decisions(adjustments: DataFrame, decisions: DataFrame) -> DataFrame:
     """Adjustments with the reviewer's ``decision`` and ``reason``.
 
     No answer, or one that is no valid choice, counts as the default. Of several
-    answers for one postcode a rejection wins.
+    answers for one postcode of a country a rejection wins. Answers without a
+    ``country`` column hold for the postcode in every country.
     """
-    valid = decisions.filter(F.col("decision").isin(*DECISIONS)).select(
-        F.col("postcode").alias("county_id"), "decision", "reason"
-    )
+    by = ["county_id", *(["country"] if "country" in decisions.columns else [])]
+    valid = decisions.filter(F.col("decision").isin(*DECISIONS)).withColumnRenamed("postcode", "county_id")
     answers = first_per_key(
-        valid, ["county_id"], [F.desc("decision"), F.asc_nulls_last("reason")]
+        valid.select(*by, "decision", "reason"), by, [F.desc("decision"), F.asc_nulls_last("reason")]
     )
-    return adjustments.join(answers, "county_id", "left").select(
+    return adjustments.join(answers, by, "left").select(
         *adjustments.columns,
         F.coalesce("decision", F.lit(DEFAULT_DECISION)).alias("decision"),
         F.coalesce("reason", F.lit(DEFAULT_REASON)).alias("reason"),

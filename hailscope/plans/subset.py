@@ -16,20 +16,21 @@ def subset_state(hail: DataFrame, states: DataFrame, **join) -> DataFrame:
 
 
 def distinct_areas(postcode_areas: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The different polygons ``(area_key, area)``, and ``(postcode, area_key)``.
+    """The different polygons ``(area_key, area)``, and ``(postcode, country, area_key)``.
 
     Postcodes of one county share its polygon; points are tested against each
     polygon once however many postcodes use it.
     """
-    keyed = postcode_areas.select("postcode", geometry_digest("area").alias("area_key"), "area")
+    digest = geometry_digest("area").alias("area_key")
+    keyed = postcode_areas.select("postcode", "country", digest, "area")
     return (
         keyed.select("area_key", "area").dropDuplicates(["area_key"]),
-        keyed.select("postcode", "area_key"),
+        keyed.select("postcode", "country", "area_key"),
     )
 
 
 def subset_county(hail_state: DataFrame, postcode_areas: DataFrame, **join) -> DataFrame:
-    """State reports inside a postcode's area, with that ``postcode``.
+    """State reports inside a postcode's area, with that ``postcode`` and ``country``.
 
     One row per report and postcode. For figures only, see
     :func:`hailscope.plans.risk.risk_comparison_bulk`, which does not build these rows.
@@ -37,7 +38,7 @@ def subset_county(hail_state: DataFrame, postcode_areas: DataFrame, **join) -> D
     polygons, users = distinct_areas(postcode_areas)
     bare = hail_state.drop("postcode", "state_code")
     inside = points_in_areas(bare, polygons, ["area_key"], geometry="area", **join)
-    return inside.join(broadcast_within(users), "area_key").select(*bare.columns, "postcode")
+    return inside.join(broadcast_within(users), "area_key").select(*bare.columns, "postcode", "country")
 
 
 def hail_counts_by_state(hail_state: DataFrame) -> DataFrame:
@@ -45,11 +46,18 @@ def hail_counts_by_state(hail_state: DataFrame) -> DataFrame:
 
 
 def hail_count_by_postcode(hail_county: DataFrame, postcodes: DataFrame) -> DataFrame:
-    """Reports per postcode; 0 for a postcode without any."""
-    counts = hail_county.groupBy("postcode").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        postcodes.select("postcode")
-        .distinct()
-        .join(counts, "postcode", "left")
-        .select("postcode", F.coalesce("n", F.lit(0)).alias("hail_count"))
-    )
+    """Reports per postcode and country; 0 for a postcode without any."""
+    counts = hail_county.groupBy("postcode", "country").agg(F.count(F.lit(1)).alias("n"))
+    return _counted(postcodes.select("postcode", "country").distinct(), counts, ["postcode", "country"])
+
+
+def hail_count_bulk(hail_state: DataFrame, postcode_areas: DataFrame, **join) -> DataFrame:
+    """The same counts straight from the state reports, per polygon first."""
+    polygons, users = distinct_areas(postcode_areas)
+    inside = points_in_areas(hail_state.select("LON", "LAT"), polygons, ["area_key"], geometry="area", **join)
+    return _counted(users.distinct(), inside.groupBy("area_key").agg(F.count(F.lit(1)).alias("n")), ["area_key"])
+
+
+def _counted(known: DataFrame, counts: DataFrame, on: list[str]) -> DataFrame:
+    filled = F.coalesce("n", F.lit(0)).alias("hail_count")
+    return known.join(counts, on, "left").select("postcode", "country", filled)

@@ -47,7 +47,7 @@ def assess(
     )
     fetched = risk.fetch_comparison(compared, postcodes, states)
     premiums = risk.premium_adjustment(fetched)
-    worst = keep(layers.worst_day(hail_county), "worst_day")
+    worst = keep(layers.worst_day_bulk(hail_state, postcodes), "worst_day")
     results = {
         "hail_raw": rows,
         "rejects": rejects,
@@ -136,7 +136,7 @@ def merge_subsets(
         hail = spark.table(f"{db}.{table}")
         return hail if window is None else load.filter_window(hail, *window)
 
-    states = spark.table(f"{db}.state_boundary")
+    states = risk.one_per_state(spark.table(f"{db}.state_boundary"))
     merge_table(spark, f"{db}.hail_state", subset.subset_state(reports("hail_raw"), states))
     postcodes = spark.table(f"{db}.postcode_areas")
     merge_table(spark, f"{db}.hail_county", subset.subset_county(reports("hail_state"), postcodes))

@@ -21,6 +21,9 @@ HAIL_CSV_COLUMNS = (
 
 HAIL_CSV = T.StructType([T.StructField(c, T.StringType()) for c in HAIL_CSV_COLUMNS])
 
+# The whole line of a record with too many or too few fields.
+BROKEN_LINE = "broken_line"
+
 HAIL_TYPES = {
     "ZTIME": T.TimestampType(),
     "LON": T.DoubleType(),
@@ -42,7 +45,7 @@ def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
 _HAIL = tuple(HAIL_TYPES.items())
 
 HAIL_RAW = _table(*_HAIL, ("postcode", T.StringType()))
-HAIL_COUNTY = HAIL_RAW
+HAIL_COUNTY = _table(*_HAIL, ("postcode", T.StringType()), ("country", T.StringType()))
 HAIL_STATE = _table(*_HAIL, ("postcode", T.StringType()), ("state_code", T.StringType()))
 HAIL_EVENTS = _table(*_HAIL, ("timestamp", T.TimestampType()))
 
@@ -64,6 +67,7 @@ STATE_BOUNDARY = _table(
 RISK_COMPARISON = _table(
     ("area_type", T.StringType()),
     ("area_id", T.StringType()),
+    ("country", T.StringType()),
     ("event_count", T.LongType()),
     ("events_per_sqmi", T.DoubleType()),
     ("avg_hail_size", T.DoubleType()),
@@ -82,6 +86,7 @@ TABLES = {
     "hail_raw": HAIL_RAW,
     "hail_state": HAIL_STATE,
     "hail_county": HAIL_COUNTY,
+    "hail_events": HAIL_EVENTS,
     "postcode_areas": POSTCODE_AREAS,
     "state_boundary": STATE_BOUNDARY,
     "risk_comparison": RISK_COMPARISON,
@@ -95,12 +100,13 @@ MONTH_COLUMN = "event_month"
 # Merge keys and the columns a match updates ("*" = every column).
 MERGE_KEYS = {
     "hail_raw": ("ZTIME", "LON", "LAT", "WSR_ID", "CELL_ID"),
-    "hail_state": ("ZTIME", "LON", "LAT", "WSR_ID", "CELL_ID"),
-    "hail_county": ("ZTIME", "LON", "LAT", "postcode"),
+    # A report may lie in two overlapping areas, and two radars may report one place.
+    "hail_state": ("ZTIME", "LON", "LAT", "WSR_ID", "CELL_ID", "state_code"),
+    "hail_county": ("ZTIME", "LON", "LAT", "WSR_ID", "CELL_ID", "postcode", "country"),
     "hail_events": ("ZTIME", "WSR_ID", "CELL_ID"),
     "postcode_areas": ("postcode", "country"),
     "state_boundary": ("id",),
-    "risk_comparison": ("area_type", "area_id"),
+    "risk_comparison": ("area_type", "area_id", "country"),
 }
 MEASUREMENTS = ("SEVPROB", "PROB", "MAXSIZE")
 MERGE_UPDATES = {

@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: str | None = None
-
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir`` or set on the context.
-
-    A local session that names none (tests, a laptop) gets one local folder per
-    process. On a cluster that would lose data, so there it is an error.
-    """
-    global _fallback
+    """Shared folder named by ``spark.checkpoint.dir`` or set on the context; an error if neither."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _fallback is None:
-        _fallback = tempfile.mkdtemp(prefix="hailscope-")
-    return _fallback
+    return named.rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate results."""
+    return f"{checkpoint_root(spark)}/hailscope-stage/{spark.sparkContext.applicationId}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system Spark knows, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate results of this application; what reads them no longer runs."""
+    delete_folder(spark, run_folder(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -32,7 +37,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: later jobs, and retries after lost executors, start from
     the files. The files also give Catalyst true sizes for its join choices.
+    They stay until :func:`release`.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/hailscope-stage/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailscope.operators.shapes import assemble_polygons
+from hailscope.schemas import HAIL_CSV_COLUMNS
 
 AS_OF = "2024-07-15"
 START, END = "2024-01-05 00:00:00", "2024-01-21 00:00:00"
@@ -161,10 +162,10 @@ FROM drawn
 
 # Reviewers' answers, several for one postcode, some no valid choice.
 DECISIONS = """
-SELECT CAST(73000 + c_custkey % 50 AS VARCHAR(10)) AS postcode,
- CASE c_custkey % 7 WHEN 0 THEN 'Reject' WHEN 1 THEN 'Maybe' ELSE 'Confirm' END AS decision,
+SELECT CAST(73000 + c_custkey % 50 AS VARCHAR(10)) AS postcode, 'US' AS country,
+ CASE WHEN c_acctbal <= 0 THEN NULL WHEN c_custkey % 50 % 3 <> 0 THEN '' ELSE CASE c_custkey % 7 WHEN 0 THEN 'Reject' WHEN 1 THEN 'Maybe' ELSE 'Confirm' END END AS decision,
  concat('case ', CAST(c_custkey AS VARCHAR(20))) AS reason
-FROM {customer} WHERE c_custkey % 50 % 3 = 0 AND c_acctbal > 0
+FROM {customer}
 """
 
 
@@ -186,15 +187,30 @@ def hail(spark: SparkSession, sf_dir: str, rev: int = 0) -> DataFrame:
     return hail_revisions(spark, sf_dir).filter(F.col("rev") == rev).drop("rev")
 
 
-def hail_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All revisions as raw text fields, some of them broken."""
+def _raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = hail_revisions(spark, sf_dir)
     text = {c: F.col(c).cast("string") for c in h.columns if c not in ("rev", "event_id")}
     text["ZTIME"] = F.when(F.col("event_id") % 89 == 0, "20241350").otherwise(
         F.date_format("ZTIME", "yyyyMMddHHmmss")
     )
     text["MAXSIZE"] = F.when(F.col("event_id") % 97 == 0, "n/a").otherwise(text["MAXSIZE"])
-    return h.select(*[e.alias(c) for c, e in text.items()])
+    return h.select("event_id", *[e.alias(c) for c, e in text.items()])
+
+
+def hail_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All revisions as raw text fields, some of them broken."""
+    return _raw_fields(spark, sf_dir).drop("event_id")
+
+
+def hail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as lines of a file: some with an eleventh field, cut after six, without a time, or hidden."""
+    key = F.col("event_id")
+    time = F.when(key % 41 == 0, F.lit("")).otherwise(F.col("ZTIME"))
+    raw = _raw_fields(spark, sf_dir).withColumn("ZTIME", time)
+    line = F.concat_ws(",", *HAIL_CSV_COLUMNS)
+    line = F.when(key % 43 == 0, F.concat(line, F.lit(",7"))).otherwise(line)
+    line = F.when(key % 47 == 0, F.substring_index(line, ",", 6)).otherwise(line)
+    return raw.select(F.when(key % 53 == 0, F.concat(F.lit("# "), line)).otherwise(line).alias("value"))
 
 
 def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,8 +241,8 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, DECISIONS)
 
 
-def division_areas(spark: SparkSession, sf_dir: str, localities: bool = True) -> DataFrame:
-    """Counties and states, and a locality per customer unless left out."""
+def division_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counties and states, and a locality per customer."""
 
     def named(df: DataFrame, prefix: str, key: str, subtype: str, region, name) -> DataFrame:
         return df.select(
@@ -249,8 +265,6 @@ def division_areas(spark: SparkSession, sf_dir: str, localities: bool = True) ->
             F.concat(F.lit("State "), "state_no"),
         )
     )
-    if not localities:
-        return areas
     return areas.unionByName(
         named(
             parcels(spark, sf_dir), "p", "parcel_id", "locality", F.col("parcel_id") % 5,

@@ -105,7 +105,7 @@ def _stats(rows: str, by: str) -> str:
 
 def _risk(area_type: str, area_id: str) -> str:
     return (
-        f"'{area_type}' AS area_type, {area_id} AS area_id, coalesce(n.event_count, 0) AS event_count,"
+        f"'{area_type}' AS area_type, {area_id} AS area_id, 'US' AS country, coalesce(n.event_count, 0) AS event_count,"
         " round(coalesce(n.event_count, 0)/NULLIF(a.sqmi, 0), 4) AS events_per_sqmi,"
         " round(n.avg_hail_size, 4) AS avg_hail_size, n.max_hail_size,"
         " round(n.avg_severe_prob, 4) AS avg_severe_prob, round(n.avg_hail_prob, 4) AS avg_hail_prob,"
@@ -167,7 +167,7 @@ RELATIONS = {
         " JOIN states s USING (state_no)"
     ),
     "hail_county": (
-        "SELECT h.* EXCLUDE (state_code), p.postcode FROM hail_state h"
+        "SELECT h.* EXCLUDE (state_code), p.postcode, p.country FROM hail_state h"
         " JOIN in_county c USING (event_id) JOIN postcode_areas p USING (area_id)"
     ),
     "county_stats": _stats("hail_county", "postcode"),
@@ -180,7 +180,7 @@ RELATIONS = {
         " WHERE a.state_code IN (SELECT state_code FROM postcode_areas)"
     ),
     "comparison": (
-        "SELECT a.postcode, a.country, r.* FROM postcode_areas a JOIN risk r"
+        "SELECT a.postcode, a.country, r.* EXCLUDE (country) FROM postcode_areas a JOIN risk r"
         " ON (r.area_type = 'county' AND r.area_id = a.postcode)"
         " OR (r.area_type = 'state' AND r.area_id ="
         " coalesce(a.state_code, (SELECT min(state_code) FROM states)))"
@@ -222,16 +222,30 @@ RELATIONS = {
         ' LAT, WSR_ID, CELL_ID, "RANGE", AZIMUTH, SEVPROB, PROB, MAXSIZE'
         " FROM hail_revisions WHERE rev = 1"
     ),
+    "first_events": (
+        "SELECT * EXCLUDE (n) FROM (SELECT *, ZTIME AS timestamp, row_number() OVER"
+        " (PARTITION BY ZTIME, WSR_ID, CELL_ID ORDER BY event_id) AS n FROM hail) WHERE n = 1"
+    ),
+    "hail_lines": (
+        "SELECT *, event_id % 53 = 0 AS hidden, event_id % 53 <> 0 AND event_id % 41 <> 0"
+        " AND event_id % 43 <> 0 AND event_id % 47 <> 0 AS fine,"
+        " CASE WHEN event_id % 47 = 0 THEN six WHEN event_id % 43 = 0 THEN ten || ',7' ELSE ten END AS line FROM ("
+        "SELECT *, six || ',' || AZIMUTH || ',' || SEVPROB || ',' || PROB || ',' ||"
+        " CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(MAXSIZE AS VARCHAR) END AS ten FROM ("
+        "SELECT *, CASE WHEN event_id % 41 = 0 THEN '' WHEN event_id % 89 = 0 THEN '20241350'"
+        " ELSE strftime(ZTIME, '%Y%m%d%H%M%S') END || ',' || LON || ',' || LAT || ',' || WSR_ID || ',' ||"
+        " CELL_ID || ',' || \"RANGE\" AS six FROM hail_revisions))"
+    ),
     "county_wkt": _wkt("county_vertices", "area_id"),
     "stations_before": (
-        "SELECT 'station' AS area_type, WSR_ID AS area_id, count(*) AS event_count,"
+        "SELECT 'station' AS area_type, WSR_ID AS area_id, 'US' AS country, count(*) AS event_count,"
         " max(NULLIF(MAXSIZE, -999)) AS max_hail_size FROM hail"
-        " WHERE ZTIME < TIMESTAMP '2024-01-10 00:00:00' AND event_id % 40 < 30 GROUP BY WSR_ID"
+        " WHERE ZTIME < TIMESTAMP '2024-01-10 00:00:00' GROUP BY WSR_ID"
     ),
     "stations_after": (
-        "SELECT 'station' AS area_type, WSR_ID AS area_id, count(*) AS event_count,"
-        " max(NULLIF(MAXSIZE, -999)) AS max_hail_size FROM hail"
-        " WHERE ZTIME >= TIMESTAMP '2024-01-10 00:00:00' AND WSR_ID > 'K010' GROUP BY WSR_ID"
+        "SELECT 'station' AS area_type, CASE WHEN WSR_ID > 'K010' THEN WSR_ID ELSE 'N' || WSR_ID END AS area_id,"
+        " 'US' AS country, count(*) AS event_count, max(NULLIF(MAXSIZE, -999)) AS max_hail_size FROM hail"
+        " WHERE ZTIME >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY WSR_ID"
     ),
 }
 
@@ -239,6 +253,10 @@ _FIRST = (
     "SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY ZTIME, LON, LAT, WSR_ID, CELL_ID"
     " ORDER BY {order}) AS rn FROM {source}) WHERE rn = 1"
 )
+_BEST = (
+    "(SEVPROB = -999)::INT + (PROB = -999)::INT + (MAXSIZE = -999)::INT, SEVPROB DESC, PROB DESC, MAXSIZE DESC,"
+    ' "RANGE", AZIMUTH'
+)
 _LOADED = "event_id % 89 <> 0 AND event_id % 97 <> 0"
 
 _METRIC_ROWS = " UNION ALL ".join(
@@ -253,10 +271,16 @@ _VERIFY_COLUMNS = [
     "missing_sevprob", "missing_prob", "missing_maxsize", "avg_hail_size", "max_hail_size",
 ]
 
+# Every third report comes anew as another cell; of the others the figures change.
+_RELEASED = (
+    "SELECT * REPLACE (100 AS PROB, CASE WHEN event_id % 3 = 0 THEN 'new' ELSE CELL_ID END AS CELL_ID) FROM {rows}"
+    " UNION ALL SELECT * FROM {rows} WHERE event_id % 3 = 0"
+)
+
 FINAL = {
     "load_hail": _FIRST.format(
         columns=_HAIL_COLUMNS,
-        order='"RANGE", AZIMUTH, SEVPROB, PROB, MAXSIZE',
+        order=_BEST,
         source=f"(SELECT * FROM hail_revisions WHERE {_LOADED}"
         f" AND ZTIME BETWEEN TIMESTAMP '{fx.START}' AND TIMESTAMP '{fx.END}')",
     ),
@@ -269,6 +293,13 @@ FINAL = {
         " CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(MAXSIZE AS VARCHAR) END AS MAXSIZE"
         f" FROM hail_revisions WHERE NOT ({_LOADED})"
     ),
+    "load_hail_csv": _FIRST.format(
+        columns=_HAIL_COLUMNS,
+        order=_BEST,
+        source=f"(SELECT * FROM hail_lines WHERE fine AND {_LOADED}"
+        f" AND ZTIME BETWEEN TIMESTAMP '{fx.START}' AND TIMESTAMP '{fx.END}')",
+    ),
+    "load_hail_csv_rejects": f"SELECT line FROM hail_lines WHERE NOT hidden AND NOT (fine AND {_LOADED})",
     "dedup_latest": _FIRST.format(
         columns="rev, event_id, " + _HAIL_COLUMNS, order="rev DESC", source="hail_revisions"
     ),
@@ -369,8 +400,8 @@ FINAL = {
         "SELECT state_code, count(*) AS state_hail_count FROM hail_state GROUP BY 1"
     ),
     "hail_count_by_postcode": (
-        "SELECT p.postcode, count(h.event_id) AS hail_count FROM postcode_areas p"
-        " LEFT JOIN hail_county h USING (postcode) GROUP BY 1"
+        "SELECT p.postcode, p.country, count(h.event_id) AS hail_count FROM postcode_areas p"
+        " LEFT JOIN hail_county h USING (postcode) GROUP BY 1, 2"
     ),
     "risk_comparison": "SELECT * FROM risk",
     "risk_comparison_bulk": "SELECT * FROM risk",
@@ -391,12 +422,27 @@ FINAL = {
         " (PARTITION BY postcode ORDER BY decision DESC, reason) AS rn FROM decisions"
         " WHERE decision IN ('Confirm', 'Reject')) WHERE rn = 1) d ON d.postcode = p.county_id"
     ),
-    "worst_day": "SELECT postcode, date, event_count, max_size FROM worst",
+    "worst_day": "SELECT postcode, 'US' AS country, date, event_count, max_size FROM worst",
+    "worst_day_states": "SELECT postcode, country, state_code, date FROM worst JOIN postcode_areas USING (postcode)",
     "worst_day_layer": (
-        "SELECT w.postcode, strftime(h.ZTIME, '%Y-%m-%d %H:%M:%S') AS ZTIME, h.LON, h.LAT, h.MAXSIZE,"
-        " h.SEVPROB, h.PROB, strftime(w.date, '%Y-%m-%d') AS date FROM worst w"
-        " JOIN postcode_areas p USING (postcode) JOIN hail_state h"
-        " ON h.state_code = p.state_code AND CAST(h.ZTIME AS DATE) = w.date"
+        "SELECT h.state_code, strftime(h.ZTIME, '%Y-%m-%d %H:%M:%S') AS ZTIME, h.LON, h.LAT, h.MAXSIZE,"
+        " h.SEVPROB, h.PROB, strftime(h.ZTIME, '%Y-%m-%d') AS date FROM hail_state h"
+        " WHERE (h.state_code, CAST(h.ZTIME AS DATE)) IN"
+        " (SELECT (p.state_code, w.date) FROM worst w JOIN postcode_areas p USING (postcode))"
+    ),
+    "map_features": (
+        "SELECT 'selected_county' AS layer, postcode AS name FROM postcode_areas WHERE postcode < '73010'"
+        " UNION ALL SELECT 'map_center', state_code FROM states WHERE state_code IN ('US-S0', 'US-S1')"
+        " UNION ALL SELECT 'counties', n_name FROM nation WHERE n_nationkey < 10"
+    ),
+    "upsert_state_boundary": "SELECT id, upper(state_name) AS state_name, state_code FROM states",
+    "upsert_postcode_areas": "SELECT postcode, country, state_code || 'x' AS state_code FROM postcode_areas",
+    "upsert_hail_state": _RELEASED.format(rows="hail_state"),
+    "upsert_hail_county": _RELEASED.format(rows="hail_county"),
+    "upsert_hail_events": (
+        "SELECT * REPLACE (100 AS PROB, LON + 1 AS LON,"
+        " CASE WHEN event_id % 3 = 0 THEN 'new' ELSE CELL_ID END AS CELL_ID) FROM first_events"
+        " UNION ALL SELECT * FROM first_events WHERE event_id % 3 = 0"
     ),
     "counties_layer": (
         "SELECT n_name AS county_name, wkt AS geometry FROM county_wkt"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ from hailscope.operators.shapes import match_equal_areas
 from hailscope.operators.spatial_join import points_in_areas
 from hailscope.operators.upsert import upsert
 from hailscope.plans import areas, layers, load, risk, subset
-from hailscope.schemas import HAIL_CSV_COLUMNS, MEASUREMENTS, MERGE_KEYS
+from hailscope.schemas import BROKEN_LINE, HAIL_CSV_COLUMNS, MEASUREMENTS, MERGE_KEYS
 from hailscope.sources import geojson, wkt
-from hailscope.sources.staging import stage
+from hailscope.sources.hail_csv import read_hail_csv
+from hailscope.sources.staging import run_folder, stage
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,19 +41,14 @@ def queries() -> dict[str, Query]:
 # steps run one after another over stored tables.
 
 
-def _states(spark, d, localities=True):
-    return areas.build_state_boundaries(
-        fx.divisions(spark, d),
-        fx.division_areas(spark, d, localities),
-        fx.addresses(spark, d),
-        "US",
-    )
+def _states(spark, d, division_areas=None):
+    shapes = fx.division_areas(spark, d) if division_areas is None else division_areas
+    return areas.build_state_boundaries(fx.divisions(spark, d), shapes, fx.addresses(spark, d), "US")
 
 
-def _postcode_areas(spark, d, localities=True):
-    return areas.build_postcode_areas(
-        fx.addresses(spark, d), fx.division_areas(spark, d, localities), "US"
-    )
+def _postcode_areas(spark, d, division_areas=None):
+    shapes = fx.division_areas(spark, d) if division_areas is None else division_areas
+    return areas.build_postcode_areas(fx.addresses(spark, d), shapes, "US")
 
 
 class _Stored:
@@ -60,13 +57,17 @@ class _Stored:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
 
+    @cached_property
+    def division_areas(self) -> DataFrame:
+        return stage(fx.division_areas(self.spark, self.d), "division_areas")
+
     @cached_property
     def states(self) -> DataFrame:
-        return stage(_states(self.spark, self.d, False), "state_boundary")
+        return stage(_states(self.spark, self.d, self.division_areas), "state_boundary")
 
     @cached_property
     def postcode_areas(self) -> DataFrame:
-        return stage(_postcode_areas(self.spark, self.d, False), "postcode_areas")
+        return stage(_postcode_areas(self.spark, self.d, self.division_areas), "postcode_areas")
 
     @cached_property
     def hail_state(self) -> DataFrame:
@@ -105,6 +106,26 @@ def load_hail_rejects(spark, d):
     return load.load_hail(fx.hail_csv(spark, d), fx.START, fx.END)[1]
 
 
+def _read_back(spark, d):
+    """The lines written to files and read as CSV."""
+    lines = stage(fx.hail_lines(spark, d), "hail-lines")
+    path = f"{run_folder(spark)}/hail-csv-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return read_hail_csv(spark, path)
+
+
+@query
+def load_hail_csv(spark, d):
+    return load.load_hail(_read_back(spark, d), fx.START, fx.END)[0]
+
+
+@query
+def load_hail_csv_rejects(spark, d):
+    rejects = load.load_hail(_read_back(spark, d), fx.START, fx.END)[1]
+    whole = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in HAIL_CSV_COLUMNS])
+    return rejects.select(F.coalesce(BROKEN_LINE, whole).alias("line"))
+
+
 @query
 def dedup_latest(spark, d):
     return first_per_key(fx.hail_revisions(spark, d), MERGE_KEYS["hail_raw"], [F.desc("rev")])
@@ -200,14 +221,64 @@ def upsert_all_columns(spark, d):
         return rows.groupBy(F.col("WSR_ID").alias("area_id")).agg(
             F.count(F.lit(1)).alias("event_count"),
             F.max(F.nullif("MAXSIZE", F.lit(-999))).alias("max_hail_size"),
-        ).select(F.lit("station").alias("area_type"), "area_id", "event_count", "max_hail_size")
+        ).select(
+            F.lit("station").alias("area_type"), "area_id", F.lit("US").alias("country"), "event_count", "max_hail_size"
+        )
 
     split = F.lit("2024-01-10 00:00:00").cast("timestamp")
-    before = stations(h.filter((F.col("ZTIME") < split) & (F.col("event_id") % 40 < 30)))
-    after = stations(h.filter((F.col("ZTIME") >= split) & (F.col("WSR_ID") > "K010")))
+    moved = F.when(F.col("WSR_ID") > "K010", F.col("WSR_ID")).otherwise(F.concat(F.lit("N"), "WSR_ID"))
+    before = stations(h.filter(F.col("ZTIME") < split))
+    after = stations(h.filter(F.col("ZTIME") >= split).withColumn("WSR_ID", moved))
     return upsert(before, after, MERGE_KEYS["risk_comparison"])
 
 
+@query
+def upsert_state_boundary(spark, d):
+    """States under new names, one of them not stored yet."""
+    built = _states(spark, d).select("id", "state_name", "state_code")
+    return upsert(
+        built.filter("id <> 's1'"),
+        built.withColumn("state_name", F.upper("state_name")),
+        MERGE_KEYS["state_boundary"],
+    )
+
+
+@query
+def upsert_postcode_areas(spark, d):
+    """Postcodes with another state code, every fifth not stored yet."""
+    built = _postcode_areas(spark, d).select("postcode", "country", "state_code")
+    return upsert(
+        built.filter("int(postcode) % 5 <> 0"),
+        built.withColumn("state_code", F.concat("state_code", F.lit("x"))),
+        MERGE_KEYS["postcode_areas"],
+    )
+
+
+def _more_severe(rows):
+    return rows.withColumn("PROB", F.lit(100)).withColumn("CELL_ID", F.when(F.col("event_id") % 3 == 0, F.lit("new")).otherwise(F.col("CELL_ID")))
+
+
+@query
+def upsert_hail_state(spark, d):
+    """A second release of every report; every third as a cell of its own."""
+    rows = _Stored(spark, d).hail_state
+    return upsert(rows, _more_severe(rows), MERGE_KEYS["hail_state"], update=MEASUREMENTS)
+
+
+@query
+def upsert_hail_county(spark, d):
+    rows = stage(_Stored(spark, d).hail_county, "hail_county")
+    return upsert(rows, _more_severe(rows), MERGE_KEYS["hail_county"], update=MEASUREMENTS)
+
+
+@query
+def upsert_hail_events(spark, d):
+    """Keyed by time, radar and cell: the place changes with a match."""
+    key = MERGE_KEYS["hail_events"]
+    rows = first_per_key(fx.hail(spark, d).withColumn("timestamp", F.col("ZTIME")), key, ["event_id"])
+    return upsert(rows, _more_severe(rows).withColumn("LON", F.col("LON") + 1), key)
+
+
 # -- geometry ------------------------------------------------------------------
 
 
@@ -357,9 +428,7 @@ def hail_counts_by_state(spark, d):
 @query
 def hail_count_by_postcode(spark, d):
     stored = _Stored(spark, d)
-    unstored = subset.subset_state(fx.hail(spark, d), stored.states)
-    hail_county = subset.subset_county(unstored, stored.postcode_areas)
-    return subset.hail_count_by_postcode(hail_county, stored.postcode_areas)
+    return subset.hail_count_bulk(stored.hail_state, stored.postcode_areas)
 
 
 # -- risk ------------------------------------------------------------------------
@@ -414,13 +483,20 @@ def apply_decisions(spark, d):
 
 @query
 def worst_day(spark, d):
-    return layers.worst_day(subset_county(spark, d))
+    stored = _Stored(spark, d)
+    return layers.worst_day_bulk(stored.hail_state, stored.postcode_areas)
+
+
+@query
+def worst_day_states(spark, d):
+    stored = _Stored(spark, d)
+    return layers.worst_day_states(worst_day(spark, d), stored.postcode_areas, stored.states)
 
 
 @query
 def worst_day_layer(spark, d):
     stored = _Stored(spark, d)
-    worst = stage(layers.worst_day(stored.hail_county), "worst_day")
+    worst = stage(layers.worst_day_bulk(stored.hail_state, stored.postcode_areas), "worst_day")
     return layers.worst_day_layer(
         stored.hail_state, worst, stored.postcode_areas, stored.states
     )
@@ -452,6 +528,20 @@ def map_center(spark, d):
     )
 
 
+@query
+def map_features(spark, d):
+    """The map of the first ten postcodes, which lie in two states: all its layers as features."""
+    stored = _Stored(spark, d)
+    shown = stored.postcode_areas.filter(F.col("postcode") < "73010")
+    worst = stage(layers.worst_day_bulk(stored.hail_state, shown), "worst_day")
+    got = layers.map_layers(stored.hail_state, worst, stored.division_areas, shown, stored.states)
+    names = {"counties": F.col("county_name"), "map_center": F.col("state_code"), "selected_county": F.col("postcode")}
+    return reduce(
+        DataFrame.unionByName,
+        [got[n].select(F.lit(n).alias("layer"), c.alias("name")) for n, c in names.items()],
+    )
+
+
 @query
 def layer_features(spark, d):
     rows = fx.hail(spark, d).select(
