@@ -121,6 +121,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             table("state_boundary"),
         )
         write_layers(shown, args.output)
+        days = layers.worst_day_states(worst, chosen(table("postcode_areas")), table("state_boundary"))
+        days.write.mode("overwrite").parquet(args.output.rstrip("/") + "-days")
     else:
         tables.cleanup(spark, db, empty=args.empty, empty_raw=args.empty_raw, drop=args.drop)
 

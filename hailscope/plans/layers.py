@@ -165,7 +165,6 @@ def map_layers(
     return {
         "selected_county": selected_county_layer(postcode_areas),
         "hail": worst_day_layer(hail_state, worst, postcode_areas, states),
-        "worst_day_states": worst_day_states(worst, postcode_areas, states),
         "counties": counties_layer(counties),
         "map_center": map_center(states.join(shown, "state_code", "left_semi")),
     }

@@ -60,6 +60,7 @@ def assess(
         "premium_adjustment": premiums,
         "missing": risk.missing_rows(fetched, postcodes),
         "worst_day": worst,
+        "worst_day_states": layers.worst_day_states(worst, postcodes, states),
         "county_label": layers.county_label(division_areas, postcodes, country),
         **{
             f"layer_{name}": df

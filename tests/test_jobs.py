@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from test_risk import open_data
 
 from hailscope.__main__ import main
 from hailscope.plans import load, risk
+from hailscope.sources.staging import run_folder
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +44,14 @@ def test_jobs(run, spark):
     assert layers == {"selected_county", "hail", "counties", "map_center"}
     assert spark.read.parquet(str(home / "rejects")).count() == 1
     assert spark.table("jobs_db.hail_raw").count() == 2
+    assert {r.state_code for r in spark.read.parquet(str(home / "layers-days")).collect()} == {"US-A"}
+
+
+def test_a_window_of_subsets_and_no_folder_left(run, spark):
+    before = spark.table("jobs_db.hail_state").count()
+    run("subset", "--end-date", "2024-07-10", "--lookback-months", "1")
+    assert spark.table("jobs_db.hail_state").count() == before
+    assert not Path(run_folder(spark)).exists()
 
 
 def test_time_filters_prune_months(run, spark):

@@ -10,7 +10,7 @@ from hailscope.functions.dates import daily_dates, hail_files, hail_window, wind
 from hailscope.operators.batches import assign_batches
 from hailscope.operators.dedup import first_per_key
 from hailscope.plans import load
-from hailscope.schemas import HAIL_CSV, HAIL_CSV_COLUMNS, MERGE_KEYS
+from hailscope.schemas import BROKEN_LINE, HAIL_CSV, HAIL_CSV_COLUMNS, MERGE_KEYS
 from hailscope.sources.hail_csv import read_hail_csv
 
 GOOD = "20240105120000,-97.5,35.5,KTLX,A1,10,20,30,40,1.25"
@@ -27,21 +27,29 @@ def test_csv_lines(spark, tmp_path):
                 GOOD.replace("120000", "120002") + ",extra",
                 GOOD.replace("35.5", "north"),
                 GOOD.replace("20240105120000", "20241305120000"),
+                GOOD.replace("20240105120000", ""),
             ]
         )
     )
     (tmp_path / "hail-202402.csv").write_text(GOOD.replace("20240105", "20240201") + "\n")
     csv = read_hail_csv(spark, hail_files(str(tmp_path), "2024-03-15", 1))
-    assert csv.columns == list(HAIL_CSV_COLUMNS)
+    assert csv.columns == [*HAIL_CSV_COLUMNS, BROKEN_LINE]
     rows, rejects = load.load_hail(csv, "2024-01-01 00:00:00", "2024-03-01 00:00:00")
     got = {r.ZTIME: r for r in rows.collect()}
-    assert len(got) == 4
-    assert got[datetime(2024, 1, 5, 12, 0, 1)].SEVPROB is None
-    assert got[datetime(2024, 1, 5, 12, 0, 2)].MAXSIZE == 1.25
+    assert set(got) == {datetime(2024, 1, 5, 12), datetime(2024, 2, 1, 12)}
     assert got[datetime(2024, 2, 1, 12)].RANGE == 10
-    assert {(r.ZTIME, r.LAT) for r in rejects.collect()} == {
-        ("20240105120000", "north"), ("20241305120000", "35.5"),
+    short, long = "20240105120001,-97.5,35.5,KTLX,A1,10", GOOD.replace("120000", "120002") + ",extra"
+    assert {(r.ZTIME, r.LAT, r.broken_line) for r in rejects.collect()} == {
+        ("20240105120000", "north", None), ("20241305120000", "35.5", None), (None, "35.5", None),
+        ("20240105120001", "35.5", short), ("20240105120002", "35.5", long),
     }
+    # Fields are counted whichever columns are asked for.
+    assert rejects.select("LON").count() == 5 and rows.select("LON").count() == 2
+
+
+def test_values_are_parsed_once(spark):
+    text = plan(load.parse_hail(spark.createDataFrame([], HAIL_CSV))[0])
+    assert text.count("gettimestamp") == 1
 
 
 def test_files_and_window():
@@ -91,13 +99,22 @@ def test_daily_dates(spark):
     assert daily_dates(spark, "2024-03-02", "2024-03-01").count() == 0
 
 
+def test_dedup_keeps_measurements(spark):
+    rows = [
+        ("20240105120000", "-97.5", "35.5", "K", "A", "1", "2", s, "4", m)
+        for s, m in (("-999", "-999"), ("60", "1.5"), ("70", "-999"))
+    ]
+    typed, _ = load.load_hail(spark.createDataFrame(rows, HAIL_CSV), "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+    assert [(r.SEVPROB, r.MAXSIZE) for r in typed.collect()] == [(60, 1.5)]
+
+
 def test_dedup_keeps_one_whatever_the_input_order(spark):
     rows = [("20240105120000", "-97.5", "35.5", "K", "A", "1", "2", s, "4", "1") for s in ("9", "5", None, "7")]
     for order in (rows, rows[::-1]):
         typed, _ = load.load_hail(
             spark.createDataFrame(order, HAIL_CSV), "2024-01-01 00:00:00", "2024-02-01 00:00:00"
         )
-        assert [r.SEVPROB for r in typed.collect()] == [5]
+        assert [r.SEVPROB for r in typed.collect()] == [9]
 
 
 def test_dedup_drops_copies_before_the_shuffle(spark):

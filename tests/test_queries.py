@@ -40,7 +40,8 @@ def shared_tables():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(oracles.FINAL)
+    assert set(registry.queries()) == set(oracles.FINAL)
+    assert set(registry.queries()) <= set(contract.queries()) and set(oracles.FINAL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
@@ -55,7 +56,7 @@ def test_query(spark, con, sf_dir, name):
     assert sorted(names) == columns
     at = [names.index(c) for c in columns]
     expected = sorted(tuple(norm(row[i]) for i in at) for row in cursor.fetchall())
-    assert got == expected and (got or name == "missing_rows")
+    assert got == expected and got
 
 
 def test_entry(spark):

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from hailscope.functions.measurements import floored
 from hailscope.plans import areas, layers, risk, subset
 from hailscope.plans.workflow import assess, refresh_tables
-from hailscope.schemas import GEOMETRY, HAIL_CSV, POSTCODE_AREAS, RISK_COMPARISON, STATE_BOUNDARY
+from hailscope.operators.upsert import upsert
+from hailscope.schemas import GEOMETRY, HAIL_CSV, MEASUREMENTS, MERGE_KEYS, POSTCODE_AREAS, RISK_COMPARISON, STATE_BOUNDARY
 from hailscope.sources.geojson import features, prepare_layer, write_layers
 
 NOW = datetime(2024, 7, 1)
@@ -99,7 +100,7 @@ def test_area_of_zero_gives_no_density(spark):
     st = states(spark, ("s1", "A", "US-A", flat))
     pa = postcodes(spark, ("1", "US-A", flat))
     h = hail(spark, ("2024-06-01 01:00:00", 0.5, 0.5, 1, 1, 1.0)).withColumn("state_code", F.lit("US-A"))
-    for r in risk.risk_comparison(h.withColumn("postcode", F.lit("1")), h, pa, st, AS_OF).collect():
+    for r in risk.risk_comparison(h.withColumns({"postcode": F.lit("1"), "country": F.lit("US")}), h, pa, st, AS_OF).collect():
         assert (r.event_count, r.events_per_sqmi, r.area_sqmi) == (1, None, 0.0)
 
 
@@ -129,6 +130,52 @@ def test_premium(world):
     assert {r.county_id: r.risk_score for r in heavy.collect()}["1"] == got["1"].frequency_ratio
 
 
+def test_one_postcode_in_two_countries(spark):
+    """Figures, worst days and decisions of a postcode stay with its country."""
+    st = states(spark, ("s1", "A", "US-A", [[box(0, 0, 4, 4)]]), ("s2", "B", "CA-B", [[box(10, 0, 4, 4)]]))
+    pa = postcodes(spark, ("1", "US-A", [[box(0, 0, 2, 2)]]))
+    pa = pa.unionByName(
+        postcodes(spark, ("1", "CA-B", [[box(10, 0, 2, 2)]])).withColumn("country", F.lit("CA"))
+    )
+    rows = [("2024-06-01 01:00:00", 0.5, 0.5, 50, 10, 2.0)]
+    rows += [(f"2024-06-0{d} 01:00:00", 10.5, 0.5, 50, 10, 0.5) for d in (2, 3, 4, 5, 6)]
+    hs = subset.subset_state(hail(spark, *rows), st).cache()
+    hc = subset.subset_county(hs, pa)
+    stored = risk.risk_comparison(hc, hs, pa, st, AS_OF, F.lit(NOW))
+    bulk = risk.risk_comparison_bulk(hs, pa, st, AS_OF, F.lit(NOW))
+    assert sorted(map(str, stored.collect())) == sorted(map(str, bulk.collect()))
+    got = {(r.area_type, r.country): (r.event_count, r.max_hail_size) for r in stored.collect()}
+    assert got == {
+        ("county", "US"): (1, 2.0), ("county", "CA"): (5, 0.5), ("state", "US"): (1, 2.0), ("state", "CA"): (5, 0.5),
+    }
+    again = upsert(stored, stored, MERGE_KEYS["risk_comparison"])
+    assert again.count() == 4
+    fetched = risk.fetch_comparison(stored, pa, st)
+    premiums = risk.premium_adjustment(fetched)
+    assert {(r.county_id, r.country, r.state_id) for r in premiums.collect()} == {("1", "US", "US-A"), ("1", "CA", "CA-B")}
+    said = spark.createDataFrame([("1", "CA", "Reject", "x")], "postcode string, country string, decision string, reason string")
+    assert {r.country: r.decision for r in risk.apply_decisions(premiums, said).collect()} == {"US": "Confirm", "CA": "Reject"}
+    for worst in (layers.worst_day(hc), layers.worst_day_bulk(hs, pa)):
+        assert {(r.country, str(r.date)) for r in worst.collect()} == {("US", "2024-06-01"), ("CA", "2024-06-02")}
+    for counts in (subset.hail_count_by_postcode(hc, pa), subset.hail_count_bulk(hs, pa)):
+        assert {(r.country, r.hail_count) for r in counts.collect()} == {("US", 1), ("CA", 5)}
+    with pytest.raises(Exception, match="several rows of one kind"):
+        risk.premium_adjustment(fetched.unionByName(fetched)).collect()
+
+
+def test_a_second_run_with_new_ids_and_two_radars(spark):
+    """A new release gives the state another id; two radars report one place; states overlap."""
+    st = states(spark, ("s1", "A", "US-A", [[box(0, 0, 4, 4)]]), ("s9", "A", "US-A", [[box(0, 0, 4, 4)]]), ("s2", "B", "US-B", [[box(0, 0, 1, 1)]]))
+    pa = postcodes(spark, ("1", "US-A", [[box(0, 0, 2, 2)]]))
+    h = hail(spark, ("2024-06-01 01:00:00", 0.5, 0.5, 50, 10, 2.0))
+    h = h.unionByName(h.withColumn("WSR_ID", F.lit("K2")))
+    hs = subset.subset_state(h, risk.one_per_state(st)).cache()
+    assert hs.count() == 4
+    assert upsert(hs, hs, MERGE_KEYS["hail_state"], update=MEASUREMENTS).count() == 4
+    hc = subset.subset_county(hs.filter("state_code = 'US-A'"), pa).cache()
+    assert upsert(hc, hc, MERGE_KEYS["hail_county"], update=MEASUREMENTS).count() == 2
+
+
 def test_fetch_named_postcodes_and_fallback_state(world, spark):
     st, pa, hs, hc = world
     compared = risk.risk_comparison(hc, hs, pa, st, AS_OF)
@@ -241,7 +288,7 @@ def test_worst_day_breaks_ties_by_count_then_date(spark):
         ("3", "2024-01-01", 1.0), ("3", "2024-01-02", 1.0), ("3", "2024-01-02", -999.0),
         ("4", "2024-01-02", -999.0),
     ]
-    df = spark.createDataFrame(rows, "postcode string, ZTIME string, MAXSIZE double").withColumn("ZTIME", F.col("ZTIME").cast("timestamp"))
+    df = spark.createDataFrame(rows, "postcode string, ZTIME string, MAXSIZE double").withColumns({"ZTIME": F.col("ZTIME").cast("timestamp"), "country": F.lit("US")})
     got = {r.postcode: (str(r.date), r.event_count, r.max_size) for r in layers.worst_day(df).collect()}
     assert got == {
         "1": ("2024-01-02", 1, 2.0), "2": ("2024-01-02", 1, 0.5), "3": ("2024-01-02", 2, 1.0), "4": ("2024-01-02", 1, None),
@@ -251,14 +298,16 @@ def test_worst_day_breaks_ties_by_count_then_date(spark):
 
 def test_layers_are_geojson(world, spark, tmp_path):
     st, pa, hs, hc = world
-    shown = layers.map_layers(hs, layers.worst_day(hc), open_data(spark)[1], pa, st)
+    found = open_data(spark)[1]
+    shown = layers.map_layers(hs, layers.worst_day(hc), found, pa, st)
+    counties = found.filter("subtype = 'county' AND region IN ('US-A', 'US-B', 'US-C')").count()
     out = str(tmp_path / "layers")
     write_layers(shown, out)
     write_layers(shown, out)
     lines = spark.read.text(out).collect()
     parsed = [(r.layer, json.loads(r.value)) for r in lines]
     count = {n: sum(layer == n for layer, _ in parsed) for n in shown}
-    assert count == {"selected_county": 5, "hail": 2, "counties": 3, "map_center": 2}
+    assert count == {"selected_county": 5, "hail": 1, "counties": counties, "map_center": 2}
     assert {f["geometry"]["type"] for n, f in parsed if n == "counties"} == {"MultiPolygon"}
     hail_row = next(f for n, f in parsed if n == "hail")
     assert hail_row["properties"]["ZTIME"] == "2024-06-01 01:00:00" or hail_row["properties"]["date"]

@@ -171,6 +171,26 @@ def test_merge_of_polygons(spark, db):
     assert len(got) == 1 and got[0].area[0][0][1].x == 2.0
 
 
+def test_a_failing_merge_leaves_the_table_whole(spark, db):
+    ensure_tables(spark, db)
+    name = f"{db}.postcode_areas"
+    row = spark.createDataFrame([("1", "US", "US-OK", [[box(0, 0, 1, 1)]], datetime(2024, 1, 1))], POSTCODE_AREAS)
+    merge_table(spark, name, row)
+    with pytest.raises(Exception, match="several source rows"):
+        merge_table(spark, name, row.unionByName(row))
+    assert [r.postcode for r in spark.table(name).collect()] == ["1"]
+
+
+def test_months_are_cut_in_utc(spark, db):
+    ensure_tables(spark, db)
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        with pytest.raises(RuntimeError, match="UTC"):
+            merge_table(spark, f"{db}.hail_raw", hail(spark, ("2024-01-05 00:00:00", 1.0, 10)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_native_merge_is_refused_by_parquet_tables(spark, db):
     ensure_tables(spark, db)
     with pytest.raises(Exception, match="MERGE"):
