@@ -2,150 +2,211 @@
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
-from pyspark import TaskContext
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hailscope.llm.common import id_text, stage
+from hailscope.llm.tokens import small_groups
 
 SPACE = "▁"
-#: Code points of a word at most; a longer one is cut into stretches that are encoded each.
-LONGEST = 128
-#: A character without a piece costs this much more than the worst piece.
-FALLBACK = 10.0
-#: Words at most whose pieces each task holds; all others are joined.
-KNOWN_WORDS = 150_000
+#: A text is cut where no piece of the vocabulary crosses: marks and letters, marks and other signs, single digits.
+STRETCH = regex.compile(rf"{SPACE}*\p{{L}}+|{SPACE}*[^\p{{L}}0-9{SPACE}]+|{SPACE}+|[0-9]")
+WORD = regex.compile(rf"{SPACE}[^{SPACE}]*")
+#: Code points of a stretch that the lattice takes: its boundaries are the bits of one long.
+LONGEST = 60
+#: Marks in front of a stretch that the lattice takes.
+MARKS = 8
+#: Stretches at most whose pieces each task holds; all others are joined.
+KNOWN_WORDS = 300_000
 WORDS_PER_PART = 25_000
+#: Different words a task counts or remembers before it starts anew.
+CACHED = 200_000
+HOLE = b"\xff\xff"
+NO_ID = (1 << 24) - 1
 
 PIECES = T.StructType(
-    [T.StructField("piece", T.StringType()), T.StructField("id", T.IntegerType()), T.StructField("score", T.DoubleType())]
+    [T.StructField("piece", T.StringType()), T.StructField("id", T.LongType()), T.StructField("rank", T.LongType())]
 )
 
 
-def piece_table(spark: SparkSession, model_path: str) -> DataFrame:
-    """``piece, id, score`` of the plain pieces of a vocabulary: tens of thousands of rows, whatever the data."""
-    return spark.createDataFrame(_pieces(model_path), PIECES)
-
-
 def _pieces(model_path: str) -> list[tuple[str, int, float]]:
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     plain = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
     rows = [(model.id_to_piece(i), i, float(model.get_score(i))) for i in plain]
-    return [r for r in rows if SPACE not in r[0][1:]]  # runs of spaces never win over single ones
+    if crossing := [p for p, _, _ in rows if STRETCH.fullmatch(p) is None]:
+        raise ValueError(f"pieces cross the cuts of a text: {crossing[:5]}")
+    return rows
+
+
+def piece_table(spark: SparkSession, model_path: str) -> DataFrame:
+    """``piece, id, rank`` of the plain pieces of a vocabulary: tens of thousands of rows, whatever the data."""
+    rows = _pieces(model_path)
+    rank = {s: r for r, s in enumerate(sorted({s for _, _, s in rows}, reverse=True))}
+    return spark.createDataFrame([(p, i, rank[s]) for p, i, s in rows], PIECES)
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text without their first space mark; more marks in front of a word stay."""
+    plain = text.replace(SPACE, " ")
+    words = plain.split(" ")
+    if "" not in words:
+        return words
+    if not plain:
+        return []
+    return _marked(SPACE + plain.replace(" ", SPACE))
+
+
+def _marked(marked: str) -> list[str]:
+    """Words of a text with runs of spaces: a run belongs to what follows it."""
+    out, run = [], 0
+    for word in WORD.findall(marked):
+        run += 1
+        if len(word) > 1:
+            out.append(SPACE * (run - 1) + word[1:])
+            run = 0
+    return [*out, SPACE * (run - 1)] if run else out
+
+
+def stretches(word: str) -> list[str]:
+    return STRETCH.findall(SPACE + word)
+
+
+def count_stretches(docs: DataFrame) -> DataFrame:
+    """``word, n``: the different stretches of all texts and how often they occur."""
+
+    def run(batches):
+        seen: Counter = Counter()
 
+        def flush():
+            cut: Counter = Counter()
+            for word, n in seen.items():
+                for s in stretches(word):
+                    cut[s] += n
+            seen.clear()
+            columns = [pa.array(list(cut), pa.string()), pa.array(list(cut.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
-def words_of(text: Column) -> Column:
-    """A space mark and what follows it up to the next one; stretches of ``LONGEST`` where that is longer."""
-    marked = F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
-    pattern = f"{SPACE}[^{SPACE}]{{0,{LONGEST - 1}}}|[^{SPACE}]{{1,{LONGEST}}}"
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(pattern), F.lit(0))).otherwise(F.array())
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for begin, end in small_groups(texts):
+                for text in texts[begin:end]:
+                    seen.update(words_of(text))
+                if len(seen) > CACHED:
+                    yield flush()
+        yield flush()
+
+    parts = id_text(docs).select("text").mapInArrow(run, "word string, n long")
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encode_words(words: DataFrame, pieces: DataFrame, parts: int) -> DataFrame:
-    """``word, n, ids`` for different words: the split into pieces with the highest total score.
+    """``word, n, tokens`` for different words of ``wid, word, n``, of ``LONGEST`` code points at most.
 
     Every substring of a word up to the longest piece is joined with the piece table
-    (an equi-join; the table is fixed, so it is broadcast). Characters without a
-    piece of their own get an edge of fallback instead, whose id is -1. The edges of a
-    word are grouped, sorted by their end and folded: the state holds the best
-    score of each prefix and its last edge. Equal scores: the shorter last piece.
-    Rows are dealt out by word once, and exploding, joining and grouping keep
-    that partitioning.
+    (an equi-join on a hash, then the strings are compared; the table is fixed, so
+    it is broadcast). Characters without a piece keep an edge without id. The edges of
+    a word are grouped, sorted by rank and then start, and folded: the state holds
+    the boundaries that are left as bits of one long, and an edge takes away
+    the one boundary inside it if both its ends still are boundaries. As a piece of a merged
+    vocabulary comes from pieces of smaller rank, this replays the merges. Edges
+    between neighbouring boundaries of the last state are the pieces: ``tokens`` is
+    start * 2^24 + id in order.
+
+    Rows are dealt out by word once; exploding, joining and grouping keep that.
     """
-    longest, worst = pieces.agg(F.max(F.length("piece")), F.min(F.when(F.col("score") > -1e8, F.col("score")))).first()
-    n = F.length("word")
-    starts = F.sequence(F.lit(1), n)
-    substrings = F.flatten(
-        F.transform(
-            starts,
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), n - s + 1)),
-                lambda k: F.struct((s + k - 1).alias("end"), k.alias("size"), F.substring(F.col("word"), s, k).alias("piece")),
-            ),
-        )
-    )
+    hashed = pieces.select(F.xxhash64("piece").alias("h"), F.col("piece").alias("known"), "id", "rank")
+    longest, n, different = hashed.agg(F.max(F.length("known")), F.count("*"), F.countDistinct("h")).first()
+    if n != different:
+        raise ValueError("two pieces have one hash")
+    worst = F.lit(1 << 20)
+    same = F.col("known").eqNullSafe(F.col("piece"))
+    start, end = F.col("s") - 1, F.col("s") - 1 + F.col("k")
+    rank = F.when(same, F.col("rank")).otherwise(worst)
+    key = F.coalesce(F.when(same, F.col("id")), F.lit(NO_ID))
+    edge = F.shiftleft(rank, 36) + F.shiftleft(start.cast("long"), 30) + F.shiftleft(end.cast("long"), 24) + key
     edges = (
-        words.repartition(parts, "word")
-        .select("word", "n", F.explode(substrings).alias("e"))
-        .select("word", "n", "e.end", "e.size", "e.piece")
-        .join(F.broadcast(pieces), "piece", "left")
-        .filter(F.col("id").isNotNull() | (F.col("size") == 1))
-    )
-    edge = F.struct(
-        "end", "size", F.coalesce("score", F.lit(worst - FALLBACK)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")
+        words.repartition(parts, "wid")
+        .sortWithinPartitions("wid")
+        .select("wid", "word", F.length("word").alias("size"), "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("s"))
+        .withColumn("rest", F.substring("word", F.col("s"), F.lit(longest)))
+        .select("wid", "word", "n", "s", "rest", F.explode(F.sequence(F.lit(1), F.length("rest"))).alias("k"))
+        .withColumn("piece", F.substring("rest", F.lit(1), F.col("k")))
+        .withColumn("h", F.xxhash64("piece"))
+        .join(F.broadcast(hashed), "h", "left")
+        .filter(same | (F.col("k") == 1))
+        .select("wid", "word", "n", edge.alias("edge"))
     )
-    grouped = edges.groupBy("word", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-    state = F.struct(
-        F.array(F.lit(0.0)).alias("best"),
-        F.array().cast("array<struct<size:int,id:int>>").alias("last"),
+    grouped = edges.groupBy("wid").agg(
+        F.first("word").alias("word"), F.first("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges")
     )
-
-    def step(s: Column, e: Column) -> Column:
-        score = F.get(s["best"], e["end"] - e["size"]) + e["score"]
-        new = F.size(s["best"]) == e["end"]
-        better = score > F.element_at(s["best"], -1)
-        last = F.struct(e["size"].cast("int").alias("size"), e["id"].alias("id"))
-        longer = F.struct(F.array_append(s["best"], score).alias("best"), F.array_append(s["last"], last).alias("last"))
-        done = F.size(s["last"])
-        changed = F.struct(
-            F.array_append(F.slice(s["best"], F.lit(1), done), score).alias("best"),
-            F.array_append(F.slice(s["last"], F.lit(1), done - 1), last).alias("last"),
-        )
-        return F.when(new, longer).when(better, changed).otherwise(s)
-
-    folded = grouped.select("word", "n", F.aggregate("edges", state, step, lambda s: s["last"]).alias("last"))
-
-    def back(s: Column, _: Column) -> Column:
-        edge = F.element_at(F.col("last"), s["at"])
-        here = F.struct(F.substring("word", s["at"] - edge["size"] + 1, edge["size"]).alias("piece"), edge["id"].alias("id"))
-        more = F.struct((s["at"] - edge["size"]).alias("at"), F.array_prepend(s["path"], here).alias("path"))
-        return F.when(s["at"] > 0, more).otherwise(s)
-
-    none = F.array().cast("array<struct<piece:string,id:int>>")
-    path = F.aggregate("last", F.struct(F.size("last").alias("at"), none.alias("path")), back, lambda s: s["path"])
-    return folded.select("word", "n", path.alias("path"))
+    # Higher-order functions over Spark SQL's own shifts: bits of a long, by start s, end e and what lies between.
+    s, e = "int(shiftright(x, 30) & 63)", "int(shiftright(x, 24) & 63)"
+    between = f"(shiftleft(1L, {e}) - shiftleft(2L, {s}))"
+    ends = f"(shiftleft(1L, {s}) | shiftleft(1L, {e}))"
+    step = f"if((m & {ends}) = {ends} AND bit_count(m & {between}) = 1, m & ~{between}, m)"
+    folded = grouped.withColumn("mask", F.expr(f"aggregate(edges, shiftleft(1L, length(word) + 1) - 1L, (m, x) -> {step})"))
+    final = f"(mask & {ends}) = {ends} AND (mask & {between}) = 0"
+    tokens = f"sort_array(transform(filter(edges, x -> {final}), x -> shiftleft(shiftright(x, 30) & 63, 24) + (x & {NO_ID})))"
+    return folded.select("word", "n", F.expr(tokens).alias("tokens"))
 
 
-def _ids(path: list, first_byte: int) -> list[int]:
-    out: list[int] = []
-    for p in path:
-        out += [p["id"]] if p["id"] >= 0 else [first_byte + b for b in p["piece"].encode()]
-    return out
+def _by_library(model, word: str) -> list[int]:
+    """Ids of one stretch; the library puts a mark in front, and digits are pieces of their own."""
+    return model.encode(word[1:]) if word[0] == SPACE else model.encode("0" + word)[2:]
 
 
-def with_bytes(encoded: DataFrame, first_byte: int) -> DataFrame:
-    """``word, n, ids``: the path as little-endian uint16 ids; a fallback edge is the bytes of its character."""
+def with_bytes(encoded: DataFrame, model_path: str) -> DataFrame:
+    """``word, n, ids``: tokens as little-endian uint16 ids; a character without piece is its bytes, a word without
+    tokens is encoded by the library."""
 
     def run(batches):
+        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        first_byte = next(i for i in range(model.get_piece_size()) if model.is_byte(i))
         for batch in batches:
-            ids = [np.array(_ids(p, first_byte), "<u2").tobytes() for p in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], ["word", "n", "ids"])
+            lists = batch.column(2)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            ids = flat & NO_ID
+            data, words = ids.astype("<u2").tobytes(), batch.column(0)
+            out = [data[2 * a : 2 * b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+            odd = np.unique(np.searchsorted(upto, np.flatnonzero(ids == NO_ID), "right") - 1)
+            for k in odd.tolist():
+                word, got = words[k].as_py(), []
+                for t in flat[upto[k] : upto[k + 1]].tolist():
+                    at, i = t >> 24, t & NO_ID
+                    got += [first_byte + b for b in word[at].encode()] if i == NO_ID else [i]
+                out[k] = np.array(got, "<u2").tobytes()
+            for k in np.flatnonzero(sizes == 0).tolist():
+                out[k] = np.array(_by_library(model, words[k].as_py()), "<u2").tobytes()
+            yield pa.RecordBatch.from_arrays([words, batch.column(1), pa.array(out, pa.binary())], ["word", "n", "ids"])
 
     return encoded.mapInArrow(run, "word string, n long, ids binary")
 
 
 def vocabulary(docs: DataFrame, model_path: str) -> DataFrame:
-    """``word, n, ids`` of all different words of ``docs``, staged."""
+    """``word, n, ids`` of all different stretches of ``docs``, staged."""
     spark = docs.sparkSession
-    counts = stage(
-        id_text(docs).select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n")),
-        "pieces-words",
-    )
+    counts = stage(count_stretches(docs).withColumn("wid", F.monotonically_increasing_id()), "pieces-words")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), counts.count() // WORDS_PER_PART + 1)
-    pieces = piece_table(spark, model_path)
-    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    first_byte = next(i for i in range(model.get_piece_size()) if model.is_byte(i))
-    return stage(with_bytes(encode_words(counts, pieces, parts), first_byte), "pieces-words")
+    fits = (F.length("word") <= LONGEST) & ~F.col("word").startswith(SPACE * (MARKS + 1))
+    folded = encode_words(counts.filter(fits), piece_table(spark, model_path), parts)
+    others = counts.filter(~fits).select("word", "n", F.lit(None).cast("array<bigint>").alias("tokens"))
+    return stage(with_bytes(folded.unionByName(others), model_path), "pieces-ids")
 
 
-def _known(words: DataFrame, most: int) -> tuple[dict[str, bytes], int]:
-    """The most frequent words, ``most`` at most, and the smallest count among them."""
+def _known(words: DataFrame, most: int) -> tuple[dict[str, bytes], int | None]:
+    """The most frequent words, ``most`` at most, and the smallest step of counts among them."""
     step = F.floor(F.log2("n") * 16)
     left, least = most, None
     for r in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
@@ -158,17 +219,42 @@ def _known(words: DataFrame, most: int) -> tuple[dict[str, bytes], int]:
     return {r["word"]: bytes(r["ids"]) for r in words.filter(step >= least).collect()}, least
 
 
+def _chopper(known: dict[str, bytes]) -> Callable[[list[str]], list[tuple[bytes, tuple[str, ...]]]]:
+    """For words: their ids with a hole for each stretch not in ``known``, and those stretches."""
+    cache: dict[str, tuple[bytes, tuple[str, ...]]] = {}
+
+    def chop(word: str) -> tuple[bytes, tuple[str, ...]]:
+        cut = stretches(word)
+        got = [known.get(s, HOLE) for s in cut]
+        return b"".join(got), tuple(s for s, g in zip(cut, got, strict=True) if g is HOLE)
+
+    def run(words: list[str]) -> list[tuple[bytes, tuple[str, ...]]]:
+        if len(cache) > CACHED:
+            cache.clear()
+        found = list(map(cache.get, words))
+        if None in found:
+            for word, f in zip(words, found, strict=True):
+                if f is None and word not in cache:
+                    cache[word] = chop(word)
+            found = [cache[w] for w in words]
+        return found
+
+    return run
+
+
 def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """``doc_id, ids`` (little-endian uint16) of every row: its text in pieces of the vocabulary.
 
-    The text is taken as it is, with a space before it, and each space begins a word.
-    Different words are encoded once (:func:`encode_words`). Tasks then hold the
-    pieces of at most ``known_words`` frequent words; every occurrence of another word is joined with the
-    table by the word, and the pieces of a text are put together by place.
+    The text is taken as it is, with a space before it. It is cut where no piece of the vocabulary
+    crosses, and different stretches are encoded once (:func:`encode_words`). Tasks hold the pieces of at most
+    ``known_words`` frequent stretches; every occurrence of another one is joined with the
+    table by the stretch, and fills its hole in the document. Documents without holes are
+    not shuffled for it twice: ids with holes and rare stretches are two passes over the texts, which meet
+    by ``doc_id`` and a hash of the text, so a task run again gives the same rows.
 
-    The split has the highest total score; for a vocabulary made by merging pairs
-    this is not always the split that replaying the merges gives. NULL and empty
-    texts have no pieces; repeated rows are encoded each; NULL ids stay; an empty table
+    The ids are those of the library for the same model. Stretches over ``LONGEST``
+    code points or with over ``MARKS`` spaces in front are encoded by the library itself, once each. NULL and
+    empty texts have no pieces; repeated rows are encoded each; NULL ids stay; an empty table
     gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -176,61 +262,75 @@ def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) ->
     known, least = _known(words, known_words)
     shared = spark.sparkContext.broadcast(known)
     others = words if least is None else words.filter(F.floor(F.log2("n") * 16) < least)
+    texts = id_text(docs).select("doc_id", "text")
 
-    def split(batches):
-        known = shared.value
-        at = TaskContext.get().partitionId() << 33
+    def rare(batches):
+        chop = _chopper(shared.value)
+        for batch in batches:
+            ids, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for begin, end in small_groups(all_texts):
+                doc, mark, place, word = [], [], [], []
+                for i, text in zip(ids[begin:end], all_texts[begin:end], strict=True):
+                    late = [s for _, own in chop(words_of(text)) for s in own]
+                    doc += [i] * len(late)
+                    mark += [xxhash.xxh64_intdigest(text.encode()) >> 1] * len(late)
+                    place += range(len(late))
+                    word += late
+                columns = [pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(place, pa.int32()), pa.array(word, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "place", "word"])
+
+    def heads(batches):
+        chop, pack = _chopper(shared.value), zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            ids, words = batch.column(0).to_pylist(), batch.column(1)
-            for i in range(len(ids)):
-                own = words[i].as_py()
-                got = [known.get(w) for w in own]
-                rare = [k for k, g in enumerate(got) if g is None]
-                sizes = np.array([0 if g is None else len(g) for g in got], np.uint16)
-                blob = zlib.compress(sizes.tobytes() + b"".join(g for g in got if g), 1)
-                columns = [
-                    pa.array(np.full(len(rare) + 1, at)),
-                    pa.array([ids[i]] + [None] * len(rare), pa.int64()),
-                    pa.array([-1, *rare], pa.int32()),
-                    pa.array([f" {at}", *(own[k] for k in rare)]),  # no word has a space: these spread and find nothing
-                    pa.array([blob] + [None] * len(rare), pa.binary()),
-                    pa.array([len(own)] + [None] * len(rare), pa.int32()),
-                ]
-                at += 1
-                yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "place", "word", "blob", "words"])
-
-    texts = id_text(docs).select("doc_id", words_of(F.col("text")).alias("words"))
-    rows = texts.mapInArrow(split, "rid long, doc_id long, place int, word string, blob binary, words int")
-    found = rows.join(others.select("word", "ids").hint("merge"), "word", "left")
-    late = F.when(F.col("place") >= 0, F.struct("place", "ids"))
-    whole = found.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("blob").alias("blob"),
-        F.max("words").alias("words"),
-        F.collect_list(late).alias("late"),
+            ids, all_texts = batch.column(0), batch.column(1).to_pylist()
+            for begin, end in small_groups(all_texts):
+                own = all_texts[begin:end]
+                blobs = [pack(b"".join(b for b, _ in chop(words_of(t)))) for t in own]
+                marks = [xxhash.xxh64_intdigest(t.encode()) >> 1 for t in own]
+                columns = [ids.slice(begin, end - begin), pa.array(marks, pa.int64()), pa.array(blobs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "blob"])
+
+    late = texts.mapInArrow(rare, "doc_id long, mark long, place int, word string")
+    late = late.join(others.select("word", "ids").hint("merge"), "word")
+    nothing = F.lit(None)
+    late = late.select("doc_id", "mark", nothing.cast("binary").alias("blob"), F.struct("place", "ids").alias("late"))
+    whole = texts.mapInArrow(heads, "doc_id long, mark long, blob binary")
+    whole = whole.withColumn("late", nothing.cast("struct<place:int,ids:binary>"))
+    whole = (
+        whole.unionByName(late)
+        .groupBy("doc_id", "mark")
+        .agg(F.max("blob").alias("blob"), F.count("blob").alias("copies"), F.collect_set("late").alias("late"))
+        .select("doc_id", "blob", "copies", "late")
     )
 
     def assemble(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out = []
-            for blob, n, late in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
-                data = zlib.decompress(blob)
-                sizes, at, parts = np.frombuffer(data[: 2 * n], np.uint16), 2 * n, []
-                more = {x["place"]: x["ids"] for x in late}
-                for k, size in enumerate(sizes.tolist()):
-                    if size:
-                        parts.append(data[at : at + size])
-                        at += size
-                    else:
-                        parts.append(more[k])
-                out.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
-
-    return whole.select("doc_id", "blob", "words", "late").mapInArrow(assemble, "doc_id long, ids binary")
+            docs, out, held = [], [], 0
+            for doc, blob, copies, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = unpack(blob)
+                if own:
+                    fill = [x["ids"] for x in sorted(own, key=lambda x: x["place"])]
+                    holes = (2 * np.flatnonzero(np.frombuffer(data, "<u2") == 0xFFFF)).tolist()
+                    parts, at = [], 0
+                    for hole, ids in zip(holes, fill, strict=True):
+                        parts += [data[at:hole], ids]
+                        at = hole + 2
+                    data = b"".join([*parts, data[at:]])
+                for _ in range(copies):
+                    docs.append(doc)
+                    out.append(data)
+                    held += len(data)
+                    if held > 1 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "ids"])
+                        docs, out, held = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "ids"])
+
+    return whole.mapInArrow(assemble, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id, ids, text``: the texts that :func:`encode` was given, byte for byte."""
+    """``doc_id, ids, text``: the texts that :func:`encode` was given; a space mark in a text comes back as a space."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     size = model.get_piece_size()
     first = next(i for i in range(size) if model.is_byte(i))
