@@ -30,7 +30,8 @@ MARKS = 8
 KNOWN_WORDS = 300_000
 WORDS_PER_PART = 25_000
 #: Different words a task counts or remembers before it starts anew.
-CACHED = 200_000
+CACHED = 100_000
+SIGNS = ".,;:!?*#$%&"
 HOLE = b"\xff\xff"
 NO_ID = (1 << 24) - 1
 
@@ -78,6 +79,12 @@ def _marked(marked: str) -> list[str]:
 
 
 def stretches(word: str) -> list[str]:
+    """The cuts of a word with its mark; letters, with or without signs behind, need no pattern."""
+    if word.isalpha():
+        return [SPACE + word]
+    core = word.rstrip(SIGNS)
+    if core.isalpha():
+        return [SPACE + core, word[len(core) :]]
     return STRETCH.findall(SPACE + word)
 
 
@@ -219,25 +226,41 @@ def _known(words: DataFrame, most: int) -> tuple[dict[str, bytes], int | None]:
     return {r["word"]: bytes(r["ids"]) for r in words.filter(step >= least).collect()}, least
 
 
-def _chopper(known: dict[str, bytes]) -> Callable[[list[str]], list[tuple[bytes, tuple[str, ...]]]]:
-    """For words: their ids with a hole for each stretch not in ``known``, and those stretches."""
-    cache: dict[str, tuple[bytes, tuple[str, ...]]] = {}
+def _heads(known: dict[str, bytes]) -> Callable[[list[str]], bytes]:
+    """The ids of words in a row, with a hole for each stretch not in ``known``."""
+    cache: dict[str, bytes] = {}
 
-    def chop(word: str) -> tuple[bytes, tuple[str, ...]]:
-        cut = stretches(word)
-        got = [known.get(s, HOLE) for s in cut]
-        return b"".join(got), tuple(s for s, g in zip(cut, got, strict=True) if g is HOLE)
-
-    def run(words: list[str]) -> list[tuple[bytes, tuple[str, ...]]]:
+    def run(words: list[str]) -> bytes:
         if len(cache) > CACHED:
             cache.clear()
         found = list(map(cache.get, words))
         if None in found:
-            for word, f in zip(words, found, strict=True):
-                if f is None and word not in cache:
-                    cache[word] = chop(word)
-            found = [cache[w] for w in words]
-        return found
+            for k, f in enumerate(found):
+                if f is None:
+                    got = [known.get(s, HOLE) for s in stretches(words[k])]
+                    found[k] = b"".join(got)
+                    if HOLE not in got:  # a word with a hole is rare itself
+                        cache[words[k]] = found[k]
+        return b"".join(found)
+
+    return run
+
+
+def _rares(known: dict[str, bytes]) -> Callable[[list[str]], list[str]]:
+    """The stretches of words in a row that are not in ``known``."""
+    cache: set[str] = set()
+
+    def run(words: list[str]) -> list[str]:
+        if len(cache) > CACHED:
+            cache.clear()
+        late = []
+        for word in words:
+            if word not in cache:
+                got = [s for s in stretches(word) if s not in known]
+                late += got
+                if not got:
+                    cache.add(word)
+        return late
 
     return run
 
@@ -248,8 +271,8 @@ def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) ->
     The text is taken as it is, with a space before it. It is cut where no piece of the vocabulary
     crosses, and different stretches are encoded once (:func:`encode_words`). Tasks hold the pieces of at most
     ``known_words`` frequent stretches; every occurrence of another one is joined with the
-    table by the stretch, and fills its hole in the document. Documents without holes are
-    not shuffled for it twice: ids with holes and rare stretches are two passes over the texts, which meet
+    table by the stretch, and fills its hole in the document. Documents are
+    shuffled once: ids with holes and rare stretches are two passes over the texts, which meet
     by ``doc_id`` and a hash of the text, so a task run again gives the same rows.
 
     The ids are those of the library for the same model. Stretches over ``LONGEST``
@@ -265,27 +288,27 @@ def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) ->
     texts = id_text(docs).select("doc_id", "text")
 
     def rare(batches):
-        chop = _chopper(shared.value)
+        rares = _rares(shared.value)
         for batch in batches:
             ids, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for begin, end in small_groups(all_texts):
                 doc, mark, place, word = [], [], [], []
                 for i, text in zip(ids[begin:end], all_texts[begin:end], strict=True):
-                    late = [s for _, own in chop(words_of(text)) for s in own]
+                    late = rares(words_of(text))
                     doc += [i] * len(late)
-                    mark += [xxhash.xxh64_intdigest(text.encode()) >> 1] * len(late)
+                    mark += [xxhash.xxh64_intdigest(text.encode()) >> 1] * len(late) if late else []
                     place += range(len(late))
                     word += late
                 columns = [pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(place, pa.int32()), pa.array(word, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "place", "word"])
 
     def heads(batches):
-        chop, pack = _chopper(shared.value), zstandard.ZstdCompressor(3).compress
+        cut, pack = _heads(shared.value), zstandard.ZstdCompressor(3).compress
         for batch in batches:
             ids, all_texts = batch.column(0), batch.column(1).to_pylist()
             for begin, end in small_groups(all_texts):
                 own = all_texts[begin:end]
-                blobs = [pack(b"".join(b for b, _ in chop(words_of(t)))) for t in own]
+                blobs = [pack(cut(words_of(t))) for t in own]
                 marks = [xxhash.xxh64_intdigest(t.encode()) >> 1 for t in own]
                 columns = [ids.slice(begin, end - begin), pa.array(marks, pa.int64()), pa.array(blobs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "blob"])
