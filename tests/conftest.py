@@ -38,15 +38,3 @@ def sf_dir() -> str:
 def jts(spark):
     """The geometry library on Spark's class path, as an independent check."""
     return spark._jvm.org.locationtech.jts.io.WKTReader()
-
-
-def ring(*xy):
-    return [{"x": float(x), "y": float(y)} for x, y in xy]
-
-
-def box(x, y, w, h):
-    return ring((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

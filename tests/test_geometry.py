@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from conftest import box, plan, ring
+from helpers import box, plan, ring
 from pyspark.sql import functions as F
 
 from hailscope.functions import geometry as geo

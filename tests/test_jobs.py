@@ -3,7 +3,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 from test_risk import open_data
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 
 from hailscope.functions.dates import daily_dates, hail_files, hail_window, window_bounds

@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import duckdb
 import pytest
-from conftest import plan
+from helpers import plan
 
 import __spark_entry__ as contract
 from workload import oracles, registry

@@ -4,7 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import box, plan
+from helpers import box, plan
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

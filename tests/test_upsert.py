@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from conftest import box, plan
+from helpers import box, plan
 from pyspark.sql import functions as F
 
 from hailscope.operators.upsert import merge_into, merge_table, upsert
