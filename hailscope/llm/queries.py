@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, html, lattice, line_dedup, lm, packing, quality, simhash, substring, topk
+from hailscope.llm import exact_dedup, html, lattice, line_dedup, lm, manifest, packing, quality, simhash, substring, topk
 from hailscope.llm.common import crc_mod, table
 
 
@@ -77,6 +77,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every row, and whether it still holds after tampering with a third of them."""
+    out = manifest.manifest(table(spark, sf_dir, "documents"))
+    folded = manifest.fold(F.coalesce("forged", "leaf"), F.col("path")).alias("folded_root")
+    proof = F.sha2(manifest.siblings(F.col("path")), 256).alias("proof_sha256")
+    out = out.select("doc_id", "leaf", "subroot", "root", proof, folded)
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 _ALL = (
     op1_lm_scoring,
     op2_quality_classifier,
@@ -88,5 +97,6 @@ _ALL = (
     op8_simhash_dedup,
     op9_exact_dedup,
     op10_sentencepiece,
+    op13_merkle_manifest,
 )
 QUERIES = {f.__name__: f for f in _ALL}
