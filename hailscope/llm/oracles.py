@@ -38,3 +38,66 @@ k AS (
   FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY size DESC, doc_id))
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k""",
 }
+
+
+#: Unsigned crc32 of a text, bit by bit.
+_CRC = (
+    "xor(list_reduce(list_transform(range(-1, octet_length(encode({0})))::BIGINT[], lambda i: CASE WHEN i < 0 THEN 4294967295 "
+    "ELSE ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT END), "
+    "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], "
+    "lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _merkle(levels: int = 8, fan_in: int = 8) -> str:
+    """Levels one below the other; each keeps the path so far beside its nodes. Enough for fan_in ** levels rows."""
+    head = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    leaf = "sha256(" + head + " || {})"
+    steps = [
+        f"""l AS (
+  SELECT doc_id, lang, {leaf.format(_field("text"))} AS leaf,
+         CASE WHEN {_CRC.format("doc_id::VARCHAR")} % 3 = 0 THEN {leaf.format(_field(_LOWER.format("text")))} END AS forged
+  FROM documents)""",
+        """t0 AS (
+  SELECT *, leaf AS node, coalesce(forged, leaf) AS folded, '' AS proof,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM l)""",
+    ]
+
+    def climb(name: str, below: str, tree: str) -> str:
+        # One row per leaf throughout: nodes of a level are the different (tree, place).
+        return f"""{name}n AS (SELECT DISTINCT {tree} AS tree, place, node FROM {below}),
+{name}r AS (
+  SELECT tree, place // {fan_in} AS run, list(node ORDER BY place) AS nodes, sum(count(*)) OVER (PARTITION BY tree) AS size
+  FROM {name}n GROUP BY tree, run),
+{name}s AS (
+  SELECT t.*, size, nodes, array_to_string(nodes[1:place % {fan_in}], '') AS l, array_to_string(nodes[place % {fan_in} + 2:], '') AS r
+  FROM {below} t JOIN {name}r ON tree IS NOT DISTINCT FROM {tree} AND run = place // {fan_in}),
+{name} AS (
+  SELECT * EXCLUDE (size, nodes, l, r) REPLACE (
+    CASE WHEN size = 1 THEN node ELSE sha256(array_to_string(nodes, '')) END AS node,
+    CASE WHEN size = 1 THEN folded ELSE sha256(l || folded || r) END AS folded,
+    CASE WHEN size = 1 THEN proof ELSE proof || l || r END AS proof,
+    place // {fan_in} AS place)
+  FROM {name}s)"""
+
+    for k in range(levels):
+        steps.append(climb(f"t{k + 1}", f"t{k}", "lang"))
+    steps.append(
+        f"""r0 AS (
+  SELECT * EXCLUDE (place), node AS subroot, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place
+  FROM t{levels})"""
+    )
+    for k in range(levels):
+        steps.append(climb(f"r{k + 1}", f"r{k}", "0"))
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified
+FROM r{levels}"""
+    )
+
+
+ORACLES["op13_merkle_manifest"] = _merkle()
