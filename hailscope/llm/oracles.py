@@ -101,3 +101,34 @@ FROM r{levels}"""
 
 
 ORACLES["op13_merkle_manifest"] = _merkle()
+
+
+def _variants(steps: int = 20) -> str:
+    """Near words share a text with one letter left out, or masked; forms are followed one step at a time."""
+    chain = "\n".join(
+        f", c{k + 1} AS (SELECT c.word, coalesce(f.form, c.root) AS root FROM c{k} c LEFT JOIN f ON f.word = c.root)"
+        for k in range(steps)
+    )
+    return f"""
+WITH d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM d),
+o AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+h AS (SELECT run, n, {_CRC.format("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM o WHERE length(run) >= 7),
+v AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+i AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+cut AS (SELECT DISTINCT word, n, left(word, i::INT - 1) || substr(word, i::INT + 1) AS k FROM i),
+mask AS (SELECT word, n, left(word, i::INT - 1) || '*' || substr(word, i::INT + 1) AS k FROM i),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM mask a JOIN mask b ON a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN w b ON a.k = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN w b ON a.k = b.word),
+g AS (SELECT word, n, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS other, max(m) AS m FROM near GROUP BY ALL),
+f AS (SELECT word, other AS form, m AS form_n FROM g WHERE m >= 10 * n),
+c0 AS (SELECT word, word AS root FROM w){chain}
+SELECT w.word, f.form, c.root, w.n, coalesce(g.n_near, 0) AS n_near, f.form_n
+FROM w LEFT JOIN g USING (word) LEFT JOIN f USING (word) JOIN c{steps} c USING (word)"""
+
+
+ORACLES["op11_spelling_variants"] = _variants()
