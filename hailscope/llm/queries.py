@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.llm import exact_dedup, html, lattice, line_dedup, lm, manifest, packing, quality, simhash, substring, topk, variants
+from hailscope.llm import exact_dedup, html, jaccard, lattice, line_dedup, lm, manifest, packing, quality, simhash, substring, topk, variants
 from hailscope.llm.common import crc_mod, table
 
 
@@ -81,6 +81,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every row, and whether it still holds after tampering with a third of them."""
     out = manifest.manifest(table(spark, sf_dir, "documents"))
@@ -102,6 +106,7 @@ _ALL = (
     op9_exact_dedup,
     op10_sentencepiece,
     op11_spelling_variants,
+    op12_jaccard_join,
     op13_merkle_manifest,
 )
 QUERIES = {f.__name__: f for f in _ALL}
