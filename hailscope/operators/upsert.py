@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -19,7 +16,8 @@ from hailscope.schemas import (
     MONTH_COLUMN,
     MONTH_PARTITIONED,
 )
-from hailscope.sources.staging import delete_folder, stage
+from hailscope.sources.generations import replace_partitions, replace_table
+from hailscope.sources.staging import stage
 from hailscope.sources.tables import with_month
 
 
@@ -123,10 +121,12 @@ def merge_table(
 
     Keys and columns default to the table's own. Monthly tables are read and
     rewritten only in the months present in the source. The source is staged, as the
-    merge reads it more than once. A plain table is written once to a new folder and
-    then pointed there, so it is whole at any time; touched months are staged and then
-    overwritten, and if that fails the error names the staged copy. One writer at a
-    time is assumed, and the session's time zone has to be UTC, in which months are cut.
+    merge reads it more than once. The merged rows are written once, to a new folder;
+    then the table, or each touched month, is pointed there (see
+    :mod:`hailscope.sources.generations`). So a table and every month of it are whole
+    at any time, and a merge that was interrupted is mended by running it again. One
+    writer at a time is assumed, and the session's time zone has to be UTC, in which
+    months are cut.
     """
     table = name.split(".")[-1]
     keys = keys or MERGE_KEYS[table]
@@ -138,7 +138,7 @@ def merge_table(
     if table not in MONTH_PARTITIONED:
         source = stage(source, f"{table}-source")
         merged = upsert(target, source, keys, update=update, insert=insert)
-        _replace(spark, name, merged.select(*target.columns))
+        replace_table(spark, name, merged.select(*target.columns))
         return
 
     source = stage(with_month(source), f"{table}-source")
@@ -152,38 +152,7 @@ def merge_table(
         touched = touched | part.isNull()
     insert = insert if insert == "*" else [*insert, MONTH_COLUMN]
     merged = upsert(target.filter(touched), source, keys, update=update, insert=insert)
-    result = stage(merged.select(*target.columns), table)
-    # Rebalancing gathers a month's rows in files of the advisory size and splits
-    # a month that is too much for one task.
-    with _dynamic_overwrite(spark):
-        try:
-            result.hint("rebalance", MONTH_COLUMN).write.insertInto(name, overwrite=True)
-        except Exception as e:
-            raise RuntimeError(f"{name} may lack months; the merged rows are in {result.inputFiles()[:1]}") from e
-
-
-def _replace(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """Write ``rows`` beside the table, then point the table there and drop the old files."""
-    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-    old = found.first()["data_type"]
-    new = f"{re.sub('-v[0-9a-f]{32}$', '', old.rstrip('/'))}-v{uuid.uuid4().hex}"
-    rows.write.parquet(new)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
-    spark.catalog.refreshTable(name)
-    delete_folder(spark, old)
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions written. ``insertInto`` takes this from the
-    session, not from writer options."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    replace_partitions(spark, name, MONTH_COLUMN, months, merged.select(*target.columns))
 
 
 def merge_into(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from hailscope.functions.dates import month_number
 from hailscope.schemas import MONTH_COLUMN, MONTH_PARTITIONED, TABLES
+from hailscope.sources.generations import drop_previous
 
 
 def load_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -54,8 +55,11 @@ def empty_tables(spark: SparkSession, db: str, tables: Iterable[str]) -> None:
 
 
 def drop_tables(spark: SparkSession, db: str, tables: Iterable[str]) -> None:
-    """Drop tables where present *(action)*."""
+    """Drop tables where present, with the files of their last rewrite *(action)*."""
+    present = {r["tableName"] for r in list_tables(spark, db).collect()}
     for table in tables:
+        if table in present:
+            drop_previous(spark, f"{db}.{table}")
         spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
 
 
