@@ -112,7 +112,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             premiums = risk.apply_decisions(premiums, tables.load_table(spark, args.decisions))
         premiums.write.mode("overwrite").parquet(args.output)
     elif args.job == "layers":
-        worst = layers.worst_day(chosen(table("hail_county")))
+        worst = layers.worst_day_bulk(table("hail_state"), chosen(table("postcode_areas")))
         shown = layers.map_layers(
             table("hail_state"),
             worst,

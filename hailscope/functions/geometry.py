@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sphere radius of EPSG:3857 in metres, square metres per square mile.
+# Sphere radius of EPSG:3857 and mean radius of the earth in metres, square metres per square mile.
 WEB_MERCATOR_RADIUS = 6378137.0
+SPHERE_RADIUS = 6371008.8
 SQUARE_METRES_PER_SQMI = 2589988
 
 
@@ -50,6 +51,13 @@ def to_web_mercator(geometry: Column | str) -> Column:
     return map_vertices(geometry, lambda v: _vertex(mercator_x(v["x"]), mercator_y(v["y"])))
 
 
+def extent(geometry: Column | str) -> tuple[Column, Column, Column, Column]:
+    """West, south, east and north of a geometry; NULL without vertices."""
+    vertices = F.flatten(F.flatten(_col(geometry)))
+    x, y = F.transform(vertices, lambda v: v["x"]), F.transform(vertices, lambda v: v["y"])
+    return F.array_min(x), F.array_min(y), F.array_max(x), F.array_max(y)
+
+
 def ring_edges(ring: Column) -> Column:
     """Consecutive vertex pairs of a closed ring as ``(x1, y1, x2, y2)``."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))
@@ -114,12 +122,40 @@ def area(geometry: Column | str) -> Column:
     return F.aggregate(rings, F.lit(0.0), lambda acc, a: acc + a)
 
 
-def area_sqmi(geometry: Column | str) -> Column:
-    """Web-Mercator area in square miles.
+def sphere_area(geometry: Column | str) -> Column:
+    """Area in square metres of a polygon in degrees whose edges are great circles on a sphere.
+
+    Each edge spans a four-sided figure with the equator, whose spherical excess follows from
+    the two ends; over a closed ring the excesses add up to the ring's own. Edges go
+    the shorter way round, so rings across the 180th meridian are right; rings
+    around a pole are not.
+    """
+
+    def excess(acc: Column, e: Column) -> Column:
+        turn = F.radians(e["x2"] - e["x1"])
+        short = turn - 2 * F.pi() * F.round(turn / (2 * F.pi()))
+        mean, half = F.radians(e["y1"] + e["y2"]) / 2, F.radians(e["y1"] - e["y2"]) / 2
+        return acc + 2 * F.atan(F.tan(short / 2) * F.sin(mean) / F.cos(half))
+
+    def ring_area(ring: Column, i: Column) -> Column:
+        whole = F.abs(F.aggregate(ring_edges(ring), F.lit(0.0), excess))
+        return F.when(i == 0, whole).otherwise(-whole)
+
+    rings = F.flatten(F.transform(_col(geometry), lambda part: F.transform(part, ring_area)))
+    return F.aggregate(rings, F.lit(0.0), lambda acc, a: acc + a) * SPHERE_RADIUS**2
+
+
+def area_sqmi(geometry: Column | str, method: str = "mercator") -> Column:
+    """Area in square miles.
 
-    Mercator inflates area by 1/cos²(latitude), about 1.5 times at 35°N. All
-    published densities rest on this figure, so it is kept as it is.
+    ``mercator`` inflates area by 1/cos²(latitude), about 1.5 times at 35°N. All
+    published densities rest on this figure, so it is the default. ``sphere``
+    gives the true area on a sphere, see :func:`sphere_area`.
     """
+    if method == "sphere":
+        return sphere_area(geometry) / SQUARE_METRES_PER_SQMI
+    if method != "mercator":
+        raise ValueError(f"method must be mercator or sphere, not {method!r}")
     return area(to_web_mercator(geometry)) / SQUARE_METRES_PER_SQMI
 
 
@@ -256,6 +292,34 @@ def canonical(geometry: Column | str) -> Column:
     return F.sort_array(parts)
 
 
+def boundary_ends(geometry: Column | str) -> Column:
+    """The boundary as an array of edge ends ``(x, y, slope, weight)``, which may be added up.
+
+    Shells run anticlockwise, holes clockwise. An edge weighs 1 where it starts and -1
+    where it ends. Summed per place and slope, what two edges have in common in
+    opposite directions vanishes, whether they share their ends or only overlap, and so
+    does a vertex within a straight line. What is left depends on the ground covered alone,
+    as long as parts do not overlap.
+    """
+
+    def ends(e: Column, way: Column) -> Column:
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        slope = F.when(dx == 0, F.lit(float("inf"))).otherwise(dy / dx + 0.0).alias("slope")
+
+        def end(n: int, weight: Column) -> Column:
+            return F.struct((e[f"x{n}"] + 0.0).alias("x"), (e[f"y{n}"] + 0.0).alias("y"), slope, weight.alias("weight"))
+
+        return F.array(end(1, way), end(2, -way))
+
+    def ring(vertices: Column, i: Column) -> Column:
+        real = F.filter(ring_edges(vertices), lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
+        turn = F.signum(_moments(vertices, F.get(vertices, F.lit(0)))["a"]).cast("int")
+        way = F.when(i == 0, turn).otherwise(-turn)
+        return let(way, lambda w: F.flatten(F.transform(real, lambda e: ends(e, w))))
+
+    return F.flatten(F.flatten(F.transform(_col(geometry), lambda part: F.transform(part, ring))))
+
+
 def geometry_digest(geometry: Column | str) -> Column:
     """256-bit digest of the vertices as stored; a short stand-in for the value."""
     return F.sha2(_col(geometry).cast("string"), 256)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailscope.functions.geometry import canonical
+from hailscope.functions.geometry import boundary_ends, canonical, geometry_digest
 
 
 def assemble_polygons(vertices: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -56,15 +56,37 @@ def with_shape_key(df: DataFrame, geometry: str) -> DataFrame:
 SHAPE_KEY = ["__hash", "__shape"]
 
 
+def outlines(df: DataFrame, geometry: str) -> DataFrame:
+    """``(__digest, __hash, __outline)`` of the different polygons of ``df``.
+
+    The outline is what is left of the boundary when inner cuts have vanished: the ends
+    of :func:`boundary_ends` added up by place and slope. Ends are added up over all
+    tasks, so that one polygon with very many vertices is not one task's work. Polygons
+    without area have no outline.
+    """
+    once = df.select(geometry_digest(geometry).alias("__digest"), geometry).dropDuplicates(["__digest"])
+    ends = once.select("__digest", F.explode(boundary_ends(geometry)).alias("e")).select("__digest", "e.*")
+    left = ends.groupBy("__digest", "x", "y", "slope").agg(F.sum("weight").alias("weight")).filter("weight <> 0")
+    whole = left.groupBy("__digest").agg(
+        F.array_sort(F.collect_list(F.struct("x", "y", "slope", "weight"))).alias("__outline")
+    )
+    return whole.select("__digest", F.xxhash64("__outline").alias("__hash"), "__outline")
+
+
 def match_equal_areas(
     left: DataFrame, right: DataFrame, *, left_geometry: str, right_geometry: str
 ) -> DataFrame:
-    """Pairs of rows whose polygons cover the same set of points.
-
-    Shapes cut differently into parts, or with overlapping parts, are not
-    recognised as equal. Column names of the two sides must differ.
+    """Pairs of rows whose polygons cover the same ground, however they are drawn or cut.
+
+    Start vertices, directions, extra vertices on straight lines, the order of holes and
+    parts, and cuts into parts do not matter. Different polygons are compared once, by
+    :func:`outlines`, and their rows are paired after. Places and slopes are compared
+    exactly: a cut across a slanted edge matches if its new vertex is exact. Polygons with
+    overlapping parts are not recognised; those without area match nothing. Column names of
+    the two sides must differ.
     """
-    pairs = with_shape_key(left, left_geometry).join(
-        with_shape_key(right, right_geometry), SHAPE_KEY
-    )
-    return pairs.drop(*SHAPE_KEY)
+    shapes = outlines(left, left_geometry).withColumnRenamed("__digest", "__left")
+    others = outlines(right, right_geometry).withColumnRenamed("__digest", "__right")
+    same = shapes.join(others, ["__hash", "__outline"]).select("__left", "__right")
+    pairs = left.withColumn("__left", geometry_digest(left_geometry)).join(same, "__left")
+    return pairs.join(right.withColumn("__right", geometry_digest(right_geometry)), "__right").drop("__left", "__right")

@@ -22,12 +22,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailscope.functions.geometry import crosses, edges, geometry_digest, touches
-from hailscope.operators.sizing import BROADCAST_BYTES, stage_measured
+from hailscope.operators.sizing import BROADCAST_BYTES, broadcast_within, stage_measured
+from hailscope.sources.staging import stage
 
 TILE = ["__band", "__column"]
 CELL = 0.0625
@@ -152,6 +155,7 @@ def points_in_areas(
     cell: float = CELL,
     broadcast_bytes: int = BROADCAST_BYTES,
     points_per_task: int = POINTS_PER_TASK,
+    how: str = "inner",
 ) -> DataFrame:
     """Every (point, area) pair where the point is strictly inside.
 
@@ -159,52 +163,67 @@ def points_in_areas(
     staged and measured first *(action on areas)*: up to ``broadcast_bytes`` it
     is sent to every executor and points are not shuffled. Above that both sides
     shuffle on the tile, and tiles with more than ``points_per_task`` points are
-    split over several tasks.
+    split over several tasks; the points are then read twice, so stage them if they
+    are costly to compute.
+
+    ``how="left"`` also returns every point that lies in no area, once, with NULL in
+    ``keep``; points without a place are among them. A point meets all index rows of its
+    tile in one task on either way, so the test is the join's own condition and no
+    second pass looks for points left over.
 
     ``cell`` (degrees, a power of two) trades index rows against edges per tile:
     smaller suits outlines with many vertices, larger suits very wide polygons.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how!r}")
     index, size = stage_measured(
         area_index(areas, keep, geometry=geometry, cell=cell), "area-index"
     )
-    placed = points.filter(
-        F.col(lon).isNotNull() & F.col(lat).isNotNull() & ~F.isnan(lon) & ~F.isnan(lat)
-    ).withColumns({"__band": _tile(F.col(lat), cell), "__column": _tile(F.col(lon), cell)})
-
-    if size <= broadcast_bytes:
-        pairs = placed.join(F.broadcast(index), TILE)
+    x, y, near = F.col(lon), F.col(lat), F.col("__edges")
+    known = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    if how == "inner":
+        points, known = points.filter(known), F.lit(True)
+    tile = {"__band": _tile(y, cell), "__column": _tile(x, cell)}
+    placed = points.withColumns({c: F.when(known, t) for c, t in tile.items()})
+    on = TILE
+    if size > broadcast_bytes:
+        placed, index = _split_tiles(placed, index, points_per_task)
+        on = [*TILE, "__share"]
     else:
-        pairs = _join_split_tiles(placed, index, points_per_task)
+        index = F.broadcast(index)
 
-    x, y, near = F.col(lon), F.col(lat), F.col("__edges")
+    index = index.withColumnsRenamed({c: f"{c}_of" for c in on})
+    same = reduce(and_, [F.col(c) == F.col(f"{c}_of") for c in on])
     # A tile without edges is in the index only because it lies inside.
     tested = _odd(near, x, y, F.col("__odd")) & ~F.exists(near, lambda e: touches(e, x, y))
-    return pairs.filter((F.size(near) == 0) | tested).select(*points.columns, *keep)
+    return placed.join(index, same & ((F.size(near) == 0) | tested), how).select(*points.columns, *keep)
 
 
-def _join_split_tiles(placed: DataFrame, index: DataFrame, points_per_task: int) -> DataFrame:
-    """Shuffle join with crowded tiles cut in shares.
+def _split_tiles(
+    placed: DataFrame, index: DataFrame, points_per_task: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``__share``, crowded tiles cut in shares.
 
     A crowded tile's index rows are repeated once per share; its points take a
     share by the task that read them, which spreads even identical points and
-    stays the same when a task is run again. The table of crowded tiles has at
-    most (points / points_per_task) rows.
+    stays the same when a task is run again. Points without a place are spread
+    likewise. The table of crowded tiles has at most (points / points_per_task)
+    rows; it is broadcast if it measures little enough.
     """
     crowded = (
         placed.groupBy(*TILE)
         .count()
-        .filter(F.col("count") > points_per_task)
+        .filter((F.col("count") > points_per_task) & F.col("__band").isNotNull())
         .select(*TILE, F.ceil(F.col("count") / points_per_task).cast("int").alias("__shares"))
     )
+    crowded = broadcast_within(stage(crowded, "crowded-tiles"))
     shares = F.coalesce("__shares", F.lit(1))
-    spread_points = (
-        placed.join(F.broadcast(crowded), TILE, "left")
-        .withColumn("__share", F.pmod(F.spark_partition_id(), shares))
-        .drop("__shares")
-    )
+    task = F.spark_partition_id()
+    share = F.when(F.col("__band").isNull(), task).otherwise(F.pmod(task, shares))
+    spread_points = placed.join(crowded, TILE, "left").withColumn("__share", share).drop("__shares")
     spread_index = (
-        index.join(F.broadcast(crowded), TILE, "left")
+        index.join(crowded, TILE, "left")
         .withColumn("__share", F.explode(F.sequence(F.lit(0), shares - 1)))
         .drop("__shares")
     )
-    return spread_points.join(spread_index, [*TILE, "__share"])
+    return spread_points, spread_index.hint("merge")

@@ -10,10 +10,10 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailscope.functions.dates import within_months
+from hailscope.functions.dates import month_number, within_months
 from hailscope.functions.measurements import measured, missing_count
 from hailscope.operators.dedup import first_per_key
-from hailscope.schemas import BROKEN_LINE, HAIL_TYPES, MEASUREMENTS, MERGE_KEYS
+from hailscope.schemas import BROKEN_LINE, HAIL_TYPES, MEASUREMENTS, MERGE_KEYS, MONTH_COLUMN
 
 Instant = str | datetime
 
@@ -87,14 +87,66 @@ def load_hail(csv: DataFrame, start: Instant, end: Instant) -> tuple[DataFrame,
     return chosen, rejects
 
 
-def verify_hail(hail: DataFrame) -> DataFrame:
+#: Registers of a distinct-count sketch, as a power of two, and the relative error that an
+#: estimate keeps within, three standard errors of 1.04 / sqrt(registers).
+SKETCH_BITS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+DISTINCT = {
+    "days": lambda: F.to_date("ZTIME").cast("string"),
+    "stations": lambda: F.col("WSR_ID"),
+    "cells": lambda: F.concat_ws("/", "WSR_ID", "CELL_ID"),
+    "places": lambda: F.concat_ws("/", F.col("LON").cast("string"), F.col("LAT").cast("string")),
+}
+
+
+def distinct_sketches(hail: DataFrame) -> DataFrame:
+    """``(event_month, n, days, stations, cells, places)``: a row per month with its distinct-count sketches.
+
+    A sketch takes a few kilobytes however many reports there are, and sketches of
+    months merge, so after a correction only the touched months are sketched anew.
+    Missing values are not counted.
+    """
+    month = month_number(F.col("ZTIME")).alias(MONTH_COLUMN)
+    sketches = [F.hll_sketch_agg(value(), SKETCH_BITS).alias(name) for name, value in DISTINCT.items()]
+    return hail.groupBy(month).agg(F.count(F.lit(1)).alias("n"), *sketches)
+
+
+def merge_sketches(sketches: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``sketches`` with the months that are in ``fresh`` taken from there."""
+    return sketches.join(fresh, MONTH_COLUMN, "left_anti").unionByName(fresh)
+
+
+def distinct_estimates(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated distinct counts over all months, or per ``by``, from sketches alone.
+
+    Each is within ``SKETCH_ERROR`` of the exact count in all but 0.3 % of cases.
+    """
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(name)).alias(f"unique_{name}") for name in DISTINCT]
+    return sketches.groupBy(*by).agg(F.sum("n").alias("total_records"), *merged)
+
+
+def verify_hail(hail: DataFrame, approx: bool = False) -> DataFrame:
     """One row on the loaded data: extent, missing values, sizes.
 
     Partial figures per day and station come first. They answer both distinct
-    counts without holding every row once per count, and are few.
+    counts without holding every row once per count, and are few. With ``approx``
+    there are none: one pass with sketches of fixed size, for keys without bound;
+    the distinct counts are then estimates, see :func:`distinct_estimates`.
     """
+    if approx:
+        return _verified(hail.agg(*_verify_partials(), *_verify_sketches()), approx)
+    daily = hail.groupBy(F.to_date("ZTIME").alias("day"), "WSR_ID").agg(*_verify_partials())
+    return _verified(daily, approx)
+
+
+def _verify_sketches() -> list[Column]:
+    return [F.hll_sketch_agg(DISTINCT[name](), SKETCH_BITS).alias(name) for name in ("days", "stations")]
+
+
+def _verify_partials() -> list[Column]:
     size = measured("MAXSIZE")
-    daily = hail.groupBy(F.to_date("ZTIME").alias("day"), "WSR_ID").agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.min("ZTIME").alias("first"),
         F.max("ZTIME").alias("last"),
@@ -104,15 +156,21 @@ def verify_hail(hail: DataFrame) -> DataFrame:
         F.sum(size).alias("size_sum"),
         F.count(size).alias("size_n"),
         F.max(size).alias("size_max"),
-    )
+    ]
+
+
+def _verified(partials: DataFrame, approx: bool) -> DataFrame:
+    def distinct(exact: str, sketch: str) -> Column:
+        return F.hll_sketch_estimate(F.hll_union_agg(sketch)) if approx else F.count_distinct(exact)
+
     total = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "no_sevprob", "no_prob", "no_size")]
     mean = F.sum("size_sum") / F.nullif(F.sum("size_n"), F.lit(0))
-    return daily.agg(
+    return partials.agg(
         total[0].alias("total_records"),
         F.min("first").alias("earliest_date"),
         F.max("last").alias("latest_date"),
-        F.count_distinct("day").alias("unique_days"),
-        F.count_distinct("WSR_ID").alias("unique_stations"),
+        distinct("day", "days").alias("unique_days"),
+        distinct("WSR_ID", "stations").alias("unique_stations"),
         total[1].alias("missing_sevprob"),
         total[2].alias("missing_prob"),
         total[3].alias("missing_maxsize"),

@@ -43,7 +43,7 @@ def recent(hail: DataFrame, as_of: str | date | None = None, days: int = WINDOW_
     return within_months(hail, first).filter(F.col("ZTIME") >= first.cast("timestamp"))
 
 
-def _partials(hail: DataFrame, *by: str) -> DataFrame:
+def partials(hail: DataFrame, *by: str | Column) -> DataFrame:
     """Sums and counts that can be added up again."""
     size, severe, prob = measured("MAXSIZE"), measured("SEVPROB"), measured("PROB")
     return hail.groupBy(*by).agg(
@@ -60,19 +60,22 @@ def _partials(hail: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def _add_up(partials: DataFrame, *by: str) -> DataFrame:
-    parts = [c for c in partials.columns if c.endswith(("_sum", "_n"))]
-    return partials.groupBy(*by).agg(
+def add_up(rows: DataFrame, *by: str) -> DataFrame:
+    """Such sums and counts added up further."""
+    parts = [c for c in rows.columns if c.endswith(("_sum", "_n"))]
+    return rows.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in ("events", "damaging", "high_risk", *parts)],
         F.max("size_max").alias("size_max"),
     )
 
 
-def _figures(partials: DataFrame, *by: str) -> DataFrame:
+def figures(rows: DataFrame, *by: str) -> DataFrame:
+    """Counts, means and maxima from sums and counts."""
+
     def mean(c: str) -> Column:
         return F.col(f"{c}_sum") / F.nullif(F.col(f"{c}_n"), F.lit(0))
 
-    return partials.select(
+    return rows.select(
         *by,
         F.col("events").alias("event_count"),
         mean("size").alias("avg_hail_size"),
@@ -86,7 +89,7 @@ def _figures(partials: DataFrame, *by: str) -> DataFrame:
 
 def event_stats(hail: DataFrame, *by: str) -> DataFrame:
     """Counts, means and maxima per ``by``, missing measurements left out."""
-    return _figures(_partials(hail, *by), *by)
+    return figures(partials(hail, *by), *by)
 
 
 def country_of(state_code: str) -> Column:
@@ -118,13 +121,14 @@ def _risk_rows(stats: DataFrame, area_type: str, area_id: str, now: Column) -> D
     return stats.select(*[values[c].alias(c) for c in RISK_COMPARISON.names])
 
 
-def _compare(
+def compare_areas(
     county_stats: DataFrame,
     state_stats: DataFrame,
     postcode_areas: DataFrame,
     states: DataFrame,
     now: Column | None,
 ) -> DataFrame:
+    """Risk rows of postcodes and states from their statistics."""
     now = F.current_timestamp() if now is None else now
     states = one_per_state(states)
     state_sqmi = states.select(
@@ -150,7 +154,7 @@ def risk_comparison(
     now: Column | None = None,
 ) -> DataFrame:
     """A county row per postcode and a state row per state, from stored subsets."""
-    return _compare(
+    return compare_areas(
         event_stats(recent(hail_county, as_of), "postcode", "country"),
         event_stats(recent(hail_state, as_of), "state_code"),
         postcode_areas,
@@ -175,10 +179,10 @@ def risk_comparison_bulk(
     polygons, users = distinct_areas(postcode_areas)
     window = recent(hail_state, as_of).select("LON", "LAT", "MAXSIZE", "SEVPROB", "PROB")
     inside = points_in_areas(window, polygons, ["area_key"], geometry="area", **join)
-    handed = users.join(_partials(inside, "area_key"), "area_key")
-    per_postcode = _add_up(handed, "postcode", "country")
-    return _compare(
-        _figures(per_postcode, "postcode", "country"),
+    handed = users.join(partials(inside, "area_key"), "area_key")
+    per_postcode = add_up(handed, "postcode", "country")
+    return compare_areas(
+        figures(per_postcode, "postcode", "country"),
         event_stats(recent(hail_state, as_of), "state_code"),
         postcode_areas,
         states,

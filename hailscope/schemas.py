@@ -82,11 +82,29 @@ RISK_COMPARISON = _table(
     ("updated_at", T.TimestampType()),
 )
 
+# Sums and counts per area and day, which add up to any window.
+HAIL_DAILY = _table(
+    ("kind", T.StringType()),
+    ("area", T.StringType()),
+    ("day", T.DateType()),
+    ("events", T.LongType()),
+    ("size_sum", T.DoubleType()),
+    ("size_n", T.LongType()),
+    ("size_max", T.DoubleType()),
+    ("severe_sum", T.LongType()),
+    ("severe_n", T.LongType()),
+    ("prob_sum", T.LongType()),
+    ("prob_n", T.LongType()),
+    ("damaging", T.LongType()),
+    ("high_risk", T.LongType()),
+)
+
 TABLES = {
     "hail_raw": HAIL_RAW,
     "hail_state": HAIL_STATE,
     "hail_county": HAIL_COUNTY,
     "hail_events": HAIL_EVENTS,
+    "hail_daily": HAIL_DAILY,
     "postcode_areas": POSTCODE_AREAS,
     "state_boundary": STATE_BOUNDARY,
     "risk_comparison": RISK_COMPARISON,
@@ -94,7 +112,7 @@ TABLES = {
 
 # The hail tables grow without end; they are stored by month so that a merge
 # rewrites only the months it touches and a time filter skips the rest.
-MONTH_PARTITIONED = ("hail_raw", "hail_state", "hail_county")
+MONTH_PARTITIONED = ("hail_raw", "hail_state", "hail_county", "hail_daily")
 MONTH_COLUMN = "event_month"
 
 # Merge keys and the columns a match updates ("*" = every column).

@@ -73,7 +73,7 @@ def replace_partitions(
 ) -> None:
     """Make ``rows`` the content of the partitions ``values`` of a table *(action)*.
 
-    ``rows`` has rows of every one of them, and of no others. They are written once,
+    ``rows`` has rows of these alone; one without any is left empty. They are written once,
     gathered by partition in files of the advisory size, within the table's own
     folder. If the write fails nothing has changed. Then one statement adds the new
     partitions and one each switches the others. If that is interrupted, each partition
@@ -89,6 +89,9 @@ def replace_partitions(
     drop_superseded(spark, name, column)
     folder = f"{table_location(spark, name)}/_rewrite-{uuid.uuid4().hex}"
     rows.hint("rebalance", column).write.partitionBy(column).parquet(folder)
+    for v in values:
+        where, files = _files(spark, f"{folder}/{_folder_name(column, v)}")
+        files.mkdirs(where)  # is there, unless the partition has no rows
     _write_lines(spark, f"{folder}/{SUPERSEDED}", [f"{_folder_name(column, v)} {old[v]}" for v in old])
     _set_property(spark, name, REWRITE, folder)
 

@@ -171,3 +171,35 @@ def test_batches_of_equal_keys(spark):
     df = spark.range(0, 1000, 1, 5).select(F.lit(1).alias("t"))
     sizes = sorted(r["count"] for r in assign_batches(df, ["t"], 300).groupBy("batch_id").count().collect())
     assert sizes == [100, 300, 300, 300]
+
+
+def test_distinct_sketches_merge_over_months(spark, sf_dir):
+    from workload import fixtures as fx
+
+    hail = fx.hail(spark, sf_dir).withColumn("ZTIME", F.expr("ZTIME + make_interval(0, int(event_id % 4))")).cache()
+    sketches = load.distinct_sketches(hail)
+    months = {r.event_month: r for r in load.distinct_estimates(sketches, "event_month").collect()}
+    exact = {r.m: r for r in hail.groupBy(F.date_format("ZTIME", "yyyyMM").cast("int").alias("m")).agg(
+        *[F.count_distinct(v()).alias(n) for n, v in load.DISTINCT.items()]).collect()}
+    assert set(months) == set(exact) and len(months) > 3
+    for m, row in months.items():
+        for name in load.DISTINCT:
+            assert abs(row[f"unique_{name}"] - exact[m][name]) <= load.SKETCH_ERROR * exact[m][name]
+    # A month replaced counts once, and months add up to the whole.
+    total = hail.agg(*[F.count_distinct(v()).alias(n) for n, v in load.DISTINCT.items()]).first()
+    for parts in (sketches, load.merge_sketches(sketches, sketches.filter("event_month % 2 = 0"))):
+        whole = load.distinct_estimates(parts).first()
+        assert whole.total_records == hail.count()
+        for name in load.DISTINCT:
+            assert abs(whole[f"unique_{name}"] - total[name]) <= load.SKETCH_ERROR * total[name]
+
+
+def test_verify_with_sketches(spark, sf_dir):
+    from workload import fixtures as fx
+
+    hail = fx.hail(spark, sf_dir)
+    assert load.verify_hail(hail, approx=True).first() == load.verify_hail(hail).first()
+    text = plan(load.verify_hail(hail, approx=True))
+    assert "Expand" not in text and text.count("Exchange") <= 2
+    empty = load.verify_hail(hail.limit(0), approx=True).first()
+    assert (empty.total_records, empty.unique_days, empty.unique_stations) == (0, 0, 0)

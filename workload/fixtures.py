@@ -36,6 +36,20 @@ OUTLINES = {
             (1, 0, 0, 7, 7), (1, 0, 1, 8, 7), (1, 0, 2, 8, 8), (1, 0, 3, 7, 8), (1, 0, 4, 7, 7),
         ],
     ),
+    # The parcel cut in two, one way or the other; the second half narrower or lower where it is odd.
+    "cut_outline": (
+        "way part ring i ux uy",
+        [
+            (0, 0, 0, 0, 0, 0), (0, 0, 0, 1, 3, 0), (0, 0, 0, 2, 3, 6), (0, 0, 0, 3, 0, 6), (0, 0, 0, 4, 0, 0),
+            (0, 1, 0, 0, 3, 0), (0, 1, 0, 1, 3, 3), (0, 1, 0, 2, 6, 3), (0, 1, 0, 3, 6, 0), (0, 1, 0, 4, 3, 0),
+            (1, 0, 0, 0, 6, 3), (1, 0, 0, 1, 6, 0), (1, 0, 0, 2, 0, 0), (1, 0, 0, 3, 0, 3), (1, 0, 0, 4, 6, 3),
+            (1, 1, 0, 0, 0, 3), (1, 1, 0, 1, 3, 3), (1, 1, 0, 2, 3, 6), (1, 1, 0, 3, 0, 6), (1, 1, 0, 4, 0, 3),
+            (0, 0, 1, 0, 1, 1), (0, 0, 1, 1, 1, 2), (0, 0, 1, 2, 2, 2), (0, 0, 1, 3, 2, 1), (0, 0, 1, 4, 1, 1),
+            (1, 0, 1, 0, 1, 1), (1, 0, 1, 1, 2, 1), (1, 0, 1, 2, 2, 2), (1, 0, 1, 3, 1, 2), (1, 0, 1, 4, 1, 1),
+            (0, 2, 0, 0, 7, 7), (0, 2, 0, 1, 8, 7), (0, 2, 0, 2, 8, 8), (0, 2, 0, 3, 7, 8), (0, 2, 0, 4, 7, 7),
+            (1, 2, 0, 0, 7, 7), (1, 2, 0, 1, 8, 7), (1, 2, 0, 2, 8, 8), (1, 2, 0, 3, 7, 8), (1, 2, 0, 4, 7, 7),
+        ],
+    ),
     # Corners with their predecessor (px, py); m = corners in the ring.
     "plot_outline": (
         "part ring m i ux uy px py",
@@ -160,6 +174,15 @@ SELECT k AS plot_id, part, ring, i,
 FROM drawn
 """
 
+# The parcels cut in two parts, every seventh with less ground.
+CUT_VERTICES = """
+SELECT c_custkey AS cut_id, part, ring, i,
+ CAST(-104 AS DOUBLE) + (CAST(c_custkey % 1000 AS DOUBLE) + CASE WHEN c_custkey % 7 = 0 AND ux = 6 THEN CAST(5 AS DOUBLE) ELSE CAST(ux AS DOUBLE) END/CAST(8 AS DOUBLE))/CAST(64 AS DOUBLE) AS x,
+ CAST(31 AS DOUBLE) + (CAST(CAST(floor(CAST(c_custkey AS DOUBLE)/CAST(1000 AS DOUBLE)) AS BIGINT) % 512 AS DOUBLE) + CAST(uy AS DOUBLE)/CAST(8 AS DOUBLE))/CAST(64 AS DOUBLE) AS y
+FROM {customer} {cut_outline}
+WHERE way = c_custkey % 2 AND (ring = 0 OR c_custkey % 3 = 0) AND (part < 2 OR c_custkey % 4 = 0)
+"""
+
 # Reviewers' answers, several for one postcode, some no valid choice.
 DECISIONS = """
 SELECT CAST(73000 + c_custkey % 50 AS VARCHAR(10)) AS postcode, 'US' AS country,
@@ -231,6 +254,10 @@ def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble_polygons(derive(spark, sf_dir, CUT_VERTICES), ["cut_id"]).withColumnRenamed("geometry", "cut")
+
+
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(spark, sf_dir, ADDRESSES).withColumn(
         "address_levels", F.array(F.struct(F.col("level0").alias("value")))

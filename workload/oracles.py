@@ -77,6 +77,18 @@ def _corners(vertices: str, key: str) -> str:
     )
 
 
+def _cells(vertices: str, key: str, side: int = 512) -> str:
+    """Cells of a raster whose middle lies within a part, by the upright edges to the right of it."""
+    return (
+        f"SELECT {key}, part, cx, cy FROM (SELECT *, unnest(range(low, high)) AS cy FROM (SELECT {key}, part,"
+        f" unnest(range(CAST(min(x)*{side} AS BIGINT), CAST(max(x)*{side} AS BIGINT))) AS cx,"
+        f" CAST(min(y)*{side} AS BIGINT) AS low, CAST(max(y)*{side} AS BIGINT) AS high FROM {vertices} GROUP BY 1, 2))"
+        f" JOIN ({_edges(vertices, key)}) USING ({key}, part)"
+        f" WHERE x1 = x2 AND x1*{side} > cx + 0.5 AND (y1*{side} > cy + 0.5) <> (y2*{side} > cy + 0.5)"
+        f" GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1"
+    )
+
+
 def _number(c: str) -> str:
     return f"regexp_replace(CAST({c} AS VARCHAR), '\\.0$', '')"
 
@@ -117,6 +129,16 @@ def _risk(area_type: str, area_id: str) -> str:
     )
 
 
+def _risk_rows(county_stats: str, state_stats: str) -> str:
+    return (
+        f"SELECT {_risk('county', 'a.postcode')} FROM postcode_areas a"
+        f" JOIN states s USING (state_code) LEFT JOIN {county_stats} n ON n.postcode = a.postcode"
+        f" UNION ALL SELECT {_risk('state', 'a.state_code')} FROM states a"
+        f" JOIN {state_stats} n ON n.state_code = a.state_code"
+        " WHERE a.state_code IN (SELECT state_code FROM postcode_areas)"
+    )
+
+
 METRICS = [
     "event_count", "events_per_sqmi", "avg_hail_size", "max_hail_size", "avg_severe_prob",
     "avg_hail_prob", "damaging_events", "damaging_per_sqmi", "high_risk_events",
@@ -138,6 +160,14 @@ RELATIONS = {
     "state_vertices": fx.duckdb_sql(fx.STATE_VERTICES),
     "parcel_vertices": fx.duckdb_sql(fx.PARCEL_VERTICES),
     "plot_vertices": fx.duckdb_sql(fx.PLOT_VERTICES),
+    "cut_vertices": fx.duckdb_sql(fx.CUT_VERTICES),
+    **{
+        f"{name}_ground": (
+            f"SELECT {name}_id, list(DISTINCT (cx, cy) ORDER BY (cx, cy)) AS ground"
+            f" FROM ({_cells(f'{name}_vertices', f'{name}_id')}) GROUP BY 1"
+        )
+        for name in ("parcel", "cut")
+    },
     "addresses": fx.duckdb_sql(fx.ADDRESSES),
     "decisions": fx.duckdb_sql(fx.DECISIONS),
     "county_edges": _edges("county_vertices", "area_id"),
@@ -172,13 +202,11 @@ RELATIONS = {
     ),
     "county_stats": _stats("hail_county", "postcode"),
     "state_stats": _stats("hail_state", "state_code"),
-    "risk": (
-        f"SELECT {_risk('county', 'a.postcode')} FROM postcode_areas a"
-        " JOIN states s USING (state_code) LEFT JOIN county_stats n ON n.postcode = a.postcode"
-        f" UNION ALL SELECT {_risk('state', 'a.state_code')} FROM states a"
-        " JOIN state_stats n ON n.state_code = a.state_code"
-        " WHERE a.state_code IN (SELECT state_code FROM postcode_areas)"
-    ),
+    "risk": _risk_rows("county_stats", "state_stats"),
+    "mended_state": "SELECT * REPLACE (CASE WHEN event_id % 20 = 0 THEN 100 ELSE PROB END AS PROB) FROM hail_state",
+    "mended_county": "SELECT * REPLACE (CASE WHEN event_id % 20 = 0 THEN 100 ELSE PROB END AS PROB) FROM hail_county",
+    "mended_county_stats": _stats("mended_county", "postcode"),
+    "mended_state_stats": _stats("mended_state", "state_code"),
     "comparison": (
         "SELECT a.postcode, a.country, r.* EXCLUDE (country) FROM postcode_areas a JOIN risk r"
         " ON (r.area_type = 'county' AND r.area_id = a.postcode)"
@@ -259,6 +287,9 @@ _BEST = (
 )
 _LOADED = "event_id % 89 <> 0 AND event_id % 97 <> 0"
 
+# Half-angle form of a ring's spherical excess, shells minus holes.
+_SPHERE = "sum(CASE WHEN ring = 0 THEN e ELSE -e END)*6371008.8*6371008.8"
+
 _METRIC_ROWS = " UNION ALL ".join(
     f"SELECT c.postcode, c.country, '{m}' AS metric, CAST(c.{m} AS DOUBLE) AS county,"
     f" CAST(s.{m} AS DOUBLE) AS state FROM comparison c JOIN comparison s"
@@ -324,6 +355,16 @@ FINAL = {
         " FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders)"
     ),
     "verify_hail": "SELECT * FROM verify",
+    "verify_hail_approx": "SELECT * FROM verify",
+    "distinct_estimates": " UNION ALL ".join(
+        f"SELECT '{name}' AS figure, count(DISTINCT {value}) AS exact, true AS near FROM hail"
+        for name, value in (
+            ("days", "CAST(ZTIME AS DATE)"),
+            ("stations", "WSR_ID"),
+            ("cells", "(WSR_ID, CELL_ID, date_trunc('month', ZTIME) = DATE '2024-01-01')"),
+            ("places", "(LON, LAT)"),
+        )
+    ),
     "transpose_summary": " UNION ALL ".join(
         f"SELECT '{c}' AS metric, CAST({c} AS VARCHAR) AS value FROM verify" for c in _VERIFY_COLUMNS
     ),
@@ -362,9 +403,19 @@ FINAL = {
     "area_sqmi": (
         f"SELECT parcel_id, round(sqmi, 6) AS area_sqmi FROM ({_sqmi('parcel_vertices', 'parcel_id')})"
     ),
+    "area_sqmi_sphere": (
+        f"SELECT parcel_id, round({_SPHERE}/2589988, 6) AS area_sqmi FROM (SELECT parcel_id, part, ring,"
+        " abs(sum(2*atan2(tan(radians(x2 - x1)/2)*(tan(radians(y1)/2) + tan(radians(y2)/2)),"
+        " 1 + tan(radians(y1)/2)*tan(radians(y2)/2)))) AS e FROM parcel_edges GROUP BY 1, 2, 3) GROUP BY 1"
+    ),
     "polygon_centroid": _centroid("parcel_edges", "parcel_id"),
     "points_in_areas": "SELECT event_id, area_id FROM in_county",
     "points_in_areas_shuffled": "SELECT event_id, area_id FROM in_county",
+    **dict.fromkeys(
+        ("points_in_areas_left", "points_in_areas_left_shuffled"),
+        "SELECT h.event_id, CASE WHEN h.event_id % 19 <> 0 THEN h.LON END AS LON, c.area_id FROM hail h"
+        " LEFT JOIN in_county c ON c.event_id = h.event_id AND h.event_id % 19 <> 0",
+    ),
     "contains": (
         "SELECT p.address_id, count(*) > 0 AS inside FROM (SELECT a.address_id, a.LON, a.LAT,"
         " c.area_id FROM addresses a JOIN postcode_areas c USING (postcode)) p JOIN county_edges e"
@@ -378,6 +429,8 @@ FINAL = {
         f"SELECT a.parcel_id, b.plot_id FROM ({_corners('parcel_vertices', 'parcel_id')}) a"
         f" JOIN ({_corners('plot_vertices', 'plot_id')}) b USING (shape)"
     ),
+    # Cut parcels cover the same cells of the raster that all corners lie on.
+    "match_cut_areas": "SELECT parcel_id, cut_id FROM parcel_ground JOIN cut_ground USING (ground)",
     "export_wkt": _wkt("parcel_vertices", "parcel_id"),
     "ingest_wkt": "SELECT parcel_id, part, ring, i, x, y FROM parcel_vertices WHERE parcel_id % 50 <> 0",
     "ingest_wkt_rejects": (
@@ -405,6 +458,7 @@ FINAL = {
     ),
     "risk_comparison": "SELECT * FROM risk",
     "risk_comparison_bulk": "SELECT * FROM risk",
+    "risk_comparison_incremental": _risk_rows("mended_county_stats", "mended_state_stats"),
     "fetch_comparison": "SELECT * FROM comparison",
     "comparison_report": _METRIC_ROWS,
     "premium_adjustment": "SELECT * FROM premium",
@@ -444,6 +498,25 @@ FINAL = {
         " CASE WHEN event_id % 3 = 0 THEN 'new' ELSE CELL_ID END AS CELL_ID) FROM first_events"
         " UNION ALL SELECT * FROM first_events WHERE event_id % 3 = 0"
     ),
+    "map_layers_read_back": (
+        "SELECT CASE WHEN CAST(postcode AS INT) % 5 = 0 THEN 'rejects' ELSE 'selected_county' END AS layer,"
+        " postcode AS name, '' AS time, CAST(NULL AS DOUBLE) AS LON, CAST(NULL AS DOUBLE) AS LAT,"
+        " CASE WHEN CAST(postcode AS INT) % 5 <> 0 THEN wkt END AS geometry"
+        " FROM postcode_areas JOIN county_wkt USING (area_id)"
+        " UNION ALL SELECT 'counties', n_name, '', NULL, NULL, wkt FROM county_wkt JOIN nation ON n_nationkey = area_id"
+        " UNION ALL SELECT 'map_center', state_code, '', lon, lat, NULL FROM states JOIN"
+        f" ({_centroid('state_edges', 'state_no')}) USING (state_no)"
+        " UNION ALL SELECT 'hail', h.state_code, strftime(h.ZTIME, '%Y-%m-%d %H:%M:%S'), round(h.LON, 6), round(h.LAT, 6), NULL"
+        " FROM hail_state h WHERE (h.state_code, CAST(h.ZTIME AS DATE)) IN"
+        " (SELECT (p.state_code, w.date) FROM worst w JOIN postcode_areas p USING (postcode))"
+    ),
+    "map_layers_in_box": (
+        "SELECT 'hail' AS layer, CAST(event_id AS VARCHAR) AS name, '' AS time, round(LON, 6) AS LON, round(LAT, 6) AS LAT,"
+        " NULL AS geometry FROM hail WHERE LON BETWEEN -101.25 AND -98.5 AND LAT BETWEEN 32.0 AND 34.125"
+        " UNION ALL SELECT 'counties', n_name, '', NULL, NULL, wkt FROM county_wkt JOIN nation ON n_nationkey = area_id"
+        " WHERE area_id IN (SELECT area_id FROM county_vertices GROUP BY 1"
+        " HAVING min(x) <= -98.5 AND max(x) >= -101.25 AND min(y) <= 34.125 AND max(y) >= 32.0)"
+    ),
     "counties_layer": (
         "SELECT n_name AS county_name, wkt AS geometry FROM county_wkt"
         " JOIN nation ON n_nationkey = area_id"

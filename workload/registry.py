@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hailscope.functions import geometry as geo
-from hailscope.functions.dates import days_between, window_bounds
+from hailscope.functions.dates import days_between, month_number, window_bounds
 from hailscope.operators.batches import assign_batches
 from hailscope.operators.dedup import first_per_key
 from hailscope.operators.shapes import match_equal_areas
 from hailscope.operators.spatial_join import points_in_areas
 from hailscope.operators.upsert import upsert
-from hailscope.plans import areas, layers, load, risk, subset
+from hailscope.plans import areas, daily, layers, load, risk, subset
 from hailscope.schemas import BROKEN_LINE, HAIL_CSV_COLUMNS, MEASUREMENTS, MERGE_KEYS
 from hailscope.sources import geojson, wkt
 from hailscope.sources.hail_csv import read_hail_csv
@@ -168,6 +168,33 @@ def verify_hail(spark, d):
     return load.verify_hail(fx.hail_revisions(spark, d))
 
 
+@query
+def verify_hail_approx(spark, d):
+    """By sketches; so few days and stations are still counted exactly."""
+    return load.verify_hail(fx.hail_revisions(spark, d), approx=True)
+
+
+@query
+def distinct_estimates(spark, d):
+    """Distinct counts from monthly sketches after a correction of one month, held against the exact ones."""
+    hail = fx.hail(spark, d)
+    corrected = hail.withColumn("CELL_ID", F.when(_in_january(), F.concat("CELL_ID", F.lit("x"))).otherwise(F.col("CELL_ID")))
+    stored = stage(load.distinct_sketches(hail), "sketches")
+    fresh = load.distinct_sketches(corrected.filter(_in_january()))
+    estimates = load.distinct_estimates(load.merge_sketches(stored, fresh))
+    exact = corrected.agg(*[F.count_distinct(value()).alias(name) for name, value in load.DISTINCT.items()])
+    upright = [
+        estimates.select(*[F.col(f"unique_{name}").alias(name) for name in load.DISTINCT]).unpivot([], list(load.DISTINCT), "figure", "estimate"),
+        exact.unpivot([], list(load.DISTINCT), "figure", "exact"),
+    ]
+    near = F.abs(F.col("estimate") - F.col("exact")) <= load.SKETCH_ERROR * F.col("exact")
+    return upright[0].join(upright[1], "figure").select("figure", "exact", near.alias("near"))
+
+
+def _in_january():
+    return F.date_trunc("month", "ZTIME") == F.lit("2024-01-01").cast("timestamp")
+
+
 @query
 def transpose_summary(spark, d):
     return load.transpose_summary(load.verify_hail(fx.hail_revisions(spark, d)))
@@ -306,6 +333,13 @@ def area_sqmi(spark, d):
     )
 
 
+@query
+def area_sqmi_sphere(spark, d):
+    return fx.parcels(spark, d).select(
+        "parcel_id", F.round(geo.area_sqmi("geometry", method="sphere"), 6).alias("area_sqmi")
+    )
+
+
 @query
 def polygon_centroid(spark, d):
     return fx.parcels(spark, d).select("parcel_id", geo.centroid("geometry").alias("c")).select(
@@ -335,6 +369,28 @@ def points_in_areas_shuffled(spark, d):
     return pairs.select("event_id", "area_id")
 
 
+@query
+def points_in_areas_left(spark, d):
+    """Points in no area too, once each; every 19th report has no place."""
+    pairs = points_in_areas(_some_without_place(spark, d), fx.counties(spark, d), ["area_id"], how="left")
+    return pairs.select("event_id", "LON", "area_id")
+
+
+@query
+def points_in_areas_left_shuffled(spark, d):
+    """The same when the index is too large to broadcast, with split tiles."""
+    pairs = points_in_areas(
+        _some_without_place(spark, d), fx.counties(spark, d), ["area_id"],
+        how="left", broadcast_bytes=0, points_per_task=20,
+    )
+    return pairs.select("event_id", "LON", "area_id")
+
+
+def _some_without_place(spark, d):
+    placed = F.when(F.col("event_id") % 19 != 0, F.col("LON")).alias("LON")
+    return fx.hail(spark, d).select("event_id", placed, "LAT")
+
+
 @query
 def contains(spark, d):
     held = fx.addresses(spark, d).join(_postcode_areas(spark, d), ["postcode", "country"])
@@ -357,6 +413,14 @@ def match_equal_areas_(spark, d):
 _QUERIES["match_equal_areas"] = _QUERIES.pop("match_equal_areas_")
 
 
+@query
+def match_cut_areas(spark, d):
+    """Parcels found again where they are cut in two."""
+    return match_equal_areas(
+        fx.parcels(spark, d), fx.cuts(spark, d), left_geometry="geometry", right_geometry="cut"
+    ).select("parcel_id", "cut_id")
+
+
 @query
 def export_wkt(spark, d):
     return wkt.export_wkt(fx.parcels(spark, d))
@@ -450,6 +514,22 @@ def risk_comparison_bulk(spark, d):
     ).drop("updated_at")
 
 
+@query
+def risk_comparison_incremental(spark, d):
+    """Daily sums, brought up to date after a late correction in the months it touches, then compared."""
+    stored = _Stored(spark, d)
+    before = stage(daily.daily_partials(stored.hail_state, stored.postcode_areas), "hail-daily")
+    late = fx.hail(spark, d, rev=1)
+    months = [r[0] for r in late.select(month_number(F.col("ZTIME"))).distinct().collect()]
+    touched = stored.hail_state.filter(month_number(F.col("ZTIME")).isin(months))
+    placed = subset.subset_state(late, stored.states)
+    mended = upsert(touched, placed, MERGE_KEYS["hail_state"], update=MEASUREMENTS)
+    fresh = daily.daily_partials(stage(mended, "hail-mended"), stored.postcode_areas)
+    after = daily.replace_months(before, fresh, months)
+    rows = daily.risk_comparison_daily(after, stored.postcode_areas, stored.states, fx.AS_OF)
+    return rows.drop("updated_at")
+
+
 @query
 def fetch_comparison(spark, d):
     return _Stored(spark, d).comparison.drop("updated_at")
@@ -542,6 +622,42 @@ def map_features(spark, d):
     )
 
 
+@query
+def map_layers_read_back(spark, d):
+    """All layers of the whole map, with their shapes, written as files by tile and read again.
+
+    Every fifth selected county has lost its shape, so it is among the rejects.
+    """
+    stored = _Stored(spark, d)
+    worst = stage(layers.worst_day_bulk(stored.hail_state, stored.postcode_areas), "worst_day")
+    got = dict(layers.map_layers(stored.hail_state, worst, stored.division_areas, stored.postcode_areas, stored.states))
+    lost = F.when(F.col("postcode").cast("int") % 5 != 0, F.col("geometry")).alias("geometry")
+    got["selected_county"] = got["selected_county"].withColumn("geometry", lost)
+    path = f"{run_folder(spark)}/layers-{uuid.uuid4().hex}"
+    geojson.write_layers(got, path)
+    return reduce(DataFrame.unionByName, [_layer_rows(geojson.read_layer(spark, path, n)) for n in (*got, geojson.REJECTS)])
+
+
+@query
+def map_layers_in_box(spark, d):
+    """The counties and the hail that a map section shows, from the tiles that it meets."""
+    stored = _Stored(spark, d)
+    counties = layers.counties_layer(stored.division_areas)
+    hail = fx.hail(spark, d).select("event_id", "LON", "LAT")
+    path = f"{run_folder(spark)}/layers-{uuid.uuid4().hex}"
+    geojson.write_layers({"counties": counties, "hail": hail}, path)
+    box = (-101.25, 32.0, -98.5, 34.125)
+    return reduce(DataFrame.unionByName, [_layer_rows(geojson.read_layer(spark, path, n, box)) for n in ("counties", "hail")])
+
+
+def _layer_rows(layer: DataFrame) -> DataFrame:
+    """Layer, name and shape of every feature as text."""
+    name = F.coalesce(*[F.col("properties")[c] for c in ("postcode", "county_name", "event_id", "state_code")])
+    day = F.coalesce(F.col("properties")["ZTIME"], F.lit("")).alias("time")
+    place = [F.round(c, 6).alias(c) for c in ("LON", "LAT")]
+    return layer.select("layer", name.alias("name"), day, *place, wkt.polygon_text("geometry").alias("geometry"))
+
+
 @query
 def layer_features(spark, d):
     rows = fx.hail(spark, d).select(
