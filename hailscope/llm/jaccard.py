@@ -19,10 +19,14 @@ SHINGLE, PERCENT = 5, 80
 SAMPLE = 0.3
 #: Leaders that a set may have: one per minimum hash.
 LEADERS = 3
+#: Times that each list links its groups by one pair each, before all pairs between groups are met.
+HUB_TURNS = 1
+#: Bits that mark the grams of a set in its index entries.
+MARK_BITS = 1024
 #: Grams that a task looks at together, and entries of an index list that one task pairs.
 CHUNK_GRAMS, LIST_ROWS = 2_000_000, 20_000
 #: Candidate pairs held at once.
-PAIRS = 1_000_000
+PAIRS = 200_000
 #: A table of ids is broadcast up to this size, measured; beyond it the join shuffles.
 ID_BYTES = 32 << 20
 
@@ -216,19 +220,13 @@ def leaders(sets: DataFrame, percent: int) -> DataFrame:
 
     Of the sets with the same minimum hash one leads; with several hashes, several may.
     """
-    total = sets.count()
-    pairs = []
-    for i in range(LEADERS):
-        key = F.col(f"k{i}").alias("key")
-        first = F.min(F.struct(F.xxhash64("cls", F.lit(i)).alias("h"), "cls"))["cls"].alias("leader")
-        heads = sets.groupBy(key).agg(first, F.count("*").alias("members")).filter("members > 1")
-        heads = stage(heads, "jaccard-heads")
-        members = sets.select(key, "cls")
-        pairs.append(attach(members, heads, ["key"], "members", total).select("cls", "leader"))
-    several = pairs[0]
-    for more in pairs[1:]:
-        several = several.unionByName(more)
-    several = stage(several.filter("cls <> leader").distinct(), "jaccard-led")
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"k{i}").alias("key")) for i in range(LEADERS)])
+    members = sets.select("cls", F.inline(keys))
+    first = F.min(F.struct(F.xxhash64("cls", "i").alias("h"), "cls"))["cls"].alias("leader")
+    heads = members.groupBy("i", "key").agg(first, F.count("*").alias("members")).filter("members > 1")
+    heads = stage(heads, "jaccard-heads")
+    several = attach(members, heads, ["i", "key"], "members", LEADERS * sets.count())
+    several = stage(several.select("cls", "leader").filter("cls <> leader").distinct(), "jaccard-led")
     heads = sets.select(F.col("cls").alias("leader"), F.col("grams").alias("lead"), F.col("n").alias("n_lead"))
     led = several.join(sets.select("cls", "n", "grams"), "cls")
     met = led.join(heads.hint("merge"), "leader")  # rows as long as texts are not broadcast
@@ -239,42 +237,84 @@ def leaders(sets: DataFrame, percent: int) -> DataFrame:
     return stage(linked.select("cls", "leader", "plus", "minus"), "jaccard-leaders")
 
 
-def index_entries(sets: DataFrame, group: DataFrame, percent: int) -> DataFrame:
-    """``gram, cls, n, at, grp``: the prefix of each set, ``at`` being the place in it.
+def index_entries(sets: DataFrame, percent: int) -> DataFrame:
+    """``gram, cls, n, at, lonely, bits``: the prefix of each set, ``at`` being the place in it *(action)*.
 
-    Grams without another holder stand in front of all others, so they use up places
-    and are in no list. A list whose sets are all of one group is left out: their
-    links are known.
+    The ``lonely`` grams without another holder stand in front of all others, so they use
+    up places and are in no list. ``bits`` marks all other grams of the set in
+    ``MARK_BITS`` bits, for :func:`pair_list`.
     """
-    lonely = F.col("n") - F.size("grams")
-    prefix = F.col("n") - _needed(F.col("n"), percent) + 1 - lonely
-    placed = sets.join(group, "cls", "left").select(
-        "cls", "n", F.coalesce("grp", "cls").alias("grp"), lonely.alias("lonely"), F.slice("grams", F.lit(1), prefix.cast("int")).alias("grams")
-    )
-    entries = placed.select("cls", "n", "grp", "lonely", F.posexplode("grams").alias("i", "gram"))
-    entries = stage(entries.select("gram", "cls", "n", (F.col("lonely") + F.col("i")).alias("at"), "grp"), "jaccard-entries")
+
+    def run(batches):
+        for batch in batches:
+            cls, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            flat, ends = batch.column(2).flatten().to_numpy(), batch.column(2).value_lengths().to_numpy().cumsum()
+            sizes = np.diff(ends, prepend=0)
+            marks = np.zeros((len(cls), MARK_BITS), bool)
+            marks[np.repeat(np.arange(len(cls)), sizes), (flat >> 20) & (MARK_BITS - 1)] = True
+            bits = np.packbits(marks, axis=1)
+            lonely = n - sizes
+            taken = n - np.ceil(n * percent / 100).astype(np.int64) + 1 - lonely
+            owner = np.repeat(np.arange(len(cls)), taken)
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(taken) - taken, taken)
+            columns = [flat[(ends - sizes)[owner] + within], cls[owner], n[owner], lonely[owner] + within, lonely[owner]]
+            stored = pa.array([b.tobytes() for b in bits], pa.binary()).take(pa.array(owner))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), stored], ["gram", "cls", "n", "at", "lonely", "bits"])
+
+    rows = sets.select("cls", F.col("n").cast("long").alias("n"), "grams")
+    rows = rows.mapInArrow(run, "gram long, cls long, n long, at long, lonely long, bits binary")
+    return stage(rows, "jaccard-entries")
+
+
+def _grouped(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    return entries.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
+
+
+def hub_pairs(entries: DataFrame, groups: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``a, b``: in every index list, one set of each group, and the one set that all are held against.
+
+    A list gives one pair per group in it, however many sets the groups have. Both are
+    picked by a hash that differs from turn to turn.
+    """
+    pick = F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "cls", "n", "grp")
+    seats = _grouped(entries, groups).groupBy("gram", "grp").agg(F.min(pick).alias("rep"))
+    hubs = seats.groupBy("gram").agg(F.min("rep").alias("hub"))
+    met = seats.join(hubs, "gram").filter(F.col("hub.grp") != F.col("grp"))
+    sizes = F.least("rep.n", "hub.n"), F.greatest("rep.n", "hub.n")
+    met = met.filter(100 * sizes[0] >= percent * sizes[1])
+    ends = F.col("rep.cls"), F.col("hub.cls")
+    return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+
+
+def mixed_lists(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """The entries, with ``grp`` and the list's ``rows``, of lists whose sets are not all of one group.
+
+    Links within a group are known, so the other lists have nothing to add.
+    """
+    entries = stage(_grouped(entries, groups), "jaccard-grouped")
     mixed = entries.groupBy("gram").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.count("*").alias("rows"))
     mixed = stage(mixed.filter("lo <> hi").select("gram", "rows"), "jaccard-lists")
     return attach(entries, mixed, ["gram"], "rows", entries.count())
 
 
-def pair_list(n: np.ndarray, at: np.ndarray, grp: np.ndarray, share: np.ndarray, shares: tuple[int, int], percent: int):
+def pair_list(entry: dict[str, np.ndarray], shares: tuple[int, int], percent: int):
     """Pairs of entries of one list that can be similar, of different groups: chunks of two index arrays.
 
     The list is held as blocks of equal place, each sorted by size. For an entry and a
     block, size and place bound the sizes of possible partners from both sides, so
-    it meets one run of the block, and blocks without any are skipped. ``shares``: only
+    it meets one run of the block, and blocks without any are skipped. Of the pairs met,
+    those go whose marked bits and lonely grams alone differ too often. ``shares``: only
     pairs of an entry of one share of the list and one of the other.
     """
+    n, at, grp, share, lonely, bits = (entry[c] for c in ("n", "at", "grp", "share", "lonely", "bits"))
     order = np.lexsort((n, at))
     begins = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) != 0]))
-    n64 = n.astype(np.int64)
-    most = np.minimum((100 * n64 - (100 + percent) * at) // percent, 100 * n64 // percent)
+    most = np.minimum((100 * n - (100 + percent) * at) // percent, 100 * n // percent)
     for begin, end in zip(begins, np.append(begins[1:], len(order)), strict=True):
         block = order[begin:end]
         place = int(at[block[0]])
-        least = -((-(percent * n64 + (100 + percent) * place)) // 100)
-        lo, hi = np.searchsorted(n64[block], least, "left"), np.searchsorted(n64[block], most, "right")
+        least = -((-(percent * n + (100 + percent) * place)) // 100)
+        lo, hi = np.searchsorted(n[block], least, "left"), np.searchsorted(n[block], most, "right")
         runs = np.maximum(hi - lo, 0)
         askers = np.flatnonzero(runs)
         if not len(askers):
@@ -293,47 +333,59 @@ def pair_list(n: np.ndarray, at: np.ndarray, grp: np.ndarray, share: np.ndarray,
                 keep &= (at[left] < at[right]) | ((at[left] == at[right]) & (left < right))
             else:
                 keep &= (share[left] == shares[0]) & (share[right] == shares[1])
+            left, right = left[keep], right[keep]
+            differ = lonely[left] + lonely[right] + np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+            keep = (100 + percent) * differ <= (100 - percent) * (n[left] + n[right])
             yield left[keep], right[keep]
 
 
+LIST = ["gram", "s1", "s2"]
+ENTRY = ["cls", "n", "at", "grp", "share", "lonely", "bits"]
+
+
 def _pairs(percent: int):
     """Candidate pairs of every list; lists may go on in the next batch."""
 
     def of_lists(table):
-        gram, s1, s2, cls, n, at, grp, share = (table.column(c).to_numpy() for c in range(8))
-        edges = (np.diff(gram) != 0) | (np.diff(s1) != 0) | (np.diff(s2) != 0)
-        cuts = np.concatenate([[0], np.flatnonzero(edges) + 1, [len(gram)]])
+        lists = [table.column(c).to_numpy() for c in LIST]
+        entry = {c: table.column(c).to_numpy() for c in ENTRY[:-1]}
+        marks = b"".join(table.column("bits").to_pylist())
+        entry["bits"] = np.frombuffer(marks, np.uint64).reshape(len(lists[0]), MARK_BITS // 64)
+        edges = sum(np.diff(c) != 0 for c in lists) > 0
+        cuts = np.concatenate([[0], np.flatnonzero(edges) + 1, [len(lists[0])]])
         found, held = [], 0
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b - a < 2:
                 continue
-            x = slice(a, b)
-            for left, right in pair_list(n[x], at[x], grp[x], share[x], (s1[a], s2[a]), percent):
+            own = {c: v[a:b] for c, v in entry.items()}
+            for left, right in pair_list(own, (lists[1][a], lists[2][a]), percent):
                 if len(left):
-                    ends = np.sort(np.stack([cls[x][left], cls[x][right]], axis=1), axis=1)
-                    found.append(ends)
-                    held += len(ends)
+                    found.append(np.sort(np.stack([own["cls"][left], own["cls"][right]], axis=1), axis=1))
+                    held += len(left)
                 if held >= PAIRS:
                     yield np.unique(np.concatenate(found), axis=0)
                     found, held = [], 0
         if found:
             yield np.unique(np.concatenate(found), axis=0)
 
+    def batch_of(ends):
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], ["a", "b"])
+
     def run(batches):
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            table = table if rest is None else pa.concat_tables([rest, table])
             if not table.num_rows:
                 continue
-            key = [table.column(c).to_numpy() for c in range(3)]
-            other = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
+            key = [table.column(c).to_numpy() for c in LIST]
+            other = np.flatnonzero(sum(c != c[-1] for c in key) > 0)
             cut = int(other[-1]) + 1 if len(other) else 0
             for ends in of_lists(table.slice(0, cut)) if cut else ():
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], ["a", "b"])
+                yield batch_of(ends)
             rest = table.slice(cut)
         for ends in of_lists(rest) if rest is not None else ():
-            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], ["a", "b"])
+            yield batch_of(ends)
 
     return run
 
@@ -351,8 +403,8 @@ def candidate_pairs(entries: DataFrame, percent: int) -> DataFrame:
         F.sequence(F.lit(0), F.col("shares") - 1),
         lambda s: F.struct(F.least(s, F.col("share")).alias("s1"), F.greatest(s, F.col("share")).alias("s2")),
     )
-    dealt = dealt.withColumn("meet", F.explode(meets)).select("gram", "meet.*", "cls", "n", "at", "grp", "share")
-    sorted_lists = dealt.repartition("gram", "s1", "s2").sortWithinPartitions("gram", "s1", "s2")
+    dealt = dealt.withColumn("meet", F.explode(meets)).select("gram", "meet.*", *ENTRY)
+    sorted_lists = dealt.repartition(*LIST).sortWithinPartitions(*LIST)
     return sorted_lists.mapInArrow(_pairs(percent), "a long, b long").distinct()
 
 
@@ -397,21 +449,35 @@ def verified(pairs: DataFrame, sets: DataFrame, led: DataFrame, percent: int) ->
     return sure.unionByName(open_.filter(similar(common)).select("a", "b"))
 
 
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``cls, grp`` after links between sets of different groups *(action)*."""
+    for end in ("a", "b"):
+        named = groups.withColumnsRenamed({"cls": end, "grp": "of"})
+        links = links.join(named, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+    merged = stage(components(links), "jaccard-merged")
+    known = groups.join(merged.withColumnRenamed("node", "grp"), "grp", "left")
+    known = known.select("cls", F.coalesce("root", "grp").alias("grp"))
+    fresh = merged.withColumnsRenamed({"node": "cls", "root": "grp"}).join(groups, "cls", "left_anti")
+    return stage(known.unionByName(fresh), "jaccard-groups")
+
+
 def similar_sets(docs: DataFrame, alive: DataFrame, size: int, percent: int) -> DataFrame:
-    """``cls, root`` of every set that is linked to another *(action)*."""
+    """``cls, grp`` of every set that is linked to another *(action)*.
+
+    Groups are grown by leaders, then a few times by one pair per list and group,
+    which leaves few groups to a family of near copies. Then all remaining pairs between
+    groups are met, so the turns before decide the work, not the result.
+    """
     sets = residual_sets(docs, alive, size, percent)
     led = leaders(sets, percent)
-    first = components(led.select(F.col("cls").alias("a"), F.col("leader").alias("b")))
-    first = stage(first.select(F.col("node").alias("cls"), F.col("root").alias("grp")), "jaccard-groups")
-    pairs = stage(candidate_pairs(index_entries(sets, first, percent), percent), "jaccard-pairs")
-    links = verified(pairs, sets, led, percent)
-    for end in ("a", "b"):  # links between groups
-        named = first.withColumnsRenamed({"cls": end, "grp": "of"})
-        links = links.join(named, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
-    second = stage(components(links), "jaccard-roots")
-    rooted = first.join(second.withColumnRenamed("node", "grp"), "grp", "left")
-    rooted = rooted.select("cls", F.coalesce("root", "grp").alias("root"))
-    return rooted.unionByName(second.withColumnRenamed("node", "cls").join(first, "cls", "left_anti")).distinct()
+    groups = components(led.select(F.col("cls").alias("a"), F.col("leader").alias("b")))
+    groups = stage(groups.select(F.col("node").alias("cls"), F.col("root").alias("grp")), "jaccard-groups")
+    entries = index_entries(sets, percent)
+    for turn in range(HUB_TURNS):
+        pairs = stage(hub_pairs(entries, groups, turn, percent), "jaccard-hubs")
+        groups = _joined(groups, verified(pairs, sets, led, percent))
+    pairs = stage(candidate_pairs(mixed_lists(entries, groups), percent), "jaccard-pairs")
+    return _joined(groups, verified(pairs, sets, led, percent))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -424,11 +490,12 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     Equal sets are one from the start. A set can have a partner only if nearly all its
     grams have other holders; a sample of all grams, the same for every set, rules most
     sets out, exactly. The others are related first: of those that share a minimum hash one
-    leads, and members close to it are linked to it. What is left is a prefix index
-    over grams, rarest first. Lists within one group are skipped; in the others,
-    blocks of equal place are skipped by size. A candidate's overlap is derived from
-    its leader's. Only links between different groups matter to a component, so groups of
-    near copies never expand into pairs.
+    leads, and members close to it are linked to it. Then comes a prefix index
+    over grams, rarest first. Each list first holds one set of every group against one
+    hub, which joins groups. Lists within one group are then skipped; in the others,
+    blocks of equal place are skipped by size, and pairs by marked bits. A candidate's
+    overlap is derived from its leader's. Only links between different groups matter to a component, so groups of
+    near copies do not expand into pairs.
 
     Grams and sets are known by 64-bit hashes. A gram of many sets costs two rows per
     task, lists over ``LIST_ROWS`` are dealt out by pairs of shares, and joins with hot
@@ -442,8 +509,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     classes = own.groupBy("cls").agg(rep, F.first("n").alias("n"), F.first("m").alias("m"), F.count("*").alias("copies"))
     classes = stage(classes, "jaccard-classes")
     alive = stage(candidates_alone(docs, classes, size, percent), "jaccard-alive")
-    roots = stage(similar_sets(docs, alive, size, percent), "jaccard-linked")
-    rooted = classes.join(roots, "cls", "left").select("cls", "rep", "copies", F.coalesce("root", "cls").alias("root"))
+    groups = similar_sets(docs, alive, size, percent)
+    rooted = classes.join(groups, "cls", "left").select("cls", "rep", "copies", F.coalesce("grp", "cls").alias("root"))
     low = rooted.groupBy("root").agg(F.min("rep.id").alias("component"), F.count("*").alias("members"))
     low = stage(low, "jaccard-low")
     named = stage(attach(rooted, low, ["root"], "members", classes.count()).select("cls", "copies", "component"), "jaccard-named")
