@@ -130,7 +130,6 @@ def test_near_fingerprints_share_an_anchor():
 def test_packing(docs, nothing):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     rows = packing.pack(docs, path).collect()
     want = Counter(
         np.array([*whole.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for _, t in PAIRS
