@@ -57,9 +57,11 @@ def _parser() -> argparse.ArgumentParser:
     job("compare").add_argument("--as-of")
     p = job("premium", "--output")
     p.add_argument("--postcode", action="append")
+    p.add_argument("--country", help="only postcodes of this country")
     p.add_argument("--decisions", help="table or path of reviewers' decisions")
     p = job("layers", "--division-areas", "--output")
     p.add_argument("--postcode", action="append")
+    p.add_argument("--country", help="only postcodes of this country")
     p = job("cleanup")
     for flag in ("--empty", "--empty-raw", "--drop"):
         p.add_argument(flag, action="store_true")
@@ -83,7 +85,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         return spark.table(f"{db}.{name}")
 
     def chosen(df):
-        return df.filter(F.col("postcode").isin(args.postcode)) if args.postcode else df
+        df = df.filter(F.col("postcode").isin(args.postcode)) if args.postcode else df
+        return df.filter(F.col("country") == args.country) if args.country else df
 
     if args.job == "setup":
         tables.ensure_tables(spark, db)
@@ -105,7 +108,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         merge_comparison(spark, db, args.as_of)
     elif args.job == "premium":
         fetched = risk.fetch_comparison(
-            table("risk_comparison"), table("postcode_areas"), table("state_boundary"), args.postcode
+            table("risk_comparison"), chosen(table("postcode_areas")), table("state_boundary")
         )
         premiums = risk.premium_adjustment(fetched)
         if args.decisions:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from hailscope.operators.upsert import merge_table
-from hailscope.plans import areas, layers, load, risk, subset
+from hailscope.plans import areas, daily, layers, load, risk, subset
 from hailscope.sources.staging import stage
 from hailscope.sources.tables import ensure_tables
 
@@ -23,7 +23,7 @@ def assess(
     end: load.Instant,
     as_of: str | date | None = None,
     now: Column | None = None,
-    country: str = "US",
+    country: str | None = "US",
     decisions: DataFrame | None = None,
     keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> dict[str, DataFrame]:
@@ -86,7 +86,7 @@ def refresh_tables(
     end: load.Instant,
     as_of: str | date | None = None,
     now: Column | None = None,
-    country: str = "US",
+    country: str | None = "US",
     only_window: bool = False,
 ) -> DataFrame:
     """The same chain over catalog tables: each step merges into its table and
@@ -113,7 +113,7 @@ def merge_areas(
     addresses: DataFrame,
     *,
     now: Column | None = None,
-    country: str = "US",
+    country: str | None = "US",
 ) -> None:
     """Bring ``state_boundary`` and ``postcode_areas`` up to date *(action)*."""
     merge_table(
@@ -146,10 +146,19 @@ def merge_subsets(
 def merge_comparison(
     spark: SparkSession, db: str, as_of: str | date | None = None, now: Column | None = None
 ) -> None:
-    """Bring ``risk_comparison`` up to date *(action)*."""
-    compared = risk.risk_comparison(
-        *[spark.table(f"{db}.{t}") for t in ("hail_county", "hail_state", "postcode_areas", "state_boundary")],
-        as_of,
-        now,
-    )
-    merge_table(spark, f"{db}.risk_comparison", compared)
+    """Bring ``risk_comparison`` up to date, from the state reports *(action)*."""
+    hail, postcodes, states = (spark.table(f"{db}.{t}") for t in ("hail_state", "postcode_areas", "state_boundary"))
+    merge_table(spark, f"{db}.risk_comparison", risk.risk_comparison_bulk(hail, postcodes, states, as_of, now))
+
+
+def merge_daily_comparison(
+    spark: SparkSession,
+    db: str,
+    months: Iterable[int] | None = None,
+    as_of: str | date | None = None,
+    now: Column | None = None,
+) -> None:
+    """Bring ``hail_daily`` up to date in ``months`` (all if none are named), and from it ``risk_comparison`` *(action)*."""
+    daily.refresh_daily(spark, db, months)
+    sums, postcodes, states = (spark.table(f"{db}.{t}") for t in ("hail_daily", "postcode_areas", "state_boundary"))
+    merge_table(spark, f"{db}.risk_comparison", daily.risk_comparison_daily(sums, postcodes, states, as_of, now))

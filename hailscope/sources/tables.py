@@ -20,6 +20,11 @@ def load_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def peek(spark: SparkSession, name_or_path: str, n: int = 5) -> DataFrame:
+    """Any ``n`` rows of a table."""
+    return load_table(spark, name_or_path).limit(n)
+
+
 def stored_schema(table: str) -> T.StructType:
     """The table's columns as stored, the month column of hail tables included."""
     if table in MONTH_PARTITIONED:

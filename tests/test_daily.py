@@ -171,3 +171,17 @@ def test_batch_ranges_follow_the_bytes_seen(spark):
         assert [r.batch_id for r in got.orderBy("id").collect()] == [i // 700 for i in range(5000)]
 
 
+
+
+def test_daily_comparison_is_stored(spark, db):
+    from hailscope.plans.workflow import merge_comparison, merge_daily_comparison
+    from hailscope.sources.tables import peek
+
+    now = F.lit("2024-07-15").cast("timestamp")
+    merge_table(spark, f"{db}.hail_state", reports(spark, random.Random(2), 300, [2, 3, 6]))
+    merge_comparison(spark, db, AS_OF, now)
+    want = sorted(map(tuple, spark.table(f"{db}.risk_comparison").collect()), key=str)
+    spark.sql(f"TRUNCATE TABLE {db}.risk_comparison")
+    merge_daily_comparison(spark, db, None, AS_OF, now)
+    assert sorted(map(tuple, spark.table(f"{db}.risk_comparison").collect()), key=str) == want and want
+    assert peek(spark, f"{db}.risk_comparison", 3).count() == 3

@@ -142,6 +142,29 @@ FROM (SELECT c_custkey, c_custkey % 50 AS pc,
              CAST(floor(CAST(c_custkey AS DOUBLE)/CAST(50 AS DOUBLE)) AS BIGINT) AS j FROM {customer}) z
 """
 
+# Seven more counties, rectangles: five of a second country east of the others, each a
+# state of its own; one without hail; one without hail or state.
+MORE_COUNTIES = """
+SELECT n_nationkey AS k, CASE WHEN n_nationkey < 5 THEN 'MX' ELSE 'US' END AS country,
+ CASE WHEN n_nationkey < 5 THEN concat('MX-S', CAST(n_nationkey AS VARCHAR(10))) WHEN n_nationkey = 5 THEN 'US-S0' END AS region,
+ CASE WHEN n_nationkey < 5 THEN CAST(-94 AS DOUBLE) ELSE CAST(-80 AS DOUBLE) END AS x0,
+ CAST(31 AS DOUBLE) + CAST(n_nationkey AS DOUBLE)*CAST(1.6 AS DOUBLE) AS y0
+FROM {nation} WHERE n_nationkey < 7
+"""
+
+MORE_VERTICES = f"""
+SELECT k, 0 AS part, 0 AS ring, i, x0 + CAST(ux AS DOUBLE)*CAST(2 AS DOUBLE) AS x, y0 + CAST(uy AS DOUBLE)*CAST(1.6 AS DOUBLE) AS y
+FROM ({MORE_COUNTIES}) z {{state_outline}}
+"""
+
+# Their postcodes; those of the second country have numbers that the first has too.
+MORE_ADDRESSES = f"""
+SELECT c_custkey AS address_id, CAST(CASE WHEN k < 5 THEN 73000 ELSE 74000 END + k AS VARCHAR(10)) AS postcode, country,
+ CASE WHEN k < 5 THEN concat('S', CAST(k AS VARCHAR(10))) WHEN k = 5 THEN 'S0' END AS level0,
+ x0 + CAST(1 AS DOUBLE) + CAST(c_custkey % 7 AS DOUBLE)/CAST(16 AS DOUBLE) AS LON, y0 + CAST(0.75 AS DOUBLE) AS LAT, k
+FROM {{customer}} c JOIN ({MORE_COUNTIES}) z ON c.c_custkey % 50 = z.k
+"""
+
 # One parcel per customer: an L, every third with a hole, every fourth with a
 # second part.
 PARCEL_VERTICES = """
@@ -300,6 +323,36 @@ def division_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def both_countries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Divisions, division areas and addresses with the counties, states and postcodes of :data:`MORE_COUNTIES`."""
+    more = derive(spark, sf_dir, MORE_COUNTIES).join(
+        assemble_polygons(derive(spark, sf_dir, MORE_VERTICES), ["k"]), "k"
+    )
+    held = more.filter("k < 5")  # each is its state as well
+
+    def areas(rows: DataFrame, prefix: str, subtype: str) -> DataFrame:
+        return rows.select(
+            F.concat(F.lit(prefix), "k").alias("id"),
+            F.concat(F.lit(f"d-{prefix}"), "k").alias("division_id"),
+            F.lit(subtype).alias("subtype"),
+            "country",
+            "region",
+            F.struct(F.concat(F.lit(f"{subtype} "), "k").alias("primary")).alias("names"),
+            "geometry",
+        )
+
+    shapes = areas(more, "x", "county").unionByName(areas(held, "m", "region"))
+    named = shapes.select(F.col("division_id").alias("id"), "subtype", "country", "region", "names")
+    homes = derive(spark, sf_dir, MORE_ADDRESSES).drop("k").withColumn(
+        "address_levels", F.array(F.struct(F.col("level0").alias("value")))
+    )
+    return (
+        divisions(spark, sf_dir).unionByName(named),
+        division_areas(spark, sf_dir).unionByName(shapes),
+        addresses(spark, sf_dir).unionByName(homes),
+    )
+
+
 def divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     row = F.floor(F.col("n_nationkey") / 5).cast("int")

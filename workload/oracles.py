@@ -115,9 +115,9 @@ def _stats(rows: str, by: str) -> str:
     )
 
 
-def _risk(area_type: str, area_id: str) -> str:
+def _risk(area_type: str, area_id: str, country: str = "'US'") -> str:
     return (
-        f"'{area_type}' AS area_type, {area_id} AS area_id, 'US' AS country, coalesce(n.event_count, 0) AS event_count,"
+        f"'{area_type}' AS area_type, {area_id} AS area_id, {country} AS country, coalesce(n.event_count, 0) AS event_count,"
         " round(coalesce(n.event_count, 0)/NULLIF(a.sqmi, 0), 4) AS events_per_sqmi,"
         " round(n.avg_hail_size, 4) AS avg_hail_size, n.max_hail_size,"
         " round(n.avg_severe_prob, 4) AS avg_severe_prob, round(n.avg_hail_prob, 4) AS avg_hail_prob,"
@@ -139,6 +139,39 @@ def _risk_rows(county_stats: str, state_stats: str) -> str:
     )
 
 
+def _risk_of_countries(county_stats: str, state_stats: str) -> str:
+    return (
+        f"SELECT {_risk('county', 'a.postcode', 'a.country')} FROM places a"
+        f" JOIN all_states s USING (state_code) LEFT JOIN {county_stats} n ON n.postcode = a.postcode AND n.country = a.country"
+        f" UNION ALL SELECT {_risk('state', 'a.state_code', _STATE_COUNTRY.format('a'))} FROM all_states a"
+        f" JOIN {state_stats} n ON n.state_code = a.state_code"
+        " WHERE a.state_code IN (SELECT state_code FROM places)"
+    )
+
+
+_STATE_COUNTRY = "split_part({}.state_code, '-', 1)"
+
+
+def _premium(comparison: str) -> str:
+    ratios = ", ".join(
+        f" c.{m}/CASE WHEN s.{m} IS NOT NULL THEN greatest(s.{m}, 1e-10) END AS {n}_ratio"
+        for n, m in (
+            ("frequency", "events_per_sqmi"), ("size", "avg_hail_size"),
+            ("severity", "avg_severe_prob"), ("damaging", "damaging_per_sqmi"),
+        )
+    )
+    return (
+        "SELECT *, (risk_score - 1.0)*20 AS premium_modifier_pct,"
+        " CASE WHEN (risk_score - 1.0)*20 > 0 THEN 'premium increase recommended'"
+        " WHEN (risk_score - 1.0)*20 <= 0 THEN 'discount eligible' END AS recommendation FROM ("
+        "SELECT *, CAST(0.25 AS DOUBLE)*frequency_ratio + CAST(0.25 AS DOUBLE)*size_ratio"
+        " + CAST(0.25 AS DOUBLE)*severity_ratio + CAST(0.25 AS DOUBLE)*damaging_ratio AS risk_score FROM ("
+        f"SELECT c.postcode AS county_id, c.country, s.area_id AS state_id, {ratios}"
+        f" FROM {comparison} c JOIN {comparison} s ON c.postcode = s.postcode AND c.country = s.country"
+        " WHERE c.area_type = 'county' AND s.area_type = 'state'))"
+    )
+
+
 METRICS = [
     "event_count", "events_per_sqmi", "avg_hail_size", "max_hail_size", "avg_severe_prob",
     "avg_hail_prob", "damaging_events", "damaging_per_sqmi", "high_risk_events",
@@ -213,23 +246,59 @@ RELATIONS = {
         " OR (r.area_type = 'state' AND r.area_id ="
         " coalesce(a.state_code, (SELECT min(state_code) FROM states)))"
     ),
-    "premium": (
-        "SELECT *, (risk_score - 1.0)*20 AS premium_modifier_pct,"
-        " CASE WHEN (risk_score - 1.0)*20 > 0 THEN 'premium increase recommended'"
-        " WHEN (risk_score - 1.0)*20 <= 0 THEN 'discount eligible' END AS recommendation FROM ("
-        "SELECT *, CAST(0.25 AS DOUBLE)*frequency_ratio + CAST(0.25 AS DOUBLE)*size_ratio"
-        " + CAST(0.25 AS DOUBLE)*severity_ratio + CAST(0.25 AS DOUBLE)*damaging_ratio AS risk_score FROM ("
-        "SELECT c.postcode AS county_id, c.country, s.area_id AS state_id,"
-        + ", ".join(
-            f" c.{m}/CASE WHEN s.{m} IS NOT NULL THEN greatest(s.{m}, 1e-10) END AS {n}_ratio"
-            for n, m in (
-                ("frequency", "events_per_sqmi"), ("size", "avg_hail_size"),
-                ("severity", "avg_severe_prob"), ("damaging", "damaging_per_sqmi"),
-            )
-        )
-        + " FROM comparison c JOIN comparison s ON c.postcode = s.postcode AND c.country = s.country"
-        " WHERE c.area_type = 'county' AND s.area_type = 'state'))"
-    ),
+    "premium": _premium("comparison"),
+    # Two countries: an area is 'c' and its number, or 'x' and that of one of the further counties.
+    "more_counties": fx.duckdb_sql(fx.MORE_COUNTIES),
+    "more_vertices": fx.duckdb_sql(fx.MORE_VERTICES),
+    "more_addresses": fx.duckdb_sql(fx.MORE_ADDRESSES),
+    "more_edges": _edges("more_vertices", "k"),
+    "more_sqmi": _sqmi("more_vertices", "k"),
+    "more_wkt": _wkt("more_vertices", "k"),
+    "in_more": _inside("hail", "event_id", "more_edges", "k"),
+    "places": (
+        "SELECT postcode, country, state_code, 'c' || area_id AS area, sqmi FROM postcode_areas UNION ALL"
+        " SELECT DISTINCT a.postcode, a.country, m.region, 'x' || k, q.sqmi FROM more_addresses a"
+        " JOIN more_counties m USING (k) JOIN more_sqmi q USING (k)"
+    ),
+    "all_states": (
+        "SELECT state_code, sqmi FROM states UNION ALL"
+        " SELECT region, sqmi FROM more_counties JOIN more_sqmi USING (k) WHERE k < 5"
+    ),
+    "all_hail_state": (
+        "SELECT * FROM hail_state UNION ALL SELECT h.*, m.region FROM hail h JOIN in_more USING (event_id)"
+        " JOIN more_counties m USING (k) WHERE k < 5"
+    ),
+    "all_hail_county": (
+        "SELECT h.* EXCLUDE (state_code), p.postcode, p.country FROM all_hail_state h JOIN ("
+        "SELECT event_id, 'c' || area_id AS area FROM in_county UNION ALL SELECT event_id, 'x' || k FROM in_more)"
+        " USING (event_id) JOIN places p USING (area)"
+    ),
+    "all_county_stats": _stats("all_hail_county", "postcode, country"),
+    "all_state_stats": _stats("all_hail_state", "state_code"),
+    "all_risk": _risk_of_countries("all_county_stats", "all_state_stats"),
+    "all_comparison": (
+        "SELECT a.postcode, a.country, r.* EXCLUDE (country) FROM (SELECT * REPLACE ("
+        "coalesce(state_code, (SELECT min(state_code) FROM all_states)) AS state_code) FROM places) a JOIN all_risk r"
+        " ON (r.area_type = 'county' AND r.area_id = a.postcode AND r.country = a.country)"
+        f" OR (r.area_type = 'state' AND r.area_id = a.state_code AND r.country = {_STATE_COUNTRY.format('a')})"
+    ),
+    # Loaded by the chain: good lines of its two windows, the best copy of each report.
+    "chain_hail": (
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ZTIME, LON, LAT, WSR_ID, CELL_ID ORDER BY"
+        " (SEVPROB = -999)::INT + (PROB = -999)::INT + (MAXSIZE = -999)::INT, SEVPROB DESC, PROB DESC, MAXSIZE DESC) AS rn"
+        " FROM hail_revisions WHERE event_id % 89 <> 0 AND event_id % 97 <> 0"
+        f" AND ZTIME BETWEEN TIMESTAMP '{fx.START}' AND TIMESTAMP '{fx.END}') WHERE rn = 1"
+    ),
+    "chain_state": (
+        "SELECT h.* FROM all_hail_state s JOIN chain_hail c USING (event_id), LATERAL"
+        " (SELECT s.* REPLACE (c.SEVPROB AS SEVPROB, c.PROB AS PROB, c.MAXSIZE AS MAXSIZE)) h"
+    ),
+    "chain_county": (
+        "SELECT h.* FROM all_hail_county s JOIN chain_hail c USING (event_id), LATERAL"
+        " (SELECT s.* REPLACE (c.SEVPROB AS SEVPROB, c.PROB AS PROB, c.MAXSIZE AS MAXSIZE)) h"
+    ),
+    "chain_county_stats": _stats("chain_county", "postcode, country"),
+    "chain_state_stats": _stats("chain_state", "state_code"),
     "worst": (
         "SELECT postcode, date, event_count, max_size FROM (SELECT *, row_number() OVER"
         " (PARTITION BY postcode ORDER BY max_size DESC NULLS LAST, event_count DESC, date) AS rn FROM ("
@@ -265,6 +334,7 @@ RELATIONS = {
         " CELL_ID || ',' || \"RANGE\" AS six FROM hail_revisions))"
     ),
     "county_wkt": _wkt("county_vertices", "area_id"),
+    "state_wkt": _wkt("state_vertices", "state_no"),
     "stations_before": (
         "SELECT 'station' AS area_type, WSR_ID AS area_id, 'US' AS country, count(*) AS event_count,"
         " max(NULLIF(MAXSIZE, -999)) AS max_hail_size FROM hail"
@@ -489,8 +559,13 @@ FINAL = {
         " UNION ALL SELECT 'map_center', state_code FROM states WHERE state_code IN ('US-S0', 'US-S1')"
         " UNION ALL SELECT 'counties', n_name FROM nation WHERE n_nationkey < 10"
     ),
-    "upsert_state_boundary": "SELECT id, upper(state_name) AS state_name, state_code FROM states",
-    "upsert_postcode_areas": "SELECT postcode, country, state_code || 'x' AS state_code FROM postcode_areas",
+    "upsert_state_boundary": (
+        "SELECT id, upper(state_name) AS state_name, state_code, wkt AS geometry FROM states JOIN state_wkt USING (state_no)"
+    ),
+    "upsert_postcode_areas": (
+        "SELECT postcode, country, state_code || 'x' AS state_code, wkt AS area FROM postcode_areas"
+        " JOIN county_wkt USING (area_id)"
+    ),
     "upsert_hail_state": _RELEASED.format(rows="hail_state"),
     "upsert_hail_county": _RELEASED.format(rows="hail_county"),
     "upsert_hail_events": (
@@ -517,6 +592,31 @@ FINAL = {
         " WHERE area_id IN (SELECT area_id FROM county_vertices GROUP BY 1"
         " HAVING min(x) <= -98.5 AND max(x) >= -101.25 AND min(y) <= 34.125 AND max(y) >= 32.0)"
     ),
+    "states_of_countries": (
+        "SELECT id, state_name, state_code, wkt AS geometry FROM states JOIN state_wkt USING (state_no)"
+        " UNION ALL SELECT 'm' || k, 'region ' || k, region, wkt FROM more_counties JOIN more_wkt USING (k) WHERE k < 5"
+    ),
+    "postcodes_of_countries": (
+        "SELECT postcode, country, state_code, wkt AS area FROM places JOIN (SELECT 'c' || area_id AS area, wkt FROM county_wkt"
+        " UNION ALL SELECT 'x' || k, wkt FROM more_wkt) USING (area)"
+    ),
+    "subset_county_of_countries": "SELECT * FROM all_hail_county",
+    "risk_comparison_of_countries": "SELECT * FROM all_risk",
+    "fetch_comparison_of_countries": "SELECT * FROM all_comparison",
+    "fetch_comparison_named": "SELECT * FROM all_comparison WHERE postcode IN ('73001', '73004', '74005', '74006', '99999')",
+    "premium_adjustment_of_countries": _premium("all_comparison"),
+    "missing_rows_of_countries": (
+        "SELECT p.postcode, p.country, count(r.area_id) FILTER (WHERE r.area_type = 'county') = 0 AS county_missing,"
+        " count(r.area_id) FILTER (WHERE r.area_type = 'state') = 0 AS state_missing FROM places p LEFT JOIN all_comparison r"
+        " ON r.postcode = p.postcode AND r.country = p.country GROUP BY 1, 2 HAVING county_missing OR state_missing"
+    ),
+    "worst_day_of_countries": (
+        "SELECT postcode, country, date, event_count, max_size FROM (SELECT *, row_number() OVER"
+        " (PARTITION BY postcode, country ORDER BY max_size DESC NULLS LAST, event_count DESC, date) AS rn FROM ("
+        "SELECT postcode, country, CAST(ZTIME AS DATE) AS date, count(*) AS event_count,"
+        " max(NULLIF(MAXSIZE, -999)) AS max_size FROM all_hail_county GROUP BY 1, 2, 3)) WHERE rn = 1"
+    ),
+    "refreshed_tables": _risk_of_countries("chain_county_stats", "chain_state_stats"),
     "counties_layer": (
         "SELECT n_name AS county_name, wkt AS geometry FROM county_wkt"
         " JOIN nation ON n_nationkey = area_id"

@@ -16,7 +16,7 @@ from hailscope.operators.dedup import first_per_key
 from hailscope.operators.shapes import match_equal_areas
 from hailscope.operators.spatial_join import points_in_areas
 from hailscope.operators.upsert import upsert
-from hailscope.plans import areas, daily, layers, load, risk, subset
+from hailscope.plans import areas, daily, layers, load, risk, subset, workflow
 from hailscope.schemas import BROKEN_LINE, HAIL_CSV_COLUMNS, MEASUREMENTS, MERGE_KEYS
 from hailscope.sources import geojson, wkt
 from hailscope.sources.hail_csv import read_hail_csv
@@ -89,6 +89,27 @@ class _Stored:
         return risk.fetch_comparison(self.risk, self.postcode_areas, self.states)
 
 
+class _BothCountries(_Stored):
+    """The working tables of two countries, with a county without hail and a postcode without state."""
+
+    @cached_property
+    def inputs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        divisions, shapes, addresses = fx.both_countries(self.spark, self.d)
+        return divisions, stage(shapes, "division_areas"), addresses
+
+    @property
+    def division_areas(self) -> DataFrame:
+        return self.inputs[1]
+
+    @cached_property
+    def states(self) -> DataFrame:
+        return stage(areas.build_state_boundaries(*self.inputs), "state_boundary")
+
+    @cached_property
+    def postcode_areas(self) -> DataFrame:
+        return stage(areas.build_postcode_areas(self.inputs[2], self.inputs[1]), "postcode_areas")
+
+
 def _text(df: DataFrame, geometry: str) -> DataFrame:
     return df.withColumn(geometry, wkt.polygon_text(geometry))
 
@@ -262,23 +283,25 @@ def upsert_all_columns(spark, d):
 @query
 def upsert_state_boundary(spark, d):
     """States under new names, one of them not stored yet."""
-    built = _states(spark, d).select("id", "state_name", "state_code")
-    return upsert(
+    built = _states(spark, d).select("id", "state_name", "state_code", "geometry")
+    merged = upsert(
         built.filter("id <> 's1'"),
         built.withColumn("state_name", F.upper("state_name")),
         MERGE_KEYS["state_boundary"],
     )
+    return _text(merged, "geometry")
 
 
 @query
 def upsert_postcode_areas(spark, d):
-    """Postcodes with another state code, every fifth not stored yet."""
-    built = _postcode_areas(spark, d).select("postcode", "country", "state_code")
-    return upsert(
-        built.filter("int(postcode) % 5 <> 0"),
+    """Postcodes with another state code and without a shape before, every fifth not stored yet."""
+    built = _postcode_areas(spark, d).select("postcode", "country", "state_code", "area")
+    merged = upsert(
+        built.filter("int(postcode) % 5 <> 0").withColumn("area", F.slice("area", 1, 0)),
         built.withColumn("state_code", F.concat("state_code", F.lit("x"))),
         MERGE_KEYS["postcode_areas"],
     )
+    return _text(merged, "area")
 
 
 def _more_severe(rows):
@@ -561,6 +584,87 @@ def apply_decisions(spark, d):
 # -- map layers --------------------------------------------------------------------
 
 
+# -- two countries ---------------------------------------------------------------
+
+
+@query
+def states_of_countries(spark, d):
+    built = _BothCountries(spark, d).states
+    return _text(built.select("id", "state_name", "state_code", "geometry"), "geometry")
+
+
+@query
+def postcodes_of_countries(spark, d):
+    """One postcode number may be in both countries, and one postcode has no state."""
+    return _text(_BothCountries(spark, d).postcode_areas.drop("created_at"), "area")
+
+
+@query
+def subset_county_of_countries(spark, d):
+    return _BothCountries(spark, d).hail_county
+
+
+@query
+def risk_comparison_of_countries(spark, d):
+    """Counties without hail have a row of zeros."""
+    return _BothCountries(spark, d).risk.drop("updated_at")
+
+
+@query
+def fetch_comparison_of_countries(spark, d):
+    """A postcode without state is shown beside the first state."""
+    return _BothCountries(spark, d).comparison.drop("updated_at")
+
+
+@query
+def fetch_comparison_named(spark, d):
+    """Named postcodes alone, in every country that has them."""
+    stored = _BothCountries(spark, d)
+    named = ["73001", "73004", "74005", "74006", "99999"]
+    return risk.fetch_comparison(stored.risk, stored.postcode_areas, stored.states, named).drop("updated_at")
+
+
+@query
+def premium_adjustment_of_countries(spark, d):
+    return risk.premium_adjustment(_BothCountries(spark, d).comparison)
+
+
+@query
+def missing_rows_of_countries(spark, d):
+    stored = _BothCountries(spark, d)
+    return risk.missing_rows(stored.comparison, stored.postcode_areas)
+
+
+@query
+def worst_day_of_countries(spark, d):
+    stored = _BothCountries(spark, d)
+    return layers.worst_day_bulk(stored.hail_state, stored.postcode_areas)
+
+
+@query
+def refreshed_tables(spark, d):
+    """The whole chain over catalog tables, loaded in two parts, the second with corrections; counts and figures."""
+    db = f"hailscope_{uuid.uuid4().hex[:12]}"
+    divisions, shapes, addresses = fx.both_countries(spark, d)
+    csv = stage(fx.hail_csv(spark, d), "raw")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{run_folder(spark)}/{db}'")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # months are cut there
+    try:
+        for start, end in ((fx.START, "2024-01-14 00:00:00"), ("2024-01-12 00:00:00", fx.END)):
+            workflow.refresh_tables(
+                spark, db, csv, divisions, shapes, addresses, start=start, end=end, as_of=fx.AS_OF, country=None, only_window=True
+            )
+        stored = stage(spark.table(f"{db}.risk_comparison").drop("updated_at"), "refreshed")
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return stored
+
+
+# -- layers ------------------------------------------------------------------------
+
+
 @query
 def worst_day(spark, d):
     stored = _Stored(spark, d)
