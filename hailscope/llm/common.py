@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hailscope.sources.staging import stage
+from hailscope.sources.staging import delete_folder, stage
 
 # The six ASCII white space characters, and the letters that are lower-cased.
 WHITE = " \t\n\x0b\x0c\r"
@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def discard(staged: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more; what was derived from it is staged too."""
+    row = staged.select(F.input_file_name().alias("file")).first()
+    if row:
+        delete_folder(staged.sparkSession, row["file"].rpartition("/")[0])
+
+
 #: Columns carried through an operator have this in front of their names meanwhile.
 CARRIED = "carried_"
 
@@ -60,4 +67,4 @@ def attach(big: DataFrame, small: DataFrame, on: list[str], weight: str, total:
     return by_broadcast.unionByName(others.hint("merge").join(cold, on))
 
 
-__all__ = ["HOT_ROWS", "LOWER", "UPPER", "WHITE", "attach", "crc_mod", "id_text", "kept_columns", "lower_ascii", "stage", "table"]
+__all__ = ["HOT_ROWS", "LOWER", "UPPER", "WHITE", "attach", "crc_mod", "discard", "id_text", "kept_columns", "lower_ascii", "stage", "table"]

@@ -86,28 +86,50 @@ class FMIndex:
         From each end word a search goes backward as long as the match still occurs
         twice in the index. Gives (number of sequence, from, to) of every such
         longest match of at least ``least`` words.
+
+        A search that breaks off too early at a word shows that no match holds all from
+        there to its end. A second, short search then ends at that very word: where it
+        breaks off as well, it rules out all ends in between at once.
         """
         lane = np.flatnonzero(end - begin >= least)
-        stop = end[lane].copy()
-        at, low = stop.copy(), np.zeros(len(lane), np.int64)
-        high = np.full(len(lane), self.size)
+        first, stop = begin[lane], end[lane].copy()
+        at, low, high = stop.copy(), np.zeros(len(lane), np.int64), np.full(len(lane), self.size)
+        # The word that a second search is about (or -1), the ends up to `out` that are ruled out,
+        # and the end to go on from below them.
+        broke = np.full(len(lane), -1)
+        out, below = np.full(len(lane), -1), np.full(len(lane), -1)
         found = []
         while len(lane):
-            go = at > begin[lane]
+            second = broke >= 0
+            go = (at > first) & ~(second & (broke + 1 - at >= least))
             a, b = self.step(low, high, symbols[np.maximum(at - 1, 0)])
             go &= b - a >= 2
             at, low, high = np.where(go, at - 1, at), np.where(go, a, low), np.where(go, b, high)
             done = ~go
             if not done.any():
                 continue
-            hit = done & (stop - at >= least)
+            hit = done & ~second & (stop - at >= least)
             found.append((lane[hit], at[hit], stop[hit]))
             # A longer match is not possible from this end: the next one ends before it, and
             # takes in a word that this match has not.
-            stop = np.where(hit, at + least - 1, np.where(done, stop - 1, stop))
-            at, low, high = np.where(done, stop, at), np.where(done, 0, low), np.where(done, self.size, high)
-            keep = stop - begin[lane] >= least
-            lane, stop, at, low, high = (x[keep] for x in (lane, stop, at, low, high))
+            after = np.where(hit, at + least - 1, stop - 1)
+            # The second search: at its own break no match of `least` words holds all up to the first one's.
+            ended = done & second
+            last_out = np.where(at > first, at - 1 + least, -1)
+            out, below = np.where(ended, last_out, out), np.where(ended, broke, below)
+            broke = np.where(ended, -1, broke)
+            skip = done & (after <= out) & (after > below)
+            after = np.where(skip, below, after)
+            ask = done & ~second & ~hit & (at - 1 < stop - 1) & (at > first) & ~skip
+            broke = np.where(ask, at - 1, broke)
+            move = done & ~ask
+            stop = np.where(move, after, stop)
+            at = np.where(move, stop, at)  # a second search begins where the first one broke off
+            low, high = np.where(done, 0, low), np.where(done, self.size, high)
+            keep = stop - first >= least
+            lane, first, stop, at, low, high, broke, out, below = (
+                x[keep] for x in (lane, first, stop, at, low, high, broke, out, below)
+            )
         if not found:
             return tuple(np.zeros(0, np.int64) for _ in range(3))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hailscope.llm.common import CARRIED, attach, id_text, kept_columns, stage
+from hailscope.llm.common import CARRIED, attach, discard, id_text, kept_columns, stage
 from hailscope.llm.fm_index import FMIndex
 from hailscope.llm.tokens import small_groups
 from hailscope.llm.words import Words, sliding_argmin
@@ -20,7 +20,7 @@ WINDOW, GRAM = 35, 16
 #: An anchor met more often than this is cut into single windows, which are dealt out each.
 HOT_ANCHOR = 500
 #: Words of one index.
-SHARD_WORDS = 200_000
+SHARD_WORDS = 1_000_000
 ROW = ["doc_id", "mark"]
 
 
@@ -151,7 +151,6 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     ``docs`` has ``doc_id, mark, text``. See :func:`substring_dedup`.
     """
-    spark = docs.sparkSession
     anchors = stage(docs.mapInArrow(_find_anchors(window, gram), "doc_id long, mark long, anchor long, n long"), "anchors")
     repeated = stage(
         anchors.groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).filter("n > 1"),
@@ -177,12 +176,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         ),
         "segments",
     )
+    discard(anchors)
     different = segments.groupBy("key").agg(
         F.count("*").alias("n"), F.min("route").alias("route"), F.max("words").alias("words")
     )
     different = stage(different, "different-segments")
     size = different.agg(F.sum(F.size(F.split("words", " "))).alias("n")).first()["n"] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_WORDS + 1)
+    shards = size // SHARD_WORDS + 1
     hits = stage(
         different.select("key", "n", "words", "route")
         .repartition(shards, "route")
@@ -191,6 +191,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         .agg(F.collect_list(F.struct("from", "to")).alias("spans")),
         "repeated-segments",
     )
+    discard(different)
     owners = segments.select(*ROW, "at", "key")
     span = F.col("span")
     return (

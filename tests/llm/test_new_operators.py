@@ -346,3 +346,33 @@ def test_queries_return_the_contract(spark, make_docs, tmp_path):
     assert sorted(r.word for r in got["op11_spelling_variants"].collect()) == [w for w, *_ in brute_variants(pairs)]
     assert sorted((tuple(r) for r in got["op12_jaccard_join"].collect()), key=str) == brute_jaccard(pairs)
     assert got["op13_merkle_manifest"].count() == len(pairs)
+
+
+# -- searches of the substring index ---------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_index_searches_find_every_repeated_window(seed):
+    from hailscope.llm.fm_index import FMIndex
+
+    rng = np.random.default_rng(seed)
+    least, kinds = 4 + seed, (3, 8, 50)[seed % 3]
+    base = [rng.integers(1, kinds, rng.integers(1, 60)) for _ in range(12)]
+    sequences = []
+    for _ in range(40):
+        s = base[rng.integers(0, len(base))].copy()
+        for _ in range(rng.integers(0, 3)):
+            s[rng.integers(0, len(s))] = rng.integers(1, 2 * kinds)
+        sequences.append(s)
+    symbols = np.concatenate([np.append(s, 0) for s in sequences])
+    ends = np.cumsum([len(s) + 1 for s in sequences]) - 1
+    begins = ends - [len(s) for s in sequences]
+    got = set()
+    for lane, at, stop in zip(*FMIndex(symbols).repeats(symbols, begins, ends, least)):
+        got |= {(int(lane), int(p) - int(begins[lane])) for p in range(at, stop)}
+    windows = Counter(tuple(s[i : i + least]) for s in sequences for i in range(len(s) - least + 1))
+    want = {
+        (k, p) for k, s in enumerate(sequences) for i in range(len(s) - least + 1)
+        if windows[tuple(s[i : i + least])] > 1 for p in range(i, i + least)
+    }
+    assert got == want and (want or least > 8)
