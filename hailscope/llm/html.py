@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 from zlib import crc32
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from hailscope.llm.tokens import small_groups
 
-#: Pages the network is fitted on at most, blocks of each, and the units of each direction.
-TRAIN_PAGES, TRAIN_BLOCKS, UNITS = 240, 48, 16
+#: Pages the network is fitted on at most, the longest that are taken (in characters), and the units of each direction.
+TRAIN_PAGES, TRAIN_CHARS, UNITS = 240, 200_000, 16
 PATH, WORDS, MORE = 160, 16, 6
 WIDTH = PATH + WORDS + MORE
 
@@ -31,28 +32,73 @@ SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}
 SELF_CLOSING |= {"td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    r"<!--.*?(?:-->|$)|<![^<>]*>|<\?[^<>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 PARTS = re.compile(r"[a-z0-9]+")
 
 
+# Names of elements and classes within an article that are not its text, for the labels of the fit.
+ASIDE = frozenset(
+    "form nav aside footer .comment .comments .disqus .ad .ads .advert .banner .sponsored .promo .share .social "
+    ".related .newsletter .subscribe .sidebar .widget .menu".split()
+)
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: np.ndarray  # which hashed names are around it
+    leaf: str  # last name of its own element
+    main: bool  # in an article, and not in something aside there
     text: str
     linked: int
 
 
+class _Around:
+    """The open elements: what each adds is taken away when it closes, so no block looks at all of them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, list[str]]] = []
+        self.open: Counter[str] = Counter()
+        self.slots = np.zeros(PATH, np.int64)
+        self.articles = self.asides = 0
+
+    def _count(self, tag: str, names: list[str], by: int) -> None:
+        self.open[tag] += by
+        for name in names:
+            self.slots[crc32(name.encode()) % PATH] += by
+        self.articles += by * (tag == "article")
+        self.asides += by * any(n in ASIDE for n in names)
+
+    def push(self, tag: str, names: list[str]) -> None:
+        self.stack.append((tag, names))
+        self._count(tag, names, 1)
+
+    def pop(self) -> str:
+        tag, names = self.stack.pop()
+        self._count(tag, names, -1)
+        return tag
+
+    def end(self, tag: str) -> None:
+        """Close up to the last element of this name, if there is one."""
+        if self.open[tag]:
+            while self.pop() != tag:
+                pass
+
+    def block(self, text: str, linked: int) -> Block:
+        leaf = self.stack[-1][1][-1] if self.stack else ""
+        return Block(self.slots > 0, leaf, self.articles > 0 and not self.asides, text, linked)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's runs of text between block-level tags, with names of the elements around them.
 
     Scripts, styles and the like give no block; white space becomes one space and
-    references are decoded. Broken markup is taken as it comes: an end tag closes
-    up to its start tag, or nothing.
+    references are decoded. Broken markup is taken as it comes, in one pass: an end tag
+    closes up to its start tag, or nothing, and a tag that is broken off by another is text.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    around = _Around()
     held: list[str] = []
     linked = at = links = 0
 
@@ -61,7 +107,7 @@ def blocks_of(page: str) -> list[Block]:
         if held:
             text = " ".join(unescape("".join(held)).split())
             if text:
-                out.append(Block(tuple(n for _, names in stack for n in names), text, linked))
+                out.append(around.block(text, linked))
             held.clear()
         linked = 0
 
@@ -89,34 +135,30 @@ def blocks_of(page: str) -> list[Block]:
         close()
         links = 0
         if found[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            around.end(tag)
         elif tag in VOID or found[3].endswith("/"):
             continue
         else:
-            while stack and stack[-1][0] in SELF_CLOSING.get(tag, ()):
-                stack.pop()
+            while around.stack and around.stack[-1][0] in SELF_CLOSING.get(tag, ()):
+                around.pop()
             names = [tag]
             for value in NAMED.findall(found[3]):
                 names += ["." + n for n in PARTS.findall("".join(value).lower())]
-            stack.append((tag, tuple(names)))
+            around.push(tag, names)
     close()
     return out
 
 
 def features(blocks: list[Block]) -> np.ndarray:
-    """One row per block: hashed names of its path, hashed words, and shape."""
+    """One row per block: hashed names of its path, hashed words (all of them), and shape."""
     x = np.zeros((len(blocks), WIDTH))
     for i, b in enumerate(blocks):
-        for name in b.path:
-            x[i, crc32(name.encode()) % PATH] = 1
-        if b.path:
-            x[i, crc32(b"leaf " + b.path[-1].encode()) % PATH] += 1
-        words = b.text.split(" ")
-        for w in words[:32]:
-            x[i, PATH + crc32(w.lower().encode()) % WORDS] += 1 / min(len(words), 32)
+        x[i, :PATH] = b.path
+        if b.leaf:
+            x[i, crc32(b"leaf " + b.leaf.encode()) % PATH] += 1
+        words = b.text.lower().encode().split(b" ")
+        kinds = np.bincount([crc32(w) % WORDS for w in words], minlength=WORDS)
+        x[i, PATH : PATH + WORDS] = kinds / len(words)
         n = len(b.text)
         stops = sum(b.text.count(c) for c in ".,;:!?")
         x[i, -MORE:] = np.log1p(n) / 5, np.log1p(len(words)) / 4, min(1, b.linked / n), stops / n, i == 0, 1
@@ -295,12 +337,13 @@ def rebuilt(main: list[str], other: list[str], rng: random.Random) -> tuple[list
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Network:
     """A network fitted on at most ``train_pages`` pages that mark their article.
 
-    These are the pages with an ``article`` element whose url hashes are smallest.
-    Blocks inside that element are main text. Each page is also rebuilt twice into
+    These are the pages with an ``article`` element, of ``TRAIN_CHARS`` at most, whose hashes are
+    smallest. Blocks inside that element are main text, but for those in forms, comments,
+    adverts and the like there (``ASIDE``). Each page is also rebuilt twice into
     frames of other kinds (other elements, names, notices, forms and comments), so
     that the network does not hang on one template.
     """
-    marked = pages.filter(F.contains(F.lower("html"), F.lit("<article")))
+    marked = pages.filter(F.contains(F.lower("html"), F.lit("<article")) & (F.length("html") <= TRAIN_CHARS))
     # The hashes come first, so no task sends pages that another one outranks.
     mark = F.xxhash64("html").alias("mark")
     lowest = marked.select(mark).distinct().orderBy("mark").limit(train_pages)
@@ -308,8 +351,8 @@ def train(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Network:
     sample = chosen.dropDuplicates(["mark"]).sort("mark").select("html").collect()
     rng, data = random.Random(3), []
     for row in sample:
-        blocks = blocks_of(row["html"])[:TRAIN_BLOCKS]
-        y = np.array(["article" in b.path for b in blocks])
+        blocks = blocks_of(row["html"])
+        y = np.array([b.main for b in blocks])
         if not y.any():
             continue
         main = [b.text for b, k in zip(blocks, y, strict=True) if k]
