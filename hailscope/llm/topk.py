@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hailscope.llm.common import stage
+from hailscope.operators.batches import assign_batches
 
 #: Steps per unit when components become integers.
 SCALE = 1024
@@ -18,6 +19,8 @@ BUCKET_ROWS, BLOCK_ROWS = 8192, 1024
 SEEDS = 2048
 #: Local cosine thresholds from which coordinates, rather than lengths alone, prune a bucket.
 COORDINATE_FROM, COORDINATES = 0.3, 8
+#: Class of a length of 0, below all others.
+NO_LENGTH = -1
 
 
 def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
@@ -89,6 +92,41 @@ def search_bucket(
     return out
 
 
+def _size_class(length: Column) -> Column:
+    """Lengths by sixteenths of a doubling; at most 16 * 64 classes, as lengths of whole numbers are."""
+    return F.when(length > 0, F.floor(F.log2(length) * 16)).otherwise(NO_LENGTH).cast("int")
+
+
+def meetings(queries: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a row per (block, bucket) that can hold an answer *(action)*.
+
+    ``queries`` has ``block`` and ``least``, the length from which on a vector can reach a
+    query's floor; blocks fall by ``least``. ``candidates`` has ``bucket`` and ``square``;
+    buckets fall by length. So a block meets the buckets up to a last one, and a bucket
+    the blocks from a first one on. Both follow from tables with a row per class of
+    lengths, and nothing else is copied.
+    """
+    spark = queries.sparkSession
+    block_class = _size_class(F.min("least").over(Window.partitionBy("block")) * (1 - 1e-9)).alias("class")
+    asked = queries.select("*", block_class)
+    longest = F.max("square").over(Window.partitionBy("bucket"))
+    held = candidates.select("*", _size_class(F.sqrt(longest) * (1 + 1e-9)).alias("class"))
+    last_of = held.groupBy("class").agg(F.max("bucket").alias("last")).collect()
+    first_of = asked.groupBy("class").agg(F.min("block").alias("first"), F.max("block").alias("top")).collect()
+    classes = {r["class"] for r in (*last_of, *first_of)}
+    top = max((r["top"] for r in first_of), default=-1)
+    rows = [
+        (c, max((r["last"] for r in last_of if r["class"] >= c), default=-1), min((r["first"] for r in first_of if r["class"] <= c), default=top + 1))
+        for c in classes
+    ]
+    bounds = F.broadcast(spark.createDataFrame(rows, "class int, last int, first int"))
+    buckets = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("bucket")
+    blocks = F.explode(F.sequence(F.col("first"), F.lit(top))).alias("block")
+    left = asked.join(bounds, "class").filter("last >= 0").select("key", "v", "floor", "block", buckets)
+    right = held.join(bounds, "class").filter(F.col("first") <= top).select("id", "v", "square", "bucket", blocks)
+    return left, right
+
+
 def top_k(
     vectors: DataFrame,
     queries: Column,
@@ -108,24 +146,29 @@ def top_k(
     asked once; so a vector in a third of the rows costs one row per task.
     Candidates are sorted by length into buckets of about ``BUCKET_ROWS``. The
     ``SEEDS`` longest ones give every query a first threshold, its k-th score so far.
-    Each block of queries then meets each bucket once (:func:`search_bucket`):
-    blocks and buckets are fixed in size, and their pairs are spread over all tasks.
-
-    NULL vectors, and those with NULL, NaN or infinite components, take no part;
-    vectors of another width than the most common one do not either (ties: the smallest); NULL ids do
-    not either. Rows that repeat an id are candidates each but not for queries of
+    That over its length is the length a better answer must have, by which queries are
+    sorted into blocks. A block meets the buckets that hold such a length
+    (:func:`meetings`), each once (:func:`search_bucket`): blocks and buckets are fixed in
+    size, and their pairs are spread over all tasks.
+
+    NULL vectors, and those with NULL, NaN or infinite components, take no part, nor do
+    NULL ids. Shorter vectors count as filled up with zeros. Products that 64 bits may not
+    hold are an error. Rows that repeat an id are candidates each but not for queries of
     that id. An empty table gives no rows. Other columns are not read.
     """
-    spark = vectors.sparkSession
     plain = vectors.select(
         F.col(id_col).cast("long").alias("id"),
         whole_numbers(F.col(vector_col), scale).alias("v"),
         queries.alias("asks"),
     )
     plain = stage(plain.filter("id is not null and v is not null"), "vectors")
-    widths = plain.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    width = widths["n"] if widths else 0
-    plain = plain.filter(F.size("v") == width)
+    largest = F.greatest(F.array_max("v").cast("double"), -F.array_min("v").cast("double"))
+    seen = plain.agg(F.max(F.size("v")).alias("width"), F.max(largest).alias("largest")).first()
+    width = seen["width"] or 0
+    if width * (seen["largest"] or 0.0) ** 2 >= 2**62:
+        raise ValueError(f"components up to {seen['largest']:g} after scaling: their products do not fit 64 bits")
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))
+    plain = plain.withColumn("v", F.when(F.size("v") < width, F.concat("v", zeros)).otherwise(F.col("v")))
     key = F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)
     keyed = stage(plain.withColumn("key", key), "keyed-vectors")
 
@@ -137,7 +180,6 @@ def top_k(
     parts = max(1, -(-rows // BUCKET_ROWS))
     sorted_rows = few.repartitionByRange(parts, F.desc("square"), "id")
     candidates = stage(sorted_rows.withColumn("bucket", F.spark_partition_id()), "candidates")
-    last = candidates.agg(F.max("bucket").alias("n")).first()["n"] or 0
 
     asked = stage(keyed.filter("asks").groupBy("key").agg(F.first("v").alias("v")), "queries")
     seeds = candidates.orderBy(F.desc("square"), "id").limit(SEEDS).select("id", "v").collect()
@@ -148,12 +190,14 @@ def top_k(
             q = _matrix(batch.column("v"), width)
             scores = np.sort(_dots(q, seed_rows), axis=1)
             floor = scores[:, -(k + 1)] if scores.shape[1] > k else np.full(len(q), np.iinfo(np.int64).min)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floor)], ["key", "v", "floor"])
+            own = np.sqrt((q.astype(float) ** 2).sum(axis=1))
+            least = np.where((own > 0) & (floor > 0), floor / np.maximum(own, 1), 0.0)
+            names = ["key", "v", "floor", "less"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floor), pa.array(-least)], names)
 
-    with_floor = asked.mapInArrow(first_floors, "key string, v array<long>, floor long")
-    blocks = max(1, -(-asked.count() // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
-    with_floor = stage(with_floor.withColumn("block", block), "queries")
+    with_floor = asked.mapInArrow(first_floors, "key string, v array<long>, floor long, less double")
+    blocks = assign_batches(with_floor, ["less", "key"], BLOCK_ROWS)
+    blocks = blocks.select("key", "v", "floor", (-F.col("less")).alias("least"), F.col("batch_id").cast("int").alias("block"))
 
     def meet(q: pa.Table, c: pa.Table) -> pa.Table:
         none = pa.table({"key": pa.array([], pa.string()), "score": pa.array([], pa.int64()), "id": pa.array([], pa.int64())})
@@ -172,10 +216,7 @@ def top_k(
         )
 
     pair = ["block", "bucket"]
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    all_buckets = F.explode(F.sequence(F.lit(0), F.lit(last))).alias("bucket")
-    left = with_floor.select("key", "v", "floor", "block", all_buckets)
-    right = candidates.select("id", "v", "square", "bucket", all_blocks)
+    left, right = meetings(blocks, candidates)
     met = left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(meet, "key string, score long, id long")
 
     best = Window.partitionBy("key").orderBy(F.desc("score"), "id")

@@ -207,12 +207,75 @@ def test_top_k(spark):
     assert topk.top_k(df.filter("false"), F.lit(True)).count() == 0
 
 
+def _answers(whole, asks, k=10):
+    want = set()
+    for q in [i for i in whole if asks(i)]:
+        best = sorted((-int(whole[q] @ whole[o]), o) for o in whole if o != q)[:k]
+        want |= {(q, n + 1, o, -s) for n, (s, o) in enumerate(best)}
+    return want
+
+
+def test_top_k_meets_only_what_can_answer(spark, monkeypatch):
+    for name, n in (("BUCKET_ROWS", 64), ("BLOCK_ROWS", 8), ("SEEDS", 64)):
+        monkeypatch.setattr(topk, name, n)
+    seen, run = [], topk.meetings
+    monkeypatch.setattr(topk, "meetings", lambda q, c: seen.append((q, c, *run(q, c))) or seen[-1][2:])
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(0, 2.0 ** -(i % 12), 5)]) for i in range(1200)] + [(5000, [0.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: np.floor(1024 * np.array(v)).astype(int) for i, v in rows}
+    got = topk.top_k(df, F.col("vec_id") % 25 == 0)
+    assert {tuple(r) for r in got.collect()} == _answers(whole, lambda i: i % 25 == 0)
+    asked, held, left, right = seen[0]
+    blocks, buckets = asked.select("block").distinct().count(), held.select("bucket").distinct().count()
+    pairs = {tuple(r) for r in left.select("block", "bucket").distinct().collect()}
+    assert pairs == {tuple(r) for r in right.select("block", "bucket").distinct().collect()}
+    assert blocks > 4 and buckets > 10 and len(pairs) < blocks * buckets / 2
+
+
+def test_top_k_of_several_widths_and_huge_components(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 2 + i % 4)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: np.pad(np.floor(1024 * np.array(v)).astype(int), (0, 5 - len(v))) for i, v in rows}
+    assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 9 == 0).collect()} == _answers(whole, lambda i: i % 9 == 0)
+    huge = spark.createDataFrame([(1, [1e9, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.top_k(huge, F.lit(True))
+
+
 def test_html_blocks():
     page = '<p>a&amp;b <b>c</b><br>d<p>e<script>"</p>"</script><!-- x --><li><a href="#">f'
     assert [b.text for b in html.blocks_of(page)] == ["a&b c d", "e", "f"]
     assert html.blocks_of("") == []
 
 
+def test_html_labels_leave_out_what_is_aside():
+    page = """<nav>menu</nav><article class="post"><h1>Title</h1><p>One <i>two</i></p><form><p>Search</p></form>
+    <div class="ad box"><p>Buy</p></div><p>Three</p><section id="comments"><p>Nice!</p></section></article><footer>End</footer>"""
+    found = html.blocks_of(page)
+    assert [b.text for b in found if b.main] == ["Title", "One two", "Three"]
+    assert [b.text for b in found if not b.main] == ["menu", "Search", "Buy", "Nice!", "End"]
+    assert [b.leaf for b in found if b.main] == ["h1", "p", "p"]
+
+
+@pytest.mark.parametrize(
+    "page", ["<a " * 350_000, "<div>x" * 150_000, '<a "' * 250_000, "<!x " * 250_000, "<p '\"" * 150_000, "</p><div>" * 100_000, "<!-- " * 200_000],
+)
+def test_broken_markup_takes_one_pass(page):
+    from time import process_time
+
+    begin = process_time()
+    found = html.blocks_of(page)
+    html.features(found[:1000])
+    assert process_time() - begin < 5 and len(found) <= 150_000
+
+
+def test_html_features_read_whole_blocks():
+    a, b = (html.features(html.blocks_of("<p>" + "one two three " * 20 + w * 40))[0] for w in ("red ", "blue "))
+    assert not np.allclose(a[html.PATH : html.PATH + html.WORDS], b[html.PATH : html.PATH + html.WORDS])
+
+
 def test_html_extraction(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     network = html.train(pages, 60)
@@ -220,7 +283,7 @@ def test_html_extraction(spark, sf_dir):
     want = {}
     for r in pages.collect():
         blocks = html.blocks_of(r.html)
-        want[r.page_id] = "\n".join(b.text for b in blocks if "article" in b.path)
+        want[r.page_id] = "\n".join(b.text for b in blocks if b.main)
     assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
     odd = spark.createDataFrame([(None, None, None), (1, "u", "")], "page_id long, url string, html string")
     assert [(r.text, r.n_chars) for r in html.extract(odd, network).collect()] == [("", 0), ("", 0)]
