@@ -312,7 +312,7 @@ def test_queries_have_what_sql_can_say():
     from hailscope.llm.oracles import ORACLES
     from hailscope.llm.queries import QUERIES
 
-    assert set(ORACLES) < set(QUERIES) and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert set(ORACLES) < set(QUERIES) and {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_keeps_clean_documents(spark, sf_dir):
