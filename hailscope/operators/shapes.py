@@ -83,10 +83,12 @@ def match_equal_areas(
     :func:`outlines`, and their rows are paired after. Places and slopes are compared
     exactly: a cut across a slanted edge matches if its new vertex is exact. Polygons with
     overlapping parts are not recognised; those without area match nothing. Column names of
-    the two sides must differ.
+    the two sides must differ. Neither side is ever broadcast.
     """
     shapes = outlines(left, left_geometry).withColumnRenamed("__digest", "__left")
     others = outlines(right, right_geometry).withColumnRenamed("__digest", "__right")
-    same = shapes.join(others, ["__hash", "__outline"]).select("__left", "__right")
-    pairs = left.withColumn("__left", geometry_digest(left_geometry)).join(same, "__left")
-    return pairs.join(right.withColumn("__right", geometry_digest(right_geometry)), "__right").drop("__left", "__right")
+    # Polygons are far larger than Spark guesses from the files they come from, so all joins are told to shuffle.
+    same = shapes.join(others.hint("merge"), ["__hash", "__outline"]).select("__left", "__right")
+    pairs = left.withColumn("__left", geometry_digest(left_geometry)).join(same.hint("merge"), "__left")
+    drawn = right.withColumn("__right", geometry_digest(right_geometry))
+    return pairs.join(drawn.hint("merge"), "__right").drop("__left", "__right")

@@ -324,6 +324,14 @@ def test_slanted_cuts_and_holes_across_a_cut(spark):
     assert {(r.a, r.name) for r in pairs.collect()} == {("triangle", "cut"), ("holed", "halves")}
 
 
+def test_equal_areas_are_matched_without_broadcast(spark):
+    left = shapes(spark, a=[[box(0, 0, 2, 2)]]).select(F.col("name").alias("a"), F.col("geometry").alias("g"))
+    right = shapes(spark, b=[[box(0, 0, 1, 2)], [box(1, 0, 1, 2)]])
+    pairs = match_equal_areas(left, right, left_geometry="g", right_geometry="geometry")
+    assert [(r.a, r.name) for r in pairs.collect()] == [("a", "b")]
+    assert "Broadcast" not in plan(pairs)
+
+
 def test_sphere_area(spark):
     r2 = geo.SPHERE_RADIUS**2
     octant = [[ring((0, 0), (90, 0), (0, 90), (0, 0))]]
