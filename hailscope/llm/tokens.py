@@ -51,8 +51,8 @@ class WordEncoder:
     """Encodes as the word-level BPE tokenizer at ``path`` does, with ``add_special_tokens=False``.
 
     No piece of this vocabulary crosses white space, so a text is the chain of its
-    words and each word is encoded once while it stays in the cache. The cache is
-    emptied at ``limit`` words. Texts with one of the vocabulary's special strings are
+    words and each word is encoded once while it stays in the cache. At ``limit``
+    words the cache is thinned out, see :meth:`_thin`. Texts with one of the vocabulary's special strings are
     left to the library, which cuts them around it. The file's steps are checked.
     """
 
@@ -68,6 +68,22 @@ class WordEncoder:
         self.words: dict[bytes, int] = {}
         self.parts: dict[str, list[int]] = {}
         self.flat, self.starts = array("I"), array("q", [0])
+        self.met = np.zeros(0, np.int64)
+
+    def _thin(self) -> None:
+        """Words met once are forgotten; of the others the most frequent stay, half the limit at most."""
+        stay = np.flatnonzero(self.met > 1)
+        stay = np.sort(stay[np.argsort(-self.met[stay], kind="stable")[: self.limit // 2]])
+        starts, flat = np.array(self.starts, np.int64), np.array(self.flat, np.uint32)
+        sizes = starts[stay + 1] - starts[stay]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(starts[stay] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        names, met = list(self.words), self.met[stay] // 2  # what is not met again goes next time
+        self._reset()
+        self.words = {names[k]: i for i, k in enumerate(stay.tolist())}
+        self.flat.frombytes(ids.tobytes())
+        self.starts.frombytes(ends.astype(np.int64).tobytes())
+        self.met = met
 
     def _part(self, part: str) -> list[int]:
         ids = self.parts.get(part)
@@ -98,7 +114,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
         if len(self.words) > self.limit:
-            self._reset()
+            self._thin()
         apart = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         split = [[] if i in apart else t.encode().split() for i, t in enumerate(texts)]
         words = list(chain.from_iterable(split))
@@ -106,6 +122,9 @@ class WordEncoder:
         if new:
             self._learn(new)
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        met = np.bincount(at, minlength=len(self.words))
+        met[: len(self.met)] += self.met
+        self.met = met
         starts, flat = np.array(self.starts, np.int64), np.array(self.flat, np.uint32)
         sizes = starts[at + 1] - starts[at]
         ends = np.cumsum(sizes)

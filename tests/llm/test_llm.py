@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hailscope.llm import exact_dedup, html, lattice, line_dedup, lm, packing, quality, simhash, substring, topk
+from hailscope.llm.tokens import WordEncoder
 
 LINE = "this very line stands in many of the documents"
 PASSAGE = " ".join(f"w{i}" for i in range(60))
@@ -154,6 +155,19 @@ def test_packing(docs, nothing):
     assert packing.pack(nothing, path).count() == 0
 
 
+def test_frequent_words_stay_in_the_cache(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, whole, learned = WordEncoder(path, limit=6), Tokenizer.from_file(path), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.extend(new), learn(new)))
+    for i in range(12):
+        texts = [f"often Often, once{i} été{i}", "", f"often seldom{i % 3} \u00c9t\u00e9 once more{i}"]
+        ids, counts = encoder.encode(texts)
+        want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+    assert Counter(learned)[b"often"] == 1 and len(encoder.words) < 20
+
+
 def test_quality(docs, nothing, spark):
     rng = np.random.default_rng(1)
     good = ["The quiet river went past the town.\nNobody saw it leave." for _ in range(40)]
