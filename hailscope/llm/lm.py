@@ -1,10 +1,10 @@
-"""A corpus language model: word counts, spelled words by logistic context mixing, and the text's own history."""
+"""A corpus language model: gated logistic mixing of context predictions of every bit, a refinement, and the text's own history."""
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,25 +17,36 @@ from hailscope.llm.tokens import small_groups
 
 #: Remainder of crc32(doc_id) modulo FOLDS whose texts are never learned from.
 FOLDS, HELD_OUT = 7, 2
-#: Bytes before a bit that each predictor sees, and slots of its table (a power of two).
-ORDERS, SLOT_BITS = (1, 2, 3, 4), 20
-#: Slots of one row of counts, and branches of the tree that adds them up.
-PART_BITS, BRANCHES = 14, 16
-#: Words at most whose counts each task holds; all others are joined.
-KNOWN_WORDS = 200_000
+#: Slots (as powers of two) of the predictors, which see 1, 2, 3 and 4 bytes before a bit, and the word so far.
+SLOT_BITS = (16, 20, 20, 20, 21)
+K = len(SLOT_BITS)
+#: Bytes of a word whose contexts reach over its border; what is before them is a part of its head.
+HEAD = 3
+#: Slots of one row of counts (a power of two), and rows of a part that one group adds up.
+PART_BITS, WIDTH = 16, 16
+#: Frequent words and heads, at most, whose costs each task holds; it works out all others.
+KNOWN_WORDS, KNOWN_HEADS = 200_000, 200_000
 #: First weight of a text's own history, and how many tokens that is worth.
 OWN_SHARE, OWN_PRIOR = 0.05, 20.0
 #: Gates: by how often the two longest contexts were seen, and by the bit's place in its byte.
-LEVELS = 6
-GATES = LEVELS * LEVELS * 8
-RATE, STEP = 0.02, 256
-#: Classes of frequent words that occur in the same texts, numbers that describe a
-#: word's texts, and tokens that the usual shares of the classes are worth in a text.
-CLASSES, TRAITS, CLASS_PRIOR = 8, 12, 3.0
-END_BYTE = 32
+LEVELS, WORD_LEVELS = 6, 10
+GATES = LEVELS * WORD_LEVELS * 8
+#: Newton steps of the weights, their longest step, first weight, and the pull towards it.
+STEPS, LONGEST, FIRST, PULL = 4, 0.5, 0.3, 2.0
+#: Refinement: steps of the mixed odds on each side of zero, steps in one unit, and what its first guess is worth.
+BUCKETS, FINE, REFINE_PRIOR = 16, 2, 10.0
+#: Bytes whose bits are mixed at once.
+CHUNK = 1 << 14
+SPACE = 32
 
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
+_BYTE, _PLACE = np.arange(256)[:, None], np.arange(8)
+_BIT = (_BYTE >> (7 - _PLACE) & 1).astype(np.int8)
+_NODE = (1 << _PLACE) | (_BYTE >> (8 - _PLACE))  # the bits of the byte so far behind a one
+_HIGH = _NODE[:, :4]
+_LOW = (1 << _PLACE[:4]) | ((_BYTE & 15) >> (4 - _PLACE[:4]))
+_LEVEL = np.minimum(np.log2(np.arange(1 << WORD_LEVELS) + 1), WORD_LEVELS - 1).astype(np.int64)
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -43,233 +54,323 @@ def tokens_of(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), b""]
 
 
-def _bits(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every bit of every word and its closing space: slot by predictor [K, 8, bytes], bit, word number."""
-    data = np.frombuffer(b" ".join([*words, b""]), np.uint8)  # words hold no space
-    ends = np.flatnonzero(data == END_BYTE)
-    sizes = np.diff(ends, prepend=-1)
-    word = np.repeat(np.arange(len(words)), sizes)
-    place = np.arange(len(data)) - np.repeat(ends - sizes + 1, sizes)
-    level = np.arange(8)[:, None]
-    node = ((1 << level) | (data[None, :].astype(np.int64) >> (8 - level))).astype(_U)
-    bit = (data[None, :] >> (7 - level) & 1).astype(np.int8)
-    context = np.zeros(len(data), _U)
-    slots = []
-    for back in range(1, max(ORDERS) + 1):
-        before = np.zeros(len(data), _U)
-        before[back:] = data[:-back]
-        context = context << _U(8) | np.where(place >= back, before, 0).astype(_U)
-        if back in ORDERS:
-            mixed = (context + _U(back)) * _A
-            mixed = (mixed ^ (mixed >> _U(29))) * _B
-            slots.append(((mixed[None, :] + node * _A) * _B >> _U(64 - SLOT_BITS)).astype(np.int32))
-    return np.stack(slots), bit, word
-
-
-def _stretch(p: np.ndarray) -> np.ndarray:
-    return np.log(p / (1 - p))
-
-
 @dataclass(frozen=True)
-class Speller:
-    """Counts of zeros and ones by predictor and slot, and the mixing weights by gate."""
-
-    counts: np.ndarray  # [K, 2, slots]
-    weights: np.ndarray  # [GATES, K + 1]
-
-    def _inputs(self, slots: np.ndarray, bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Stretched predictions and gates; with ``bit``, the own occurrence is left out of the counts."""
-        inputs = np.empty((len(ORDERS) + 1, *slots.shape[1:]), np.float32)
-        gate = np.arange(8)[:, None]
-        for k in range(len(ORDERS)):
-            ones = self.counts[k, 1][slots[k]].astype(np.float32)
-            zeros = self.counts[k, 0][slots[k]].astype(np.float32)
-            if bit is not None:
-                ones = np.maximum(ones - bit, 0)
-                zeros = np.maximum(zeros - (1 - bit), 0)
-            inputs[k] = np.log((ones + 0.4) / (zeros + 0.4))
-            if k >= len(ORDERS) - 2:
-                seen = np.minimum(np.log2(ones + zeros + 1), LEVELS - 1).astype(np.int64)
-                gate = gate * LEVELS + seen
-        inputs[-1] = 0.3
-        return inputs, gate
-
-    def bits(self, words: list[bytes], most: int = 20_000) -> np.ndarray:
-        """Bits that each word costs, its closing space included."""
-        out = []
-        for i in range(0, len(words), most):
-            part = words[i : i + most]
-            slots, bit, word = _bits(part)
-            inputs, gate = self._inputs(slots)
-            odds = np.einsum("k...,...k->...", inputs, self.weights[gate])
-            cost = np.logaddexp(0, np.where(bit == 1, -odds, odds)).sum(axis=0) / np.log(2)
-            out.append(np.bincount(word, cost, len(part)))
-        return np.concatenate([np.zeros(0), *out])
-
-    def learn(self, words: list[bytes]) -> np.ndarray:
-        """The weights after one pass over the words: online gradient steps of ``STEP`` words, scaled by the slopes so far."""
-        weights, size = self.weights.copy(), np.full(self.weights.shape, 1e-6)
-        for i in range(0, len(words), STEP):
-            slots, bit, _ = _bits(words[i : i + STEP])
-            inputs, gate = self._inputs(slots, bit)
-            odds = np.einsum("k...,...k->...", inputs, weights[gate])
-            miss = bit - 1 / (1 + np.exp(-odds))
-            flat = gate.ravel()
-            used = np.maximum(np.bincount(flat, minlength=GATES), 1)
-            for k in range(len(ORDERS) + 1):
-                slope = np.bincount(flat, (miss * inputs[k]).ravel(), GATES) / used
-                size[:, k] += slope * slope
-                weights[:, k] += RATE * slope / np.sqrt(size[:, k])
-        return weights
-
-
-def _first_weights() -> np.ndarray:
-    weights = np.full((GATES, len(ORDERS) + 1), 0.3)
-    weights[:, -1] = 0
-    return weights
+class Spelling:
+    """Bytes to be predicted: the four bytes before each, a hash of the word so far, the byte, and whose it is."""
+
+    before: np.ndarray
+    prefix: np.ndarray
+    byte: np.ndarray
+    owner: np.ndarray
+
+    def chunks(self, most: int = CHUNK):
+        for i in range(0, len(self.byte), most):
+            part = slice(i, i + most)
+            yield Spelling(self.before[part], self.prefix[part], self.byte[part], self.owner[part])
+
+    def slots(self, k: int) -> np.ndarray:
+        """Slots of predictor ``k`` for the bits of every byte: the half bytes' nodes lie side by side."""
+        seen = self.prefix if k == K - 1 else self.before & _U((1 << 8 * (k + 1)) - 1)
+        high = (seen + _U(k + 1)) * _A
+        high = (high ^ (high >> _U(29))) * _B
+        low = (high + (self.byte >> 4).astype(_U) + _U(1)) * _A
+        low = (low ^ (low >> _U(31))) * _B
+        out = np.empty((len(self.byte), 8), np.int64)
+        shift = _U(64 - SLOT_BITS[k] + 4)
+        out[:, :4] = ((high >> shift) << _U(4)).astype(np.int64)[:, None] | _HIGH[self.byte]
+        out[:, 4:] = ((low >> shift) << _U(4)).astype(np.int64)[:, None] | _LOW[self.byte]
+        return out
+
+
+def _powers(n: int) -> np.ndarray:
+    out = np.full(max(n, 1), _A, _U)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def spell_rest(words: list[bytes]) -> Spelling:
+    """What follows the first ``HEAD`` bytes of every word, the space after it included."""
+    data = np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)  # words hold no space
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    ends = np.cumsum(sizes)
+    place = np.arange(len(data) - 1) - np.repeat(ends - sizes, sizes)
+    at = np.flatnonzero(place >= HEAD)
+    terms = data[1:].astype(_U) * _powers(int(sizes.max(initial=1)))[place]
+    sums = np.concatenate([[_U(0)], np.cumsum(terms, dtype=_U)])
+    owner = np.repeat(np.arange(len(words)), sizes)[at]
+    before = np.zeros(len(at), _U)
+    for back in (4, 3, 2, 1):
+        before = before << _U(8) | data[at + 1 - back].astype(_U)
+    return Spelling(before, sums[at] - sums[(ends - sizes)[owner]], data[at + 1], owner)
+
+
+def spell_heads(heads: np.ndarray) -> Spelling:
+    """The first ``HEAD`` bytes of words (with the space of shorter ones) after the last bytes before them."""
+    byte = [(heads >> 8 * back & 255).astype(_U) for back in (5, 4, 3)]
+    byte += [np.full(len(heads), SPACE, _U), *((heads >> 8 * back & 255).astype(_U) for back in (2, 1, 0))]
+    power = _powers(HEAD)
+    before = sum(byte[i] << _U(8 * (3 - i)) for i in range(4)).astype(_U)
+    prefix, some = np.zeros(len(heads), _U), np.ones(len(heads), bool)
+    parts = []
+    for place in range(HEAD):
+        now = byte[4 + place]
+        at = np.flatnonzero(some)
+        parts.append((before[at], prefix[at], now[at].astype(np.uint8), at))
+        before = (before << _U(8) | now) & _U(0xFFFFFFFF)
+        prefix = prefix + now * power[place]
+        some = some & (now != SPACE)
+    return Spelling(*map(np.concatenate, zip(*parts, strict=True)))
+
+
+def heads_of(tokens: list[list[bytes]], sizes: np.ndarray) -> np.ndarray:
+    """For every token of some texts the three bytes before the space before it, and its own first bytes, in one number."""
+    data = b"".join([b"    %b " % b" ".join(t) for t in tokens]) + bytes(HEAD)
+    data = np.frombuffer(data, np.uint8).astype(np.int64)
+    owner = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, tokens), np.int64, len(tokens)))
+    start = np.cumsum(sizes + 1) - sizes - 1 + 4 * (owner + 1)
+    key = data[start - 4] << 40 | data[start - 3] << 32 | data[start - 2] << 24 | data[start] << 16
+    return key | np.where(sizes >= 1, data[start + 1], 0) << 8 | np.where(sizes >= 2, data[start + 2], 0)
 
 
-def _count_words(batches):
-    """Words with their counts, added up per stretch of text before they are shuffled."""
+@dataclass(frozen=True)
+class Mixer:
+    """Counts by predictor and slot (ones in the upper half of a number), weights by gate, and the refinement."""
+
+    counts: list[np.ndarray]
+    weights: np.ndarray  # [K + 1, GATES]
+    refined: np.ndarray  # [256, 2 * BUCKETS + 1], chances of a one
+
+    def inputs(self, part: Spelling, own: np.ndarray | None = None, own_word: np.ndarray | None = None):
+        """Stretched predictions and gates; with ``own``, one occurrence is left out of the counts."""
+        x = np.empty((K + 1, len(part.byte), 8), np.float32)
+        bit, levels = _BIT[part.byte], []
+        for k in range(K):
+            both = self.counts[k][part.slots(k)]
+            ones, zeros = (both >> 16).astype(np.float32), (both & 0xFFFF).astype(np.float32)
+            if own is not None:
+                less = (own_word if k == K - 1 else own)[:, None]
+                ones = np.maximum(ones - bit * less, 0)
+                zeros = np.maximum(zeros - (1 - bit) * less, 0)
+            x[k] = np.log((ones + 0.4) / (zeros + 0.4))
+            if k >= K - 2:
+                levels.append(_LEVEL[np.minimum(ones + zeros, len(_LEVEL) - 1).astype(np.int64)])
+        x[-1] = FIRST
+        gate = (np.minimum(levels[0], LEVELS - 1) * WORD_LEVELS + levels[1]) * 8 + _PLACE
+        return x, gate, bit
+
+    def odds(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        out = np.zeros(gate.shape, np.float32)
+        for k in range(K + 1):
+            out += x[k] * self.weights[k].astype(np.float32)[gate]
+        return np.clip(out, -20, 20)
+
+    def refine(self, odds: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the refinement the lower neighbour of the odds is, and the share of the upper one."""
+        at = np.clip((odds + BUCKETS / FINE) * FINE, 0, 2 * BUCKETS - 1e-3)
+        low = at.astype(np.int64)
+        return _NODE[byte] * (2 * BUCKETS + 1) + low, at - low
+
+    def bits(self, spelling: Spelling, n: int) -> np.ndarray:
+        """Bits that the bytes of each of ``n`` owners cost."""
+        out = np.zeros(n)
+        flat = self.refined.ravel()
+        for part in spelling.chunks():
+            x, gate, bit = self.inputs(part)
+            odds = self.odds(x, gate)
+            low, share = self.refine(odds, part.byte)
+            one = (1 / (1 + np.exp(-odds)) + (1 - share) * flat[low] + share * flat[low + 1]) / 2
+            cost = -np.log2(np.where(bit == 1, one, 1 - one)).sum(axis=1)
+            np.add.at(out, part.owner, cost)
+        return out
+
+
+def _first_mixer(counts: list[np.ndarray]) -> Mixer:
+    weights = np.full((K + 1, GATES), FIRST)
+    weights[-1] = 0
+    center = (np.arange(2 * BUCKETS + 1) - BUCKETS) / FINE
+    return Mixer(counts, weights, np.tile(1 / (1 + np.exp(-center)), (256, 1)))
+
+
+def _count_tokens(batches):
+    """Words and heads with their counts, added up per stretch of text before they are shuffled."""
+    names = ["word", "head", "n"]
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for i, j in small_groups(texts, 1 << 22):
-            counts = Counter()
-            for t in texts[i:j]:
-                counts.update(tokens_of(t))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"]
-            )
+            counts, tokens = Counter(), [tokens_of(t) for t in texts[i:j]]
+            for found in tokens:
+                counts.update(found)
+            sizes = np.fromiter((len(w) for found in tokens for w in found), np.int64)
+            heads, n = np.unique(heads_of(tokens, sizes), return_counts=True)
+            words = [pa.array(counts.keys(), pa.binary()), pa.nulls(len(counts), pa.int64()), pa.array(counts.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(words, names)
+            heads = [pa.nulls(len(heads), pa.binary()), pa.array(heads, pa.int64()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(heads, names)
+
+
+def _spelled(batches):
+    """Spellings of a table of words and heads, with the counts of their owners in the bytes and in the word so far."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        words, heads = table.filter(table["word"].is_valid()), table.filter(table["head"].is_valid())
+        if heads.num_rows:
+            n = heads["n"].to_numpy()
+            yield spell_heads(heads["head"].to_numpy()), n, n
+        if words.num_rows:
+            n = words["n"].to_numpy()
+            # A word met once says nothing of words met again: it is spelled, but is no context itself.
+            yield spell_rest(words["word"].to_pylist()), n, np.where(n > 1, n, 0)
 
 
 def _count_bits(batches):
-    """Bit counts of the words of one partition, by parts of the tables."""
-    total = np.zeros((len(ORDERS), 2, 1 << SLOT_BITS), np.int32)
+    """Bit counts of the occurrences of one partition, by parts of the tables."""
+    total = [np.zeros(2 << b, np.int64) for b in SLOT_BITS]
     some = False
-    for batch in batches:
-        words = batch.column(0).to_pylist()
-        for i in range(0, len(words), 20_000):
-            slots, bit, _ = _bits(words[i : i + 20_000])
-            some = True
-            for k in range(len(ORDERS)):
-                for b in (0, 1):
-                    total[k, b] += np.bincount(slots[k][bit == b], minlength=1 << SLOT_BITS).astype(np.int32)
+    for spelling, n, n_word in _spelled(batches):
+        some = True
+        for part in spelling.chunks():
+            bit = _BIT[part.byte]
+            for k in range(K):
+                weight = np.repeat((n_word if k == K - 1 else n)[part.owner], 8)
+                np.add.at(total[k], (part.slots(k) * 2 + bit).ravel(), weight)
     if some:
-        yield from _parts(TaskContext.get().partitionId(), total.reshape(len(ORDERS), 2, -1, 1 << PART_BITS))
-
-
-def _parts(branch: int, total: np.ndarray):
-    rows = [
-        (k * total.shape[2] + p, branch, zlib.compress(np.ascontiguousarray(total[k, :, p]).tobytes(), 1))
-        for k in range(total.shape[0])
-        for p in range(total.shape[2])
-    ]
-    part, branches, data = zip(*rows, strict=True)
-    columns = [pa.array(part, pa.int32()), pa.array(branches, pa.int32()), pa.array(data, pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, ["part", "branch", "data"])
+        parts = [p for t in total for p in t.reshape(-1, 2 << PART_BITS)]
+        data = [zlib.compress(p.tobytes(), 1) for p in parts]
+        branch = np.full(len(parts), TaskContext.get().partitionId())
+        columns = [pa.array(range(len(parts)), pa.int32()), pa.array(branch, pa.int32()), pa.array(data, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "branch", "data"])
 
 
 def _add_parts(table: pa.Table) -> pa.Table:
     total = np.zeros(2 << PART_BITS, np.int64)
     for data in table["data"].to_pylist():
-        total += np.frombuffer(zlib.decompress(data), np.int32)
-    data = zlib.compress(np.minimum(total, 2**31 - 1).astype(np.int32).tobytes(), 1)
-    return pa.table({"part": table["part"][:1], "branch": table["branch"][:1], "data": [data]})
+        total += np.frombuffer(zlib.decompress(data), np.int64)
+    return pa.table({"part": table["part"][:1], "branch": table["branch"][:1], "data": [zlib.compress(total.tobytes(), 1)]})
 
 
-@dataclass(frozen=True)
-class WordModel:
-    """What each task holds: totals, the counts of frequent words, and the speller."""
+def bit_counts(counts: DataFrame) -> list[np.ndarray]:
+    """The counts of all occurrences, added up by a tree whose groups have ``WIDTH`` rows at most, whatever its depth."""
+    shape = "part int, branch int, data binary"
+    branches = counts.rdd.getNumPartitions()
+    parts = counts.select("word", "head", "n").mapInArrow(_count_bits, shape)
+    while branches > 1:
+        branches = -(-branches // WIDTH)
+        above = F.floor(F.col("branch") / WIDTH).cast("int").alias("branch")
+        parts = parts.select("part", above, "data").groupBy("part", "branch").applyInArrow(_add_parts, shape)
+    tables = [np.zeros(1 << b, np.uint32) for b in SLOT_BITS]
+    first = np.concatenate([[0], np.cumsum([t.size >> PART_BITS for t in tables])])
+    for r in parts.toLocalIterator():
+        k = int(np.searchsorted(first, r["part"], "right")) - 1
+        own = np.frombuffer(zlib.decompress(r["data"]), np.int64).reshape(-1, 2)
+        scale = np.maximum(own.max(axis=1) / 65_000, 1)  # a larger count keeps its ratio
+        own = np.ceil(own / scale[:, None]).astype(np.uint32)
+        at = (r["part"] - first[k]) << PART_BITS
+        tables[k][at : at + len(own)] = own[:, 0] | own[:, 1] << 16
+    return tables
 
-    total: int
-    kinds: int
-    once: int
-    known: dict[bytes, int]
-    classes: np.ndarray  # of the words of ``known``, in order
-    speller: Speller
 
-    @property
-    def unseen(self) -> float:
-        """Share of tokens that are new words, by the number of words met once (Good and Turing)."""
-        return min(0.5, max(1e-6, self.once / self.total)) if self.total else 1.0
+_PAIRS = [(i, j) for i in range(K + 1) for j in range(i, K + 1)]
 
-    @property
-    def shares(self) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each class, all words that are not held being the last class, and the classes' shares."""
-        seen = np.array(list(self.known.values()), float)
-        tokens = np.bincount(self.classes, seen, CLASSES + 1)
-        tokens[-1] = self.total - tokens.sum()
-        usual = tokens / max(self.total, 1) * (1 - self.unseen)
-        usual[-1] += self.unseen
-        return tokens, usual
 
+def _sums(total: np.ndarray):
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.ravel()[at], pa.float64())], ["at", "value"])
 
-def _traits(known: dict[bytes, int]) -> np.ndarray:
-    return np.random.default_rng(5).normal(0, 1, (len(known), TRAITS)).astype(np.float32)
 
+def _added(counts: DataFrame, run, size: int) -> np.ndarray:
+    rows = counts.select("word", "head", "n").mapInArrow(run, "at long, value double")
+    out = np.zeros(size)
+    for r in rows.groupBy("at").agg(F.sum("value").alias("value")).collect():
+        out[r["at"]] = r["value"]
+    return out
 
-def _company(shared):
-    """For each frequent word the sum, over its occurrences, of the mean traits of the text's other words."""
+
+def _slopes(shared, weights: np.ndarray):
+    """Slopes and curvatures of the bits that all occurrences cost, by weight and gate, each without its own count."""
 
     def run(batches):
-        known = shared.value
-        index, traits = {w: i for i, w in enumerate(known)}, _traits(known)
-        total = np.zeros((len(known), TRAITS))
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in small_groups(texts):
-                found = [[k for k in map(index.get, tokens_of(t)) if k is not None] for t in texts[i:j]]
-                sizes = np.array([len(f) for f in found])
-                word = np.array([k for f in found for k in f], np.int64)
-                owner = np.repeat(np.arange(len(found)), sizes)
-                own = traits[word]
-                for d in range(TRAITS):
-                    whole = np.bincount(owner, own[:, d], len(found))
-                    mean = (whole[owner] - own[:, d]) / np.maximum(sizes[owner] - 1, 1)
-                    total[:, d] += np.bincount(word, mean, len(known))
-        branch = TaskContext.get().partitionId()
-        for part in range(0, len(known), 1 << PART_BITS):
-            data = zlib.compress(total[part : part + (1 << PART_BITS)].astype(np.float32).tobytes(), 1)
-            row = [pa.array([part], pa.int32()), pa.array([branch], pa.int32()), pa.array([data], pa.binary())]
-            yield pa.RecordBatch.from_arrays(row, ["part", "branch", "data"])
+        mixer = replace(shared.value, weights=weights)
+        total = np.zeros((K + 1 + len(_PAIRS), GATES))
+        for spelling, n, n_word in _spelled(batches):
+            for part in spelling.chunks():
+                own = n_word[part.owner]
+                x, gate, bit = mixer.inputs(part, np.ones(len(own), np.float32), np.minimum(own, 1).astype(np.float32))
+                one = 1 / (1 + np.exp(-mixer.odds(x, gate)))
+                many = n[part.owner][:, None]
+                miss, curve, flat = many * (bit - one), many * (one * (1 - one)), gate.ravel()
+                for k in range(K + 1):
+                    total[k] += np.bincount(flat, (miss * x[k]).ravel(), GATES)
+                for at, (i, j) in enumerate(_PAIRS, K + 1):
+                    total[at] += np.bincount(flat, (curve * x[i] * x[j]).ravel(), GATES)
+        yield from _sums(total.ravel())
 
     return run
 
 
-def _add_floats(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(zlib.decompress(d), np.float32).astype(float) for d in table["data"].to_pylist())
-    data = zlib.compress(total.astype(np.float32).tobytes(), 1)
-    return pa.table({"part": table["part"][:1], "branch": table["branch"][:1], "data": [data]})
+def learn_weights(counts: DataFrame, shared, weights: np.ndarray) -> np.ndarray:
+    """Newton steps for every gate over all occurrences: sums only, so neither order nor partitions matter."""
+    first = weights
+    for _ in range(STEPS):
+        size = K + 1 + len(_PAIRS)
+        total = _added(counts, _slopes(shared, weights), size * GATES).reshape(size, GATES)
+        slope = total[: K + 1] - PULL * (weights - first)
+        curve = np.zeros((GATES, K + 1, K + 1))
+        for at, (i, j) in enumerate(_PAIRS, K + 1):
+            curve[:, i, j] = curve[:, j, i] = total[at]
+        curve += PULL * np.eye(K + 1)
+        step = np.linalg.solve(curve, slope.T[:, :, None])[:, :, 0].T
+        weights = weights + np.clip(step, -LONGEST, LONGEST)
+    return weights
 
 
-def word_classes(docs: DataFrame, known: dict[bytes, int]) -> np.ndarray:
-    """A class for each frequent word by the company it keeps: k-means of the sums over all training texts."""
-    if len(known) < 2 * CLASSES:
-        return np.zeros(len(known), np.int64)
-    shape = "part int, branch int, data binary"
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    sums = id_text(docs).select("text").mapInArrow(_company(shared), shape)
-    branch = F.pmod(F.col("branch"), F.lit(BRANCHES)).cast("int").alias("branch")
-    sums = sums.select("part", branch, "data").groupBy("part", "branch").applyInArrow(_add_floats, shape)
-    rows = sums.groupBy("part").applyInArrow(_add_floats, shape).collect()
-    rows.sort(key=lambda r: r["part"])
-    flat = np.concatenate([np.frombuffer(zlib.decompress(r["data"]), np.float32) for r in rows])
-    seen = np.array(list(known.values()), float)
-    x = flat.reshape(-1, TRAITS) / seen[:, None]
-    x = x - (x * seen[:, None]).sum(axis=0) / seen.sum()
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    center = [x[np.argmax(seen)]]
-    while len(center) < CLASSES:  # the next one is far from the others and frequent
-        away = np.min([((x - c) ** 2).sum(axis=1) for c in center], axis=0)
-        center.append(x[np.argmax(away * np.sqrt(seen))])
-    center = np.array(center)
-    for _ in range(20):
-        label = np.argmax(x @ center.T, axis=1)
-        for k in range(CLASSES):
-            if (label == k).any():
-                c = (x[label == k] * np.sqrt(seen[label == k])[:, None]).sum(axis=0)
-                center[k] = c / max(np.linalg.norm(c), 1e-12)
-    return label
+def learn_refinement(counts: DataFrame, shared, weights: np.ndarray, refined: np.ndarray) -> np.ndarray:
+    """Chances of a one by the bits of the byte so far and the mixed odds, over all occurrences."""
+
+    def run(batches):
+        mixer = replace(shared.value, weights=weights)
+        total = np.zeros((2, refined.size))
+        for spelling, n, n_word in _spelled(batches):
+            for part in spelling.chunks():
+                own = n_word[part.owner]
+                x, gate, bit = mixer.inputs(part, np.ones(len(own), np.float32), np.minimum(own, 1).astype(np.float32))
+                low, share = mixer.refine(mixer.odds(x, gate), part.byte)
+                many, low = n[part.owner][:, None], low.ravel()
+                for at, near in ((low, many * (1 - share)), (low + 1, many * share)):
+                    total[0] += np.bincount(at, near.ravel(), refined.size)
+                    total[1] += np.bincount(at, (near * bit).ravel(), refined.size)
+        yield from _sums(total.ravel())
+
+    seen, ones = _added(counts, run, 2 * refined.size).reshape(2, *refined.shape)
+    return (ones + REFINE_PRIOR * refined) / (seen + REFINE_PRIOR)
+
+
+@dataclass(frozen=True)
+class WordModel:
+    """What each task holds: totals, the mixer, and the counts and costs of frequent words and heads."""
+
+    total: int
+    kinds: int
+    known: dict[bytes, int]
+    least: int  # count of the rarest word held
+    rest: np.ndarray  # bits of the words of ``known`` after their heads
+    heads: np.ndarray  # ascending
+    head_bits: np.ndarray
+    mixer: Mixer
+
+    def rest_of(self, words: list[bytes]) -> np.ndarray:
+        return self.mixer.bits(spell_rest(words), len(words))
+
+    def head_cost(self, keys: np.ndarray) -> np.ndarray:
+        """Bits of every head; those that are not held are worked out, each once."""
+        kinds, which = np.unique(keys, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.heads, kinds), max(len(self.heads) - 1, 0))
+        out, held = np.zeros(len(kinds)), np.zeros(len(kinds), bool)
+        if len(self.heads):
+            held = self.heads[at] == kinds
+            out[held] = self.head_bits[at[held]]
+        others = kinds[~held]
+        out[~held] = self.mixer.bits(spell_heads(others), len(others))
+        return out[which]
 
 
 def training_texts(docs: DataFrame) -> DataFrame:
@@ -277,91 +378,91 @@ def training_texts(docs: DataFrame) -> DataFrame:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """``word, n`` over the texts outside the held-out fold; staged, as every later step reads it."""
-    counts = id_text(training_texts(docs)).select("text").mapInArrow(_count_words, "word binary, n long")
-    return stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    """``word, head, n`` over the texts outside the held-out fold, a word or a head in each row.
 
+    A head is the beginning of a word with the last bytes before it, see :func:`heads_of`.
+    Staged, as every later step reads it.
+    """
+    counts = id_text(training_texts(docs)).select("text").mapInArrow(_count_tokens, "word binary, head long, n long")
+    return stage(counts.groupBy("word", "head").agg(F.sum("n").alias("n")), "word-counts")
 
-def train(docs: DataFrame, counts: DataFrame, known_words: int = KNOWN_WORDS) -> WordModel:
-    """Fit on all training texts; ``counts`` are their words. Only tables of fixed size come to the driver."""
-    spark = counts.sparkSession
-    row = counts.agg(F.sum("n"), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
-    total, kinds, once = (int(x or 0) for x in row)
+
+def _frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent rows, ``most`` at most: whole steps of the logarithm of the count."""
     step = F.floor(F.log2("n") * 16).alias("step")
-    by_step = counts.groupBy(step).count().orderBy(F.desc("step")).collect()
-    left, least = known_words, None
-    for r in by_step:
+    left, least = most, None
+    for r in counts.groupBy(step).count().orderBy(F.desc("step")).collect():
         left -= r["count"]
         if left < 0:
             break
         least = r["step"]
-    frequent = counts.filter(F.floor(F.log2("n") * 16) >= least) if least is not None else counts.limit(0)
-    known = {bytes(r["word"]): r["n"] for r in frequent.collect()}
+    return counts.filter(step >= least) if least is not None else counts.limit(0)
 
-    branch = F.pmod(F.col("branch"), F.lit(BRANCHES)).cast("int").alias("branch")
-    shape = "part int, branch int, data binary"
-    parts = counts.select("word").mapInArrow(_count_bits, shape).select("part", branch, "data")
-    parts = parts.groupBy("part", "branch").applyInArrow(_add_parts, shape)
-    parts = parts.groupBy("part").applyInArrow(_add_parts, shape).collect()
-    tables = np.zeros((len(ORDERS), 2, 1 << SLOT_BITS), np.uint16)
-    by_part = tables.reshape(len(ORDERS), 2, -1, 1 << PART_BITS)
-    for r in parts:
-        k, p = divmod(r["part"], by_part.shape[2])
-        own = np.frombuffer(zlib.decompress(r["data"]), np.int32).reshape(2, -1)
-        scale = np.maximum(own.max(axis=0) / 65_000, 1)  # a larger count keeps its ratio
-        by_part[k, :, p] = np.ceil(own / scale)
-    del parts
-    first = spark.sparkContext.broadcast(Speller(tables, _first_weights()))
-
-    def learn(batches):
-        total, speller = 0, first.value
+
+def train(docs: DataFrame, counts: DataFrame, known_words: int = KNOWN_WORDS, known_heads: int = KNOWN_HEADS) -> WordModel:
+    """Fit on all training texts; ``counts`` are their words and heads. Only tables of fixed size come to the driver.
+
+    ``known_words`` and ``known_heads`` say what tasks hold ready, and change no score.
+    """
+    context = counts.sparkSession.sparkContext
+    words, heads = counts.filter(F.col("word").isNotNull()), counts.filter(F.col("head").isNotNull())
+    row = words.agg(F.sum("n"), F.count("*")).first()
+    total, kinds = (int(x or 0) for x in row)
+    mixer = _first_mixer(bit_counts(counts))
+    shared = context.broadcast(mixer)
+    weights = learn_weights(counts, shared, mixer.weights)
+    refined = learn_refinement(counts, shared, weights, mixer.refined)
+    mixer = replace(mixer, weights=weights, refined=refined)
+
+    def cost(batches):
+        ready = replace(shared.value, weights=weights, refined=refined)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            speller = Speller(speller.counts, speller.learn(words))
-            total += len(words)
-        weight = speller.weights * total
-        columns = [np.arange(weight.size), weight.ravel(), np.full(weight.size, total)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["at", "weight", "n"])
-
-    learned = counts.select("word").mapInArrow(learn, "at long, weight double, n long")
-    mean = learned.groupBy("at").agg(F.sum("weight").alias("weight"), F.sum("n").alias("n")).collect()
-    weights = _first_weights()
-    for r in mean:
-        if r["n"]:
-            weights.ravel()[r["at"]] = r["weight"] / r["n"]
-    classes = word_classes(training_texts(docs), known)
-    return WordModel(total, kinds, once, known, classes, Speller(tables, weights))
+            for i in range(0, batch.num_rows, 20_000):
+                part = pa.Table.from_batches([batch.slice(i, 20_000)])
+                word, head = part["word"].to_pylist(), part["head"]
+                if head.null_count:
+                    bits = ready.bits(spell_rest(word), len(word))
+                else:
+                    bits = ready.bits(spell_heads(head.to_numpy()), len(word))
+                part = part.append_column("bits", pa.array(bits)).combine_chunks()
+                yield from part.to_batches()
+
+    shape = "word binary, head long, n long, bits double"
+    found = _frequent(words, known_words).select("word", "head", "n").mapInArrow(cost, shape).select("word", "n", "bits").collect()
+    known = {bytes(r["word"]): r["n"] for r in found}
+    rest = np.array([r["bits"] for r in found], float)
+    found = _frequent(heads, known_heads).select("word", "head", "n").mapInArrow(cost, shape).select("head", "bits").collect()
+    found = np.array(sorted((r["head"], r["bits"]) for r in found), float).reshape(-1, 2)
+    least = min(known.values(), default=0)
+    return WordModel(total, kinds, known, least, rest, found[:, 0].astype(np.int64), found[:, 1], mixer)
 
 
 def _history(owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How often each token came before in its text, and how many tokens did."""
-    order = np.lexsort((word, owner))
-    o, w = owner[order], word[order]
-    new = np.concatenate([[True], (o[1:] != o[:-1]) | (w[1:] != w[:-1])])
-    run = np.arange(len(o)) - np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
-    before = np.empty(len(o), np.int64)
-    before[order] = run
+    at = np.arange(len(owner))
     starts = np.concatenate([[True], owner[1:] != owner[:-1]])
-    place = np.arange(len(owner)) - np.maximum.accumulate(np.where(starts, np.arange(len(owner)), 0))
+    place = at - np.maximum.accumulate(np.where(starts, at, 0))
+    _, kind = np.unique(owner * (int(word.max(initial=0)) + 1) + word, return_inverse=True)
+    order = np.argsort(kind, kind="stable")
+    kind = kind[order]
+    new = np.concatenate([[True], kind[1:] != kind[:-1]])
+    before = np.empty(len(at), np.int64)
+    before[order] = at - np.maximum.accumulate(np.where(new, at, 0))
     return before, place
 
 
-SCORED = (
-    "rid long, doc_id long, word binary, n_tokens long, n_bytes long, n_known long, "
-    "base double, score double, own double, each double, spelled double"
-)
+INFO = "doc_id long, n_tokens long, n_bytes long, n_known long, base double, score double"
+SCORED = f"rid long, word binary, times long, info struct<{INFO}>"
 
 
-def _score(shared, names: list[str]):
-    """Per text its counts and the sums over frequent words; each other token is a row that still needs its count."""
+def _score(shared):
+    """Per text its score, counts, and sums over the words held; each other word is a row that still needs its count."""
 
     def run(batches):
         model: WordModel = shared.value
         size, index = len(model.known), {w: i for i, w in enumerate(model.known)}
         seen = np.array(list(model.known.values()), float)
-        in_class, usual = model.shares
-        new = min(1.0, model.unseen / usual[-1]) if usual[-1] else 1.0
-        within = seen / np.maximum(in_class[model.classes], 1)
+        length = np.fromiter(map(len, model.known), np.int64, size)
         below = model.total + model.kinds + 1
         at = TaskContext.get().partitionId() << 33
         lookup = index.get
@@ -369,9 +470,8 @@ def _score(shared, names: list[str]):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i, j in small_groups(texts, 1 << 21):
                 rare: dict[bytes, int] = {}
-                word, counts, lengths = [], [], []
-                for t in texts[i:j]:
-                    tokens = tokens_of(t)
+                word, all_tokens = [], [tokens_of(t) for t in texts[i:j]]
+                for tokens in all_tokens:
                     found = list(map(lookup, tokens))
                     if None in found:
                         found = [
@@ -379,44 +479,50 @@ def _score(shared, names: list[str]):
                             for w, f in zip(tokens, found, strict=True)
                         ]
                     word += found
-                    counts.append(len(tokens))
-                    lengths.append(sum(map(len, tokens)) + len(tokens))
-                word, counts = np.array(word, np.int64), np.array(counts, np.int64)
-                owner = np.repeat(np.arange(len(counts)), counts)
-                spelled = 2.0 ** -np.minimum(model.speller.bits(list(rare)), 1000)
-                common = word < size
-                kind = np.concatenate([model.classes, np.full(len(rare), CLASSES)])[word]
-                same, place = _history(owner, kind)
-                share_of = (CLASS_PRIOR * usual[kind] + same) / (CLASS_PRIOR + place)
-                chance = share_of * np.concatenate([within, new * spelled])[word]
-                before, _ = _history(owner, word)
+                word, words, n = np.array(word, np.int64), list(rare), j - i
+                counts = np.fromiter(map(len, all_tokens), np.int64, n)
+                owner = np.repeat(np.arange(n), counts)
+                sizes = np.concatenate([length, np.fromiter(map(len, words), np.int64, len(words))])[word]
+                bits = model.head_cost(heads_of(all_tokens, sizes))
+                bits += np.concatenate([model.rest, model.rest_of(words)])[word]
+                before, place = _history(owner, word)
                 own = before / np.maximum(place, 1)
                 # How well the text's own history did so far decides its weight in the next token.
-                did = OWN_SHARE * own / (OWN_SHARE * own + (1 - OWN_SHARE) * chance)
+                chance = (1 - OWN_SHARE) * np.exp2(-bits)
+                did = np.where(before > 0, OWN_SHARE * own, 0) / np.where(before > 0, OWN_SHARE * own + chance, 1)
                 total = np.concatenate([[0], np.cumsum(did)])
                 first = np.cumsum(counts) - counts
                 share = (OWN_SHARE * OWN_PRIOR + total[:-1] - total[first][owner]) / (OWN_PRIOR + place)
-                score = np.where(common, np.log10(share * own + (1 - share) * chance), 0)
-                base = np.where(common, np.log10((np.concatenate([seen, np.zeros(len(rare))])[word] + 1) / below), 0)
-                n, late = len(counts), np.flatnonzero(~common)
-                more = np.zeros(len(late), np.int64)
+                spelled = np.log2(1 - share) - bits
+                again = np.log2(np.where(before > 0, share * own, 1))
+                score = np.where(before > 0, np.logaddexp2(again, spelled), spelled) * np.log10(2)
+                common = word < size
+                base = np.log10((seen + 1) / below)
+                base = np.where(common, np.concatenate([base, np.zeros(len(words))])[word], 0)
                 rid = at + np.arange(n)
                 at += n
-                words = list(rare)
-                none = np.zeros(n)
+                # Each other word once per text, with how often it is there.
+                late = ~common
+                pairs, times = np.unique(owner[late] * (len(words) + 1) + word[late] - size, return_counts=True)
+                of, which = np.divmod(pairs, len(words) + 1)
+                info = [
+                    pa.array(ids[i:j], pa.int64()),
+                    pa.array(counts),
+                    pa.array(np.bincount(owner, sizes + 1, n).astype(np.int64)),
+                    pa.array(np.bincount(owner, common, n).astype(np.int64)),
+                    pa.array(np.bincount(owner, base, n)),
+                    pa.array(np.bincount(owner, score, n)),
+                ]
+                info = pa.StructArray.from_arrays(info, [x.split()[0] for x in INFO.split(", ")])
+                # no word has a space: the rows of texts find no count, and they spread
+                names = ["rid", "word", "times", "info"]
+                columns = [pa.array(rid), pa.array([b" %d" % r for r in rid], pa.binary()), pa.array(np.zeros(n, np.int64)), info]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 columns = [
-                    pa.array(np.concatenate([rid, rid[owner[late]]])),
-                    pa.array([*ids[i:j], *[None] * len(late)], pa.int64()),
-                    # no word has a space: these find no count, and they spread
-                    pa.array([*(b" %d" % r for r in rid), *(words[w - size] for w in word[late])], pa.binary()),
-                    pa.array(np.concatenate([counts, more])),
-                    pa.array(np.concatenate([np.array(lengths, np.int64), more])),
-                    pa.array(np.concatenate([np.bincount(owner, common, n).astype(np.int64), more])),
-                    pa.array(np.concatenate([np.bincount(owner, base, n), more])),
-                    pa.array(np.concatenate([np.bincount(owner, score, n), more])),
-                    pa.array(np.concatenate([none, (share * own)[late]])),
-                    pa.array(np.concatenate([none, ((1 - share) * share_of)[late] * (1 - new) / max(in_class[-1], 1)])),
-                    pa.array(np.concatenate([none, ((1 - share) * chance)[late]])),
+                    pa.array(rid[of]),
+                    pa.array(words, pa.binary()).take(pa.array(which)),
+                    pa.array(times.astype(np.int64)),
+                    pa.nulls(len(of), info.type),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -426,44 +532,47 @@ def _score(shared, names: list[str]):
 def score_documents(docs: DataFrame, counts: DataFrame, model: WordModel) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` of every row.
 
-    ``score`` is the log10 probability of the whole text under a mixture of three
-    predictions of each token:
+    ``score`` is the log10 probability of the whole text. Each token is spelled,
+    its closing space included, and every bit of every byte of every token is
+    predicted from counts of all training occurrences in hashed contexts:
+
+    * the 1, 2, 3 and 4 bytes before it, over the borders of words, and the word so far
+      (learned from words met at least twice);
+    * the predictions are combined in the logistic domain by weights that a
+      gate picks from how often the two longest contexts were seen and the bit's place;
+      the weights are learned over all training occurrences, each one's own counts left out;
+    * the mixed prediction is averaged with that of a refinement table, which says
+      how often such a prediction, behind these bits of the byte, was a one.
 
-    * the share of the word in the training tokens of its class, less what new words
-      take (Good and Turing), times the share of the class in the text so far:
-      classes are frequent words that occur in the same texts, and all other words;
-    * its spelling: every bit of its bytes and of the space after it is predicted in
-      four hashed contexts (1 to 4 bytes back), and the predictions are combined in
-      the logistic domain by weights that a gate picks from how often the
-      longer contexts were seen and the bit's place; the weights are learned online,
-      each word's own counts left out;
-    * the text's own history, whose weight adapts token by token to how well it did.
+    A token's chance is then mixed with its share in the text so far, by a weight
+    that adapts token by token to how well that did.
 
-    ``base_score`` is the add-one model of single words. Both use exact counts of all
-    training texts: tasks hold those of at most ``KNOWN_WORDS`` frequent words, and
-    every occurrence of another word is joined with the full table by the word.
+    A byte that far in a word hangs on the word alone, so words and heads (the first bytes, with those before
+    the word) are spelled once each and tasks hold the costs of the frequent ones; what
+    they hold changes no score. ``base_score`` is the add-one model of single words, with exact
+    counts: words that tasks do not hold are joined with the full table.
 
     NULL and empty texts are the end token alone; repeated rows are scored each; a
-    NULL id has the remainder of the empty text; an empty table gives no rows; without
-    training texts every token is new. Other columns are not read.
+    NULL id has the remainder of the empty text; an empty table gives no rows. Texts are never cut:
+    a text is held by one task with its tokens. Other columns are not read.
     """
-    names = [x.split()[0] for x in SCORED.split(", ")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = id_text(docs).mapInArrow(_score(shared, names), SCORED)
-    least = min(model.known.values(), default=None)
-    others = counts if least is None else counts.filter(F.col("n") < least)
-    n = F.coalesce(F.col("n"), F.lit(0))
+    rows = id_text(docs).mapInArrow(_score(shared), SCORED)
+    others = counts.filter(F.col("word").isNotNull())
+    if model.known:
+        others = others.filter(F.col("n") < model.least)
+    n, times = F.coalesce(F.col("n"), F.lit(0)), F.col("times")
     below = float(model.total + model.kinds + 1)
-    token = F.col("spelled") > 0
-    chance = F.col("own") + F.col("each") * n + F.col("spelled")
-    scored = rows.join(others.hint("merge"), "word", "left").select(
+    info = {x.split()[0]: F.col("info." + x.split()[0]) for x in INFO.split(", ")}
+    part = lambda name: F.coalesce(info[name], F.lit(0))
+    scored = rows.join(others.select("word", "n").hint("merge"), "word", "left").select(
         "rid",
-        "doc_id",
-        "n_tokens",
-        "n_bytes",
-        (F.col("n_known") + F.when(token & (n > 0), 1).otherwise(0)).alias("n_known"),
-        (F.col("base") + F.when(token, F.log10((n + 1) / below)).otherwise(0.0)).alias("base"),
-        (F.col("score") + F.when(token, F.log10(chance)).otherwise(0.0)).alias("score"),
+        info["doc_id"].alias("doc_id"),
+        info["n_tokens"].alias("n_tokens"),
+        info["n_bytes"].alias("n_bytes"),
+        info["score"].alias("score"),
+        (part("n_known") + F.when(n > 0, times).otherwise(0)).alias("n_known"),
+        (part("base") + times * F.log10((n + 1) / below)).alias("base"),
     )
     sums = scored.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_bytes", "n_known", "base", "score"))
