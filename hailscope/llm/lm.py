@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ OWN_SHARE, OWN_PRIOR = 0.05, 20.0
 LEVELS, WORD_LEVELS = 6, 10
 GATES = LEVELS * WORD_LEVELS * 8
 #: Newton steps of the weights, their longest step, first weight, and the pull towards it.
-STEPS, LONGEST, FIRST, PULL = 4, 0.5, 0.3, 2.0
+STEPS, LONGEST, FIRST, PULL = 3, 0.5, 0.3, 2.0
 #: Refinement: steps of the mixed odds on each side of zero, steps in one unit, and what its first guess is worth.
 BUCKETS, FINE, REFINE_PRIOR = 16, 2, 10.0
 #: Bytes whose bits are mixed at once.
@@ -44,8 +45,7 @@ _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _BYTE, _PLACE = np.arange(256)[:, None], np.arange(8)
 _BIT = (_BYTE >> (7 - _PLACE) & 1).astype(np.int8)
 _NODE = (1 << _PLACE) | (_BYTE >> (8 - _PLACE))  # the bits of the byte so far behind a one
-_HIGH = _NODE[:, :4]
-_LOW = (1 << _PLACE[:4]) | ((_BYTE & 15) >> (4 - _PLACE[:4]))
+_HALVES = np.stack([_NODE[:, :4], (1 << _PLACE[:4]) | ((_BYTE & 15) >> (4 - _PLACE[:4]))], axis=1)  # by half byte
 _LEVEL = np.minimum(np.log2(np.arange(1 << WORD_LEVELS) + 1), WORD_LEVELS - 1).astype(np.int64)
 
 
@@ -68,6 +68,10 @@ class Spelling:
             part = slice(i, i + most)
             yield Spelling(self.before[part], self.prefix[part], self.byte[part], self.owner[part])
 
+    @cached_property
+    def nodes(self) -> np.ndarray:
+        return np.take(_HALVES, self.byte, axis=0)
+
     def slots(self, k: int) -> np.ndarray:
         """Slots of predictor ``k`` for the bits of every byte: the half bytes' nodes lie side by side."""
         seen = self.prefix if k == K - 1 else self.before & _U((1 << 8 * (k + 1)) - 1)
@@ -75,11 +79,9 @@ class Spelling:
         high = (high ^ (high >> _U(29))) * _B
         low = (high + (self.byte >> 4).astype(_U) + _U(1)) * _A
         low = (low ^ (low >> _U(31))) * _B
-        out = np.empty((len(self.byte), 8), np.int64)
         shift = _U(64 - SLOT_BITS[k] + 4)
-        out[:, :4] = ((high >> shift) << _U(4)).astype(np.int64)[:, None] | _HIGH[self.byte]
-        out[:, 4:] = ((low >> shift) << _U(4)).astype(np.int64)[:, None] | _LOW[self.byte]
-        return out
+        first = np.stack([high >> shift, low >> shift], axis=1) << _U(4)
+        return (first.view(np.int64)[:, :, None] | self.nodes).reshape(-1, 8)
 
 
 def _powers(n: int) -> np.ndarray:
@@ -132,36 +134,59 @@ def heads_of(tokens: list[list[bytes]], sizes: np.ndarray) -> np.ndarray:
     return key | np.where(sizes >= 1, data[start + 1], 0) << 8 | np.where(sizes >= 2, data[start + 2], 0)
 
 
+def _stretch(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    return np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
+
+
+def _levels(seen: np.ndarray) -> np.ndarray:
+    return _LEVEL[np.minimum(seen, len(_LEVEL) - 1).astype(np.int64)]
+
+
 @dataclass(frozen=True)
 class Mixer:
-    """Counts by predictor and slot (ones in the upper half of a number), weights by gate, and the refinement."""
+    """Counts by predictor and slot (ones in the upper half of a number), weights by gate, and the refinement.
+
+    One that is :meth:`ready` to score holds the stretched predictions, and levels, in place of the counts.
+    """
 
     counts: list[np.ndarray]
     weights: np.ndarray  # [K + 1, GATES]
     refined: np.ndarray  # [256, 2 * BUCKETS + 1], chances of a one
+    levels: list[np.ndarray] | None = None  # of the two longest contexts
+
+    def ready(self) -> Mixer:
+        halves = [((c >> 16).astype(np.float32), (c & 0xFFFF).astype(np.float32)) for c in self.counts]
+        levels = [_levels(a + b).astype(np.uint8) for a, b in halves[-2:]]
+        return replace(self, counts=[_stretch(*h) for h in halves], levels=levels)
 
     def inputs(self, part: Spelling, own: np.ndarray | None = None, own_word: np.ndarray | None = None):
         """Stretched predictions and gates; with ``own``, one occurrence is left out of the counts."""
         x = np.empty((K + 1, len(part.byte), 8), np.float32)
         bit, levels = _BIT[part.byte], []
         for k in range(K):
-            both = self.counts[k][part.slots(k)]
+            slots = part.slots(k)
+            if self.levels is not None:
+                np.take(self.counts[k], slots, out=x[k], mode="clip")
+                if k >= K - 2:
+                    levels.append(np.take(self.levels[k - K + 2], slots, mode="clip").astype(np.int64))
+                continue
+            both = np.take(self.counts[k], slots, mode="clip")
             ones, zeros = (both >> 16).astype(np.float32), (both & 0xFFFF).astype(np.float32)
             if own is not None:
                 less = (own_word if k == K - 1 else own)[:, None]
                 ones = np.maximum(ones - bit * less, 0)
                 zeros = np.maximum(zeros - (1 - bit) * less, 0)
-            x[k] = np.log((ones + 0.4) / (zeros + 0.4))
+            x[k] = _stretch(ones, zeros)
             if k >= K - 2:
-                levels.append(_LEVEL[np.minimum(ones + zeros, len(_LEVEL) - 1).astype(np.int64)])
+                levels.append(_levels(ones + zeros))
         x[-1] = FIRST
         gate = (np.minimum(levels[0], LEVELS - 1) * WORD_LEVELS + levels[1]) * 8 + _PLACE
         return x, gate, bit
 
     def odds(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         out = np.zeros(gate.shape, np.float32)
-        for k in range(K + 1):
-            out += x[k] * self.weights[k].astype(np.float32)[gate]
+        for k, weights in enumerate(self.weights.astype(np.float32)):
+            out += x[k] * np.take(weights, gate, mode="clip")
         return np.clip(out, -20, 20)
 
     def refine(self, odds: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,13 +198,13 @@ class Mixer:
     def bits(self, spelling: Spelling, n: int) -> np.ndarray:
         """Bits that the bytes of each of ``n`` owners cost."""
         out = np.zeros(n)
-        flat = self.refined.ravel()
+        flat = self.refined.ravel().astype(np.float32)
         for part in spelling.chunks():
             x, gate, bit = self.inputs(part)
             odds = self.odds(x, gate)
             low, share = self.refine(odds, part.byte)
             one = (1 / (1 + np.exp(-odds)) + (1 - share) * flat[low] + share * flat[low + 1]) / 2
-            cost = -np.log2(np.where(bit == 1, one, 1 - one)).sum(axis=1)
+            cost = -np.log2(np.where(bit == 1, one, 1 - one)).sum(axis=1, dtype=float)
             np.add.at(out, part.owner, cost)
         return out
 
@@ -269,7 +294,7 @@ def bit_counts(counts: DataFrame) -> list[np.ndarray]:
     return tables
 
 
-_PAIRS = [(i, j) for i in range(K + 1) for j in range(i, K + 1)]
+_UPPER = np.triu_indices(K + 1)
 
 
 def _sums(total: np.ndarray):
@@ -290,7 +315,7 @@ def _slopes(shared, weights: np.ndarray):
 
     def run(batches):
         mixer = replace(shared.value, weights=weights)
-        total = np.zeros((K + 1 + len(_PAIRS), GATES))
+        total = np.zeros((K + 1 + len(_UPPER[0]), GATES))
         for spelling, n, n_word in _spelled(batches):
             for part in spelling.chunks():
                 own = n_word[part.owner]
@@ -298,10 +323,14 @@ def _slopes(shared, weights: np.ndarray):
                 one = 1 / (1 + np.exp(-mixer.odds(x, gate)))
                 many = n[part.owner][:, None]
                 miss, curve, flat = many * (bit - one), many * (one * (1 - one)), gate.ravel()
-                for k in range(K + 1):
-                    total[k] += np.bincount(flat, (miss * x[k]).ravel(), GATES)
-                for at, (i, j) in enumerate(_PAIRS, K + 1):
-                    total[at] += np.bincount(flat, (curve * x[i] * x[j]).ravel(), GATES)
+                order = np.argsort(flat.astype(np.uint16), kind="stable")
+                found = flat[order]
+                ends = np.append(np.flatnonzero(found[1:] != found[:-1]) + 1, len(found))
+                x, miss, curve = np.take(x.reshape(K + 1, -1), order, axis=1, mode="clip").astype(float), miss.ravel()[order], curve.ravel()[order]
+                for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    now, gate = x[:, i:j], found[i]
+                    total[: K + 1, gate] += now @ miss[i:j]
+                    total[K + 1 :, gate] += ((now * curve[i:j]) @ now.T)[_UPPER]
         yield from _sums(total.ravel())
 
     return run
@@ -311,11 +340,11 @@ def learn_weights(counts: DataFrame, shared, weights: np.ndarray) -> np.ndarray:
     """Newton steps for every gate over all occurrences: sums only, so neither order nor partitions matter."""
     first = weights
     for _ in range(STEPS):
-        size = K + 1 + len(_PAIRS)
+        size = K + 1 + len(_UPPER[0])
         total = _added(counts, _slopes(shared, weights), size * GATES).reshape(size, GATES)
         slope = total[: K + 1] - PULL * (weights - first)
         curve = np.zeros((GATES, K + 1, K + 1))
-        for at, (i, j) in enumerate(_PAIRS, K + 1):
+        for at, (i, j) in enumerate(zip(*_UPPER, strict=True), K + 1):
             curve[:, i, j] = curve[:, j, i] = total[at]
         curve += PULL * np.eye(K + 1)
         step = np.linalg.solve(curve, slope.T[:, :, None])[:, :, 0].T
@@ -412,10 +441,11 @@ def train(docs: DataFrame, counts: DataFrame, known_words: int = KNOWN_WORDS, kn
     shared = context.broadcast(mixer)
     weights = learn_weights(counts, shared, mixer.weights)
     refined = learn_refinement(counts, shared, weights, mixer.refined)
-    mixer = replace(mixer, weights=weights, refined=refined)
+    mixer = replace(mixer, weights=weights, refined=refined).ready()
+    shared = context.broadcast(mixer)
 
     def cost(batches):
-        ready = replace(shared.value, weights=weights, refined=refined)
+        ready = shared.value
         for batch in batches:
             for i in range(0, batch.num_rows, 20_000):
                 part = pa.Table.from_batches([batch.slice(i, 20_000)])
