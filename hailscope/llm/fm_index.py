@@ -62,8 +62,9 @@ class FMIndex:
             after = np.zeros(n, np.int64)
             after[:-reach] = rank[reach:] + 1
             key = rank * (n + 1) + np.where(rank < zeros.sum(), 0, after)
-            order = np.argsort(key, kind="stable")
-            fresh = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
+            order = np.argsort(key)
+            found = key[order]
+            fresh = np.concatenate([[0], np.cumsum(found[1:] != found[:-1])])
             rank = np.empty(n, np.int64)
             rank[order] = fresh
             reach *= 2

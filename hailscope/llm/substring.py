@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,13 +26,12 @@ ROW = ["doc_id", "mark"]
 
 
 def _anchors(words: Words, window: int, gram: int):
-    """Hash of every gram; for each text the first word of its windows, and the gram each window is anchored at."""
+    """Text and first word of every window, the gram it is anchored at, and the hash of every gram."""
     grams = words.runs(gram)
-    lowest = sliding_argmin(grams, window - gram + 1)
-    for t in range(len(words.first) - 1):
-        begin, end = words.first[t], words.first[t + 1]
-        starts = np.arange(begin, max(begin, end - window + 1))
-        yield t, starts, lowest[starts], grams
+    first, many = words.first[:-1], np.maximum(np.diff(words.first) - window + 1, 0)
+    owner = np.repeat(np.arange(len(many)), many)
+    starts = np.arange(len(owner)) + np.repeat(first - (np.cumsum(many) - many), many)
+    return owner, starts, sliding_argmin(grams, window - gram + 1)[starts], grams
 
 
 def _find_anchors(window: int, gram: int):
@@ -39,15 +39,16 @@ def _find_anchors(window: int, gram: int):
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for i, j in small_groups(texts):
-                owner, hashes, counts = [], [], []
-                for t, _, anchor, grams in _anchors(Words(texts[i:j]), window, gram):
-                    kind, n = np.unique(grams[np.unique(anchor)], return_counts=True)
-                    owner.append(np.full(len(kind), i + t))
-                    hashes.append(kind)
-                    counts.append(n)
-                at = pa.array(np.concatenate(owner))
+                owner, _, anchor, grams = _anchors(Words(texts[i:j]), window, gram)
+                # The anchors of a text never go back, and no two texts share one.
+                new = np.flatnonzero(np.diff(anchor, prepend=-1))
+                owner, hashes = owner[new], grams[anchor[new]]
+                order = np.lexsort((hashes, owner))
+                owner, hashes = owner[order], hashes[order]
+                cuts = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | np.diff(hashes, prepend=~hashes[:1]).astype(bool))
+                at = pa.array(i + owner[cuts])
                 columns = [batch.column(0).take(at), batch.column(1).take(at)]
-                columns += [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(counts))]
+                columns += [pa.array(hashes[cuts].view(np.int64)), pa.array(np.diff(cuts, append=len(owner)))]
                 yield pa.RecordBatch.from_arrays(columns, [*ROW, "anchor", "n"])
 
     return run
@@ -58,35 +59,35 @@ def _cut_segments(window: int, gram: int):
 
     def run(batches):
         for batch in batches:
-            ids, marks, texts = (batch.column(c).to_pylist() for c in range(3))
+            texts = batch.column(2).to_pylist()
             for i, j in small_groups(texts):
-                sent, rows = set(), []
+                sent, keys, sent_words = set(), [], []
                 words = Words(texts[i:j])
-                for t, starts, anchor, grams in _anchors(words, window, gram):
-                    cold, hot = (
-                        np.array(batch.column(c)[i + t].as_py() or [], np.int64).view(np.uint64) for c in (3, 4)
-                    )
-                    hashes = grams[anchor]
-                    single = np.isin(hashes, hot)
-                    wanted = np.flatnonzero(single | np.isin(hashes, cold))
-                    if not len(wanted):
-                        continue
-                    new = (np.diff(wanted) != 1) | (np.diff(anchor[wanted]) != 0) | single[wanted[1:]]
-                    cuts = np.flatnonzero(np.concatenate([[True], new, [True]]))
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        begin, end = int(starts[wanted[a]]), int(starts[wanted[b - 1]]) + window
-                        text = words.text(begin, end)
-                        key = hashlib.md5(text.encode(), usedforsecurity=False).digest()
-                        route = int.from_bytes(key[:8], "little", signed=True)
-                        if not single[wanted[a]]:
-                            route = int(hashes[wanted[a]].view(np.int64))
-                        at = begin - int(words.first[t])
-                        rows.append((ids[i + t], marks[i + t], at, key, route, None if key in sent else text))
-                        sent.add(key)
-                if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string()]
-                    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, [*ROW, "at", "key", "route", "words"])
+                owner, starts, anchor, grams = _anchors(words, window, gram)
+                # What is repeated, or hot, is so in every text that has it.
+                cold, hot = (batch.column(c).slice(i, j - i).flatten().to_numpy(zero_copy_only=False) for c in (3, 4))
+                hashes = grams[anchor].view(np.int64)
+                single = np.isin(hashes, hot)
+                wanted = np.flatnonzero(single | np.isin(hashes, cold))
+                if not len(wanted):
+                    continue
+                # Windows next to each other with one anchor are in one text.
+                new = (np.diff(wanted) != 1) | (np.diff(anchor[wanted]) != 0) | single[wanted[1:]]
+                cuts = np.flatnonzero(np.concatenate([[True], new, [True]]))
+                head, tail = wanted[cuts[:-1]], wanted[cuts[1:] - 1]
+                begin, end = starts[head], starts[tail] + window
+                data = words.data
+                for a, b in zip(words.starts[begin].tolist(), words.ends[end - 1].tolist(), strict=True):
+                    text = b" ".join(data[a:b].split())
+                    key = hashlib.md5(text, usedforsecurity=False).digest()
+                    keys.append(key)
+                    sent_words.append(None if key in sent else text)
+                    sent.add(key)
+                route = np.where(single[head], np.frombuffer(b"".join(keys), "<i8")[::2], hashes[head])
+                at = pa.array(i + owner[head])
+                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(begin - words.first[owner[head]])]
+                columns += [pa.array(keys, pa.binary()), pa.array(route), pa.array(sent_words, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*ROW, "at", "key", "route", "words"])
 
     return run
 
@@ -95,15 +96,14 @@ def _search(window: int):
     """One index per partition, over its segments; each segment is then searched in it."""
 
     def run(batches):
-        keys, counts, texts = [], [], []
-        for batch in batches:
-            keys += batch.column("key").to_pylist()
-            counts += batch.column("n").to_pylist()
-            texts += [t.split(" ") for t in batch.column("words").to_pylist()]
-        if not keys:
+        parts = [batch.select(["key", "n", "words"]) for batch in batches if batch.num_rows]
+        if not parts:
             return
-        sizes = np.array([len(t) for t in texts])
-        codes, _ = pd.factorize(np.array([w for t in texts for w in t], object))
+        table = pa.Table.from_batches(parts)
+        keys, counts = table["key"].to_pylist(), table["n"].to_pylist()
+        texts = pc.split_pattern(table["words"].cast(pa.large_string()).combine_chunks(), " ")
+        sizes = texts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = texts.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
         symbols = np.zeros(len(codes) + len(texts), np.int64)
         ends = np.cumsum(sizes + 1) - 1
         is_word = np.ones(len(symbols), bool)
@@ -133,12 +133,12 @@ def _remove(names: list[str]):
             kept, totals, gone = [], [], []
             for text, spans in zip(texts, batch.column("spans").to_pylist(), strict=True):
                 words = text.encode().split()
-                keep = np.ones(len(words), bool)
+                keep = bytearray(b"\1") * len(words)
                 for s in spans or []:
-                    keep[s["from"] : s["to"]] = False
-                kept.append(b" ".join([words[k] for k in np.flatnonzero(keep)] if spans else words).decode())
+                    keep[s["from"] : s["to"]] = bytes(s["to"] - s["from"])
+                kept.append(b" ".join(compress(words, keep) if spans else words).decode())
                 totals.append(len(words))
-                gone.append(len(words) - int(keep.sum()))
+                gone.append(keep.count(0))
             new = [pa.array(kept, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())]
             same = [batch.column(c) for c in names if c in batch.schema.names and c != "text"]
             yield pa.RecordBatch.from_arrays([same[0], *new, *same[1:]], names)

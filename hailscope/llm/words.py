@@ -59,10 +59,6 @@ class Words:
         at = np.arange(max(0, len(self.hashes) - size + 1))
         return _ranges(self.hashes, at, at + size)
 
-    def text(self, begin: int, end: int) -> str:
-        data, starts, ends = self.data, self.starts, self.ends
-        return b" ".join(data[starts[i] : ends[i]] for i in range(begin, end)).decode()
-
 
 def sliding_argmin(values: np.ndarray, size: int) -> np.ndarray:
     """Position of the first smallest of each ``size`` values in a row."""

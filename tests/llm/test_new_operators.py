@@ -5,14 +5,17 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hailscope.llm import jaccard, manifest, queries, variants
+from hailscope.llm import jaccard, manifest, queries, substring, variants
+from hailscope.llm.words import Words
 
 CLASHES = ("word", "n", "key", "cls", "grp", "mark", "gram", "tree", "leaf", "size", "place", "node", "root", "path", "doc", "n_near")
 
@@ -376,3 +379,27 @@ def test_index_searches_find_every_repeated_window(seed):
         if windows[tuple(s[i : i + least])] > 1 for p in range(i, i + least)
     }
     assert got == want and (want or least > 8)
+
+
+def test_segments_are_cut_without_a_call_per_word():
+    """One call per word of every window would be 35 per segment here."""
+    text = " ".join(f"w{k}" for k in range(1500))
+    hot = Words([text]).runs(16).view(np.int64).tolist()
+    names = ["doc_id", "mark", "text", "cold", "hot"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((7, 8, text, [], hot), kinds, strict=True)], names)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        found = list(substring._cut_segments(35, 16)([batch]))
+    finally:
+        sys.setprofile(None)
+    table = pa.Table.from_batches(found)
+    assert table["at"].to_pylist() == list(range(1466))
+    assert table["words"].to_pylist() == [" ".join(f"w{k}" for k in range(i, i + 35)) for i in range(1466)]
+    assert calls < 2 * table.num_rows
