@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass, replace
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ SPACE = 32
 _U = np.uint64
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _BYTE, _PLACE = np.arange(256)[:, None], np.arange(8)
+_SMALL_PLACE = _PLACE.astype(np.int16)
 _BIT = (_BYTE >> (7 - _PLACE) & 1).astype(np.int8)
 _NODE = (1 << _PLACE) | (_BYTE >> (8 - _PLACE))  # the bits of the byte so far behind a one
 _HALVES = np.stack([_NODE[:, :4], (1 << _PLACE[:4]) | ((_BYTE & 15) >> (4 - _PLACE[:4]))], axis=1)  # by half byte
@@ -72,16 +74,19 @@ class Spelling:
     def nodes(self) -> np.ndarray:
         return np.take(_HALVES, self.byte, axis=0)
 
-    def slots(self, k: int) -> np.ndarray:
-        """Slots of predictor ``k`` for the bits of every byte: the half bytes' nodes lie side by side."""
+    def rows(self, k: int) -> np.ndarray:
+        """First slots of predictor ``k`` for both halves of every byte: the nodes of a half lie side by side."""
         seen = self.prefix if k == K - 1 else self.before & _U((1 << 8 * (k + 1)) - 1)
         high = (seen + _U(k + 1)) * _A
         high = (high ^ (high >> _U(29))) * _B
         low = (high + (self.byte >> 4).astype(_U) + _U(1)) * _A
         low = (low ^ (low >> _U(31))) * _B
         shift = _U(64 - SLOT_BITS[k] + 4)
-        first = np.stack([high >> shift, low >> shift], axis=1) << _U(4)
-        return (first.view(np.int64)[:, :, None] | self.nodes).reshape(-1, 8)
+        return (np.stack([high >> shift, low >> shift], axis=1) << _U(4)).view(np.int64)
+
+    def slots(self, k: int) -> np.ndarray:
+        """Slots of predictor ``k`` for the bits of every byte."""
+        return (self.rows(k)[:, :, None] | self.nodes).reshape(-1, 8)
 
 
 def _powers(n: int) -> np.ndarray:
@@ -152,11 +157,12 @@ class Mixer:
     counts: list[np.ndarray]
     weights: np.ndarray  # [K + 1, GATES]
     refined: np.ndarray  # [256, 2 * BUCKETS + 1], chances of a one
-    levels: list[np.ndarray] | None = None  # of the two longest contexts
+    levels: list[np.ndarray] | None = None  # of the two longest contexts: their shares in the gate's number
 
     def ready(self) -> Mixer:
         halves = [((c >> 16).astype(np.float32), (c & 0xFFFF).astype(np.float32)) for c in self.counts]
-        levels = [_levels(a + b).astype(np.uint8) for a, b in halves[-2:]]
+        shares = np.minimum(_LEVEL, LEVELS - 1) * WORD_LEVELS * 8, _LEVEL * 8
+        levels = [np.take(s.astype(np.int16), (a + b).astype(np.int32), mode="clip") for s, (a, b) in zip(shares, halves[-2:], strict=True)]
         return replace(self, counts=[_stretch(*h) for h in halves], levels=levels)
 
     def inputs(self, part: Spelling, own: np.ndarray | None = None, own_word: np.ndarray | None = None):
@@ -168,7 +174,7 @@ class Mixer:
             if self.levels is not None:
                 np.take(self.counts[k], slots, out=x[k], mode="clip")
                 if k >= K - 2:
-                    levels.append(np.take(self.levels[k - K + 2], slots, mode="clip").astype(np.int64))
+                    levels.append(np.take(self.levels[k - K + 2], slots, mode="clip"))
                 continue
             both = np.take(self.counts[k], slots, mode="clip")
             ones, zeros = (both >> 16).astype(np.float32), (both & 0xFFFF).astype(np.float32)
@@ -180,6 +186,8 @@ class Mixer:
             if k >= K - 2:
                 levels.append(_levels(ones + zeros))
         x[-1] = FIRST
+        if self.levels is not None:
+            return x, (levels[0] + levels[1] + _SMALL_PLACE).astype(np.int64), bit
         gate = (np.minimum(levels[0], LEVELS - 1) * WORD_LEVELS + levels[1]) * 8 + _PLACE
         return x, gate, bit
 
@@ -199,7 +207,7 @@ class Mixer:
         """Bits that the bytes of each of ``n`` owners cost."""
         out = np.zeros(n)
         flat = self.refined.ravel().astype(np.float32)
-        for part in spelling.chunks():
+        for part in spelling.chunks(CHUNK >> 1):
             x, gate, bit = self.inputs(part)
             odds = self.odds(x, gate)
             low, share = self.refine(odds, part.byte)
@@ -225,7 +233,7 @@ def _count_tokens(batches):
             counts, tokens = Counter(), [tokens_of(t) for t in texts[i:j]]
             for found in tokens:
                 counts.update(found)
-            sizes = np.fromiter((len(w) for found in tokens for w in found), np.int64)
+            sizes = np.fromiter(map(len, chain.from_iterable(tokens)), np.int64)
             heads, n = np.unique(heads_of(tokens, sizes), return_counts=True)
             words = [pa.array(counts.keys(), pa.binary()), pa.nulls(len(counts), pa.int64()), pa.array(counts.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(words, names)
@@ -247,19 +255,29 @@ def _spelled(batches):
             yield spell_rest(words["word"].to_pylist()), n, np.where(n > 1, n, 0)
 
 
+def _node_counts(halves: np.ndarray) -> np.ndarray:
+    """Zeros and ones at each node, from how often each half byte was met behind each row."""
+    halves = halves.reshape(-1, 16)
+    out = np.zeros((len(halves), 16, 2), np.int64)
+    for depth in range(4):
+        first = 1 << depth
+        out[:, first : 2 * first] = halves.reshape(len(halves), first, 2, -1).sum(axis=3)
+    return out.ravel()
+
+
 def _count_bits(batches):
     """Bit counts of the occurrences of one partition, by parts of the tables."""
-    total = [np.zeros(2 << b, np.int64) for b in SLOT_BITS]
+    total = [np.zeros(1 << b, np.int64) for b in SLOT_BITS]
     some = False
     for spelling, n, n_word in _spelled(batches):
         some = True
         for part in spelling.chunks():
-            bit = _BIT[part.byte]
+            half = np.stack([part.byte >> 4, part.byte & 15], axis=1)
             for k in range(K):
-                weight = np.repeat((n_word if k == K - 1 else n)[part.owner], 8)
-                np.add.at(total[k], (part.slots(k) * 2 + bit).ravel(), weight)
+                weight = np.repeat((n_word if k == K - 1 else n)[part.owner], 2)
+                np.add.at(total[k], (part.rows(k) | half).ravel(), weight)
     if some:
-        parts = [p for t in total for p in t.reshape(-1, 2 << PART_BITS)]
+        parts = [_node_counts(p) for t in total for p in t.reshape(-1, 1 << PART_BITS)]
         data = [zlib.compress(p.tobytes(), 1) for p in parts]
         branch = np.full(len(parts), TaskContext.get().partitionId())
         columns = [pa.array(range(len(parts)), pa.int32()), pa.array(branch, pa.int32()), pa.array(data, pa.binary())]
@@ -315,7 +333,7 @@ def _slopes(shared, weights: np.ndarray):
 
     def run(batches):
         mixer = replace(shared.value, weights=weights)
-        total = np.zeros((K + 1 + len(_UPPER[0]), GATES))
+        slope, square = np.zeros((GATES, K + 1)), np.zeros((GATES, K + 1, K + 1))
         for spelling, n, n_word in _spelled(batches):
             for part in spelling.chunks():
                 own = n_word[part.owner]
@@ -323,15 +341,17 @@ def _slopes(shared, weights: np.ndarray):
                 one = 1 / (1 + np.exp(-mixer.odds(x, gate)))
                 many = n[part.owner][:, None]
                 miss, curve, flat = many * (bit - one), many * (one * (1 - one)), gate.ravel()
-                order = np.argsort(flat.astype(np.uint16), kind="stable")
+                flat = flat.astype(np.uint16)
+                order = np.argsort(flat, kind="stable")
                 found = flat[order]
                 ends = np.append(np.flatnonzero(found[1:] != found[:-1]) + 1, len(found))
                 x, miss, curve = np.take(x.reshape(K + 1, -1), order, axis=1, mode="clip").astype(float), miss.ravel()[order], curve.ravel()[order]
-                for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                    now, gate = x[:, i:j], found[i]
-                    total[: K + 1, gate] += now @ miss[i:j]
-                    total[K + 1 :, gate] += ((now * curve[i:j]) @ now.T)[_UPPER]
-        yield from _sums(total.ravel())
+                gates = found[ends - 1].tolist()
+                for gate, i, j in zip(gates, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    now = x[:, i:j]
+                    slope[gate] += now @ miss[i:j]
+                    square[gate] += (now * curve[i:j]) @ now.T
+        yield from _sums(np.concatenate([slope.T, square[:, *_UPPER].T]).ravel())
 
     return run
 
@@ -458,13 +478,13 @@ def train(docs: DataFrame, counts: DataFrame, known_words: int = KNOWN_WORDS, kn
                 yield from part.to_batches()
 
     shape = "word binary, head long, n long, bits double"
-    found = _frequent(words, known_words).select("word", "head", "n").mapInArrow(cost, shape).select("word", "n", "bits").collect()
-    known = {bytes(r["word"]): r["n"] for r in found}
-    rest = np.array([r["bits"] for r in found], float)
-    found = _frequent(heads, known_heads).select("word", "head", "n").mapInArrow(cost, shape).select("head", "bits").collect()
-    found = np.array(sorted((r["head"], r["bits"]) for r in found), float).reshape(-1, 2)
+    found = _frequent(words, known_words).select("word", "head", "n").mapInArrow(cost, shape).select("word", "n", "bits").toArrow()
+    known = dict(zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True))
+    rest = found["bits"].to_numpy()
+    found = _frequent(heads, known_heads).select("word", "head", "n").mapInArrow(cost, shape).select("head", "bits").toArrow()
+    order = np.argsort(found["head"].to_numpy())
     least = min(known.values(), default=0)
-    return WordModel(total, kinds, known, least, rest, found[:, 0].astype(np.int64), found[:, 1], mixer)
+    return WordModel(total, kinds, known, least, rest, found["head"].to_numpy()[order], found["bits"].to_numpy()[order], mixer)
 
 
 def _history(owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -472,7 +492,7 @@ def _history(owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = np.arange(len(owner))
     starts = np.concatenate([[True], owner[1:] != owner[:-1]])
     place = at - np.maximum.accumulate(np.where(starts, at, 0))
-    _, kind = np.unique(owner * (int(word.max(initial=0)) + 1) + word, return_inverse=True)
+    kind = owner * (int(word.max(initial=0)) + 1) + word
     order = np.argsort(kind, kind="stable")
     kind = kind[order]
     new = np.concatenate([[True], kind[1:] != kind[:-1]])
@@ -481,6 +501,24 @@ def _history(owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return before, place
 
 
+class _Places(dict):
+    """Places of the words held; any other word is given the next place, until :meth:`forget`."""
+
+    def __init__(self, words):
+        super().__init__((w, i) for i, w in enumerate(words))
+        self.others: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.others.append(word)
+        place = self[word] = len(self)
+        return place
+
+    def forget(self) -> None:
+        for word in self.others:
+            del self[word]
+        self.others = []
+
+
 INFO = "doc_id long, n_tokens long, n_bytes long, n_known long, base double, score double"
 SCORED = f"rid long, word binary, times long, info struct<{INFO}>"
 
@@ -490,27 +528,20 @@ def _score(shared):
 
     def run(batches):
         model: WordModel = shared.value
-        size, index = len(model.known), {w: i for i, w in enumerate(model.known)}
+        size, index = len(model.known), _Places(model.known)
         seen = np.array(list(model.known.values()), float)
         length = np.fromiter(map(len, model.known), np.int64, size)
         below = model.total + model.kinds + 1
         at = TaskContext.get().partitionId() << 33
-        lookup = index.get
+        held_base = np.log10((seen + 1) / below)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i, j in small_groups(texts, 1 << 21):
-                rare: dict[bytes, int] = {}
-                word, all_tokens = [], [tokens_of(t) for t in texts[i:j]]
-                for tokens in all_tokens:
-                    found = list(map(lookup, tokens))
-                    if None in found:
-                        found = [
-                            rare.setdefault(w, size + len(rare)) if f is None else f
-                            for w, f in zip(tokens, found, strict=True)
-                        ]
-                    word += found
-                word, words, n = np.array(word, np.int64), list(rare), j - i
+                all_tokens, n = [tokens_of(t) for t in texts[i:j]], j - i
                 counts = np.fromiter(map(len, all_tokens), np.int64, n)
+                word = np.fromiter(map(index.__getitem__, chain.from_iterable(all_tokens)), np.int64, int(counts.sum()))
+                words = index.others
+                index.forget()
                 owner = np.repeat(np.arange(n), counts)
                 sizes = np.concatenate([length, np.fromiter(map(len, words), np.int64, len(words))])[word]
                 bits = model.head_cost(heads_of(all_tokens, sizes))
@@ -527,8 +558,7 @@ def _score(shared):
                 again = np.log2(np.where(before > 0, share * own, 1))
                 score = np.where(before > 0, np.logaddexp2(again, spelled), spelled) * np.log10(2)
                 common = word < size
-                base = np.log10((seen + 1) / below)
-                base = np.where(common, np.concatenate([base, np.zeros(len(words))])[word], 0)
+                base = np.concatenate([held_base, np.zeros(len(words))])[word]
                 rid = at + np.arange(n)
                 at += n
                 # Each other word once per text, with how often it is there.

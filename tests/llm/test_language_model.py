@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hailscope.llm import lm
@@ -101,3 +103,45 @@ def test_long_words_cost_all_their_bits(spark):
     counts = lm.count_words(other)
     row = lm.score_documents(docs, counts, lm.train(other, counts)).first()
     assert row.score < -3_000 and row.n_tokens == 2
+
+
+def test_bits_are_counted_by_half_bytes(monkeypatch):
+    """One addition for each half byte gives the counts of each bit at its slot."""
+    words, n = [b"about", b"above", b"a", "\u00e9t\u00e9".encode(), b"abc" * 9], [3, 1, 2, 5, 4]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(words, pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(n, pa.int64())], ["word", "head", "n"]
+    )
+    spelling, many = lm.spell_rest(words), np.array(n)
+    want = []
+    for k, size in enumerate(lm.SLOT_BITS):
+        total = np.zeros((1 << size, 2), np.int64)
+        own = np.where(many > 1, many, 0) if k == lm.K - 1 else many
+        for slots, byte, owner in zip(spelling.slots(k), spelling.byte, spelling.owner, strict=True):
+            for place, slot in enumerate(slots):
+                total[slot, byte >> (7 - place) & 1] += own[owner]
+        want.append(total.ravel())
+    additions = 0
+
+    class Add:
+        @staticmethod
+        def at(total, slots, weight, add=np.add.at):
+            nonlocal additions
+            additions += len(slots)
+            add(total, slots, weight)
+
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(lm.np, "add", Add)
+    (found,) = lm._count_bits([batch])
+    monkeypatch.undo()
+    parts = [np.frombuffer(zlib.decompress(d), np.int64) for d in found.column("data").to_pylist()]
+    assert np.array_equal(np.concatenate(parts), np.concatenate(want))
+    assert additions == 2 * lm.K * len(spelling.byte)
+
+
+def test_words_that_are_not_held_are_given_places_and_forgotten():
+    places = lm._Places([b"a", b"b"])
+    assert [places[w] for w in (b"c", b"a", b"d", b"c")] == [2, 0, 3, 2]
+    assert places.others == [b"c", b"d"]
+    places.forget()
+    assert dict(places) == {b"a": 0, b"b": 1} and not places.others
+    assert places[b"d"] == 2
