@@ -46,6 +46,7 @@ _A, _B = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _BYTE, _PLACE = np.arange(256)[:, None], np.arange(8)
 _SMALL_PLACE = _PLACE.astype(np.int16)
 _BIT = (_BYTE >> (7 - _PLACE) & 1).astype(np.int8)
+_ONCE = np.where(_BIT, 1 << 16, 1).astype(np.uint32)  # one occurrence in a pair of counts
 _NODE = (1 << _PLACE) | (_BYTE >> (8 - _PLACE))  # the bits of the byte so far behind a one
 _HALVES = np.stack([_NODE[:, :4], (1 << _PLACE[:4]) | ((_BYTE & 15) >> (4 - _PLACE[:4]))], axis=1)  # by half byte
 _LEVEL = np.minimum(np.log2(np.arange(1 << WORD_LEVELS) + 1), WORD_LEVELS - 1).astype(np.int64)
@@ -177,11 +178,9 @@ class Mixer:
                     levels.append(np.take(self.levels[k - K + 2], slots, mode="clip"))
                 continue
             both = np.take(self.counts[k], slots, mode="clip")
+            if own is not None:  # what is left out was counted, so no half goes below zero
+                both -= _ONCE[part.byte] * (own_word if k == K - 1 else own)[:, None]
             ones, zeros = (both >> 16).astype(np.float32), (both & 0xFFFF).astype(np.float32)
-            if own is not None:
-                less = (own_word if k == K - 1 else own)[:, None]
-                ones = np.maximum(ones - bit * less, 0)
-                zeros = np.maximum(zeros - (1 - bit) * less, 0)
             x[k] = _stretch(ones, zeros)
             if k >= K - 2:
                 levels.append(_levels(ones + zeros))
@@ -211,7 +210,7 @@ class Mixer:
             x, gate, bit = self.inputs(part)
             odds = self.odds(x, gate)
             low, share = self.refine(odds, part.byte)
-            one = (1 / (1 + np.exp(-odds)) + (1 - share) * flat[low] + share * flat[low + 1]) / 2
+            one = (1 / (1 + np.exp(-odds)) + (1 - share) * np.take(flat, low, mode="clip") + share * np.take(flat[1:], low, mode="clip")) / 2
             cost = -np.log2(np.where(bit == 1, one, 1 - one)).sum(axis=1, dtype=float)
             np.add.at(out, part.owner, cost)
         return out
@@ -337,7 +336,7 @@ def _slopes(shared, weights: np.ndarray):
         for spelling, n, n_word in _spelled(batches):
             for part in spelling.chunks():
                 own = n_word[part.owner]
-                x, gate, bit = mixer.inputs(part, np.ones(len(own), np.float32), np.minimum(own, 1).astype(np.float32))
+                x, gate, bit = mixer.inputs(part, np.ones(len(own), np.uint32), np.minimum(own, 1).astype(np.uint32))
                 one = 1 / (1 + np.exp(-mixer.odds(x, gate)))
                 many = n[part.owner][:, None]
                 miss, curve, flat = many * (bit - one), many * (one * (1 - one)), gate.ravel()
@@ -381,7 +380,7 @@ def learn_refinement(counts: DataFrame, shared, weights: np.ndarray, refined: np
         for spelling, n, n_word in _spelled(batches):
             for part in spelling.chunks():
                 own = n_word[part.owner]
-                x, gate, bit = mixer.inputs(part, np.ones(len(own), np.float32), np.minimum(own, 1).astype(np.float32))
+                x, gate, bit = mixer.inputs(part, np.ones(len(own), np.uint32), np.minimum(own, 1).astype(np.uint32))
                 low, share = mixer.refine(mixer.odds(x, gate), part.byte)
                 many, low = n[part.owner][:, None], low.ravel()
                 for at, near in ((low, many * (1 - share)), (low + 1, many * share)):
@@ -548,15 +547,17 @@ def _score(shared):
                 bits += np.concatenate([model.rest, model.rest_of(words)])[word]
                 before, place = _history(owner, word)
                 own = before / np.maximum(place, 1)
+                met = np.flatnonzero(before)
                 # How well the text's own history did so far decides its weight in the next token.
-                chance = (1 - OWN_SHARE) * np.exp2(-bits)
-                did = np.where(before > 0, OWN_SHARE * own, 0) / np.where(before > 0, OWN_SHARE * own + chance, 1)
+                chance = (1 - OWN_SHARE) * np.exp2(-bits[met])
+                did = np.zeros(len(word))
+                did[met] = OWN_SHARE * own[met] / (OWN_SHARE * own[met] + chance)
                 total = np.concatenate([[0], np.cumsum(did)])
                 first = np.cumsum(counts) - counts
                 share = (OWN_SHARE * OWN_PRIOR + total[:-1] - total[first][owner]) / (OWN_PRIOR + place)
-                spelled = np.log2(1 - share) - bits
-                again = np.log2(np.where(before > 0, share * own, 1))
-                score = np.where(before > 0, np.logaddexp2(again, spelled), spelled) * np.log10(2)
+                score = np.log2(1 - share) - bits
+                score[met] = np.logaddexp2(np.log2(share[met] * own[met]), score[met])
+                score *= np.log10(2)
                 common = word < size
                 base = np.concatenate([held_base, np.zeros(len(words))])[word]
                 rid = at + np.arange(n)
