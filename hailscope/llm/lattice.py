@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 import xxhash
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hailscope.llm.common import id_text, stage
+from hailscope.llm.common import discard, id_text, stage
 from hailscope.llm.tokens import small_groups
 
 SPACE = "▁"
@@ -32,7 +34,16 @@ WORDS_PER_PART = 25_000
 #: Different words a task counts or remembers before it starts anew.
 CACHED = 100_000
 SIGNS = ".,;:!?*#$%&"
-HOLE = b"\xff\xff"
+#: A stretch that tasks hold is three bytes in a document's row: its place by frequency, from 1. This one is not held.
+HOLE = bytes(3)
+MOST_CODES = (1 << 24) - 1
+ALL_BITS = (1 << 64) - 1
+#: While something is staged: sorted words are grouped as they lie, and what was shuffled for it goes when it is written.
+STAGING = {
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 NO_ID = (1 << 24) - 1
 
 PIECES = T.StructType(
@@ -95,18 +106,18 @@ def count_stretches(docs: DataFrame) -> DataFrame:
         seen: Counter = Counter()
 
         def flush():
-            cut: Counter = Counter()
+            cut = {SPACE + word: n for word, n in seen.items() if word.isalpha()}
             for word, n in seen.items():
-                for s in stretches(word):
-                    cut[s] += n
+                if not word.isalpha():
+                    for s in stretches(word):
+                        cut[s] = cut.get(s, 0) + n
             seen.clear()
-            columns = [pa.array(list(cut), pa.string()), pa.array(list(cut.values()), pa.int64())]
+            columns = [pa.array(cut, pa.string()), pa.array(cut.values(), pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for begin, end in small_groups(texts):
-                for text in texts[begin:end]:
+            for texts in _groups(batch.column(0)):
+                for text in texts:
                     seen.update(words_of(text))
                 if len(seen) > CACHED:
                     yield flush()
@@ -116,6 +127,13 @@ def count_stretches(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _groups(texts: pa.Array):
+    """Texts of a column in small lists, so that a worker never holds a whole batch as Python strings."""
+    sizes = map(range, pc.binary_length(texts).to_pylist())  # a range has the length of its text
+    for begin, end in small_groups(list(sizes)):
+        yield texts.slice(begin, end - begin).to_pylist()
+
+
 def encode_words(words: DataFrame, pieces: DataFrame, parts: int) -> DataFrame:
     """``word, n, tokens`` for different words of ``wid, word, n``, of ``LONGEST`` code points at most.
 
@@ -201,68 +219,119 @@ def with_bytes(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.mapInArrow(run, "word string, n long, ids binary")
 
 
-def vocabulary(docs: DataFrame, model_path: str) -> DataFrame:
-    """``word, n, ids`` of all different stretches of ``docs``, staged."""
-    spark = docs.sparkSession
-    counts = stage(count_stretches(docs).withColumn("wid", F.monotonically_increasing_id()), "pieces-words")
+@contextmanager
+def _staging(spark: SparkSession):
+    before = {k: spark.conf.get(k, None) for k in STAGING}
+    for k, v in STAGING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def encode_stretches(counts: DataFrame, model_path: str) -> DataFrame:
+    """``word, n, ids`` for the different stretches ``wid, word, n`` of a staged table."""
+    spark = counts.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), counts.count() // WORDS_PER_PART + 1)
     fits = (F.length("word") <= LONGEST) & ~F.col("word").startswith(SPACE * (MARKS + 1))
     folded = encode_words(counts.filter(fits), piece_table(spark, model_path), parts)
     others = counts.filter(~fits).select("word", "n", F.lit(None).cast("array<bigint>").alias("tokens"))
-    return stage(with_bytes(folded.unionByName(others), model_path), "pieces-ids")
+    return with_bytes(folded.unionByName(others), model_path)
 
 
-def _known(words: DataFrame, most: int) -> tuple[dict[str, bytes], int | None]:
-    """The most frequent words, ``most`` at most, and the smallest step of counts among them."""
+def vocabulary(docs: DataFrame, model_path: str, known_words: int) -> tuple[pa.Table, DataFrame]:
+    """``word, ids`` of the most frequent stretches, ``known_words`` at most, as a table; of all others staged."""
     step = F.floor(F.log2("n") * 16)
-    left, least = most, None
-    for r in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
-        left -= r["count"]
-        if left < 0:
-            break
-        least = r["step"]
-    if least is None:
-        return {}, None
-    return {r["word"]: bytes(r["ids"]) for r in words.filter(step >= least).collect()}, least
-
-
-def _heads(known: dict[str, bytes]) -> Callable[[list[str]], bytes]:
-    """The ids of words in a row, with a hole for each stretch not in ``known``."""
+    with _staging(docs.sparkSession):
+        counts = stage(count_stretches(docs).withColumn("wid", F.monotonically_increasing_id()), "pieces-words")
+        left, least = known_words, None
+        for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+            left -= r["count"]
+            if left < 0:
+                break
+            least = r["step"]
+        frequent = F.lit(False) if least is None else step >= least
+        known = encode_stretches(counts.filter(frequent), model_path).toArrow()
+        others = stage(encode_stretches(counts.filter(~frequent), model_path).select("word", "ids"), "pieces-ids")
+        discard(counts)
+    order = pc.sort_indices(known, [("n", "descending"), ("word", "ascending")])
+    return known.select(["word", "ids"]).take(order).combine_chunks(), others
+
+
+class Known:
+    """Frequent stretches and their ids in two columns; a task makes of them what it needs."""
+
+    def __init__(self, table: pa.Table):
+        self.words, self.ids = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns)
+
+    def codes(self) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Codes of stretches with a mark in front, without that mark, and of all others."""
+        marked, plain = {}, {}
+        for place, s in enumerate(self.words.to_pylist(), 1):
+            code = place.to_bytes(3, "little")
+            if s[0] == SPACE:
+                marked[s[1:]] = code
+            else:
+                plain[s] = code
+        return marked, plain
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where those of each code end."""
+        sizes = pc.binary_length(self.ids).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+        return np.frombuffer(b"".join(self.ids.to_pylist()), "<u2"), np.concatenate([[0, 0], np.cumsum(sizes)])
+
+
+def _coder(marked: dict[str, bytes], plain: dict[str, bytes]) -> Callable[[list[str]], tuple[bytes, list[str]]]:
+    """The codes of words in a row, with a hole for each stretch that is not held, and those stretches."""
     cache: dict[str, bytes] = {}
 
-    def run(words: list[str]) -> bytes:
+    def run(words: list[str]) -> tuple[bytes, list[str]]:
         if len(cache) > CACHED:
             cache.clear()
-        found = list(map(cache.get, words))
+        found, late = list(map(marked.get, words)), []
         if None in found:
-            for k, f in enumerate(found):
-                if f is None:
-                    got = [known.get(s, HOLE) for s in stretches(words[k])]
-                    found[k] = b"".join(got)
-                    if HOLE not in got:  # a word with a hole is rare itself
-                        cache[words[k]] = found[k]
-        return b"".join(found)
+            for k in [k for k, f in enumerate(found) if f is None]:
+                word = words[k]
+                code = cache.get(word)
+                if code is None:
+                    cut = stretches(word)
+                    got = [marked.get(s[1:]) if s[0] == SPACE else plain.get(s) for s in cut]
+                    if None in got:  # a word with a hole is rare itself
+                        late += [s for s, f in zip(cut, got, strict=True) if f is None]
+                        code = b"".join(f or HOLE for f in got)
+                    else:
+                        code = cache[word] = b"".join(got)
+                found[k] = code
+        return b"".join(found), late
 
     return run
 
 
-def _rares(known: dict[str, bytes]) -> Callable[[list[str]], list[str]]:
-    """The stretches of words in a row that are not in ``known``."""
-    cache: set[str] = set()
+def _planes(codes: bytes) -> bytes:
+    """First, second and third bytes of the codes apart, which packs better."""
+    return np.frombuffer(codes, np.uint8).reshape(-1, 3).T.tobytes()
 
-    def run(words: list[str]) -> list[str]:
-        if len(cache) > CACHED:
-            cache.clear()
-        late = []
-        for word in words:
-            if word not in cache:
-                got = [s for s in stretches(word) if s not in known]
-                late += got
-                if not got:
-                    cache.add(word)
-        return late
 
-    return run
+def _places(planes: bytes) -> np.ndarray:
+    low, middle, high = np.frombuffer(planes, np.uint8).reshape(3, -1).astype(np.int64)
+    return low | middle << 8 | high << 16
+
+
+def _filled(places: np.ndarray, flat: np.ndarray, ends: np.ndarray, late: list[bytes]) -> bytes:
+    """The ids of codes in a row; ``late`` are the ids for the holes, in order."""
+    starts, sizes = ends[places], ends[np.minimum(places + 1, len(ends) - 1)] - ends[places]
+    holes = np.flatnonzero(places == 0)
+    if len(late) != len(holes):
+        raise ValueError(f"{len(holes)} holes, ids for {len(late)}")
+    if late:
+        own = np.fromiter(map(len, late), np.int64, len(late)) // 2
+        starts[holes] = len(flat) + np.cumsum(own) - own
+        sizes[holes] = own
+        flat = np.concatenate([flat, np.frombuffer(b"".join(late), "<u2")])
+    upto = np.cumsum(sizes)
+    return flat[np.repeat(starts - upto + sizes, sizes) + np.arange(int(sizes.sum()))].tobytes()
 
 
 def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) -> DataFrame:
@@ -271,9 +340,9 @@ def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) ->
     The text is taken as it is, with a space before it. It is cut where no piece of the vocabulary
     crosses, and different stretches are encoded once (:func:`encode_words`). Tasks hold the pieces of at most
     ``known_words`` frequent stretches; every occurrence of another one is joined with the
-    table by the stretch, and fills its hole in the document. Documents are
-    shuffled once: ids with holes and rare stretches are two passes over the texts, which meet
-    by ``doc_id`` and a hash of the text, so a task run again gives the same rows.
+    table by the stretch, and fills its hole in the document. One pass over the texts gives each
+    document's codes and rare stretches; these rows are shuffled once, read for the join and again to be filled,
+    and meet by a hash of text and ``doc_id``, so a task run again gives the same rows.
 
     The ids are those of the library for the same model. Stretches over ``LONGEST``
     code points or with over ``MARKS`` spaces in front are encoded by the library itself, once each. NULL and
@@ -281,72 +350,55 @@ def encode(docs: DataFrame, model_path: str, known_words: int = KNOWN_WORDS) ->
     gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    words = vocabulary(docs, model_path)
-    known, least = _known(words, known_words)
-    shared = spark.sparkContext.broadcast(known)
-    others = words if least is None else words.filter(F.floor(F.log2("n") * 16) < least)
-    texts = id_text(docs).select("doc_id", "text")
-
-    def rare(batches):
-        rares = _rares(shared.value)
-        for batch in batches:
-            ids, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for begin, end in small_groups(all_texts):
-                doc, mark, place, word = [], [], [], []
-                for i, text in zip(ids[begin:end], all_texts[begin:end], strict=True):
-                    late = rares(words_of(text))
-                    doc += [i] * len(late)
-                    mark += [xxhash.xxh64_intdigest(text.encode()) >> 1] * len(late) if late else []
-                    place += range(len(late))
-                    word += late
-                columns = [pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(place, pa.int32()), pa.array(word, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "place", "word"])
-
-    def heads(batches):
-        cut, pack = _heads(shared.value), zstandard.ZstdCompressor(3).compress
+    table, others = vocabulary(docs, model_path, min(known_words, MOST_CODES))
+    shared = spark.sparkContext.broadcast(Known(table))
+
+    def cut(batches):
+        code, pack = _coder(*shared.value.codes()), zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            ids, all_texts = batch.column(0), batch.column(1).to_pylist()
-            for begin, end in small_groups(all_texts):
-                own = all_texts[begin:end]
-                blobs = [pack(cut(words_of(t))) for t in own]
-                marks = [xxhash.xxh64_intdigest(t.encode()) >> 1 for t in own]
-                columns = [ids.slice(begin, end - begin), pa.array(marks, pa.int64()), pa.array(blobs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "blob"])
-
-    late = texts.mapInArrow(rare, "doc_id long, mark long, place int, word string")
-    late = late.join(others.select("word", "ids").hint("merge"), "word")
-    nothing = F.lit(None)
-    late = late.select("doc_id", "mark", nothing.cast("binary").alias("blob"), F.struct("place", "ids").alias("late"))
-    whole = texts.mapInArrow(heads, "doc_id long, mark long, blob binary")
-    whole = whole.withColumn("late", nothing.cast("struct<place:int,ids:binary>"))
-    whole = (
-        whole.unionByName(late)
-        .groupBy("doc_id", "mark")
-        .agg(F.max("blob").alias("blob"), F.count("blob").alias("copies"), F.collect_set("late").alias("late"))
-        .select("doc_id", "blob", "copies", "late")
-    )
+            at = 0
+            for texts in _groups(batch.column(1)):
+                ids = batch.column(0).slice(at, len(texts))
+                at += len(texts)
+                found = [code(words_of(t)) for t in texts]
+                # Rare stretches hang on the text alone; the id is in the hash so that copies spread.
+                marks = [xxhash.xxh64_intdigest(t.encode(), (i or 0) & ALL_BITS) >> 1 for i, t in zip(ids.to_pylist(), texts, strict=True)]
+                blobs = [pack(_planes(codes)) for codes, _ in found]
+                late = [" ".join(rare) for _, rare in found]  # no stretch holds a space
+                columns = [ids, pa.array(marks, pa.int64()), pa.array(blobs, pa.binary()), pa.array(late, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "blob", "late"])
+
+    cuts = id_text(docs).select("doc_id", "text").mapInArrow(cut, "doc_id long, mark long, blob binary, late string")
+    # No NULL in the key, or the join would drop rows before they are shuffled.
+    cuts = cuts.select(F.coalesce("mark", F.lit(0)).alias("mark"), "doc_id", "blob", "late").repartition("mark")
+    # Both readers take every column: then what is shuffled for them is the same, and Spark does it once.
+    # (Where nothing is late, a NULL id gives the empty word, which is no stretch.)
+    some = F.col("blob").isNotNull() & (F.col("doc_id").isNull() | (F.length("late") > 0))
+    rare = F.when(some, F.split("late", " "))
+    late = cuts.select("mark", F.posexplode(rare).alias("place", "word"))
+    late = late.join(others.hint("merge"), "word").select("mark", "place", "ids")
+    # One row for nearly every text and place: added up only behind the shuffle.
+    late = late.repartition("mark").groupBy("mark").agg(F.collect_set(F.struct("place", "ids")).alias("found"))
+    whole = cuts.join(late.hint("merge"), "mark", "left").select("doc_id", "blob", (F.length("late") > 0).alias("holes"), "found")
 
     def assemble(batches):
+        flat, ends = shared.value.spans()
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             docs, out, held = [], [], 0
-            for doc, blob, copies, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = unpack(blob)
-                if own:
-                    fill = [x["ids"] for x in sorted(own, key=lambda x: x["place"])]
-                    holes = (2 * np.flatnonzero(np.frombuffer(data, "<u2") == 0xFFFF)).tolist()
-                    parts, at = [], 0
-                    for hole, ids in zip(holes, fill, strict=True):
-                        parts += [data[at:hole], ids]
-                        at = hole + 2
-                    data = b"".join([*parts, data[at:]])
-                for _ in range(copies):
-                    docs.append(doc)
-                    out.append(data)
-                    held += len(data)
-                    if held > 1 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "ids"])
-                        docs, out, held = [], [], 0
+            for k, (doc, blob, holes) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)):
+                fill = []
+                if holes:
+                    found = batch.column(3)[k].values
+                    order = np.argsort(found.field("place").to_numpy())
+                    fill = found.field("ids").take(pa.array(order)).to_pylist()
+                data = _filled(_places(unpack(blob)), flat, ends, fill)
+                docs.append(doc)
+                out.append(data)
+                held += len(data)
+                if held > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "ids"])
+                    docs, out, held = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
     return whole.mapInArrow(assemble, "doc_id long, ids binary")

@@ -6,9 +6,11 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -322,6 +324,32 @@ def test_lattice(docs, nothing, make_docs):
     assert lattice.encode(nothing, path).count() == 0
 
 
+def test_lattice_reads_texts_once_more_than_it_counts(spark, make_docs):
+    """Codes and rare stretches come from one pass, shuffled once for both readers; what was counted is not kept."""
+    from hailscope.sources.staging import run_folder
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    folder = Path(run_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("pieces-*"))
+    encoded = lattice.encode(make_docs([(i, f"river town, x{i}y z{i}") for i in range(50)]), path, known_words=3)
+    assert [f.name[:10] for f in set(folder.glob("pieces-*")) - before] == ["pieces-ids"]
+    assert len(encoded.collect()) == 50
+    assert "ReusedExchange" in encoded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_codes_and_holes_of_words():
+    ids = [np.array(x, "<u2").tobytes() for x in ([5], [6, 7], [8])]
+    known = lattice.Known(pa.table({"word": ["▁river", "▁town", ","], "ids": pa.array(ids, pa.binary())}))
+    codes, late = lattice._coder(*known.codes())(["river", "town,", "odd,", "river"])
+    assert late == ["▁odd"]
+    places = lattice._places(lattice._planes(codes))
+    assert places.tolist() == [1, 2, 3, 0, 3, 1]
+    filled = lattice._filled(places, *known.spans(), [np.array([9, 9], "<u2").tobytes()])
+    assert np.frombuffer(filled, "<u2").tolist() == [5, 6, 7, 8, 9, 9, 8, 5]
+    with pytest.raises(ValueError, match="1 holes"):
+        lattice._filled(places, *known.spans(), [])
+
+
 def test_queries_have_what_sql_can_say():
     from hailscope.llm.oracles import ORACLES
     from hailscope.llm.queries import QUERIES
