@@ -145,3 +145,13 @@ def test_words_that_are_not_held_are_given_places_and_forgotten():
     places.forget()
     assert dict(places) == {b"a": 0, b"b": 1} and not places.others
     assert places[b"d"] == 2
+
+
+def test_history_needs_no_sort_of_places(monkeypatch):
+    rng = np.random.default_rng(3)
+    owner, word = np.sort(rng.integers(0, 9, 500)), rng.integers(0, 40, 500)
+    want = [sum(word[j] == word[i] and owner[j] == owner[i] for j in range(i)) for i in range(500)]
+    monkeypatch.setattr(lm.np, "argsort", None)
+    before, place = lm._history(owner, word)
+    monkeypatch.undo()
+    assert before.tolist() == want and place[0] == 0 and place[-1] == np.sum(owner == owner[-1]) - 1
